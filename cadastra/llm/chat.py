@@ -13,6 +13,8 @@ the least leaf; repeated turns follow each other by role and text; an empty tabl
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,18 +43,23 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     same = lambda x, y: F.col(f"{x}.tree").eqNullSafe(F.col(f"{y}.tree"))
     nodes = messages.select("tree", "msg", "parent", "score")
     known = nodes.alias("n").join(nodes.select("tree", "msg").alias("p"), same("n", "p") & (F.col("n.parent") == F.col("p.msg")), "left")
-    state, levels = Cut(known.select("n.tree", "n.msg", F.col("p.msg").alias("up"), F.coalesce("n.score", F.lit(0.0)).alias("total"))), []
-    while not (climbing := state.df.where(F.col("up").isNotNull()).select("tree", "msg", "up")).isEmpty():
+    moving, done, levels = Cut(known.select("n.tree", "n.msg", F.col("p.msg").alias("up"), F.coalesce("n.score", F.lit(0.0)).alias("total"))), [], []
+    while True:
+        # only messages below a root climb on; the others are set aside, and still answer for those that reach them
+        done.append(moving.df.where(F.col("up").isNull()))
+        climbing = moving.df.where(F.col("up").isNotNull())
+        if climbing.isEmpty():
+            break
         if len(levels) > 40:
             raise ValueError("replies form a cycle")
-        levels.append(Cut(climbing))
+        levels.append(climbing)
         # total covers the messages from this one to just below ``up``
-        step = state.df.alias("a").join(state.df.alias("b"), same("a", "b") & (F.col("a.up") == F.col("b.msg")), "left")
-        new = Cut(step.select("a.tree", "a.msg", F.col("b.up").alias("up"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")))
-        state.drop()
-        state = new
+        known = reduce(DataFrame.unionByName, done, climbing)
+        step = climbing.alias("a").join(known.alias("b"), same("a", "b") & (F.col("a.up") == F.col("b.msg")))
+        moving = Cut(step.select("a.tree", "a.msg", F.col("b.up").alias("up"), (F.col("a.total") + F.col("b.total")).alias("total")))
+    state = reduce(DataFrame.unionByName, done)
     parents = nodes.where(F.col("parent").isNotNull()).select("tree", F.col("parent").alias("msg")).distinct()
-    leaves = state.df.alias("s").join(parents.alias("q"), same("s", "q") & (F.col("s.msg") == F.col("q.msg")), "left_anti").select("s.*")
+    leaves = state.alias("s").join(parents.alias("q"), same("s", "q") & (F.col("s.msg") == F.col("q.msg")), "left_anti").select("s.*")
     if per_tree == 1:
         top = leaves.groupBy("tree").agg(F.min_by("msg", F.struct((-F.col("total")).alias("t"), "msg")).alias("leaf")).withColumn("branch", F.lit(1))
     else:
@@ -60,7 +67,7 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
         top = leaves.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= per_tree).select("tree", F.col("msg").alias("leaf"), "branch")
     paths = top.select("tree", "leaf", "branch", F.col("leaf").alias("msg"), F.lit(0).alias("up_by"))
     for k in range(len(levels) - 1, -1, -1):
-        above = paths.alias("p").join(levels[k].df.alias("l"), same("p", "l") & (F.col("p.msg") == F.col("l.msg"))).select("p.tree", "p.leaf", "p.branch", F.col("l.up").alias("msg"), (F.col("p.up_by") + (1 << k)).alias("up_by"))
+        above = paths.alias("p").join(levels[k].alias("l"), same("p", "l") & (F.col("p.msg") == F.col("l.msg"))).select("p.tree", "p.leaf", "p.branch", F.col("l.up").alias("msg"), (F.col("p.up_by") + (1 << k)).alias("up_by"))
         paths = Cut(paths.unionByName(above)).df
     return paths.select("tree", "leaf", "branch", "msg", "up_by")
 

@@ -1,10 +1,9 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame functions only.
 
-1. Benchmark items become windows of words; the corpus is counted for the benchmark's words alone.
-2. A window is anchored on its two rarest words; a window with a word that the corpus lacks goes no further.
-3. The postings (term, document, position) of anchor words are read from the corpus, and each is moved back by its
-   offset in the item: equal (document, item, shift) means that the lists meet. A window is a candidate where both of
-   its anchors meet at one shift.
+1. The index is stored once: postings (term, document, position) of the benchmark's words, in the shared folder.
+2. Its counts tell each window's two rarest words, its anchors; a window with a word that the corpus lacks is dropped.
+3. Anchor postings are moved back by their offset in the item: equal (document, item, shift) means that lists meet. A
+   window is a candidate where both of its anchors meet at one shift.
 4. Candidates meet their own document once, where the exact phrase is compared and the hit words are counted.
 
 Words are found on a wider fold of case in steps 1 to 3, which only ever adds candidates; step 4 folds A-Z alone.
@@ -21,10 +20,9 @@ from pyspark.sql import functions as F
 from .common import cut
 
 WINDOW = 10
-#: Words of the lower-cased text, and the same runs in the text as it is.
-LOWER_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Runs of digits, letters A-Z and all that is not ASCII. Single characters make a bit set, which ranges would not.
+WORD = rf"[0123456789{UPPER}{LOWER}\x{{80}}-\x{{10FFFF}}]++"
 #: A side of a join is broadcast up to this many counted rows, and shuffled beyond.
 SMALL = 200_000
 
@@ -40,7 +38,7 @@ def folded(text: Column | str) -> Column:
 
 def terms(text: Column | str) -> Column:
     """Hashes of the words under the wide fold, in order."""
-    return F.transform(F.regexp_extract_all(folded(text), F.lit(LOWER_WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    return F.transform(F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
 def sized(df: DataFrame, limit: int = SMALL) -> DataFrame:
@@ -57,19 +55,16 @@ def windows(bench: DataFrame, size: int = WINDOW, item_col: str = "item_id", tex
     return starts.select("row", "item", "at", "len", F.translate(F.array_join(cut("w"), " "), UPPER, LOWER).alias("phrase"), cut("h").alias("hs"))
 
 
-def postings(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The positional index of the given terms ``h``: (h, doc, pos), and the vocabulary's other columns."""
+def index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The stored positional index of the vocabulary's terms (h, vid): rows (vid, doc, pos)."""
     spread = docs.select(F.col(id_col).alias("doc"), F.posexplode(terms(text_col)).alias("pos", "h"))
-    return spread.join(sized(vocabulary), "h")
+    return cut(spread.join(sized(vocabulary), "h").select("vid", "doc", "pos"))
 
 
-def rarest(wins: DataFrame, docs: DataFrame, text_col: str = "text", anchors: int = 2) -> DataFrame:
-    """(row, at, len, phrase, marks): the offsets in the item of each window's rarest words; windows that cannot occur are left out."""
-    places = wins.select("row", "at", "len", "phrase", "item", F.posexplode("hs").alias("off", "h"))
-    vocabulary = places.select("h").distinct()
-    counts = docs.select(F.explode(terms(text_col)).alias("h")).join(sized(vocabulary), "h").groupBy("h").agg(F.count("*").alias("n"))
-    known = places.join(F.broadcast(counts) if vocabulary.count() <= SMALL else counts, "h")
-    by = known.groupBy("row", "item", "at", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off"))).alias("o")).where(F.size("o") == F.col("len"))
+def rarest(places: DataFrame, postings: DataFrame, anchors: int = 2) -> DataFrame:
+    """(row, item, at, len, phrase, marks): the offsets in the item of each window's rarest words; windows that cannot occur are left out."""
+    counts = cut(postings.groupBy("vid").agg(F.count("*").alias("n")))
+    by = places.join(sized(counts), "vid").groupBy("row", "item", "at", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off"))).alias("o")).where(F.size("o") == F.col("len"))
     return by.select("row", "item", "at", "len", "phrase", F.transform(F.slice("o", 1, anchors), lambda x: x["off"] + F.col("at")).alias("marks"))
 
 
@@ -80,12 +75,14 @@ def bit_of(mark: Column) -> Column:
 
 def candidates(docs: DataFrame, bench: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, c): for each document that has any, the places (start, len, phrase, item) where a window's rarest words meet."""
-    wins = windows(bench, size)
-    rare = cut(rarest(wins, docs, text_col))
+    places = windows(bench, size).select("row", "item", "at", "len", "phrase", F.posexplode("hs").alias("off", "h"))
+    vocabulary = cut(places.select("h").distinct().withColumn("vid", F.monotonically_increasing_id()))
+    places = cut(places.join(sized(vocabulary), "h"))
+    postings = index(docs, vocabulary, id_col, text_col)
+    rare = cut(rarest(places, postings))
     marked = rare.select("row", F.explode("marks").alias("mark")).distinct()
-    hashes = wins.select("row", "at", F.posexplode("hs").alias("off", "h")).select("row", (F.col("at") + F.col("off")).alias("mark"), "h").distinct()
-    anchors = cut(marked.join(hashes, ["row", "mark"]))
-    found = postings(docs, anchors, id_col, text_col)
+    anchors = cut(marked.join(places.select("row", (F.col("at") + F.col("off")).alias("mark"), "vid").distinct(), ["row", "mark"]))
+    found = postings.join(sized(anchors), "vid")
     met = found.groupBy("doc", "row", (F.col("pos") - F.col("mark")).alias("shift")).agg(F.bit_or(bit_of(F.col("mark"))).alias("bits"))
     single = rare.where("len = 1").limit(1).count() > 0
     met = met if single else met.where(F.bit_count("bits") > 1)
@@ -118,11 +115,11 @@ def keep_clean(docs: DataFrame, bench: DataFrame, size: int = WINDOW, id_col: st
     return matched(docs, bench, size, id_col, text_col).where(F.size("hits") == 0).select("doc_row.*")
 
 
-def near(index: DataFrame, first: str, second: str, within: int) -> DataFrame:
-    """Proximity: (doc, a, b) where the two terms stand at most ``within`` words apart, from an index with a ``term`` column.
+def near(postings: DataFrame, first: int, second: int, within: int) -> DataFrame:
+    """Proximity: (doc, a, b) where two terms of the index, by vid, stand at most ``within`` words apart.
 
     Positions meet by spans of ``within``, never all pairs of a document.
     """
-    a = index.where(F.col("term") == first).select("doc", F.col("pos").alias("a"), F.explode(F.array(*[F.floor(F.col("pos") / within) + k for k in (-1, 0, 1)])).alias("span"))
-    b = index.where(F.col("term") == second).select("doc", F.col("pos").alias("b"), F.floor(F.col("pos") / within).alias("span"))
+    a = postings.where(F.col("vid") == first).select("doc", F.col("pos").alias("a"), F.explode(F.array(*[F.floor(F.col("pos") / within) + k for k in (-1, 0, 1)])).alias("span"))
+    b = postings.where(F.col("vid") == second).select("doc", F.col("pos").alias("b"), F.floor(F.col("pos") / within).alias("span"))
     return a.join(b, ["doc", "span"]).where((F.abs(F.col("a") - F.col("b")) <= within) & (F.col("a") != F.col("b"))).select("doc", "a", "b")

@@ -1,0 +1 @@
+"""Streams: screening has none; the stages are batch plans over tables."""

@@ -11,6 +11,7 @@ from ..config import Config
 from ..functions import measures as M
 from ..functions import owners as O
 from ..kernel import functions as K
+from ..operators.lineage import cut
 from ..operators.spatial import grid_join, with_box
 from .encumbrance import clipped, line_buffers
 
@@ -35,10 +36,10 @@ def frontage(targets: DataFrame, parcels: DataFrame, roads: DataFrame, hostile:
     """(subjects, pieces): contact length of each parcel near a road, and its road-facing pieces with their class."""
     a, ft = cfg.access, M.FOOT_M
     search, contact, gap = a.frontage_search_ft * ft, a.contact_tolerance_ft * ft, a.open_gap_ft * ft
-    near = grid_join(targets.select("account_id", "geom", "box"), roads, 1000.0, within=search).select("l.account_id", F.col("l.geom").alias("geom"), F.col("r.way_id").alias("way_id"), F.col("r.authority").alias("authority"), F.col("r.geom").alias("way_geom"))
+    near = cut(grid_join(targets.select("account_id", "geom", "box"), roads, 1000.0, within=search).select("l.account_id", F.col("l.geom").alias("geom"), F.col("r.way_id").alias("way_id"), F.col("r.authority").alias("authority"), F.col("r.geom").alias("way_geom")))
     subjects = near.groupBy("account_id").agg(F.first("geom").alias("geom"), K.union_all(F.collect_list("way_geom")).alias("way")).withColumn("f", K.frontage("geom", "way", search, a.frontage_sample_ft * ft, contact))
-    pieces = subjects.select("account_id", F.explode("f.pieces").alias("p")).select("account_id", "p.*")
-
+    subjects = cut(subjects.select("account_id", "geom", "f"))
+    pieces = cut(subjects.select("account_id", F.explode("f.pieces").alias("p")).select("account_id", "p.*"))
     inside = pieces.join(hostile, "account_id").where(K.intersects(F.col("geom"), F.col("inside"))).groupBy("account_id", "seq").agg(F.min_by("name", "ord").alias("inside_constraint"))
     owner = pieces.join(near.select("account_id", "way_id", "authority", "way_geom"), "account_id").groupBy("account_id", "seq").agg(F.min_by("authority", F.struct(K.distance(F.col("way"), F.col("way_geom")), F.col("way_id"))).alias("authority"))
     probes = with_box(pieces.where(F.col("probe").isNotNull()).select("account_id", "seq", "distance", "way", F.col("probe").alias("geom")))
@@ -119,13 +120,13 @@ def stage4(parcels: DataFrame, targets: DataFrame, roads: DataFrame, hostile: Da
     a = cfg.access
     public = roads.where("public")
     subjects, pieces = frontage(targets, parcels, public, hostile, cfg)
-    pieces = pieces.persist()
+    subjects, pieces = cut(subjects.select("account_id", "contact_m")), cut(pieces)
     entries = pieces.where("is_entry").select("account_id", "inside")
     sliver = a.sliver_acres * M.ACRE_M2
-    parts = components(targets, "usable", entries, sliver)
+    parts = cut(components(targets, "usable", entries, sliver))
     over = components(targets, "traversable", entries, sliver).where("reached").join(targets.select("account_id", "usable"), "account_id").withColumn("u", K.overlap_area("usable", "geom"))
     over = over.groupBy("account_id").agg(F.sum("u").alias("x_total"), F.max("u").alias("x_largest"))
-    strip_rows = strips(targets, parcels, public, pieces, cfg)
+    strip_rows = cut(strips(targets, parcels, public, pieces, cfg))
     strip_by = strip_rows.groupBy("account_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("strip_account_id", *[c for c in JSON_STRIP if c != "strip_account_id"])))).alias("reserve_strips_json"), F.bool_or(~F.col("same_owner")).alias("reserve_strip_detected"))
     df = targets
     for one in (subjects, classed(pieces), blocking(pieces, parcels), strip_by, reach(parts), over):

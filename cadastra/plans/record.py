@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..operators import slope as S
+from ..operators.lineage import cut
 from . import access, base, encumbrance, usable
 
 # The leading columns of the record, in order.
@@ -61,11 +62,11 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
     if 4 in stages and 3 not in stages:
         raise ValueError("stage 4 needs stage 3")
     spark: SparkSession = inputs.parcels.sparkSession
-    out = {"stage1": base.stage1(inputs.parcels, inputs.study, inputs.zoning, cfg).persist()}
+    out = {"stage1": cut(base.stage1(inputs.parcels, inputs.study, inputs.zoning, cfg))}
     scored = out["stage1"].where(F.lit(True) if cfg.process_all else F.col("stage1_pass"))
     if 2 in stages:
         features = encumbrance.all_layers(inputs.constraints, cfg, inputs.study, spark)
-        enc = encumbrance.encumbrances(scored, features, cfg).persist()
+        enc = cut(encumbrance.encumbrances(scored, features, cfg))
         scored = encumbrance.rolled_up(scored, enc, cfg)
         out["encumbrances"] = enc
     if 3 in stages:
@@ -76,11 +77,11 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
                 cells, grid = S.resampled(cells, factor), S.Grid(grid.x0, grid.y1, grid.dx * factor, grid.dy * factor)
             steep = S.steep_boxes(S.slope_percent(cells, grid, cfg.slope.dem_vertical_unit_to_m), grid, cfg.slope_max_pct)
         ground = None if steep is None else usable.steep_parts(scored, steep)
-        hostile = encumbrance.hostile(enc, ground, cfg).persist()
-        scored = usable.stage3(scored, enc, hostile, cfg, steep is not None).persist()
+        hostile = cut(encumbrance.hostile(enc, ground, cfg))
+        scored = cut(usable.stage3(scored, enc, hostile, cfg, steep is not None))
         out["usable"] = scored.select("account_id", "usable_acres", F.col("usable").alias("geom"))
     if 4 in stages:
-        roads = access.ways(inputs.rows, cfg, inputs.study, spark).persist()
+        roads = cut(access.ways(inputs.rows, cfg, inputs.study, spark))
         four = access.stage4(out["stage1"], scored, roads, hostile, cfg)
         scored = four.pop("parcels")
         out |= four

@@ -2,8 +2,8 @@
 
 Links are equal texts. A document belongs to an atom, its group and one of ``ATOMS`` hash buckets, and an atom moves as
 a whole; so a group that holds a third of all rows is still many small movers, and no task ever holds a group. Each
-round joins the atoms with their group's best shard, sums what wants to move by shard and lot, and lets lots in while
-the shard's quota lasts (a table of shards times lots, of fixed size, is all that reaches the driver). At the end
+round joins the atoms with their group's best shard, sums what wants to move by shards and lot, and lets lots in while
+the shard's quota lasts (a table of shards times shards times lots, of fixed size, is all that reaches the driver). At the end
 documents, unlinked ones first, move from shards over their quota to shards below it, so that counts are at most one
 apart; ranks inside a shard are made from counts of hash buckets, so no task holds a shard.
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import Cut
 
-ATOMS, LOTS, BUCKETS = 256, 512, 64
+ATOMS, LOTS, BUCKETS = 256, 64, 64
 
 
 def equal_text_links(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,17 +44,27 @@ def propagate(atoms: DataFrame, shards: int, quota: int, rounds: int = 8) -> Dat
         own = cells.select("g", "s", F.col("n").alias("cn"))
         wants = wants.join(own, ["g", "s"]).withColumn("go", F.col("t").isNotNull() & (F.col("t") != F.col("s")) & ((F.col("cn") < F.col("bn")) | ((F.col("cn") == F.col("bn")) & (F.col("s") > F.col("t"))))).withColumn("lot", lot)
         wants = Cut(wants.select("g", "a", "n", "s", "t", "go", "lot"))
-        asked = wants.df.where("go").groupBy("t", "lot").agg(F.sum("n").alias("n")).collect()
-        let = []
-        for r in sorted(asked, key=lambda r: (r["t"], r["lot"])):
-            if r["n"] <= free[r["t"]]:
-                free[r["t"]] -= r["n"]
-                let.append(r["t"] * LOTS + r["lot"])
+        # every lot that leaves makes room for others: granted over and over until none fits
+        asked = [tuple(r) for r in wants.df.where("go").groupBy("s", "t", "lot").agg(F.sum("n").alias("n")).collect()]
+        asked.sort(key=lambda r: (r[2], r[1], r[0]))
+        let, fits = [], True
+        while fits:
+            fits, left = False, []
+            for move in asked:
+                s, t, lot, n = move
+                if n <= free[t]:
+                    free[t], free[s], fits = free[t] - n, free[s] + n, True
+                    let.append((s * shards + t) * LOTS + lot)
+                else:
+                    left.append(move)
+            asked = left
         if not let:
             wants.drop()
             break
-        goes = F.col("go") & (F.col("t") * LOTS + F.col("lot")).isin(let)
-        new = Cut(wants.df.select("g", "a", "n", F.when(goes, F.col("t")).otherwise(F.col("s")).alias("s")))
+        granted = wants.df.sparkSession.createDataFrame([(x,) for x in let], "move int")  # shards x shards x lots rows at most
+        moved = wants.df.withColumn("move", F.when(F.col("go"), (F.col("s") * shards + F.col("t")) * LOTS + F.col("lot"))).join(F.broadcast(granted.withColumn("ok", F.lit(True))), "move", "left")
+        goes = F.coalesce("ok", F.lit(False))
+        new = Cut(moved.select("g", "a", "n", F.when(goes, F.col("t")).otherwise(F.col("s")).alias("s")))
         wants.drop()
         state.drop()
         state = new

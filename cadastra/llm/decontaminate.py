@@ -48,7 +48,7 @@ def sized(df: DataFrame, limit: int = SMALL) -> DataFrame:
 
 def windows(bench: DataFrame, size: int = WINDOW, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(row, item, at, len, phrase, hs): every window with its words under the A-Z fold and their hashes under the wide one."""
-    items = bench.select(F.xxhash64(F.col(item_col), F.col(text_col)).alias("row"), F.col(item_col).cast("string").alias("item"), words(text_col).alias("w"), terms(text_col).alias("h")).where(F.size("w") > 0)
+    items = bench.select(F.xxhash64(F.col(item_col), F.col(text_col)).alias("row"), F.col(item_col).cast("string").alias("item"), words(text_col).alias("w"), terms(text_col).alias("h")).where(F.size("w") > 0).dropDuplicates(["row", "item"])
     n = F.size("w")
     starts = items.withColumn("len", F.least(n, F.lit(size))).withColumn("at", F.explode(F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))))
     cut = lambda c: F.slice(c, F.col("at") + 1, F.col("len"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
+from .common import cut
 
 SPAN = 1024
 
@@ -31,7 +32,8 @@ def histogram(counted: DataFrame) -> DataFrame:
 
     The suffix sums take two levels, so no task sees all lengths: totals of spans of lengths, then sums inside a span.
     """
-    counts = counted.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("span", F.floor(F.col("n_tokens") / SPAN))
+    # written once: both levels read it, and the corpus is encoded a single time
+    counts = cut(counted.groupBy("n_tokens").agg(F.count("*").alias("n_docs")).withColumn("span", F.floor(F.col("n_tokens") / SPAN)))
     spans = counts.groupBy("span").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     over = Window.orderBy(F.desc("span")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

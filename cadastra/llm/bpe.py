@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 # Fixed value: the public pattern that byte-level BPE of this kind splits text with.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK = 1 << 16
-CACHE = 400_000
+CACHE = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -269,7 +269,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches):
         enc = encoder(path)
         for b in batches:
-            got = [digest(enc, t) for t in b.column("t").to_pylist()]
+            got = [digest(enc, t.as_py()) for t in b.column("t")]
             yield pa.RecordBatch.from_arrays([b.column("i"), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.string()), pa.array([g[2] for g in got], pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, width: int = 3, n_words: int = 1, id_col: str
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t, width, n_words).astype(">u8").tobytes() for t in b.column("t").to_pylist()]
+            fps = [fingerprint(t.as_py(), width, n_words).astype(">u8").tobytes() for t in b.column("t")]
             yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(fps, pa.binary())], [id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()

@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine of headers (lines) and licence files (whole texts) to templates, then inheritance.
 
-Document frequencies of the templates' words are counted over the whole corpus; every other word has the weight of a
-word never seen. A line at ``HEADER`` or more gives its document that licence; a text at ``FILE`` or more as a whole is
+Document frequencies of all words are counted over the whole corpus. Those of common words, whose number is bounded, go
+to the scanning tasks; rare words that bear on a decision get theirs by a join. A line at ``HEADER`` or more gives its document that licence; a text at ``FILE`` or more as a whole is
 a licence file, and gives it to its directory. A document without a licence of its own takes that of the nearest
 ancestor directory with a file, by a join on paths.
 
@@ -13,13 +13,16 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Cut, cut
 
 # Licence notices, as their authors ask for them to be given.
 TEMPLATES = (
@@ -44,82 +47,164 @@ TEMPLATES = (
 )
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*(?:-(?:sa|nc|nd)\b)?")
 HEADER, FILE = 0.75, 0.6
+#: Words in more than this share of the documents are common.
+SHARE = 0.001
 
 
 def tokens(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def word_hash(word: str) -> int:
+    return int.from_bytes(xxhash.xxh64_digest(word.encode("utf-8", "replace")), "big", signed=True)
+
+
 class Scanner:
-    """Template vectors under given document frequencies, by word."""
+    """Template vectors under given document frequencies, by word; ``common`` has further ones by the word's hash. Any other word stands in at most ``rare`` documents."""
 
-    def __init__(self, df: dict[str, int], total: int, templates=TEMPLATES):
+    def __init__(self, df: dict[str, int], total: int, templates=TEMPLATES, common: dict[int, int] | None = None, rare: float = 0):
         self.templates = templates
         idf = lambda n: math.log((1 + total) / (1 + n)) + 1
         self.unseen = idf(0)
-        self.idf = {w: idf(df.get(w, 0)) for _, t in templates for w in tokens(t)}
+        # the square of a rare word's weight lies between these
+        self.low, self.high = idf(rare) ** 2, idf(min(rare, 1)) ** 2
+        self.idf = {w: idf(n) for w, n in df.items()}
+        self.common = {h: idf(n) for h, n in (common or {}).items()}
         self.postings = defaultdict(list)
         for k, (_, t) in enumerate(templates):
-            v = {w: n * self.idf[w] for w, n in Counter(tokens(t)).items()}
+            counts = Counter(tokens(t))
+            for w in counts:
+                self.idf.setdefault(w, self.unseen)
+            v = {w: n * self.idf[w] for w, n in counts.items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
             for w, x in v.items():
                 self.postings[w].append((k, x / norm))
 
-    def cosine(self, counts: Counter, least: float = 0.0) -> tuple[float, int]:
-        """(best cosine, its template's number or -1). The known words carry the whole dot product, so by their share of the norm most texts are ruled out first."""
-        known, norm, idf, unseen = 0.0, 0.0, self.idf, self.unseen
-        for w, n in counts.items():
-            if w in idf:
-                known += (n * idf[w]) ** 2
-            else:
-                norm += (n * unseen) ** 2
-        norm += known
-        if not known or known < least * least * norm:
-            return 0.0, -1
-        dots = defaultdict(float)
+    def parts(self, counts: Counter, least: float = 0.0) -> tuple[float, int, float, list[tuple[int, int]]]:
+        """(greatest dot product, its template's number or -1, squared norm of the words whose weight is known, hashes and counts of the others); -1 also if ``least`` is out of reach, as every word weighs 1 at least."""
+        norm, idf, dots, others = 0.0, self.idf, defaultdict(float), []
         for w, n in counts.items():
+            if (x := idf.get(w)) is None:
+                others.append((w, n))
+                continue
+            norm += (n * x) ** 2
             for k, y in self.postings.get(w, ()):
-                dots[k] += n * idf[w] * y
-        k = min(dots, key=lambda k: (-dots[k], k))
-        return dots[k] / math.sqrt(norm), k
+                dots[k] += n * x * y
+        k = min(dots, key=lambda k: (-dots[k], k)) if dots else -1
+        if k < 0 or dots[k] < least * math.sqrt(norm + sum(n * n for _, n in others)) * (1 - 1e-12):
+            return 0.0, -1, norm, []
+        rest = []
+        for w, n in others:
+            if (x := self.common.get(h := word_hash(w))) is None:
+                rest.append((h, n))
+            else:
+                norm += (n * x) ** 2
+        return dots[k], k, norm, rest
+
+    def cosine(self, counts: Counter) -> tuple[float, int]:
+        """(best cosine, its template's number or -1); a word without a weight counts as never seen."""
+        dot, k, norm, rest = self.parts(counts)
+        return (dot / math.sqrt(norm + sum((n * self.unseen) ** 2 for _, n in rest)), k) if k >= 0 else (0.0, -1)
 
-    def scan(self, text: str | None) -> tuple[str | None, float, str | None, float]:
-        """(licence of the best line, its score, licence of the text as a file, its score); below the thresholds none."""
-        whole, head = Counter(), (0.0, -1)
+    def units(self, text: str | None) -> list[tuple[int, float, int, float, list[tuple[int, int]]]]:
+        """(0 for a line or 1 for the whole text, *parts) of what can be the best line or file at its threshold, whatever its rare words weigh."""
+        whole, found = Counter(), ([], [])
         for line in (text or "").split("\n"):
             counts = Counter(tokens(line))
             whole.update(counts)
-            head = max(head, self.cosine(counts, HEADER), key=lambda x: (x[0], -x[1]))
-        file = self.cosine(whole, FILE)
-        name = lambda x, least: self.templates[x[1]][0] if x[1] >= 0 and x[0] >= least else None
-        return name(head, HEADER), head[0], name(file, FILE), file[0]
-
-
-def frequencies(docs: DataFrame, text_col: str = "text", templates=TEMPLATES) -> tuple[dict[str, int], int]:
-    """Documents with each word of the templates, over all documents; and the number of documents."""
-    vocabulary = {w for _, t in templates for w in tokens(t)}
+            found[0].append(self.parts(counts, HEADER))
+        found[1].append(self.parts(whole, FILE))
+        out = []
+        for kind, least in enumerate((HEADER, FILE)):
+            spans = []
+            for p in found[kind]:
+                squares = sum(n * n for _, n in p[3])
+                if p[1] >= 0 and p[0] >= least * math.sqrt(p[2] + squares * self.low) * (1 - 1e-12):
+                    spans.append((p[0] / math.sqrt(p[2] + squares * self.low), p[0] / math.sqrt(p[2] + squares * self.high), p))
+            best = max((s[1] for s in spans), default=0) * (1 - 1e-12)
+            out += [(kind, *p[:3], list(p[3])) for p in sorted({(*p[:3], tuple(p[3])) for high, _, p in spans if high >= best})]
+        return out
+
+
+def frequencies(docs: DataFrame, text_col: str = "text", hold: int = 200_000) -> tuple[Cut, int]:
+    """(h, n), documents with each word by its 64-bit hash, of all words over all documents; and the number of documents.
+
+    Words are counted in tasks first, ``hold`` at a time, and go in sorted blocks, by a share of the hashes, to where blocks are merged.
+    """
+    shares = max(64, 8 * docs.rdd.getNumPartitions())
+    item = np.dtype([("h", "<i8"), ("n", "<i8")])
+
+    def blocks(found: Counter) -> pa.RecordBatch:
+        x = np.fromiter(((word_hash(w), n) for w, n in found.items()), item, len(found))
+        share = x["h"] % shares
+        x, share = x[order := np.argsort(share, kind="stable")], share[order]
+        at = np.flatnonzero(np.diff(share, prepend=-1))
+        return pa.RecordBatch.from_arrays([pa.array(share[at]), pa.array([part.tobytes() for part in np.split(x, at[1:])], pa.binary())], ["share", "block"])
 
     def run(batches):
+        found = Counter()
+        total = 0
         for b in batches:
-            found = Counter({"": len(b)})
-            for t in b.column("t").to_pylist():
-                found.update(vocabulary.intersection(tokens(t or "")))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["w", "n"])
-
-    got = {r["w"]: r["n"] for r in docs.select(F.col(text_col).alias("t")).mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
-    return got, got.get("", 0)
-
-
-def scan(docs: DataFrame, scanner: Scanner, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(id, path, header, header_score, file, file_score) of every document."""
+            total += len(b)
+            for t in b.column("t"):
+                found.update(set(tokens(t.as_py() or "")))
+                if len(found) >= hold:
+                    yield blocks(found)
+                    found = Counter()
+        if found:
+            yield blocks(found)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([np.array([(0, total)], item).tobytes()], pa.binary())], ["share", "block"])
+
+    def merge(group: pa.Table) -> pa.Table:
+        x = np.frombuffer(b"".join(group.column("block").to_pylist()), item)
+        h, place = np.unique(x["h"], return_inverse=True)
+        n = np.zeros(len(h), np.int64)
+        np.add.at(n, place, x["n"])
+        return pa.table({"share": pa.array(np.full(len(h), group.column("share")[0].as_py(), np.int64)), "h": pa.array(h), "n": pa.array(n)})
+
+    counts = Cut(docs.select(F.col(text_col).alias("t")).mapInArrow(run, "share long, block binary").groupBy("share").applyInArrow(merge, "share long, h long, n long"))
+    total = counts.df.where("share = -1").agg(F.sum("n").alias("n")).first()["n"] or 0
+    counts.df = counts.df.where("share >= 0").select("h", "n")
+    return counts, total
+
+
+def weights(counts: DataFrame, total: int, templates=TEMPLATES, share: float = SHARE) -> tuple[dict[str, int], dict[int, int]]:
+    """Frequencies of the templates' words; and, by hash, of those in more than ``share`` of the documents, at most a document's mean number of distinct words over ``share``."""
+    words = {word_hash(w): w for _, t in templates for w in tokens(t)}
+    vocabulary = counts.sparkSession.createDataFrame(sorted((h,) for h in words), "h long")
+    df = {words[r["h"]]: r["n"] for r in counts.join(F.broadcast(vocabulary), "h").collect()}
+    return df, {r["h"]: r["n"] for r in counts.where(F.col("n") > share * total).collect()}
+
+
+def scan(docs: DataFrame, scanner: Scanner, counts: DataFrame, total: int, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
+    """(id, path, header, header_score, file, file_score) of every document; a score below its threshold is given as 0.
+
+    Weights of rare words come by a join: only of lines and texts that can reach their threshold.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    unit = "struct<kind:int,dot:double,k:int,norm:double,rest:array<struct<h:long,c:long>>>"
+    form = pa.list_(pa.struct([("kind", pa.int32()), ("dot", pa.float64()), ("k", pa.int32()), ("norm", pa.float64()), ("rest", pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())])))]))
 
     def run(batches):
         for b in batches:
-            got = [scanner.scan(t) for t in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("i"), b.column("p"), *(pa.array([g[k] for g in got], pa.string() if k % 2 == 0 else pa.float64()) for k in range(4))], [id_col, "path", "header", "header_score", "file", "file_score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("i"), F.col(path_col).alias("p"), F.col(text_col).alias("t")).mapInArrow(run, f"`{id_col}` {kind}, path string, header string, header_score double, file string, file_score double")
+            batch = uuid.uuid4().bytes
+            rows = [batch + k.to_bytes(4, "big") for k in range(len(b))]
+            units = [[{"kind": u[0], "dot": u[1], "k": u[2], "norm": u[3], "rest": [{"h": h, "c": c} for h, c in u[4]]} for u in scanner.units(t.as_py())] or None for t in b.column("t")]
+            yield pa.RecordBatch.from_arrays([b.column("i"), b.column("p"), pa.array(rows, pa.binary()), pa.array(units, form)], [id_col, "path", "row", "units"])
+
+    seen = Cut(docs.select(F.col(id_col).alias("i"), F.col(path_col).alias("p"), F.col(text_col).alias("t")).mapInArrow(run, f"`{id_col}` {kind}, path string, row binary, units array<{unit}>")).df
+    units = seen.where(F.col("units").isNotNull()).select("row", F.posexplode("units").alias("at", "u"))
+    words = units.select("row", "at", F.explode("u.rest").alias("x")).select("row", "at", "x.h", "x.c")
+    weight = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1
+    rest = words.join(counts, "h").groupBy("row", "at").agg(F.sum((F.col("c") * weight) ** 2).alias("more"))
+    score = F.col("u.dot") / F.sqrt(F.col("u.norm") + F.coalesce("more", F.lit(0.0)))
+    scored = units.join(rest, ["row", "at"], "left").select("row", "u.kind", "u.k", score.alias("score"))
+    reached = scored.where(F.col("score") >= F.when(F.col("kind") == 0, HEADER).otherwise(FILE))
+    best = lambda k: F.max(F.when(F.col("kind") == k, F.struct("score", (-F.col("k")).alias("k"))))
+    per_row = reached.groupBy("row").agg(best(0).alias("h"), best(1).alias("f"))
+    names = F.array(*[F.lit(name) for name, _ in scanner.templates])
+    name = lambda c: F.when(F.col(c).isNotNull(), names[-F.col(f"{c}.k")])
+    return seen.join(per_row, "row", "left").select(id_col, "path", name("h").alias("header"), F.coalesce("h.score", F.lit(0.0)).alias("header_score"), name("f").alias("file"), F.coalesce("f.score", F.lit(0.0)).alias("file_score"))
 
 
 def inherit(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -138,6 +223,8 @@ def inherit(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return rows.select(id_col, "path", "header", F.round("header_score", 6).alias("header_score"), "file", F.round("file_score", 6).alias("file_score"), F.coalesce(own_license, F.col("up.dir_license")).alias("license"), basis.alias("basis"), F.when(own_license.isNull(), F.col("up.dir")).alias("inherited_from"))
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
-    df, total = frequencies(docs, text_col)
-    return inherit(cut(scan(docs, Scanner(df, total), id_col, path_col, text_col)), id_col)
+def license_scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", share: float = SHARE) -> DataFrame:
+    counts, total = frequencies(docs, text_col)
+    df, common = weights(counts.df, total, share=share)
+    scanner = Scanner(df, total, common=common, rare=share * total)
+    return inherit(cut(scan(docs, scanner, counts.df, total, id_col, path_col, text_col)), id_col)

@@ -457,6 +457,25 @@ def test_license_cosine_equals_dense():
         assert s.cosine(licenses.Counter(licenses.tokens(text)))[0] == pytest.approx(max(want))
 
 
+@pytest.mark.parametrize("share", [0.001, 0.3])
+def test_license_words_have_their_own_weight(spark, share):
+    """Everyday words on a licence line weigh little, whether they are shipped (0.001 of 2000 documents) or joined (below 0.3)."""
+    rnd = random.Random(1)
+    everyday = "our project website code this is the and".split()
+    rows = [(i, f"s/{i}/x", " ".join([*rnd.sample(everyday, 4), f"w{i}"])) for i in range(1990)]
+    rows += [(5000, "s/a/x", "Our project is released under the MIT License."), (5000, "s/b/x", "This website code is licensed under the Apache License, Version 2.0."), (None, "s/c/x", "Our project w1 w2 w3 w4 w5 w6 MIT License.")]
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["path"]: r for r in licenses.license_scan(frame, share=share).collect()}
+    assert len(got) == len(rows) and got["s/a/x"]["header"] == "MIT" and got["s/b/x"]["header"] == "Apache-2.0" and got["s/c/x"]["header"] is None
+    df = {}
+    for _, _, t in rows:
+        for w in set(licenses.tokens(t)):
+            df[w] = df.get(w, 0) + 1
+    full = licenses.Scanner(df, len(rows))
+    for path, text in ((r[1], r[2]) for r in rows[-3:-1]):
+        assert got[path]["header_score"] == pytest.approx(full.cosine(licenses.Counter(licenses.tokens(text)))[0], abs=1e-6)
+
+
 # ---- 10 ---------------------------------------------------------------------
 def test_line_dedup(spark, empty):
     rows = [(i, f"body {i}\n Cookie notice \n\nshared {i % 3}\nshared {i % 3}", "en", "h1", 30) for i in range(30)]

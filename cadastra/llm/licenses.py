@@ -1,7 +1,8 @@
-"""License scans: sparse TF-IDF cosine of headers (lines) and licence files (whole texts) to templates, then inheritance.
+"""License scans: sparse TF-IDF cosine of headers (runs of lines) and licence files (whole texts) to templates, then inheritance.
 
 Document frequencies of all words are counted over the whole corpus. Those of common words, whose number is bounded, go
-to the scanning tasks; rare words that bear on a decision get theirs by a join. A line at ``HEADER`` or more gives its document that licence; a text at ``FILE`` or more as a whole is
+to the scanning tasks; rare words that bear on a decision get theirs by a join. A run of lines, of up to the longest notice's length, at ``HEADER`` or more to a notice gives its
+document that licence; a text at ``FILE`` or more as a whole to a notice or a licence's whole text is
 a licence file, and gives it to its directory. A document without a licence of its own takes that of the nearest
 ancestor directory with a file, by a join on paths.
 
@@ -15,6 +16,7 @@ import math
 import re
 import uuid
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,10 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
 WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*(?:-(?:sa|nc|nd)\b)?")
+#: Whole licence files, named after their licence.
+TEXTS = tuple((p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
+# The AGPL's text differs from the GPL's by its name and one section; a stand-in made from the GPL's keeps the two apart.
+TEXTS += tuple(("AGPL-3.0", re.sub("(?i)gnu general public", "GNU Affero General Public", t)) for n, t in TEXTS if n == "GPL-3.0")
 HEADER, FILE = 0.75, 0.6
 #: Words in more than this share of the documents are common.
 SHARE = 0.001
@@ -62,33 +68,38 @@ def word_hash(word: str) -> int:
 class Scanner:
     """Template vectors under given document frequencies, by word; ``common`` has further ones by the word's hash. Any other word stands in at most ``rare`` documents."""
 
-    def __init__(self, df: dict[str, int], total: int, templates=TEMPLATES, common: dict[int, int] | None = None, rare: float = 0):
-        self.templates = templates
+    def __init__(self, df: dict[str, int], total: int, templates=TEMPLATES, common: dict[int, int] | None = None, rare: float = 0, texts=TEXTS):
+        self.templates = (*templates, *texts)
+        self.longest = max((len(tokens(t)) for _, t in templates), default=0)
         idf = lambda n: math.log((1 + total) / (1 + n)) + 1
         self.unseen = idf(0)
         # the square of a rare word's weight lies between these
         self.low, self.high = idf(rare) ** 2, idf(min(rare, 1)) ** 2
         self.idf = {w: idf(n) for w, n in df.items()}
         self.common = {h: idf(n) for h, n in (common or {}).items()}
-        self.postings = defaultdict(list)
-        for k, (_, t) in enumerate(templates):
+        # by word, of the headers' templates and of all
+        self.postings, self.of_all = defaultdict(list), defaultdict(list)
+        for k, (_, t) in enumerate(self.templates):
             counts = Counter(tokens(t))
             for w in counts:
                 self.idf.setdefault(w, self.unseen)
             v = {w: n * self.idf[w] for w, n in counts.items()}
             norm = math.sqrt(sum(x * x for x in v.values()))
             for w, x in v.items():
-                self.postings[w].append((k, x / norm))
+                self.of_all[w].append((k, x / norm))
+                if k < len(templates):
+                    self.postings[w].append((k, x / norm))
 
-    def parts(self, counts: Counter, least: float = 0.0) -> tuple[float, int, float, list[tuple[int, int]]]:
+    def parts(self, counts: Counter, least: float = 0.0, files: bool = False) -> tuple[float, int, float, list[tuple[int, int]]]:
         """(greatest dot product, its template's number or -1, squared norm of the words whose weight is known, hashes and counts of the others); -1 also if ``least`` is out of reach, as every word weighs 1 at least."""
         norm, idf, dots, others = 0.0, self.idf, defaultdict(float), []
+        postings = self.of_all if files else self.postings
         for w, n in counts.items():
             if (x := idf.get(w)) is None:
                 others.append((w, n))
                 continue
             norm += (n * x) ** 2
-            for k, y in self.postings.get(w, ()):
+            for k, y in postings.get(w, ()):
                 dots[k] += n * x * y
         k = min(dots, key=lambda k: (-dots[k], k)) if dots else -1
         if k < 0 or dots[k] < least * math.sqrt(norm + sum(n * n for _, n in others)) * (1 - 1e-12):
@@ -106,14 +117,40 @@ class Scanner:
         dot, k, norm, rest = self.parts(counts)
         return (dot / math.sqrt(norm + sum((n * self.unseen) ** 2 for _, n in rest)), k) if k >= 0 else (0.0, -1)
 
+    def windows(self, lines: list[Counter], whole: Counter):
+        """Word counts of the runs of lines that can be a header: the first line with as many more as reach the longest template's length.
+
+        A cosine is at most the root of the squared weights of a template's words that are there, so most texts have none.
+        Lines with no word of a template within reach neither begin nor end a run, as they only make it longer.
+        """
+        there = defaultdict(float)
+        for w in whole:
+            for k, y in self.postings.get(w, ()):
+                there[k] += y * y
+        near = {k for k, x in there.items() if x >= HEADER * HEADER * (1 - 1e-12)}
+        if not near:
+            return
+        use = {w for w in whole if any(k in near for k, _ in self.postings.get(w, ()))}
+        bears, sizes = [not use.isdisjoint(c) for c in lines], [c.total() for c in lines]
+        for i in range(len(lines)):
+            if not bears[i]:
+                continue
+            run, size = Counter(), 0
+            for j in range(i, len(lines)):
+                if j > i and size >= self.longest:
+                    break
+                run.update(lines[j])
+                size += sizes[j]
+                if bears[j]:
+                    yield run
+
     def units(self, text: str | None) -> list[tuple[int, float, int, float, list[tuple[int, int]]]]:
-        """(0 for a line or 1 for the whole text, *parts) of what can be the best line or file at its threshold, whatever its rare words weigh."""
-        whole, found = Counter(), ([], [])
-        for line in (text or "").split("\n"):
-            counts = Counter(tokens(line))
-            whole.update(counts)
-            found[0].append(self.parts(counts, HEADER))
-        found[1].append(self.parts(whole, FILE))
+        """(0 for a run of lines or 1 for the whole text, *parts) of what can be the best header or file at its threshold, whatever its rare words weigh."""
+        lines = [c for line in (text or "").split("\n") if (c := Counter(tokens(line)))]
+        whole = Counter()
+        for c in lines:
+            whole.update(c)
+        found = ([self.parts(c, HEADER) for c in self.windows(lines, whole)], [self.parts(whole, FILE, True)])
         out = []
         for kind, least in enumerate((HEADER, FILE)):
             spans = []
@@ -168,7 +205,7 @@ def frequencies(docs: DataFrame, text_col: str = "text", hold: int = 200_000) ->
     return counts, total
 
 
-def weights(counts: DataFrame, total: int, templates=TEMPLATES, share: float = SHARE) -> tuple[dict[str, int], dict[int, int]]:
+def weights(counts: DataFrame, total: int, templates=(*TEMPLATES, *TEXTS), share: float = SHARE) -> tuple[dict[str, int], dict[int, int]]:
     """Frequencies of the templates' words; and, by hash, of those in more than ``share`` of the documents, at most a document's mean number of distinct words over ``share``."""
     words = {word_hash(w): w for _, t in templates for w in tokens(t)}
     vocabulary = counts.sparkSession.createDataFrame(sorted((h,) for h in words), "h long")
@@ -179,7 +216,7 @@ def weights(counts: DataFrame, total: int, templates=TEMPLATES, share: float = S
 def scan(docs: DataFrame, scanner: Scanner, counts: DataFrame, total: int, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(id, path, header, header_score, file, file_score) of every document; a score below its threshold is given as 0.
 
-    Weights of rare words come by a join: only of lines and texts that can reach their threshold.
+    Weights of rare words come by a join: only of runs of lines and texts that can reach their threshold.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     unit = "struct<kind:int,dot:double,k:int,norm:double,rest:array<struct<h:long,c:long>>>"

@@ -476,6 +476,19 @@ def test_license_words_have_their_own_weight(spark, share):
         assert got[path]["header_score"] == pytest.approx(full.cosine(licenses.Counter(licenses.tokens(text)))[0], abs=1e-6)
 
 
+def test_license_wrapped_headers_and_whole_texts(spark):
+    rnd = random.Random(3)
+    page = lambda: "\n".join(" ".join(rnd.choice(["the", "value", "of", "return", "node", "list", "with"]) + rnd.choice(["", "", str(rnd.randrange(99))]) for _ in range(9)) for _ in range(12))
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n"
+    rows = [(i, f"p/{i}/x", page()) for i in range(300)] + [(900, "q/code.py", f"import this\n\n{gpl}\n{page()}")]
+    rows += [(1000 + k, f"l{k}/LICENSE", t) for k, (_, t) in enumerate(licenses.TEXTS)] + [(2000 + k, f"l{k}/sub/a.py", page()) for k in range(len(licenses.TEXTS))]
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    assert got[900]["header"] == "GPL-3.0" and {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0"} <= {n for n, _ in licenses.TEXTS}
+    for k, (name, _) in enumerate(licenses.TEXTS):
+        assert got[1000 + k]["file"] == name and (got[2000 + k]["license"], got[2000 + k]["inherited_from"]) == (name, f"l{k}")
+    assert all(got[i]["basis"] == "none" for i in range(300))
+
+
 # ---- 10 ---------------------------------------------------------------------
 def test_line_dedup(spark, empty):
     rows = [(i, f"body {i}\n Cookie notice \n\nshared {i % 3}\nshared {i % 3}", "en", "h1", 30) for i in range(30)]

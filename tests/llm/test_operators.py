@@ -320,6 +320,25 @@ def test_keep_one(spark):
     assert kept == set(range(60))
 
 
+def test_keep_one_checks_the_jaccard_similarity(spark):
+    """Near texts just below 0.8 stay, those above go."""
+    rnd = random.Random(4)
+    rows = []
+    for k in range(150):
+        a = [f"w{rnd.randrange(10**9)}" for _ in range(400)]
+        b = list(a)
+        for at in rnd.sample(range(2, 398), 3 if k < 20 else 12):
+            b[at] = f"c{rnd.randrange(10**9)}"
+        rows += [(k, " ".join(a)), (1000 + k, " ".join(b))]
+    sim = {k: simhash.jaccard(*(simhash.shingle_set(rows[2 * k + i][1], 5) for i in (0, 1))) for k in range(150)}
+    prints = [simhash.fingerprint(t, 5, 6) for _, t in rows]
+    near = {k for k in sim if int(np.bitwise_count(prints[2 * k] ^ prints[2 * k + 1]).sum()) <= 70}
+    assert any(sim[k] < 0.8 for k in near) and all(sim[k] >= 0.8 for k in range(20))
+    frame = spark.createDataFrame([*rows, (None, None), (7, "")], "doc_id long, text string")
+    kept = {r["doc_id"] for r in simhash.keep_one(frame).collect()}
+    assert kept >= {k for k, _ in rows if k < 1000} and {k for k in sim if 1000 + k not in kept} == {k for k in near if sim[k] >= 0.8}
+
+
 # ---- 6 ----------------------------------------------------------------------
 def test_flac_round_trip(spark, docs, empty):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine), a new temporary folder that is then set."""
+    """The folder in spark.checkpoint.dir; where that is unset in local mode (tests on one machine), a new temporary folder that is then set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -42,5 +45,18 @@ def cut(df: DataFrame) -> DataFrame:
     return Cut(df).df
 
 
+#: A side of a join is broadcast up to this many counted rows.
+SMALL = 200_000
+SALTS = 32
+
+
+def spread_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, by: list[str], how: str = "inner") -> DataFrame:
+    """Joins with a table of ``rows`` counted rows, unique or few by key: by broadcast while it is small, beyond that with a salt made of the columns ``by``, so that the rows of a hot key go to ``SALTS`` tasks. A null key meets nothing."""
+    if rows <= SMALL:
+        return large.join(F.broadcast(small), on, how)
+    salted = large.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
+    return salted.join(small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [*on, "__salt"], how).drop("__salt")
+
+
 def sha256_hex(col) -> "F.Column":
     return F.sha2(F.encode(col, "UTF-8"), 256)

@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from .common import Cut
 
 ATOMS, LOTS, BUCKETS = 256, 64, 64
+#: Rows that a window over a bucket of a shard sorts, about.
+BUCKET_ROWS = 250_000
+#: While groups move, a shard may hold this part of the quota more; the levelling at the end takes it back.
+SLACK = 1 / 16
 
 
 def equal_text_links(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -39,10 +43,10 @@ def propagate(atoms: DataFrame, shards: int, quota: int, rounds: int = 8) -> Dat
         cells = state.df.groupBy("g", "s").agg(F.sum("n").alias("n"))
         total = cells.groupBy("g").agg(F.max(F.when(F.col("s").isin(open_shards), F.struct("n", (-F.col("s")).alias("o")))).alias("best"), F.max("n").alias("most"), F.sum("n").alias("all"))
         wants = state.df.join(total.select("g", (-F.col("best.o")).alias("t"), F.col("best.n").alias("bn"), "most", "all"), "g")
-        # a small group goes as one lot; a large one, atom by atom. What sits in the group's largest full shard stays.
+        # halves of one size meet in the lower shard, or in the one that has room; a small group goes as one lot; a large one, atom by atom. What sits in the group's largest full shard stays.
         lot = F.pmod(F.when(F.col("all") > quota / 64, F.xxhash64("g", "a", F.lit(turn))).otherwise(F.xxhash64("g", F.lit(turn))), F.lit(LOTS)).cast("int")
         own = cells.select("g", "s", F.col("n").alias("cn"))
-        wants = wants.join(own, ["g", "s"]).withColumn("go", F.col("t").isNotNull() & (F.col("t") != F.col("s")) & ((F.col("cn") < F.col("bn")) | ((F.col("cn") == F.col("bn")) & (F.col("s") > F.col("t"))))).withColumn("lot", lot)
+        wants = wants.join(own, ["g", "s"]).withColumn("go", F.col("t").isNotNull() & (F.col("t") != F.col("s")) & ((F.col("cn") < F.col("bn")) | ((F.col("cn") == F.col("bn")) & ((F.col("s") > F.col("t")) | ~F.col("s").isin(open_shards))))).withColumn("lot", lot)
         wants = Cut(wants.select("g", "a", "n", "s", "t", "go", "lot"))
         # every lot that leaves makes room for others: granted over and over until none fits
         asked = [tuple(r) for r in wants.df.where("go").groupBy("s", "t", "lot").agg(F.sum("n").alias("n")).collect()]
@@ -71,7 +75,7 @@ def propagate(atoms: DataFrame, shards: int, quota: int, rounds: int = 8) -> Dat
     return state.df
 
 
-def ranked(rows: DataFrame, order: list, buckets: int = BUCKETS) -> tuple[DataFrame, dict[int, int]]:
+def ranked(rows: DataFrame, order: list) -> tuple[DataFrame, dict[int, int]]:
     """Adds ``rank``, gapless from 0 inside each ``shard``: rows of a bucket are numbered by a window, buckets by their counts."""
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n")).collect()
     before, total = [], {}
@@ -79,22 +83,35 @@ def ranked(rows: DataFrame, order: list, buckets: int = BUCKETS) -> tuple[DataFr
         before.append((r["shard"], r["bucket"], total.get(r["shard"], 0)))
         total[r["shard"]] = total.get(r["shard"], 0) + r["n"]
     spark = rows.sparkSession
-    offsets = spark.createDataFrame(before, "shard int, bucket int, before long")  # shards x buckets rows at most
+    offsets = spark.createDataFrame(before, "shard int, bucket int, before long")  # a row for each bucket, of about ``BUCKET_ROWS`` rows or one in 128 of a shard
     window = Window.partitionBy("shard", "bucket").orderBy(*order)
     return rows.withColumn("in_bucket", F.row_number().over(window) - 1).join(F.broadcast(offsets), ["shard", "bucket"]).withColumn("rank", F.col("before") + F.col("in_bucket")).drop("in_bucket", "before"), total
 
 
+def cut_share(placed: DataFrame) -> float:
+    """The share of links that the shards cut, from ``shard``'s rows: a group of n equal texts counts n - 1 links, and is whole in as many pieces as shards hold it. 0 without links."""
+    cells = placed.where("size > 1").groupBy("size", "text_crc32", "shard").agg(F.count("*").alias("n"))
+    groups = cells.groupBy("size", "text_crc32").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1")
+    got = groups.agg(F.sum(F.col("n") - 1).alias("links"), F.sum(F.col("pieces") - 1).alias("cut")).first()
+    return got["cut"] / got["links"] if got["links"] else 0.0
+
+
 def shard(docs: DataFrame, shards: int = 16, rounds: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, size, text_crc32, law (``rows``: counts at most one apart), shard, slot, grown_shard (null)."""
     base = Cut(equal_text_links(docs, id_col, text_col).withColumn("a", F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(ATOMS)).cast("int"))).df
     n = base.count()
-    linked = base.where(F.col("g").isNotNull()).groupBy("g").agg(F.count("*").alias("c")).where("c > 1").select("g")
-    atoms = base.join(linked, "g", "left_semi").groupBy("g", "a").agg(F.count("*").alias("n")).withColumn("s", (F.col("a") % shards).cast("int"))
-    placed = Cut(propagate(atoms, shards, n // shards, rounds).select("g", "a", F.col("s").alias("to"))).df
+    # rows of a text meet as counts of its atoms, of which there are ``ATOMS`` at most, however many rows it has
+    atoms = Cut(base.where(F.col("g").isNotNull()).groupBy("g", "a").agg(F.count("*").alias("n")))
+    linked = atoms.df.groupBy("g").agg(F.sum("n").alias("c")).where("c > 1").select("g")
+    movers = atoms.df.join(linked, "g", "left_semi").withColumn("s", (F.col("a") % shards).cast("int"))
+    quota = n // shards
+    placed = Cut(propagate(movers, shards, quota + max(1, int(quota * SLACK)), rounds).select("g", "a", F.col("s").alias("to"))).df
+    atoms.drop()
     rows = base.join(placed, ["g", "a"], "left").withColumn("shard", F.coalesce("to", (F.col("a") % shards).cast("int")))
     # buckets of unlinked rows come first: they are the first to move
-    spread = F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(BUCKETS)).cast("int")
-    rows = Cut(rows.select(id_col, "size", "text_crc32", "shard", (spread + F.when(F.col("to").isNull(), 0).otherwise(BUCKETS)).alias("bucket")))
+    buckets = max(BUCKETS, -(-n // (shards * BUCKET_ROWS)))
+    spread = F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(buckets)).cast("int")
+    rows = Cut(rows.select(id_col, "size", "text_crc32", "shard", (spread + F.when(F.col("to").isNull(), 0).otherwise(buckets)).alias("bucket")))
     rows_ranked, total = ranked(rows.df, [F.col(id_col), F.col("text_crc32"), F.col("size")])
     want = {s: n // shards + (k < n % shards) for k, s in enumerate(sorted(range(shards), key=lambda s: (-total.get(s, 0), s)))}
     over = [(s, total.get(s, 0) - want[s]) for s in range(shards) if total.get(s, 0) > want[s]]

@@ -14,6 +14,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ FAMILY_OF = {code: family for family, codes in FAMILY.items() for code in codes.
 WIDTH = 4096
 CHUNK = 1 << 20
 PER_LANGUAGE = 400
-LETTER = re.compile(r"[^\W\d_]")
+#: ``keep_identified`` rejects what scores less: a margin of zero in both steps gives this much, a half times a half.
+LEAST = 0.25
+RUN = re.compile(rb"  +")
 #: ASCII bytes that are not letters become spaces; letters and the bytes of other characters stay.
 BLANKED = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -45,19 +48,21 @@ def family_of(lang: str) -> str:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and LETTER.search(text) is not None
+    """Whether some character is of the category letter; number signs such as Roman numerals aren't."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def profile(text: str) -> np.ndarray:
     """The unit vector of a whole text, gathered in chunks so that memory does not grow with it."""
-    data = text.lower().encode("utf-8", "replace").translate(BLANKED)
+    data = RUN.sub(b" ", text.lower().encode("utf-8", "replace").translate(BLANKED))
     counts, half = np.zeros(WIDTH), WIDTH // 2
     for at in range(0, len(data), CHUNK):
-        x = np.frombuffer(data[max(0, at - 2) : at + CHUNK], np.uint8).astype(np.uint32)
-        if len(x) > 1:
-            x = x[np.concatenate(([True], (x[1:] != 32) | (x[:-1] != 32)))]
+        # a chunk counts the pairs and triples that end in it
+        back = min(2, at)
+        x = np.frombuffer(data[at - back : at + CHUNK], np.uint8).astype(np.uint32)
         pair = x[:-1] * np.uint32(256) + x[1:]
         triple = pair[:-1] * np.uint32(256) + x[2:]
+        pair = pair[max(0, back - 1) :]
         counts[:half] += np.bincount((pair * np.uint32(2654435761)) >> np.uint32(21), minlength=half)
         counts[half:] += np.bincount((triple * np.uint32(2246822519)) >> np.uint32(21), minlength=half)
     out = np.sqrt(counts)
@@ -171,12 +176,16 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return rows.mapInArrow(predict, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.0, text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, whose language is known with a score of at least ``least``."""
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents, all columns, whose language is known with a score of at least ``least``; a missing language is filled in."""
 
     def keep(batches):
         for b in batches:
             langs, scores = model.predict(b.column(text_col).to_pylist())
+            if lang_col in b.schema.names:
+                at = b.schema.get_field_index(lang_col)
+                filled = pc.coalesce(b.column(at), pa.array(langs, b.schema.field(at).type))
+                b = b.set_column(at, b.schema.field(at), filled)
             yield b.filter(pa.array([lang != "und" and s >= least for lang, s in zip(langs, scores, strict=True)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,13 +1,15 @@
 """Byte-level BPE as a streaming transducer with bounded lookahead, and decoding by an incremental byte-to-text machine.
 
-Text is cut into pre-tokens, at whose ends every state is stable. Pre-tokens that fit the lookahead are merged at once:
-the unknown ones of a group of texts (``GROUP`` characters) together, as rows of a matrix, and remembered in a cache of
-bounded size. A longer one streams: for each byte position the transducer keeps the last
+Text is cut into pre-tokens, at whose ends every state is stable. For each byte position the transducer keeps the last
 token of the encoding of everything up to it. That token is unique: it ends there and stands beside its predecessor
 unchanged when the two are merged alone. A later position's predecessor lies at most ``lookahead`` bytes back, the
 longest token that the merge list can make, so what precedes the common ancestor of the last ``lookahead`` positions is
 stable and is emitted; memory holds one window, however long the text is.
 
+It runs in two forms. ``Merges.transduce`` advances the unknown pre-tokens of a group of texts (``GROUP`` characters) side
+by side, a byte of each per step, and a cache of bounded size remembers their ids. A pre-token longer than the lookahead
+goes through ``StreamEncoder``, which emits while it reads.
+
 Defined results: null text is the empty text (no tokens); the tokenizer's special strings become their own ids.
 """
 
@@ -18,6 +20,7 @@ import hashlib
 import heapq
 import json
 import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -26,14 +29,51 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the public pattern that byte-level BPE of this kind splits text with.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: The same for ASCII text, which it splits alike, in classes that the faster standard engine knows.
-ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+# The letters and the numbers that Unicode 16.0, which the tokenizer's classes follow, adds to 15.1.
+LETTERS_16 = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0))
+NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+# Fixed value: white space by Unicode's property.
+SPACES = r"\t-\r \x85\xa0  -     　"
 BLOCK, GROUP = 1 << 16, 1 << 19
 CACHE = 150_000
-#: Words merged together fill at most this many cells of a matrix, or one row.
+#: Words that go together fill at most this many cells of a matrix, or one row.
 CELLS = 1 << 17
+#: Pairs of tokens whose standing together is remembered, in a table of this many places.
+PAIRS = 1 << 20
+
+
+def class_of(kind: str, added: tuple, top: int) -> str:
+    """The code points up to ``top`` of a major category, as the inside of a character class."""
+    if unicodedata.unidata_version[:4] not in ("15.1", "16.0"):
+        raise RuntimeError(f"character classes need Unicode 15.1 or 16.0, not {unicodedata.unidata_version}")
+    inside = np.fromiter((unicodedata.category(chr(c))[0] == kind for c in range(top + 1)), bool, top + 1)
+    for lo, hi in added:
+        inside[lo : hi + 1] = True
+    turns = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+    return "".join(f"\\U{lo:08x}-\\U{hi - 1:08x}" for lo, hi in turns.tolist())
+
+
+def pattern(letters: str, numbers: str, spaces: str) -> str:
+    # Fixed value: the public pattern that byte-level BPE of this kind splits text with.
+    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+
+
+class PreTokens:
+    """Cuts text into pre-tokens: ASCII text, text of the basic plane and all other text by patterns of their own, which cut alike and differ in speed."""
+
+    def __init__(self):
+        self.ascii = re.compile(pattern("A-Za-z", "0-9", r"\t-\r ")).findall
+        self.basic = re.compile(pattern(class_of("L", LETTERS_16, 0xFFFF), class_of("N", NUMBERS_16, 0xFFFF), SPACES)).findall
+        self.beyond, self._any = re.compile("[\U00010000-\U0010ffff]").search, None
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.ascii(text)
+        if not self.beyond(text):
+            return self.basic(text)
+        if self._any is None:
+            self._any = re.compile(pattern(class_of("L", LETTERS_16, 0x10FFFF), class_of("N", NUMBERS_16, 0x10FFFF), SPACES)).findall
+        return self._any(text)
 
 
 def byte_letters() -> dict[str, int]:
@@ -73,6 +113,93 @@ class Merges:
         self.makes_of, self.id_of_byte = np.array(self.makes, np.int32), np.array(self.byte_id, np.int32)
         self.names = np.array([str(i) for i in range(self.blank)], object)
         self.pieces = np.array([self.bytes_of.get(i, b"") for i in range(self.blank)], object)
+        self.size_of = np.array([len(x) for x in self.pieces], np.int32)
+        # a trie of the tokens: sorted (state, byte) numbers, where each leads, and the token that ends in a state or -1
+        edges: dict[int, int] = {}
+        token = [-1]
+        for i in sorted(made):
+            at = 0
+            for byte in self.bytes_of[i]:
+                to = edges.get(at << 8 | byte)
+                if to is None:
+                    to = edges[at << 8 | byte] = len(token)
+                    token.append(-1)
+                at = to
+            token[at] = i
+        steps, leads = np.fromiter(edges, np.int64, len(edges)), np.fromiter(edges.values(), np.int32, len(edges))
+        order = np.argsort(steps)
+        self.steps, self.leads, self.token = steps[order], leads[order], np.array(token, np.int32)
+        self.pair_key, self.pair_ok = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
+
+    def follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether each ``b`` may stand after its ``a``, or at the start of a pre-token where ``a`` is the blank."""
+        key = a.astype(np.int64) * (self.blank + 1) + b
+        place = lambda k: ((k.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % PAIRS
+        at = place(key)
+        out, new = self.pair_ok[at], self.pair_key[at] != key
+        if new.any():
+            fresh, of = np.unique(key[new], return_inverse=True)
+            first, second = fresh // (self.blank + 1), fresh % (self.blank + 1)
+            alone = first == self.blank
+            first[alone] = 0
+            got = self.merge_many([y if z else x + y for x, y, z in zip(self.pieces[first], self.pieces[second], alone, strict=True)])
+            pair = np.stack([first, second], 1).astype(np.int32)
+            want = [p[4:] if z else p for p, z in zip(map(bytes, pair), alone, strict=True)]
+            ok = np.fromiter((g == w for g, w in zip(got, want, strict=True)), bool, len(fresh))
+            out[new] = ok[of]
+            self.pair_key[place(fresh)], self.pair_ok[place(fresh)] = fresh, ok
+        return out
+
+    def transduce(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, four bytes each."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order, out, lo = np.argsort(sizes, kind="stable"), [b""] * len(words), 0
+        by_size = sizes[order]
+        while lo < len(words):
+            widest = int(by_size[lo]) * 5 // 4 + 1
+            hi = min(lo + max(1, CELLS // (widest + 2)), int(np.searchsorted(by_size, widest, "right")))
+            chosen = order[lo:hi].tolist()
+            ids, counts = self._transduce_rows([words[i] for i in chosen], by_size[lo:hi])
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(chosen, np.cumsum(4 * counts).tolist(), strict=True):
+                out[i] = raw[start:end]
+                start = end
+            lo = hi
+        return out
+
+    def _transduce_rows(self, words: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one word after the other, and how many each has. Words come by size; (row, start, state) are the stretches that some token begins with."""
+        n, width = len(words), int(sizes[-1])
+        data = np.zeros((n, width), np.uint8)
+        data[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(words), np.uint8)
+        last = np.full((n, width + 1), -1, np.int32)
+        last[:, 0] = self.blank
+        row, start, state = (np.zeros(0, np.int64) for _ in range(3))
+        for i in range(width):
+            lo = int(np.searchsorted(sizes, i, "right"))
+            on = row >= lo
+            row = np.concatenate([row[on], np.arange(lo, n)])
+            start, state = np.concatenate([start[on], np.full(n - lo, i)]), np.concatenate([state[on], np.zeros(n - lo, np.int64)])
+            step = state << 8 | data[row, i]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            on = self.steps[at] == step
+            row, start, state = row[on], start[on], self.leads[at[on]].astype(np.int64)
+            token = self.token[state]
+            ends = np.flatnonzero(token >= 0)
+            ends = ends[self.follows(last[row[ends], start[ends]], token[ends])]
+            last[row[ends], i + 1] = token[ends]
+        # back from each end, token by token
+        left, rows, found = sizes.copy(), np.arange(n), []
+        counts = np.zeros(n, np.int64)
+        while len(rows := rows[left[rows] > 0]):
+            token = last[rows, left[rows]]
+            found.append((rows, token))
+            left[rows] -= self.size_of[token]
+            counts[rows] += 1
+        ids, behind = np.zeros(int(counts.sum()), np.int32), np.cumsum(counts)
+        for k, (rows, token) in enumerate(found):
+            ids[behind[rows] - 1 - k] = token
+        return ids, counts
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs; the number of merges where there is none."""
@@ -224,7 +351,7 @@ class StreamEncoder:
 class Encoder:
     def __init__(self, path: str):
         self.m = Merges(path)
-        self.find_any, self.find_ascii = regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN).findall
+        self.find = PreTokens()
         self.gap = regex.compile(r"(?<=\S) (?=\S)")
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.m.special, key=len, reverse=True)) + ")") if self.m.special else None
         # words known, with their ids as bytes: plain strings, which weigh little and which the garbage collector passes over
@@ -239,7 +366,7 @@ class Encoder:
         seen = words & self.old.keys()
         self.new.update((w, self.old[w]) for w in seen)
         fresh = list(words - seen)
-        self.new.update(zip(fresh, self.m.merge_many([w.encode("utf-8", "replace") for w in fresh]), strict=True))
+        self.new.update(zip(fresh, self.m.transduce([w.encode("utf-8", "replace") for w in fresh]), strict=True))
         return self.new
 
     def _stream(self, word: str):
@@ -267,8 +394,7 @@ class Encoder:
         held, size = [], 0
         for k, text in enumerate(texts):
             for piece, special in self._pieces(text or ""):
-                find = self.find_ascii if piece.isascii() else self.find_any
-                held.append((k, find(piece) if special is None else special))
+                held.append((k, self.find(piece) if special is None else special))
                 size += len(piece) + 1
                 if size >= GROUP:
                     yield from self._merged(held)

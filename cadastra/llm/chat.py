@@ -8,7 +8,9 @@ Template: ``### role: text </turn>`` and a newline for each turn. In texts ``\\`
 them, in roles ``:`` too, so the marks never occur inside and everything can be read back.
 
 Defined results: null text or role is empty; a message whose parent is missing is a root; ties between branches go to
-the least leaf; repeated turns follow each other by role and text; an empty table gives no rows; a null tree is a tree.
+the least leaf; of messages that repeat a number in their tree one stands (``once``), while repeated turns of a flat
+conversation all count and follow each other by role and text; replies in a circle raise an error; an empty table gives
+no rows; a null tree is a tree.
 """
 
 from __future__ import annotations
@@ -38,28 +40,39 @@ def linear(conversations: DataFrame) -> DataFrame:
     return rows.select(F.col("conv_id").alias("tree"), "msg", F.when(F.col("msg") > 1, F.col("msg") - 1).alias("parent"), "role", "text", F.lit(1.0).alias("score"))
 
 
-def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
-    """(tree, leaf, branch, msg, up_by): the messages of the ``per_tree`` best branches of each tree, up_by levels above the leaf; branch is the rank."""
+def once(messages: DataFrame) -> DataFrame:
+    """One row for each (tree, msg): of repeated ones the least parent, then role, then text, then score stands; null is least."""
+    rest = [c for c in ("parent", "role", "text", "score") if c in messages.columns]
+    best = F.min(F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(c) for c in rest])).alias("best")
+    return messages.groupBy("tree", "msg").agg(best).select("tree", "msg", *[F.col(f"best.{c}.value").alias(c) for c in rest])
+
+
+def best_paths(messages: DataFrame, per_tree: int = 1, unique: bool = False) -> DataFrame:
+    """(tree, leaf, branch, msg, up_by): the messages of the ``per_tree`` best branches of each tree, up_by levels above the leaf; branch is the rank. ``unique``: no (tree, msg) repeats."""
     same = lambda x, y: F.col(f"{x}.tree").eqNullSafe(F.col(f"{y}.tree"))
-    nodes = messages.select("tree", "msg", "parent", "score")
-    known = nodes.alias("n").join(nodes.select("tree", "msg").alias("p"), same("n", "p") & (F.col("n.parent") == F.col("p.msg")), "left")
-    moving, done, levels = Cut(known.select("n.tree", "n.msg", F.col("p.msg").alias("up"), F.coalesce("n.score", F.lit(0.0)).alias("total"))), [], []
+    messages = messages if unique else once(messages)
+    nodes = messages.select("tree", "msg", F.col("parent").alias("up"), F.coalesce("score", F.lit(0.0)).alias("total"))
+    moving, done, levels = Cut(nodes), [], []
+    rounds = moving.df.count().bit_length()
     while True:
         # only messages below a root climb on; the others are set aside, and still answer for those that reach them
-        done.append(moving.df.where(F.col("up").isNull()))
-        climbing = moving.df.where(F.col("up").isNotNull())
+        now = moving.df.select("tree", "msg", "up", "total")
+        done.append(now.where(F.col("up").isNull()))
+        climbing = now.where(F.col("up").isNotNull())
         if climbing.isEmpty():
             break
-        if len(levels) > 40:
+        if len(levels) > rounds:
+            # no path is longer than the table, and each round doubles what a message knows of its own
             raise ValueError("replies form a cycle")
-        levels.append(climbing)
-        # total covers the messages from this one to just below ``up``
+        # total covers the messages from this one to just below ``up``; a missing ``up`` ends the path there
         known = reduce(DataFrame.unionByName, done, climbing)
-        step = climbing.alias("a").join(known.alias("b"), same("a", "b") & (F.col("a.up") == F.col("b.msg")))
-        moving = Cut(step.select("a.tree", "a.msg", F.col("b.up").alias("up"), (F.col("a.total") + F.col("b.total")).alias("total")))
+        step = climbing.alias("a").join(known.alias("b"), same("a", "b") & (F.col("a.up") == F.col("b.msg")), "left")
+        moving = Cut(step.select("a.tree", "a.msg", F.when(F.col("b.msg").isNotNull(), F.col("a.up")).alias("here"), F.col("b.up").alias("up"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")))
+        levels.append(moving.df.where(F.col("here").isNotNull()).select("tree", "msg", "here"))
     state = reduce(DataFrame.unionByName, done)
-    parents = nodes.where(F.col("parent").isNotNull()).select("tree", F.col("parent").alias("msg")).distinct()
-    leaves = state.alias("s").join(parents.alias("q"), same("s", "q") & (F.col("s.msg") == F.col("q.msg")), "left_anti").select("s.*")
+    replied = nodes.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("msg"), F.lit(None).cast("double").alias("total"), F.lit(True).alias("answered"))
+    ends = state.select("tree", "msg", "total", F.lit(False).alias("answered")).unionByName(replied).groupBy("tree", "msg").agg(F.max("total").alias("total"), F.max("answered").alias("answered"))
+    leaves = ends.where(~F.col("answered"))
     if per_tree == 1:
         top = leaves.groupBy("tree").agg(F.min_by("msg", F.struct((-F.col("total")).alias("t"), "msg")).alias("leaf")).withColumn("branch", F.lit(1))
     else:
@@ -67,13 +80,13 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
         top = leaves.withColumn("branch", F.row_number().over(rank)).where(F.col("branch") <= per_tree).select("tree", F.col("msg").alias("leaf"), "branch")
     paths = top.select("tree", "leaf", "branch", F.col("leaf").alias("msg"), F.lit(0).alias("up_by"))
     for k in range(len(levels) - 1, -1, -1):
-        above = paths.alias("p").join(levels[k].alias("l"), same("p", "l") & (F.col("p.msg") == F.col("l.msg"))).select("p.tree", "p.leaf", "p.branch", F.col("l.up").alias("msg"), (F.col("p.up_by") + (1 << k)).alias("up_by"))
+        above = paths.alias("p").join(levels[k].alias("l"), same("p", "l") & (F.col("p.msg") == F.col("l.msg"))).select("p.tree", "p.leaf", "p.branch", F.col("l.here").alias("msg"), (F.col("p.up_by") + (1 << k)).alias("up_by"))
         paths = Cut(paths.unionByName(above)).df
     return paths.select("tree", "leaf", "branch", "msg", "up_by")
 
 
 def format_paths(messages: DataFrame, paths: DataFrame) -> DataFrame:
-    """(tree, branch, formatted, loss): one conversation per path; loss is the spans (start, len), in code points, of the assistant's escaped texts."""
+    """(tree, branch, formatted, loss): one conversation per path, of messages that don't repeat; loss is the spans (start, len), in code points, of the assistant's escaped texts."""
     joined = paths.alias("p").join(messages.alias("m"), F.col("p.tree").eqNullSafe(F.col("m.tree")) & (F.col("p.msg") == F.col("m.msg")))
     turn = F.struct((-F.col("up_by")).alias("at"), escape(F.coalesce("role", F.lit("")), ":").alias("role"), escape(F.coalesce("text", F.lit(""))).alias("text"), F.coalesce(F.col("role") == "assistant", F.lit(False)).alias("own"))
     turns = joined.select("p.tree", "p.branch", turn.alias("t")).groupBy("tree", "branch").agg(F.sort_array(F.collect_list("t")).alias("turns"))
@@ -98,7 +111,13 @@ def under_loss(formatted: Column | str, spans: Column | str) -> Column:
     return F.array_join(F.transform(spans, lambda s: unescape(F.substring(text, s["start"] + 1, s["len"]))), "")
 
 
+def trees(messages: DataFrame, per_tree: int = 1) -> DataFrame:
+    """(tree, branch, formatted, loss) of the best branches of reply trees (tree, msg, parent, role, text, score)."""
+    stored = Cut(once(messages.select("tree", "msg", "parent", "role", "text", "score"))).df
+    return format_paths(stored, best_paths(stored, per_tree, unique=True))
+
+
 def conversations(table: DataFrame) -> DataFrame:
     """(tree, branch, formatted, loss) for flat conversations."""
     messages = Cut(linear(table)).df
-    return format_paths(messages, best_paths(messages))
+    return format_paths(messages, best_paths(messages, unique=True))

@@ -3,7 +3,7 @@
 A page counts a line once. Blank lines are never boilerplate, and a line has to stand on ``least`` pages at least.
 Only hashes of lines (128 bits) are shuffled, with map-side counts. A host's boilerplate is short by its nature: shares
 of one host add up to its mean number of lines, so there are at most that number over the ratio; the list goes to the
-pages by broadcast while its counted size is small, and by a join on the host beyond that.
+pages by broadcast while its counted size is small, and by a join on the host and a salt beyond that.
 
 Defined results: null text stays null with no lines; a null host is a host; repeated rows are separate pages; a page of
 boilerplate alone becomes the empty text; an empty table gives no rows.
@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spread_join
 
-RATIO, LEAST = 0.1, 5
-SMALL = 200_000
+#: A line of one page repeats nothing, so two pages are the least.
+RATIO, LEAST = 0.1, 2
 
 
 def line_key(line: Column) -> Column:
@@ -40,8 +40,10 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST,
     """(page, text, n_lines, n_dropped): each row whole, as the struct ``page``, and its text without the boilerplate lines."""
     bad = cut(boilerplate(pages, ratio, least, host_col, text_col))
     size = bad.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
-    rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), F.col(host_col).alias("host_of"))
-    both = rows.join(F.broadcast(bad) if size <= SMALL else bad, F.col("host_of").eqNullSafe(F.col("host")), "left")
+    # a null host becomes a key of its own, so that the join is on plain equality
+    key = lambda c: F.struct(c.isNull().alias("none"), F.coalesce(c, F.lit("")).alias("host")).alias("host_key")
+    rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), key(F.col(host_col).cast("string")), F.xxhash64(text_col).alias("of"))
+    both = spread_join(rows, bad.select(key(F.col("host").cast("string")), "keys"), ["host_key"], size, ["of"], "left")
     text = F.col("page")[text_col]
     kept = F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains("keys", line_key(x)))
     out = both.select("page", "keys", F.split(text, "\n", -1).alias("lines")).select("page", "lines", F.when(F.col("keys").isNull(), F.col("lines")).otherwise(kept).alias("kept"))

@@ -100,7 +100,7 @@ _OP10 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
 pages AS (SELECT source, count(*) AS pages FROM d GROUP BY 1),
 counts AS (SELECT source, line, count(*) AS n FROM (SELECT DISTINCT r, source, trim(unnest(lines)) AS line FROM d) WHERE line <> '' GROUP BY 1, 2),
-bad AS (SELECT c.source, list(line) AS keys FROM counts c JOIN pages p ON c.source IS NOT DISTINCT FROM p.source WHERE n >= 5 AND n / pages > 0.1 GROUP BY 1),
+bad AS (SELECT c.source, list(line) AS keys FROM counts c JOIN pages p ON c.source IS NOT DISTINCT FROM p.source WHERE n >= 2 AND n / pages > 0.1 GROUP BY 1),
 k AS (SELECT d.*, list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains(coalesce(keys, []), trim(x))) AS kept FROM d LEFT JOIN bad ON d.source IS NOT DISTINCT FROM bad.source)
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text FROM k
 """

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, cut
+from .common import Cut, cut, spread_join
 
 # Licence notices, as their authors ask for them to be given.
 TEMPLATES = (
@@ -248,13 +248,14 @@ def inherit(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Adds license, basis (header, file, inherited, none) and inherited_from: the nearest ancestor directory with a licence file."""
     folder = lambda c: F.regexp_replace(c, "/?[^/]*$", "")
     files = scanned.where(F.col("file").isNotNull() & F.col("path").isNotNull()).select(folder("path").alias("dir"), "file", "file_score", "path")
-    dirs = files.groupBy("dir").agg(F.min_by("file", F.struct((-F.col("file_score")).alias("s"), "path")).alias("dir_license"))
+    dirs = cut(files.groupBy("dir").agg(F.min_by("file", F.struct((-F.col("file_score")).alias("s"), "path")).alias("dir_license")))
     # directories first: each is resolved once, however many documents it holds
     parts = F.split("own_dir", "/")
     own = scanned.where(F.col("path").isNotNull()).select(folder("path").alias("own_dir")).distinct()
     above = own.select("own_dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))).alias("dir"))
-    nearest = above.join(dirs, "dir").groupBy("own_dir").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up"))
-    rows = scanned.withColumn("own_dir", folder("path")).join(nearest, "own_dir", "left")
+    # a root stands above all directories of its tree, a flat directory holds many documents: both joins spread such keys
+    nearest = cut(spread_join(above, dirs, ["dir"], dirs.count(), ["own_dir"]).groupBy("own_dir").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up")))
+    rows = spread_join(scanned.withColumn("own_dir", folder("path")), nearest, ["own_dir"], nearest.count(), ["path"], "left")
     own_license = F.coalesce("header", "file")
     basis = F.when(F.col("header").isNotNull(), "header").when(F.col("file").isNotNull(), "file").when(F.col("up").isNotNull(), "inherited").otherwise("none")
     return rows.select(id_col, "path", "header", F.round("header_score", 6).alias("header_score"), "file", F.round("file_score", 6).alias("file_score"), F.coalesce(own_license, F.col("up.dir_license")).alias("license"), basis.alias("basis"), F.when(own_license.isNull(), F.col("up.dir")).alias("inherited_from"))

@@ -17,14 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spread_join
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Runs of digits, letters A-Z and all that is not ASCII. Single characters make a bit set, which ranges would not.
 WORD = rf"[0123456789{UPPER}{LOWER}\x{{80}}-\x{{10FFFF}}]++"
-#: A side of a join is broadcast up to this many counted rows, and shuffled beyond.
-SMALL = 200_000
 
 
 def words(text: Column | str) -> Column:
@@ -41,11 +39,6 @@ def terms(text: Column | str) -> Column:
     return F.transform(F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def sized(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    """For broadcasting if its counted rows are few."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def windows(bench: DataFrame, size: int = WINDOW, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(row, item, at, len, phrase, hs): every window with its words under the A-Z fold and their hashes under the wide one."""
     items = bench.select(F.xxhash64(F.col(item_col), F.col(text_col)).alias("row"), F.col(item_col).cast("string").alias("item"), words(text_col).alias("w"), terms(text_col).alias("h")).where(F.size("w") > 0).dropDuplicates(["row", "item"])
@@ -58,13 +51,13 @@ def windows(bench: DataFrame, size: int = WINDOW, item_col: str = "item_id", tex
 def index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored positional index of the vocabulary's terms (h, vid): rows (vid, doc, pos)."""
     spread = docs.select(F.col(id_col).alias("doc"), F.posexplode(terms(text_col)).alias("pos", "h"))
-    return cut(spread.join(sized(vocabulary), "h").select("vid", "doc", "pos"))
+    return cut(spread_join(spread, vocabulary, ["h"], vocabulary.count(), ["doc", "pos"]).select("vid", "doc", "pos"))
 
 
 def rarest(places: DataFrame, postings: DataFrame, anchors: int = 2) -> DataFrame:
     """(row, item, at, len, phrase, marks): the offsets in the item of each window's rarest words; windows that cannot occur are left out."""
     counts = cut(postings.groupBy("vid").agg(F.count("*").alias("n")))
-    by = places.join(sized(counts), "vid").groupBy("row", "item", "at", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off"))).alias("o")).where(F.size("o") == F.col("len"))
+    by = spread_join(places, counts, ["vid"], counts.count(), ["row", "at", "off"]).groupBy("row", "item", "at", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off"))).alias("o")).where(F.size("o") == F.col("len"))
     return by.select("row", "item", "at", "len", "phrase", F.transform(F.slice("o", 1, anchors), lambda x: x["off"] + F.col("at")).alias("marks"))
 
 
@@ -77,17 +70,17 @@ def candidates(docs: DataFrame, bench: DataFrame, size: int = WINDOW, id_col: st
     """(doc, c): for each document that has any, the places (start, len, phrase, item) where a window's rarest words meet."""
     places = windows(bench, size).select("row", "item", "at", "len", "phrase", F.posexplode("hs").alias("off", "h"))
     vocabulary = cut(places.select("h").distinct().withColumn("vid", F.monotonically_increasing_id()))
-    places = cut(places.join(sized(vocabulary), "h"))
+    places = cut(spread_join(places, vocabulary, ["h"], vocabulary.count(), ["row", "at", "off"]))
     postings = index(docs, vocabulary, id_col, text_col)
     rare = cut(rarest(places, postings))
     marked = rare.select("row", F.explode("marks").alias("mark")).distinct()
     anchors = cut(marked.join(places.select("row", (F.col("at") + F.col("off")).alias("mark"), "vid").distinct(), ["row", "mark"]))
-    found = postings.join(sized(anchors), "vid")
+    found = spread_join(postings, anchors, ["vid"], anchors.count(), ["doc", "pos"])
     met = found.groupBy("doc", "row", (F.col("pos") - F.col("mark")).alias("shift")).agg(F.bit_or(bit_of(F.col("mark"))).alias("bits"))
     single = rare.where("len = 1").limit(1).count() > 0
     met = met if single else met.where(F.bit_count("bits") > 1)
     own = rare.withColumn("need", F.aggregate("marks", F.lit(0).cast("long"), lambda a, m: a.bitwiseOR(bit_of(m)))).drop("marks")
-    hit = met.join(sized(own), "row").where((F.col("bits").bitwiseAND(F.col("need")) == F.col("need")) & (F.col("shift") + F.col("at") >= 0))
+    hit = spread_join(met, own, ["row"], rare.count(), ["doc", "shift"]).where((F.col("bits").bitwiseAND(F.col("need")) == F.col("need")) & (F.col("shift") + F.col("at") >= 0))
     return hit.groupBy("doc").agg(F.collect_set(F.struct((F.col("shift") + F.col("at")).alias("start"), "len", "phrase", "item")).alias("c"))
 
 

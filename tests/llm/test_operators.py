@@ -70,8 +70,28 @@ def test_language_inputs_and_empty(spark, docs, empty):
     assert {r["lang_pred"] for r in language_id.identify(docs, language_id.fit(empty)).collect()} == {"und"}
     only = language_id.fit(docs.where("lang = 'en'"))
     assert {r["lang_pred"] for r in language_id.identify(docs.where("doc_id < 400"), only).collect()} == {"en"}
-    kept = language_id.keep_identified(docs, model)
+    kept = language_id.keep_identified(docs.withColumn("lang", F.when(F.col("doc_id") % 5 > 0, F.col("lang"))), model)
     assert kept.columns == docs.columns and kept.where("doc_id IN (1000, 1001, 1002, 1003)").count() == 0 and kept.where("doc_id < 1000").count() == 400
+    assert kept.where("lang IS NULL").count() == 0  # missing ones are filled in
+    assert kept.schema == docs.schema
+    scores = {r["doc_id"]: r["score"] for r in language_id.identify(docs, model).collect() if r["doc_id"] is not None}
+    strict = language_id.keep_identified(docs.where("doc_id IS NOT NULL"), model, 0.8)
+    assert {r["doc_id"] for r in strict.collect()} == {i for i, s in scores.items() if s >= 0.8}
+
+
+def test_language_letters_and_chunks(monkeypatch):
+    """A letter is what Unicode calls one; the profile doesn't depend on how the text is cut."""
+    import sys
+    import unicodedata
+
+    assert all(language_id.has_letter(chr(c)) == unicodedata.category(chr(c)).startswith("L") for c in range(sys.maxunicode + 1))
+    assert language_id.LanguageModel(np.eye(2, language_id.WIDTH, dtype=np.float32), ["en", "fr"]).predict(["½²①Ⅷ", "٣ 四", None, "é"])[0][::2] == ["und", "und"]
+    rnd = random.Random(2)
+    text = "".join(rnd.choice(["the ", "für  ", "é", "x.", " \n ", "  "]) for _ in range(4000))
+    whole = language_id.profile(text)
+    for chunk in (64, 1000, 4096):
+        monkeypatch.setattr(language_id, "CHUNK", chunk)
+        assert np.array_equal(language_id.profile(text), whole)
 
 
 def test_profile_covers_whole_text():
@@ -110,10 +130,35 @@ def test_shards_keep_groups_and_split_hot_ones(spark):
         where.setdefault(text[r["doc_id"]], []).append(r["shard"])
     pairs = [len(set(v)) for k, v in where.items() if k.startswith("pair")]
     assert sum(p > 1 for p in pairs) < 0.35 * len(pairs)  # unlinked hashing would cut 15 of 16
+    whole = {k: v for k, v in where.items() if len(v) > 1}
+    plain = sum(len(set(v)) - 1 for v in whole.values()) / sum(len(v) - 1 for v in whole.values())
+    assert sharding.cut_share(sharding.shard(df)) == pytest.approx(plain)
     hot = sorted(where["hot"].count(k) for k in range(16))
     assert sum(hot[-4:]) >= 200  # evenly dealt it would be 100
 
 
+def plain_shards(rows, shards=16):
+    """Cut links when hashing alone deals the rows, and the fewest that any placement has to cut: a group beyond a shard's size needs several."""
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(t, []).append(zlib.crc32(str(i).encode()) % shards)
+    links = sum(len(v) - 1 for v in groups.values())
+    quota = len(rows) // shards
+    return sum(len(set(v)) - 1 for v in groups.values()) / links, sum(-(-len(v) // (quota + 1)) - 1 for v in groups.values()) / links
+
+
+@pytest.mark.parametrize("linked", [0.1, 0.6, 0.9, 1.0])
+def test_shards_of_copies_stay_together(spark, linked):
+    n = 6000
+    rows = [(i, f"pair {i // 2}" if i < linked * n else f"alone {i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sharding.shard(df).cache()
+    check_shards(out.collect(), n)
+    hashed, least = plain_shards(rows)
+    got = sharding.cut_share(out)
+    assert hashed > 0.9 and least == 0 and got < 0.25, got
+
+
 # ---- 3, 7 --------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def theirs():
@@ -133,6 +178,35 @@ def test_encoding_equals_library(theirs):
         assert "".join(d.feed([i]) for i in ids) + d.end() == theirs.decode(ids, skip_special_tokens=False) == c
 
 
+def test_pre_tokens_equal_library_on_all_code_points(theirs):
+    """Letters, numbers, spaces and the rest, alone and beside others, as the library's own classes have them."""
+    find = bpe.PreTokens()
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(points), 1024):
+        text = "".join(f"{chr(c)}a{chr(c)}1{chr(c)}!" for c in points[lo : lo + 1024])
+        assert find(text) == [text[a:b] for _, (a, b) in theirs.pre_tokenizer.pre_tokenize_str(text)], hex(points[lo])
+
+
+def test_random_unicode_equals_library(theirs):
+    enc, rnd = bpe.Encoder(PATH), random.Random(12)
+    pick = [lambda: rnd.randrange(32, 127), lambda: rnd.randrange(0x110000), lambda: rnd.randrange(0x3000), lambda: ord(rnd.choice("' s\t\u0558\ua7ce\U00010940"))]
+    texts = ["".join(chr(c) for c in (rnd.choice(pick)() for _ in range(24)) if not 0xD800 <= c < 0xE000) for _ in range(10000)]
+    got = [[] for _ in texts]
+    for k, ids in enc.blocks(texts):
+        got[k] += ids.tolist()
+    assert got == [x.ids for x in theirs.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_both_forms_of_the_transducer_equal_merging():
+    m, rnd = bpe.Merges(PATH), random.Random(5)
+    words = [bytes(rnd.choice(b"abcdehinorst \xc3\xa9\xe6\x97") for _ in range(rnd.randrange(1, 60))) for _ in range(3000)] + [b"a" * 128, b" " * 100, bytes(range(256))]
+    merged = m.merge_many(words)
+    assert m.transduce(words) == merged
+    for w, ids in list(zip(words, merged, strict=True))[-400:]:
+        s = bpe.StreamEncoder(m)
+        assert np.array(s.feed(w) + s.end(), np.int32).tobytes() == ids and m.merge(w) == np.frombuffer(ids, np.int32).tolist()
+
+
 def test_stream_memory_is_one_window():
     m = bpe.Merges(PATH)
     s, ids, most = bpe.StreamEncoder(m), [], 0
@@ -402,6 +476,8 @@ def test_chat_round_trip(spark):
     rnd = random.Random(4)
     rows = [(c, t, rnd.choice(["user", "assistant", "sys:tem", None]), rnd.choice(texts)) for c in (1, 2, 3, None) for t in range(9)] + [(4, 0, "assistant", r"x\#")] * 2 + [(5, t, "assistant" if t % 2 else "user", f"t{t}") for t in range(70)]
     df = clashing(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    plan = chat.conversations(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
     got = chat.conversations(df.repartition(4)).select("tree", "formatted", chat.parsed("formatted").alias("turns"), chat.under_loss("formatted", "loss").alias("loss")).collect()
     assert len(got) == 6
     for r in got:
@@ -436,6 +512,18 @@ def test_reply_trees(spark):
             leaves = [m for m in range(40) if not any(info[t, c][0] == m for c in range(40))]
             ranked = sorted(leaves, key=lambda m: (-sum(info[t, x][1] for x in path(t, m)), m))[:k]
             assert [[m for _, m in sorted(got[t, b + 1])] for b in range(k)] == [path(t, m) for m in ranked]
+    # repeated rows change nothing; a message whose parent is missing is a root
+    twice = df.unionByName(df.withColumns({"text": F.lit("z"), "role": F.lit("zz"), "score": F.lit(9.0)})).repartition(3)
+    both = [chat.trees(x).select("tree", "branch", "formatted", "loss").collect() for x in (df, twice)]
+    assert sorted(map(tuple, both[0])) == sorted(map(tuple, both[1])) and len(both[0]) == 5
+    many = spark.createDataFrame([(1, k, k - 1 if k else None, "user", "a", 1.0) for k in range(8)] * 2, df.schema)
+    assert sorted((r["msg"], r["up_by"]) for r in chat.best_paths(many).collect()) == [(k, 7 - k) for k in range(8)]
+    lost = spark.createDataFrame([(1, 5, 4, "user", "a", 1.0), (1, 6, 5, "user", "b", 1.0), (1, 9, 77, None, None, None), (None, 1, None, "user", "n", 1.0), (None, 2, 1, "user", "m", 1.0)], df.schema)
+    assert sorted(((r["tree"], r["msg"], r["up_by"]) for r in chat.best_paths(lost, 5).collect()), key=str) == sorted([(1, 5, 1), (1, 6, 0), (1, 9, 0), (None, 1, 1), (None, 2, 0)], key=str)
+    tie = spark.createDataFrame([(1, 1, None, "user", "a", 1.0), (1, 3, 1, "user", "c", 2.0), (1, 2, 1, "user", "b", 2.0)], df.schema)
+    assert [r["leaf"] for r in chat.best_paths(tie).where("up_by = 0").collect()] == [2]
+    plan = chat.trees(clashing(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
     with pytest.raises(ValueError, match="cycle"):
         loop = spark.createDataFrame([(1, 1, 2, "user", "a", 1.0), (1, 2, 1, "user", "b", 1.0)], df.schema)
         chat.best_paths(loop).collect()
@@ -516,6 +604,7 @@ def test_line_dedup(spark, empty):
     got = {r["page"]["doc_id"]: r for r in line_dedup.drop_boilerplate(df, 0.5, 5).collect()}
     assert got[4]["text"] == "body 4\n\nshared 1\nshared 1" and (got[4]["n_lines"], got[4]["n_dropped"]) == (5, 1)
     assert got[100]["text"] == "Cookie notice\nown 0"  # too few pages
+    assert {r["text"] for r in line_dedup.drop_boilerplate(df, 0.5).where("page.doc_id BETWEEN 100 AND 102").collect()} == {"own 0", "own 1", "own 2"}  # two pages are enough
     assert got[200]["text"] is None and got[200]["n_lines"] == 0 and got[201]["text"] == "" and got[202]["text"] == ""
     clean = line_dedup.cleaned(df, 0.5, 5)
     assert clean.columns == df.columns and clean.schema["n_chars"].dataType == df.schema["n_chars"].dataType

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,14 +26,30 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_scratch: list[list[Cut]] = []
+
+
+@contextmanager
+def scratch():
+    """Deletes at its end the tables that were cut inside, except those made to be ``kept``."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for c in _scratch.pop():
+            c.drop()
+
+
 class Cut:
     """A table written to the shared folder and read back: its lineage ends there, so a lost executor costs no recomputation."""
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, kept: bool = False):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/cut-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        if _scratch and not kept:
+            _scratch[-1].append(self)
 
     def drop(self) -> None:
         """Deletes the files, once nothing lazy reads them any more."""
@@ -48,6 +65,15 @@ def cut(df: DataFrame) -> DataFrame:
 #: A side of a join is broadcast up to this many counted rows.
 SMALL = 200_000
 SALTS = 32
+HOT_ROWS, HOT_KEYS = 1000, 100_000
+
+
+def hot_join(large: DataFrame, small: DataFrame, on: str, total: int) -> DataFrame:
+    """An inner join with a table that has one row for each key and, as ``n``, how many rows of ``large`` have it, ``total`` in all. Keys of many rows go by broadcast: no more than ``HOT_KEYS`` have so many. ``n`` is dropped."""
+    least = max(HOT_ROWS, total // HOT_KEYS)
+    hot = F.broadcast(small.where(F.col("n") > least).drop("n"))
+    cool = large.join(hot.select(on), on, "left_anti").join(small.where(F.col("n") <= least).drop("n"), on)
+    return large.join(hot, on).unionByName(cool)
 
 
 def spread_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, by: list[str], how: str = "inner") -> DataFrame:

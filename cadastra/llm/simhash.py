@@ -1,15 +1,22 @@
-"""SimHash near-dedup with a forest of vantage-point trees under the Hamming distance.
+"""SimHash near-dedup with vantage-point trees under the Hamming distance.
 
 A fingerprint is one or more 64-bit words, each dealt to blocks; two fingerprints within ``distance`` bits are within
 ``distance // blocks`` bits in one block at least. Each block has a vantage-point tree whose nodes part fingerprints by
 their distance, in that block, from a vantage point: at most the threshold, or more. A fingerprint lives in one leaf; by
 the triangle bound it also has to be looked for in the leaves across every threshold that it lies within the radius of.
 Vantage points come from a bounded sample (``SAMPLE`` at most); every distinct fingerprint is routed. A leaf's members
-meet in one task; a leaf of more than ``LEAF_ROWS`` is dealt to chunks and each two chunks meet in a task of their own.
+meet in one task; a leaf of more than its limit is dealt to chunks and each two chunks meet in a task of their own.
 A task emits a spanning forest of the links it finds, never all pairs. Components come from alternating star joins.
 
-With the radius that follows from ``distance`` every link is found. A smaller radius, for wide fingerprints and large
-distances, finds a link in each tree with some chance, and in all trees together with a high one.
+``near_duplicates`` links by the fingerprint alone, with the radius that follows from ``distance``: every link is found.
+
+``similar_texts`` links by the exact Jaccard similarity of shingle sets. Fingerprints of the sets only find candidates:
+sets of a similarity s differ in each bit with a chance of at most arccos(2s / (1 + s)) / pi, 0.15 at 0.8. The trees
+stand over blocks of 16 bits, with radius 1: a pair is looked at in every block in which it differs by a bit at most,
+whatever the depth of the trees. At 0.8 that is 0.278 of the blocks, so all 20 blocks miss 0.0015 of such pairs, and at
+0.85 they miss 0.0001; 81 of 320 bits, the distance up to which a pair is a candidate, lie five deviations above the
+mean at 0.8. Candidates form classes, inside which every pair within the distance counts, and each link stands only if
+the shingle sets have the similarity.
 
 Defined results: null or wordless text has fingerprint zero and is linked like any other; equal fingerprints always
 share a component; a component is named after its least non-null id; an empty table gives no rows.
@@ -17,18 +24,22 @@ share a component; a component is named after its least non-null id; an empty ta
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut
+from .common import Cut, hot_join, spread_join
 
 SAMPLE, LEAF_TARGET, LEAF_ROWS = 32_768, 1024, 4096
 STEP, ROWS = 1 << 13, 64
-# keep_one: steps in which forests are built; the most texts that go by broadcast
-NEARER, SMALL = (40, 58), 200_000
+# similar_texts: bits of a block; rows of a shard (a leaf of its trees) as aimed at and at most; pairs looked at together;
+# members and bytes of shingle sets that a class brings to one task, and bytes of small classes that share one
+BLOCK_BITS, SHARD_TARGET, SHARD_ROWS, PAIRS = 16, 16_384, 65_536, 1 << 19
+CLASS_ROWS, CLASS_BYTES, BUCKET_BYTES = 1024, 1 << 26, 1 << 23
 # The increment and multipliers of a public 64-bit mixing function, from which further words come.
 GOLDEN, MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -60,17 +71,29 @@ def fingerprint(text: str | None, width: int = 3, n_words: int = 1) -> np.ndarra
     return np.packbits(2 * total > n, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def fingerprints(docs: DataFrame, width: int = 3, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
-    """One row per document: id, fp (the words' bytes, each from its highest bit) and, if ``hashed``, t (the text's hash)."""
+def set_fingerprint(hashes: np.ndarray, n_words: int) -> np.ndarray:
+    """The bitwise majority of distinct shingles' hashes, in as many words; zero without shingles."""
+    total = np.zeros((n_words, 64), np.int64)
+    for lo in range(0, len(hashes), STEP):
+        part = hashes[lo : lo + STEP]
+        for w in range(n_words):
+            h = mixed(part, w) if w else part
+            total[w] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), axis=1, bitorder="little").view(np.uint64)[:, 0]
+
+
+def fingerprints(docs: DataFrame, width: int = 3, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text", sets: bool = False) -> DataFrame:
+    """One row per document: id, fp (the words' bytes, each from its highest bit) and, if shingles count once, as ``sets``, t (the text's hash)."""
 
     def run(batches):
         for b in batches:
-            fps = [fingerprint(t.as_py(), width, n_words).astype(">u8").tobytes() for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(fps, pa.binary()), *([b.column("t")] if hashed else [])], [id_col, "fp", *(["t"] if hashed else [])])
+            one = (lambda t: set_fingerprint(shingle_set(t, width), n_words)) if sets else lambda t: fingerprint(t, width, n_words)
+            fps = [one(t.as_py()).astype(">u8").tobytes() for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("i"), pa.array(fps, pa.binary()), *([b.column("t")] if sets else [])], [id_col, "fp", *(["t"] if sets else [])])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    extra = [F.xxhash64(text_col).alias("t")] if hashed else []
-    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), *extra).mapInArrow(run, f"`{id_col}` {kind}, fp binary" + ", t long" * hashed)
+    extra = [F.xxhash64(text_col).alias("t")] if sets else []
+    return docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), *extra).mapInArrow(run, f"`{id_col}` {kind}, fp binary" + ", t long" * sets)
 
 
 def matrix(column) -> np.ndarray:
@@ -157,17 +180,21 @@ def forest_edges(x: np.ndarray, distance: int, group: np.ndarray | None = None)
     return edges
 
 
-def links(distinct: DataFrame, distance: int, blocks: int, radius: int | None = None, nearer: tuple[int, ...] = ()) -> DataFrame:
-    """Edges (u, v) between distinct fingerprints whose closure is that of the links found; ``blocks`` to a 64-bit word. Links within a distance of ``nearer`` come first, so that the forests are of short edges."""
-    m = distinct.count()
-    target = max(256, min(SAMPLE, 16 * m // LEAF_TARGET))
+def sampled(distinct: DataFrame, m: int, target: int) -> np.ndarray:
+    """About ``target`` of the m fingerprints, by a hash, in order."""
     picked = distinct.where(F.pmod(F.xxhash64("fp", F.lit(3)), F.lit(1_000_003)) < F.lit(min(1.0, target / max(m, 1)) * 1_000_003)).limit(2 * SAMPLE)
     got = sorted(bytes(r["fp"]) for r in picked.select("fp").collect())
-    sample = np.frombuffer(b"".join(got), ">u8").astype(np.uint64).reshape(len(got), -1) if got else np.zeros((0, 1), np.uint64)
+    return np.frombuffer(b"".join(got), ">u8").astype(np.uint64).reshape(len(got), -1) if got else np.zeros((0, 1), np.uint64)
+
+
+def links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints whose closure is that of all links; ``blocks`` to a 64-bit word."""
+    m = distinct.count()
+    sample = sampled(distinct, m, max(256, min(SAMPLE, 16 * m // LEAF_TARGET)))
     fewest = max(1, LEAF_TARGET * len(sample) // max(m, 1))
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     masks = [(1 << hi) - (1 << lo) for lo, hi in zip(edges, edges[1:])]
-    radius = distance // (blocks * sample.shape[1]) if radius is None else radius
+    radius = distance // (blocks * sample.shape[1])
     trees = [VantageTree(sample, w, mask, radius, fewest) for w in range(sample.shape[1]) for mask in masks]
 
     def route(batches):
@@ -199,9 +226,7 @@ def links(distinct: DataFrame, distance: int, blocks: int, radius: int | None =
 
     def meet(group: pa.Table) -> pa.Table:
         column = group.column("fp").combine_chunks()
-        x = matrix(column)
-        joined = np.arange(len(x))
-        found = np.array([e for d in (*nearer, distance) for e in forest_edges(x, d, joined)], np.int64).reshape(-1, 2)
+        found = np.array(forest_edges(matrix(column), distance), np.int64).reshape(-1, 2)
         return pa.table({"u": column.take(pa.array(found[:, 0])), "v": column.take(pa.array(found[:, 1]))})
 
     met = routed.df.mapInArrow(deal, "leaf long, chunk long, fp binary").groupBy("leaf", "chunk").applyInArrow(meet, "u binary, v binary")
@@ -210,15 +235,167 @@ def links(distinct: DataFrame, distance: int, blocks: int, radius: int | None =
     return out.df
 
 
+class Shards:
+    """The trees of all 16-bit blocks, as tables by the block's value: its home leaf and the later leaves that the radius reaches into."""
+
+    def __init__(self, sample: np.ndarray, m: int, radius: int = 1):
+        fewest = max(1, SHARD_TARGET * len(sample) // max(m, 1))
+        self.radius, self.of = radius, []
+        values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
+        for word in range(sample.shape[1]):
+            for low in range(0, 64, BLOCK_BITS):
+                tree = VantageTree(sample, word, (1 << low + BLOCK_BITS) - (1 << low), radius, fewest)
+                every = np.zeros((len(values), sample.shape[1]), np.uint64)
+                every[:, word] = values << np.uint64(low)
+                rows, leaves = tree.route(every)
+                home, rows, leaves = leaves[: len(values)].astype(np.int32), rows[len(values) :], leaves[len(values) :].astype(np.int32)
+                # the bounds of several nodes can hold where no single value does: such leaves need no visit
+                reached = np.zeros(len(rows), bool)
+                for flip in flips(radius):
+                    reached |= home[rows ^ flip] == leaves
+                rows, leaves = rows[reached], leaves[reached]
+                order = np.argsort(rows, kind="stable")
+                self.of.append((word, np.uint64(low), home, np.searchsorted(rows[order], np.arange(len(values) + 1)), leaves[order]))
+
+    def value(self, k: int, fps: np.ndarray) -> np.ndarray:
+        word, low = self.of[k][:2]
+        return (fps[:, word] >> low & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+
+    def route(self, k: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) pairs in the k-th tree, those at home first."""
+        home, first, visits = self.of[k][2:]
+        v = self.value(k, fps)
+        many = first[v + 1] - first[v]
+        rows = np.repeat(np.arange(len(v)), many)
+        at = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[v], many)
+        return np.concatenate([np.arange(len(v)), rows]), np.concatenate([home[v], visits[at]])
+
+
+def flips(radius: int) -> list[int]:
+    """What can be added, without carry, to a value of a block to reach those within the radius (1 at most)."""
+    return [0, *(1 << b for b in range(BLOCK_BITS))][: 1 + BLOCK_BITS * radius]
+
+
+class Forest:
+    """Joins rows by links, many at a time, and keeps one link for each join."""
+
+    def __init__(self, n: int):
+        self.root, self.edges = np.arange(n), [np.zeros((0, 2), np.int64)]
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.root[a], self.root[b]
+            if not (apart := x != y).any():
+                return
+            a, b, high, low = a[apart], b[apart], np.maximum(x, y)[apart], np.minimum(x, y)[apart]
+            order = np.lexsort((low, high))
+            # every root hooks on to its least neighbour once
+            first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+            to = np.arange(len(self.root))
+            to[high[first]] = low[first]
+            while (to[to] != to).any():
+                to = to[to]
+            self.root = to[self.root]
+            self.edges.append(np.stack([a[first], b[first]], 1))
+
+    def found(self) -> np.ndarray:
+        return np.concatenate(self.edges)
+
+
+def distances(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    d = np.zeros(len(a), np.uint16)
+    for w in range(x.shape[1]):
+        d += np.bitwise_count(x[a, w] ^ x[b, w])
+    return d
+
+
+def near_in_block(x: np.ndarray, v: np.ndarray, home: np.ndarray, side: np.ndarray | None, distance: int, radius: int) -> np.ndarray:
+    """A spanning forest of the links among rows whose block values ``v`` lie within the radius; one of a pair has to be at home, and both on different sides if there are sides."""
+    order = np.argsort(v, kind="stable")
+    values, start, count = np.unique(v[order], return_index=True, return_counts=True)
+    forest = Forest(len(x))
+    for flip in flips(radius):
+        at = np.minimum(np.searchsorted(values, values ^ flip), len(values) - 1)
+        ones = np.flatnonzero((values[at] == values ^ flip) & (values <= values ^ flip))
+        # pairs of rows by the number of their group and their number in it, a bounded part at a time
+        sizes = count[ones] * count[at[ones]]
+        ends = np.cumsum(sizes)
+        for lo in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+            n = np.arange(lo, min(lo + PAIRS, int(ends[-1])))
+            g = np.searchsorted(ends, n, "right")
+            own, other = ones[g], at[ones[g]]
+            n -= ends[g] - sizes[g]
+            a, b = order[start[own] + n // count[other]], order[start[other] + n % count[other]]
+            use = home[a] | home[b]
+            use &= (a < b) if not flip else True
+            if side is not None:
+                use &= side[a] != side[b]
+            use[use] = forest.root[a[use]] != forest.root[b[use]]
+            a, b = a[use], b[use]
+            near = distances(x, a, b) <= distance
+            forest.join(a[near], b[near])
+    return forest.found()
+
+
+def candidates(distinct: DataFrame, distance: int) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints whose closure is that of all links within the distance that some block shows with a bit at most."""
+    m = distinct.count()
+    shards = Shards(sampled(distinct, m, max(256, min(SAMPLE, 16 * m // SHARD_TARGET))), m)
+
+    def sizes(batches):
+        for b in batches:
+            fps = matrix(b.column("fp"))
+            for k in range(len(shards.of) if len(fps) else 0):
+                leaf, n = np.unique(shards.route(k, fps)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int64) + (k << 32)), pa.array(n)], ["shard", "n"])
+
+    counted = distinct.select("fp").mapInArrow(sizes, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n"))
+    large = {r["shard"]: -(-r["n"] // SHARD_ROWS) for r in counted.where(F.col("n") > SHARD_ROWS).collect()}
+
+    def deal(batches):
+        for b in batches:
+            column = b.column("fp")
+            fps = matrix(column)
+            chunk = np.array([xxhash.xxh32_intdigest(v) for v in column.to_pylist()], np.int64) if large else None
+            for k in range(len(shards.of) if len(fps) else 0):
+                rows, leaf = shards.route(k, fps)
+                home, shard = np.arange(len(rows)) < len(fps), leaf.astype(np.int64) + (k << 32)
+                parts = [(rows, shard, home, np.zeros(len(rows), np.int64))]
+                if large:
+                    c = np.array([large.get(s, 1) for s in shard.tolist()])
+                    small = c == 1
+                    parts = [(rows[small], shard[small], home[small], parts[0][3][small])]
+                    for other in range(c.max()):
+                        use = (c > 1) & (other < c)
+                        mine = chunk[rows[use]] % c[use]
+                        # the two chunks that meet, by number, and which of them the row is of
+                        place = np.minimum(mine, other) * c[use] + np.maximum(mine, other) + 1
+                        parts.append((rows[use], shard[use], home[use], np.where(mine > other, -place, place)))
+                rows, shard, home, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.abs(place)), pa.array(home), pa.array(place < 0), column.take(pa.array(rows))], ["shard", "place", "home", "second", "fp"])
+
+    def meet(group: pa.Table) -> pa.Table:
+        column, shard, place = group.column("fp").combine_chunks(), group.column("shard")[0].as_py(), group.column("place")[0].as_py()
+        x, home, second = matrix(column), group.column("home").to_numpy(), group.column("second").to_numpy()
+        c = large.get(shard, 1)
+        across = c > 1 and (place - 1) // c != (place - 1) % c
+        found = near_in_block(x, shards.value(shard >> 32, x), home, second if across else None, distance, shards.radius)
+        return pa.table({"u": column.take(pa.array(found[:, 0])), "v": column.take(pa.array(found[:, 1]))})
+
+    met = distinct.select("fp").mapInArrow(deal, "shard long, place long, home boolean, second boolean, fp binary").groupBy("shard", "place").applyInArrow(meet, "u binary, v binary")
+    return Cut(met.select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct()).df
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of an edge, the root being the least node; alternating large and small stars until nothing changes."""
     state, seen = Cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()), None
     for _ in range(rounds):
         both = state.df.unionByName(state.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = Cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        least = large.df.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.df.join(least, "u")
+        n = 2 * state.df.count()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = Cut(hot_join(both.where("v > u"), least, "u", n).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        least = large.df.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        joined = hot_join(large.df, least, "u", n)
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = Cut(small)
         now = new.df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -245,50 +422,104 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
-def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, least: float, text_col: str) -> DataFrame:
-    """The edges (u, v) whose texts have a Jaccard similarity of ``least`` or more; one text (the least 64-bit hash ``t``) stands for a fingerprint."""
-    nodes = edges.select(F.col("u").alias("fp")).union(edges.select(F.col("v").alias("fp"))).distinct()
-    chosen = Cut(prints.join(nodes, "fp", "left_semi").groupBy("fp").agg(F.min("t").alias("t"))).df
-    n = chosen.count()
-    texts = docs.select(F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
-    linked = texts.join(F.broadcast(chosen.select("t")) if n <= SMALL else chosen.select("t"), "t", "left_semi").groupBy("t").agg(F.min("text").alias("text"))
+def checked(x: np.ndarray, sets: list[np.ndarray], second: np.ndarray | None, distance: int, least: float) -> np.ndarray:
+    """A spanning forest of the links within the distance whose sets have a similarity of ``least``; with ``second``, only between rows that differ in it."""
+    forest = Forest(len(x))
+    for lo in range(0, len(x), ROWS):
+        band = x[lo : lo + ROWS]
+        d = np.zeros((len(band), len(x) - lo), np.uint16)
+        for w in range(x.shape[1]):
+            d += np.bitwise_count(band[:, None, w] ^ x[None, lo:, w])
+        a, b = np.nonzero(np.triu(d <= distance, 1))
+        for k in np.argsort(d[a, b], kind="stable").tolist():
+            i, j = int(a[k]) + lo, int(b[k]) + lo
+            if forest.root[i] != forest.root[j] and (second is None or second[i] != second[j]) and jaccard(sets[i], sets[j]) >= least:
+                forest.join(np.array([i]), np.array([j]))
+    return forest.found()
+
+
+def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, distance: int, least: float, id_col: str, text_col: str) -> DataFrame:
+    """Edges (u, v) whose closure is that of all links within the classes of the given edges: pairs within the distance whose texts have a Jaccard similarity of ``least`` or more. One text (the least 64-bit hash ``t``) stands for a fingerprint: others of the same 320 bits have the same shingles but for a hair."""
+    classes = Cut(components(edges)).df
+    n = classes.count()
+    # a text that many documents share is one row here
+    chosen = Cut(prints.groupBy("fp").agg(F.min("t").alias("t")).join(classes.select(F.col("node").alias("fp"), "root"), "fp")).df
+    texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    linked = spread_join(texts, chosen.select("t"), ["t"], n, ["i"], "left_semi").groupBy("t").agg(F.first("text").alias("text"))
 
     def sets(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("fp"), pa.array([shingle_set(t.as_py(), width).tobytes() for t in b.column("text")], pa.binary())], ["fp", "set"])
+            yield pa.RecordBatch.from_arrays([b.column("root"), b.column("fp"), pa.array([shingle_set(t.as_py(), width).tobytes() for t in b.column("text")], pa.large_binary()).cast(pa.binary())], ["root", "fp", "set"])
+
+    known = Cut(linked.join(chosen, "t").select("root", "fp", "text").mapInArrow(sets, "root binary, fp binary, set binary"))
+    size = known.df.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("set")).alias("bytes"))
+    size = Cut(size.select("root", "n", "bytes", F.greatest(F.ceil(F.col("n") / CLASS_ROWS), F.ceil(F.col("bytes") / CLASS_BYTES), F.lit(1)).cast("long").alias("c")))
+    buckets = max(12, (size.df.agg(F.sum("bytes").alias("b")).first()["b"] or 0) // BUCKET_BYTES)
+    # a small class shares its task with others; of a large one each two chunks meet
+    mine = F.pmod(F.xxhash64("fp"), F.col("c"))
+    dealt = hot_join(known.df, size.df.drop("bytes"), "root", n).select("root", "fp", "set", "c", mine.alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1)).alias("other"))
+    alone = F.col("c") == 1
+    dealt = dealt.select(
+        "root", "fp", "set", F.when(alone, F.pmod(F.xxhash64("root"), F.lit(buckets))).otherwise(F.xxhash64("root")).alias("g"), F.when(alone, -1).otherwise(F.least("mine", "other")).alias("lo"),
+        F.when(alone, -1).otherwise(F.greatest("mine", "other")).alias("hi"), (F.col("mine") > F.col("other")).alias("second"),
+    )
 
-    def check(batches):
-        for b in batches:
-            near = [jaccard(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) >= least for x, y in zip(b.column("x"), b.column("y"), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(near, pa.bool_()))
+    def meet(group: pa.Table) -> pa.Table:
+        across = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+        group = group.sort_by("root").combine_chunks()
+        root, column = group.column("root").to_pylist(), group.column("fp").combine_chunks()
+        x, second = matrix(column), group.column("second").to_numpy()
+        all_sets = [np.frombuffer(v.as_py(), np.uint64) for v in group.column("set")]
+        out, lo = [np.zeros((0, 2), np.int64)], 0
+        while lo < len(root):
+            hi = lo + 1
+            while hi < len(root) and root[hi] == root[lo]:
+                hi += 1
+            out.append(checked(x[lo:hi], all_sets[lo:hi], second[lo:hi] if across else None, distance, least) + lo)
+            lo = hi
+        found = np.concatenate(out)
+        return pa.table({"u": column.take(pa.array(found[:, 0])), "v": column.take(pa.array(found[:, 1]))})
 
-    known = Cut(linked.join(chosen, "t").select("fp", "text").mapInArrow(sets, "fp binary, set binary"))
-    of = lambda c, name: known.df.select(F.col("fp").alias(c), F.col("set").alias(name))
-    out = Cut(edges.join(of("u", "x"), "u").join(of("v", "y"), "v").select("u", "v", "x", "y").mapInArrow(check, "u binary, v binary"))
+    out = Cut(dealt.groupBy("g", "lo", "hi").applyInArrow(meet, "u binary, v binary"))
     known.drop()
     return out.df
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, blocks: int = 2, n_words: int = 1, radius: int | None = None, id_col: str = "doc_id", text_col: str = "text", least: float | None = None, nearer: tuple[int, ...] = ()) -> DataFrame:
-    """One row per document: id, fp, component_id (the least id that links lead to, its own included). With ``least``, a link also takes a Jaccard similarity of the shingle sets of that much."""
-    prints = Cut(fingerprints(docs, width, n_words, id_col, text_col, least is not None)).df
-    distinct = Cut(prints.groupBy("fp").agg(F.min(id_col).alias("rep"))).df
-    edges = links(distinct, distance, blocks, radius, nearer)
-    roots = components(edges if least is None else verified(edges, prints, docs, width, least, text_col))
-    linked = distinct.join(roots, distinct["fp"] == roots["node"]).select("fp", "rep", "root")
-    named = linked.join(linked.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", F.col("component_id").alias("c"))
-    of = Cut(distinct.join(named, "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"))).df
-    return prints.join(of, "fp").select(id_col, "fp", "component_id")
+def named(prints: DataFrame, distinct: DataFrame, edges: DataFrame, total: int, id_col: str) -> DataFrame:
+    """One row per document: id, fp, component_id."""
+    roots = components(edges).select(F.col("node").alias("fp"), "root")
+    linked = Cut(roots.join(distinct, "fp").select("fp", "rep", "root", "n")).df
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
+    known = hot_join(linked.withColumnRenamed("n", "docs"), least, "root", linked.count()).select("fp", F.col("component_id").alias("c"))
+    of = Cut(distinct.join(known, "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"), "n")).df
+    return hot_join(prints.select(id_col, "fp"), of, "fp", total).select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, distance: int = 70, blocks: int = 4, n_words: int = 6, radius: int | None = 0, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
-    """The documents, all columns, without those whose component has a lesser id. Rows that repeat an id are kept or dropped together.
+def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, blocks: int = 2, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, fp, component_id (the least id that links lead to, its own included)."""
+    prints = Cut(fingerprints(docs, width, n_words, id_col, text_col)).df
+    distinct = Cut(prints.groupBy("fp").agg(F.min(id_col).alias("rep"), F.count("*").alias("n"))).df
+    return named(prints, distinct, links(distinct, distance, blocks), prints.count(), id_col)
 
-    The fingerprints have 384 bits. Shingle sets of Jaccard similarity 0.8 (cosine 8/9) differ in 58 of these on average,
-    with a deviation of 7; the distance 70 takes in 95 % of them. Every edge of the forests is then checked exactly; the
-    forests take near fingerprints first, but a pair whose path in all forests has a failing edge is not found.
-    """
-    found = near_duplicates(docs, width, distance, blocks, n_words, radius, id_col, text_col, least, NEARER)
+
+def far(least: float, n_words: int) -> int:
+    """The distance of fingerprints up to which sets of that similarity lie, five deviations above the mean."""
+    p = math.acos(2 * least / (1 + least)) / math.pi
+    return math.ceil(64 * n_words * p + 5 * math.sqrt(64 * n_words * p * (1 - p)))
+
+
+def similar_texts(docs: DataFrame, width: int = 5, least: float = 0.8, n_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, fp, component_id (the least id that links lead to, its own included); a link is a Jaccard similarity of ``least`` or more."""
+    prints = Cut(fingerprints(docs, width, n_words, id_col, text_col, sets=True)).df
+    distinct = Cut(prints.groupBy("fp").agg(F.min(id_col).alias("rep"), F.count("*").alias("n"))).df
+    distance = far(least, n_words)
+    edges = verified(candidates(distinct, distance), prints, docs, width, distance, least, id_col, text_col)
+    return named(prints, distinct, edges, prints.count(), id_col)
+
+
+def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, n_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, without those whose component has a lesser id. Rows that repeat an id are kept or dropped together."""
+    found = similar_texts(docs, width, least, n_words, id_col, text_col)
     dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct()
     return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import Cut
 
-ATOMS, LOTS, BUCKETS = 256, 64, 64
+#: An atom of a group that holds a third of all rows is a twenty-fourth of one of 16 shards.
+ATOMS, LOTS, BUCKETS = 128, 64, 64
 #: Rows that a window over a bucket of a shard sorts, about.
 BUCKET_ROWS = 250_000
 #: While groups move, a shard may hold this part of the quota more; the levelling at the end takes it back.

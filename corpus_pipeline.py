@@ -1,7 +1,8 @@
 """The corpus pipeline: language ID, line dedup, SimHash near-dedup, benchmark decontamination, BPE round trip.
 
 Every stage takes (spark, docs, sf_dir); all but the last return the columns of documents. ``run`` writes each stage's
-rows to the shared folder as Parquet and hands the reread table to the next.
+rows to the shared folder as Parquet and hands the reread table to the next; what a stage has stored on its way is then
+deleted, and a stage's rows once the next one's are written.
 """
 
 from __future__ import annotations
@@ -9,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.llm import bpe, decontaminate, language_id, line_dedup, simhash
-from cadastra.llm.common import cut, table
+from cadastra.llm.common import Cut, scratch, table
 from cadastra.llm.queries import VOCABULARY
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, for which no language can be given, go."""
+    """Documents without a letter, or for which no language speaks, go; a missing language is filled in."""
     return language_id.keep_identified(docs, language_id.fit(docs))
 
 
@@ -23,7 +24,7 @@ def lines_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_deduped(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles; the document with the least id of each group stays."""
+    """Five-word shingles, a similarity of 0.8 or more; the document with the least id of each group stays."""
     return simhash.keep_one(docs)
 
 
@@ -42,7 +43,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
+        with scratch():
+            written = Cut(stage(spark, docs, sf_dir), kept=True)
+        if held is not None:
+            held.drop()
+        docs, held = written.df, written
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -17,7 +17,8 @@ SOURCE = Path(__file__).with_name("Kernel.java")
 SHAPE = "struct<minx:double,miny:double,maxx:double,maxy:double,area:double,length:double,cx:double,cy:double>"
 POSITION = "struct<dx:double,dy:double,contact:double,touches:boolean,pieces:int,largest:double>"
 FRONTAGE = "struct<contact:double,pieces:array<struct<seq:int,piece:binary,length:double,inside:binary,way:binary,distance:double,probe:binary>>>"
-RETURNS = {"DoubleHex": "string", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Position": POSITION, "Frontage": FRONTAGE}
+OVERLAP = "struct<geom:binary,m2:double>"
+RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Position": POSITION, "Frontage": FRONTAGE}
 # EPSG:26985, both parallels, origin latitude and longitude, false easting and northing.
 EPSG_26985 = (39.45, 38.3, 37.0 + 2.0 / 3.0, -77.0, 400000.0, 0.0)
 
@@ -150,6 +151,39 @@ def line_runs(gs) -> Column:
     return _call("lineruns", gs)
 
 
+def overlap(a, b) -> Column:
+    """(geom, m2): the areal part that two shapes share, empty where they only touch; null where they are apart."""
+    return _call("overlap", a, b)
+
+
+def box(x0, y0, x1, y1) -> Column:
+    return _call("box", *[(F.col(c) if isinstance(c, str) else c).cast("double") for c in (x0, y0, x1, y1)])
+
+
+def ring(xy) -> Column:
+    """A polygon from its corners, x, y, x, y and so on, the first not repeated."""
+    return _call("path", xy, F.lit(True))
+
+
+def line(xy) -> Column:
+    return _call("path", xy, F.lit(False))
+
+
+#: Known coordinate systems: the working plane, the same plane in US survey feet, and those by way of longitude and latitude.
+PLANE, PLANE_FEET, GLOBAL = 26985, 2248, (4326, 4269, 3857)
+
+
+def reprojected(g, epsg: int) -> Column:
+    """A shape of a known coordinate system in the working plane."""
+    if epsg == PLANE:
+        return F.col(g) if isinstance(g, str) else g
+    if epsg == PLANE_FEET:
+        return _call("scaled", g, F.lit(1200 / 3937))
+    if epsg in GLOBAL:
+        return to_plane(_call("lonlat", g, F.lit(epsg)))
+    raise ValueError(f"EPSG:{epsg} is not read here; known are {PLANE}, {PLANE_FEET}, {GLOBAL}")
+
+
 def to_plane(g, params=EPSG_26985) -> Column:
     """Longitude and latitude to the plane of the given conic projection."""
     return _call("lambert", g, F.array(*[F.lit(float(p)) for p in params]), F.lit(False))

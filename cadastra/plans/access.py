@@ -29,7 +29,7 @@ def ways(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: SparkSe
             tables.append(clipped(df, study).select(F.lit(r.name).alias("row_layer"), F.lit(r.authority).alias("authority"), F.lit(r.public).alias("public"), "geom"))
     if not tables:
         tables = [spark.createDataFrame([], "row_layer string, authority string, public boolean, geom binary")]
-    return with_box(reduce(DataFrame.unionByName, tables).withColumn("way_id", F.monotonically_increasing_id()))
+    return with_box(reduce(DataFrame.unionByName, tables).withColumn("way_id", F.xxhash64("row_layer", "authority", "geom")))
 
 
 def frontage(targets: DataFrame, parcels: DataFrame, roads: DataFrame, hostile: DataFrame, cfg: Config) -> tuple[DataFrame, DataFrame]:

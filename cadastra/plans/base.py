@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -23,13 +23,18 @@ def areal_only(df: DataFrame) -> DataFrame:
     return fixed.where(word.isin("03", "06") & ~K.is_empty("geom"))
 
 
+def row_order(df: DataFrame, *by: str) -> Column:
+    """A number to break ties by that doesn't change when a task runs again or files are split anew: ``_row``, the row's place in its source, or a hash of the given columns."""
+    return F.col("_row") if "_row" in df.columns else F.xxhash64(*[F.col(f"`{c}`") for c in (by or df.columns)])
+
+
 def dissolve(rows: DataFrame) -> DataFrame:
     """One row per account: the first value of each column in row order, and the union of the shapes.
 
     Acreage that repeats on an account's rows is taken as it is; if the sum of the rows fits the shape better, and well
     enough, the rows were single polygons and the sum is taken; rows that differ are not trusted (``_inconsistent``).
     """
-    rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_acres", F.expr("try_cast(acreage_sdat AS double)"))
+    rows = rows.withColumn("_row", row_order(rows)).withColumn("_acres", F.expr("try_cast(acreage_sdat AS double)"))
     other = [c for c in rows.columns if c not in ("account_id", "geom", "_row", "_acres", "acreage_sdat")]
     first = lambda c: F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col("_row")))
     return rows.groupBy("account_id").agg(
@@ -63,10 +68,16 @@ def acreage(df: DataFrame, cfg: Config) -> DataFrame:
     return out.withColumn("meets_acreage", ok if cfg.acreage_max is None else ok & (F.col("gross_acres") <= cfg.acreage_max))
 
 
+def unknown_counties(df: DataFrame, cfg: Config) -> DataFrame:
+    """(county_code): the data's codes that the configuration lacks."""
+    known = df.sparkSession.createDataFrame([(c,) for c in cfg.counties], "county_code string")
+    return df.select(F.trim(F.col("county_code").cast("string")).alias("county_code")).distinct().join(F.broadcast(known), "county_code", "left_anti")  # rows of the configuration
+
+
 def counties(df: DataFrame, cfg: Config) -> DataFrame:
     """Names for county codes; a code that the configuration lacks stops the run."""
     out = df.withColumn("county_code", F.trim(F.col("county_code").cast("string")))
-    unknown = sorted(str(r[0]) for r in out.select("county_code").distinct().where(~F.coalesce(F.col("county_code").isin(list(cfg.counties)), F.lit(False))).limit(100).collect())
+    unknown = sorted(str(r[0]) for r in unknown_counties(out, cfg).collect())
     if unknown:
         raise ConfigError(f"county codes of the data that the configuration lacks: {unknown}; it has {sorted(cfg.counties)}")
     names = F.create_map(*[F.lit(x) for kv in cfg.counties.items() for x in kv])
@@ -101,9 +112,8 @@ def zoning_shares(pairs: DataFrame) -> DataFrame:
     return out.select("account_id", "zoning", M.rounded(100 * F.col("ag_m2") / total, 1).alias("zoning_ag_pct"), F.col("major.ag").alias("is_agricultural"), F.array_join(F.transform(F.array_sort("codes"), share), ";").alias("zoning_codes_all"), F.col("major.ag").isNull().alias("zoning_unmapped"))
 
 
-def zoning(df: DataFrame, layers: dict[str, DataFrame], cfg: Config, cell: float = 2000.0) -> DataFrame:
-    """Majority zoning of the parcels that meet the acreage; counties without a layer are marked."""
-    spark = df.sparkSession
+def zoning_pairs(df: DataFrame, layers: dict[str, DataFrame], cfg: Config, cell: float = 2000.0) -> DataFrame | None:
+    """(account_id, county, code, m2, zone_order, ag): what zones take of the parcels that meet the acreage, with the mappings' answers; none without layers."""
     zones = None
     for county, layer in sorted(layers.items()):
         spec = cfg.zoning_for(county)
@@ -111,21 +121,32 @@ def zoning(df: DataFrame, layers: dict[str, DataFrame], cfg: Config, cell: float
             raise ConfigError(f"zoning {county}: code_field is not set")
         if spec.code_field not in layer.columns:
             raise schema.SchemaError(f"zoning {county}: no field {spec.code_field}; the fields are {layer.columns}")
-        one = areal_only(layer).select(F.lit(county).alias("county"), F.col(spec.code_field).cast("string").alias("code"), F.monotonically_increasing_id().alias("zone_order"), "geom")
+        one = areal_only(layer).select(F.lit(county).alias("county"), F.col(spec.code_field).cast("string").alias("code"), row_order(layer, spec.code_field, "geom").alias("zone_order"), "geom")
         zones = one if zones is None else zones.unionByName(one)
+    if zones is None:
+        return None
     known = [(z.county, c, v.get("is_agricultural")) for z in cfg.zoning for c, v in z.codes.items()]
-    mapping = spark.createDataFrame(known, "county string, code string, ag boolean")
-    scope = df.where("meets_acreage")
+    mapping = df.sparkSession.createDataFrame(known, "county string, code string, ag boolean")
+    pairs = grid_join(df.where("meets_acreage").select("account_id", "county", "geom", "box"), with_box(zones), cell, on=["county"], overlay=True)
+    pairs = pairs.select("l.account_id", "l.county", "r.code", "r.zone_order", F.col("o.m2").alias("m2"))
+    return pairs.join(F.broadcast(mapping), ["county", "code"], "left")  # rows of the configuration
+
+
+def unanswered(pairs: DataFrame) -> DataFrame:
+    """(county, code): codes that some parcel meets and the mappings don't answer."""
+    return pairs.where("ag IS NULL").select("county", "code").distinct()
+
+
+def zoning(df: DataFrame, layers: dict[str, DataFrame], cfg: Config, cell: float = 2000.0) -> DataFrame:
+    """Majority zoning of the parcels that meet the acreage; counties without a layer are marked."""
+    pairs = zoning_pairs(df, layers, cfg, cell)
     missing = ~F.col("county").isin(list(layers)) if layers else F.lit(True)
     none = {"zoning": "string", "zoning_ag_pct": "double", "is_agricultural": "boolean", "zoning_codes_all": "string"}
-    if zones is None:
+    if pairs is None:
         out = df.withColumns({c: F.lit(None).cast(t) for c, t in none.items()}).withColumn("zoning_unmapped", F.lit(False))
     else:
-        pairs = grid_join(scope.select("account_id", "county", "geom", "box"), with_box(zones), cell, on=["county"])
-        pairs = pairs.select("l.account_id", "l.county", "r.code", "r.zone_order", K.overlap_area(F.col("l.geom"), F.col("r.geom")).alias("m2"))
-        pairs = pairs.join(F.broadcast(mapping), ["county", "code"], "left")  # rows of the configuration
         if cfg.on_unmapped_zoning == "error":
-            bad = sorted((r["county"], r["code"]) for r in pairs.where("ag IS NULL").select("county", "code").distinct().limit(1000).collect())
+            bad = sorted((r["county"], r["code"]) for r in unanswered(pairs).collect())
             if bad:
                 raise ConfigError("zoning codes without an answer in the mappings: " + "; ".join(f"{c}: {code}" for c, code in bad))
         out = df.join(zoning_shares(pairs), "account_id", "left").withColumn("zoning_unmapped", F.coalesce("zoning_unmapped", F.lit(False)))

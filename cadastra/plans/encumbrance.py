@@ -49,9 +49,9 @@ def specs(cfg: Config, spark: SparkSession) -> DataFrame:
 def encumbrances(parcels: DataFrame, features: DataFrame, cfg: Config, cell: float = 1000.0) -> DataFrame:
     """One row per (parcel, layer) with ten square metres or more: shares, position, names and the geometry taken."""
     spark = parcels.sparkSession
-    pairs = grid_join(parcels.select("account_id", "geom", "box"), features, cell)
+    pairs = grid_join(parcels.select("account_id", "geom", "box"), features, cell, overlay=True)
     # features are cut to their parcel first: unions stay small, whatever the size of a feature
-    cut = pairs.select("l.account_id", "r.source_layer", "r.ord", "r.name", K.areal_intersection(F.col("l.geom"), F.col("r.geom")).alias("g"))
+    cut = pairs.select("l.account_id", "r.source_layer", "r.ord", "r.name", F.col("o.geom").alias("g"))
     taken = cut.groupBy("account_id", "source_layer", "ord").agg(K.union_all(F.collect_list("g")).alias("part"), F.count("*").alias("feature_count"), F.array_join(F.sort_array(F.collect_set("name")), "; ").alias("names"), F.count("name").alias("named"))
     rows = taken.join(parcels.select("account_id", F.col("geom").alias("parcel"), F.col("box.area").alias("parcel_m2")), "account_id").withColumn("part", K.areal("part")).withColumn("m2", K.area("part")).where(F.col("m2") >= LEAST_M2)
     rows = rows.withColumn("p", K.relative_position("parcel", "part", cfg.access.sliver_acres * M.ACRE_M2)).join(F.broadcast(specs(cfg, spark)), "source_layer")

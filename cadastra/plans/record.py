@@ -55,6 +55,11 @@ class Inputs:
     dem: tuple[DataFrame, S.Grid] | None = None
 
 
+def targets(stage1: DataFrame, cfg: Config) -> DataFrame:
+    """The parcels that go on after stage 1: those that pass, or all if the configuration says so."""
+    return stage1 if cfg.process_all else stage1.where("stage1_pass")
+
+
 def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) -> dict[str, DataFrame]:
     """Tables by name: stage1, encumbrances, usable, frontage, entry_points, strips, islands, scored. Stage 1 always runs."""
     if 3 in stages and 2 not in stages:
@@ -63,7 +68,7 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
         raise ValueError("stage 4 needs stage 3")
     spark: SparkSession = inputs.parcels.sparkSession
     out = {"stage1": cut(base.stage1(inputs.parcels, inputs.study, inputs.zoning, cfg))}
-    scored = out["stage1"].where(F.lit(True) if cfg.process_all else F.col("stage1_pass"))
+    scored = targets(out["stage1"], cfg)
     if 2 in stages:
         features = encumbrance.all_layers(inputs.constraints, cfg, inputs.study, spark)
         enc = cut(encumbrance.encumbrances(scored, features, cfg))
@@ -89,24 +94,36 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
     return out
 
 
+def _n(c: Column) -> Column:
+    return F.count_if(F.coalesce(c, F.lit(False)))
+
+
+def overall(one: DataFrame) -> DataFrame:
+    """One row: stage 1's counts over all counties."""
+    return one.agg(F.count("*").alias("parcels_in_study_area"), _n(F.col("meets_acreage")).alias("meets_acreage"), _n(F.col("stage1_pass")).alias("stage1_pass"), _n(F.col("acreage_disagrees")).alias("acreage_disagreements"), F.count_distinct(F.when(F.col("stage1_pass"), F.col("owner_key"))).alias("unique_owner_keys_passing"))
+
+
+def totals(scored: DataFrame, cfg: Config, ran) -> DataFrame:
+    """One row: counts and sums of the later stages that ran, by the tables that they leave."""
+    sums = {}
+    if "encumbrances" in ran:
+        sums |= {"parcels_with_hostile_easement": _n(F.col("hostile_easement_acres") > 0), "parcels_with_favorable_easement": _n(F.col("favorable_easement_acres") > 0), "parcels_bisected_by_hostile_constraint": _n(F.col("bisecting_constraints") != "")}
+    if "usable" in ran:
+        sums |= {"usable_acres_total": F.sum("usable_acres"), "gross_acres_total": F.sum("gross_acres"), "parcels_usable_below_acreage_min": _n(F.col("usable_acres") < cfg.acreage_min)}
+    if "frontage" in ran:
+        sums |= {c: _n(F.col(c)) for c in ("landlocked_apparent", "frontage_blocked_by_foreign_parcel", "reserve_strip_detected")} | {"parcels_with_unreachable_islands": _n(F.col("unreachable_island_count") > 0), "largest_reachable_below_acreage_min": _n(F.col("largest_contiguous_reachable_acres") < cfg.acreage_min), "largest_reachable_ge_acreage_min": _n(F.col("largest_contiguous_reachable_acres") >= cfg.acreage_min)}
+    return scored.agg(F.count("*").alias("scored_parcels"), *[c.alias(k) for k, c in sums.items()])
+
+
 def summary(out: dict[str, DataFrame], cfg: Config) -> dict:
     """Counts and sums of every stage that ran."""
-    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     one = out["stage1"]
-    head = one.agg(F.count("*").alias("parcels_in_study_area"), n(F.col("meets_acreage")).alias("meets_acreage"), n(F.col("stage1_pass")).alias("stage1_pass"), n(F.col("acreage_disagrees")).alias("acreage_disagreements"), F.count_distinct(F.when(F.col("stage1_pass"), F.col("owner_key"))).alias("unique_owner_keys_passing")).first().asDict()
+    head = overall(one).first().asDict()
     counties = {r["county"]: r.asDict() for r in base.county_summary(one).orderBy("county").collect()}
     for r in one.where("stage1_pass").groupBy("county", "owner_type").count().orderBy(F.desc("count"), "owner_type").collect():
         counties[r["county"]].setdefault("owner_types_passing", {})[r["owner_type"]] = r["count"]
     done: dict = {"stage1": head | {"acreage_min": cfg.acreage_min, "acreage_max": cfg.acreage_max, "per_county": counties}}
-    scored = out["scored"]
-    sums = {}
-    if "encumbrances" in out:
-        sums |= {"parcels_with_hostile_easement": n(F.col("hostile_easement_acres") > 0), "parcels_with_favorable_easement": n(F.col("favorable_easement_acres") > 0), "parcels_bisected_by_hostile_constraint": n(F.col("bisecting_constraints") != "")}
-    if "usable" in out:
-        sums |= {"usable_acres_total": F.sum("usable_acres"), "gross_acres_total": F.sum("gross_acres"), "parcels_usable_below_acreage_min": n(F.col("usable_acres") < cfg.acreage_min)}
-    if "frontage" in out:
-        sums |= {c: n(F.col(c)) for c in ("landlocked_apparent", "frontage_blocked_by_foreign_parcel", "reserve_strip_detected")} | {"parcels_with_unreachable_islands": n(F.col("unreachable_island_count") > 0), "largest_reachable_below_acreage_min": n(F.col("largest_contiguous_reachable_acres") < cfg.acreage_min), "largest_reachable_ge_acreage_min": n(F.col("largest_contiguous_reachable_acres") >= cfg.acreage_min)}
-    got = scored.agg(F.count("*").alias("scored_parcels"), *[c.alias(k) for k, c in sums.items()]).first().asDict()
+    got = totals(out["scored"], cfg, out).first().asDict()
     return done | got | ({"encumbrance_rows": out["encumbrances"].count()} if "encumbrances" in out else {})
 
 

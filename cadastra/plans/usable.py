@@ -13,8 +13,8 @@ from ..operators.spatial import grid_join, with_box
 
 def steep_parts(parcels: DataFrame, steep: DataFrame, cell: float = 500.0) -> DataFrame:
     """(account_id, geom): the steep ground inside each parcel."""
-    pairs = grid_join(parcels.select("account_id", "geom", "box"), with_box(steep), cell)
-    cut = pairs.select("l.account_id", K.areal_intersection(F.col("l.geom"), F.col("r.geom")).alias("g"))
+    pairs = grid_join(parcels.select("account_id", "geom", "box"), with_box(steep), cell, overlay=True)
+    cut = pairs.select("l.account_id", F.col("o.geom").alias("g"))
     return cut.groupBy("account_id").agg(K.union_all(F.collect_list("g")).alias("geom")).where(K.area("geom") > 0)
 
 

@@ -68,26 +68,25 @@ def owner_key_collapse(spark, sf_dir):
     return parcels(spark, sf_dir).groupBy(O.owner_key("owner_name", "owner_mailing_address").alias("owner_key")).agg(F.count("*").alias("parcels"))
 
 
-@query(f"""{CTES}, t AS (SELECT k, x0, y0, list_distinct(list_filter(string_split({NAME_SQL}, ' '), lambda s: length(s) > 1)) AS t, {ADDRESS_SQL} AS a FROM p)
-SELECT l.k AS k, r.k AS other FROM t l JOIN t r ON l.x0 = r.x0 AND l.k <> r.k
-WHERE (len(l.t) > 0 AND len(r.t) > 0 AND (len(list_intersect(l.t, r.t)) / len(list_distinct(list_concat(l.t, r.t))) >= 0.6 OR (len(list_intersect(l.t, r.t)) > 0 AND (list_has_all(l.t, r.t) OR list_has_all(r.t, l.t))))) OR (l.a = r.a AND l.a <> '')""")
+@query(f"""{CTES}, t AS (SELECT k, x0, y0, x1, y1, list_distinct(list_filter(string_split({NAME_SQL}, ' '), lambda s: length(s) > 1)) AS t, {ADDRESS_SQL} AS a FROM p)
+SELECT l.k AS k, r.k AS other, coalesce((len(l.t) > 0 AND len(r.t) > 0 AND (len(list_intersect(l.t, r.t)) / len(list_distinct(list_concat(l.t, r.t))) >= 0.6 OR (len(list_intersect(l.t, r.t)) > 0 AND (list_has_all(l.t, r.t) OR list_has_all(r.t, l.t))))) OR (l.a = r.a AND l.a <> ''), false) AS same_owner
+FROM t l JOIN t r ON l.k <> r.k AND l.x0 <= r.x1 + 350 AND r.x0 <= l.x1 + 350 AND l.y0 <= r.y1 + 350 AND r.y0 <= l.y1 + 350 AND {{near}} <= 350""".replace("{near}", "sqrt(pow(greatest(0, greatest(l.x0 - r.x1, r.x0 - l.x1)), 2) + pow(greatest(0, greatest(l.y0 - r.y1, r.y0 - l.y1)), 2))"))
 def owner_match_pairs(spark, sf_dir):
-    """Owners that plausibly are one, among parcels of a column of the grid."""
-    t = parcels(spark, sf_dir).select("k", "x0", O.name_tokens("owner_name").alias("t"), O.normal_address("owner_mailing_address").alias("a"))
-    l, r = t.alias("l"), t.alias("r")
-    match = O.owners_match(F.col("l.t"), F.col("r.t"), F.col("l.a"), F.col("r.a"))
-    return l.join(r, (F.col("l.x0") == F.col("r.x0")) & (F.col("l.k") != F.col("r.k")) & match).select(F.col("l.k").alias("k"), F.col("r.k").alias("other"))
+    """Neighbouring parcels, at most 350 m apart, and whether their owners plausibly are one: pairs grow with the parcels, not with their square."""
+    p = parcels(spark, sf_dir).select("k", "geom", "box", O.name_tokens("owner_name").alias("t"), O.normal_address("owner_mailing_address").alias("a"))
+    pairs = grid_join(p, p, 1000.0, within=350.0).where(F.col("l.k") != F.col("r.k"))
+    return pairs.select(F.col("l.k").alias("k"), F.col("r.k").alias("other"), O.owners_match(F.col("l.t"), F.col("r.t"), F.col("l.a"), F.col("r.a")).alias("same_owner"))
 
 
 # ---- accounts and acreage ------------------------------------------------------
 def _accounts(spark, sf_dir):
     """Orders as rows of accounts; acreage by order key, some of it missing or no number."""
     text = F.when(F.col("o_orderkey") % 11 == 0, "n/a").when(F.col("o_custkey") % 3 == 0, F.col("o_orderkey").cast("string")).when(F.col("o_orderkey") % 7 != 0, (F.col("o_custkey") * 2 + 40).cast("string"))
-    o = table(spark, sf_dir, "orders").where("o_custkey % 10 < 4")
+    o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_custkey").alias("account_id"), F.col("o_orderkey").alias("row"), "o_orderpriority", text.alias("acreage")).withColumn("acres", F.expr("try_cast(acreage AS double)"))
 
 
-ACCOUNTS = """a AS (SELECT o_custkey AS account_id, o_orderkey AS row, o_orderpriority, TRY_CAST(CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_custkey % 3 = 0 THEN o_orderkey::VARCHAR WHEN o_orderkey % 7 <> 0 THEN (o_custkey * 2 + 40)::VARCHAR END AS DOUBLE) AS acres FROM orders WHERE o_custkey % 10 < 4)"""
+ACCOUNTS = """a AS (SELECT o_custkey AS account_id, o_orderkey AS row, o_orderpriority, TRY_CAST(CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_custkey % 3 = 0 THEN o_orderkey::VARCHAR WHEN o_orderkey % 7 <> 0 THEN (o_custkey * 2 + 40)::VARCHAR END AS DOUBLE) AS acres FROM orders)"""
 DISSOLVED = f"{ACCOUNTS}, d AS (SELECT account_id, arg_min(acres, row) FILTER (acres IS NOT NULL) AS f, arg_min(o_orderpriority, row) AS first_priority, sum(acres) AS s, count(DISTINCT acres) AS kinds, count(*) AS n, ((account_id * 2 + 40) * (1 + account_id % 4)) * {ACRE} AS m2 FROM a GROUP BY 1)"
 
 
@@ -142,7 +141,7 @@ def study_area_select(spark, sf_dir):
 # ---- zoning and stage 1 ----------------------------------------------------------
 def _stage1(spark, sf_dir):
     p = base.owners(base.counties(_with_acreage(spark, sf_dir), _config()))
-    layer = zones(spark, sf_dir).select("code", "geom").coalesce(1)
+    layer = zones(spark, sf_dir).select("code", "geom", F.col("z").cast("long").alias("_row"))
     return base.passed(base.zoning(p, {"Frederick": layer, "Carroll": layer}, _config()), _config())
 
 
@@ -177,8 +176,8 @@ def owner_type_counts(spark, sf_dir):
 
 # ---- encumbrances ----------------------------------------------------------------
 def _pairs(spark, sf_dir):
-    got = grid_join(parcels(spark, sf_dir).select("k", "geom", "box"), encumbrances(spark, sf_dir).select("e", "layer", "geom", "box"), 700.0)
-    return got.select(F.col("l.k").alias("k"), F.col("r.e").alias("e"), F.col("r.layer").alias("layer"), F.col("l.geom").alias("parcel"), F.col("l.box").alias("pbox"), K.areal_intersection(F.col("l.geom"), F.col("r.geom")).alias("part"))
+    got = grid_join(parcels(spark, sf_dir).select("k", "geom", "box"), encumbrances(spark, sf_dir).select("e", "layer", "geom", "box"), 700.0, overlay=True)
+    return got.select(F.col("l.k").alias("k"), F.col("r.e").alias("e"), F.col("r.layer").alias("layer"), F.col("l.geom").alias("parcel"), F.col("l.box").alias("pbox"), F.col("o.geom").alias("part"), F.col("o.m2").alias("m2"))
 
 
 ENCP = f"x AS (SELECT p.k, e.e, e.layer, {OVERLAP.format(a='p', b='e')} AS m2, (p.x1 - p.x0) * (p.y1 - p.y0) AS pm2, greatest(p.x0, e.x0) AS ix0, least(p.x1, e.x1) AS ix1, greatest(p.y0, e.y0) AS iy0, least(p.y1, e.y1) AS iy1, p.x0 AS px0, p.x1 AS px1, p.y0 AS py0, p.y1 AS py1 FROM p JOIN e ON {MEET.format(a='p', b='e')})"
@@ -186,7 +185,7 @@ ENCP = f"x AS (SELECT p.k, e.e, e.layer, {OVERLAP.format(a='p', b='e')} AS m2, (
 
 @query(f"{CTES}, {ENCP} SELECT k, e, layer, {r2(f'm2 / {ACRE}')} AS acres, {r2('100 * m2 / pm2', 1)} AS pct FROM x WHERE m2 >= 10")
 def encumbrance_rows(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).withColumn("m2", K.area("part")).where("m2 >= 10")
+    rows = _pairs(spark, sf_dir).where("m2 >= 10")
     return rows.select("k", "e", "layer", M.rounded(M.acres(F.col("m2")), 2).alias("acres"), M.rounded(100 * F.col("m2") / F.col("pbox.area"), 1).alias("pct"))
 
 
@@ -221,20 +220,20 @@ u AS (SELECT k, sum(m2) FILTER (in_h) AS hm2, sum(m2) FILTER (in_any) AS am2 FRO
 @query(f"{CTES}, {SLABS} SELECT k, {r2(f'coalesce(hm2, 0) / {ACRE}')} AS hostile_acres, {r2(f'coalesce(am2, 0) / {ACRE}')} AS all_acres FROM u")
 def union_area_by_implication(spark, sf_dir):
     hostile = F.col("layer").isin("1", "2")
-    by = _pairs(spark, sf_dir).where(K.area("part") > 0).groupBy("k").agg(K.union_all(F.collect_list(F.when(hostile, F.col("part")))).alias("h"), K.union_all(F.collect_list("part")).alias("a"))
+    by = _pairs(spark, sf_dir).where("m2 > 0").groupBy("k").agg(K.union_all(F.collect_list(F.when(hostile, F.col("part")))).alias("h"), K.union_all(F.collect_list("part")).alias("a"))
     return by.select("k", M.rounded(M.acres(K.area("h")), 2).alias("hostile_acres"), M.rounded(M.acres(K.area("a")), 2).alias("all_acres"))
 
 
 @query(f"{CTES}, {SLABS} SELECT p.k, {r2(f'((x1 - x0) * (y1 - y0) - coalesce(hm2, 0)) / {ACRE}')} AS usable_acres, {r2('100 * ((x1 - x0) * (y1 - y0) - coalesce(hm2, 0)) / ((x1 - x0) * (y1 - y0))', 1)} AS usable_pct FROM p LEFT JOIN u USING (k)")
 def usable_area(spark, sf_dir):
-    hostile = _pairs(spark, sf_dir).where(F.col("layer").isin("1", "2") & (K.area("part") > 0)).groupBy("k").agg(K.union_all(F.collect_list("part")).alias("h"))
+    hostile = _pairs(spark, sf_dir).where(F.col("layer").isin("1", "2") & (F.col("m2") > 0)).groupBy("k").agg(K.union_all(F.collect_list("part")).alias("h"))
     p = parcels(spark, sf_dir).join(hostile, "k", "left").withColumn("m2", F.when(F.col("h").isNull(), F.col("box.area")).otherwise(K.area(K.areal_difference("geom", "h"))))
     return p.select("k", M.rounded(M.acres(F.col("m2")), 2).alias("usable_acres"), M.rounded(100 * F.col("m2") / F.col("box.area"), 1).alias("usable_pct"))
 
 
 @query(f"{CTES}, {ENCP}, b AS (SELECT DISTINCT k, layer FROM x WHERE m2 >= 10 AND ((ix0 = px0 AND ix1 = px1 AND iy0 > py0 AND iy1 < py1) OR (iy0 = py0 AND iy1 = py1 AND ix0 > px0 AND ix1 < px1))) SELECT k, string_agg(layer, ';' ORDER BY layer) AS bisecting FROM b GROUP BY k")
 def bisecting_types(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).where(K.area("part") >= 10).withColumn("pos", K.relative_position("parcel", "part", 1e-6))
+    rows = _pairs(spark, sf_dir).where("m2 >= 10").withColumn("pos", K.relative_position("parcel", "part", 1e-6))
     return rows.where("pos.pieces >= 2").groupBy("k").agg(F.array_join(F.sort_array(F.collect_set("layer")), ";").alias("bisecting"))
 
 
@@ -364,7 +363,7 @@ PARTS = f"{ENCP}, i AS (SELECT k, e AS part, m2, m2 < {0.25 * ACRE} AS sliver, e
 
 
 def _parts(spark, sf_dir):
-    p = _pairs(spark, sf_dir).select(F.col("k").alias("account_id"), F.col("e").alias("part"), K.area("part").alias("m2")).where("m2 > 0")
+    p = _pairs(spark, sf_dir).select(F.col("k").alias("account_id"), F.col("e").alias("part"), "m2").where("m2 > 0")
     sliver = F.col("m2") < 0.25 * ACRE
     return p.withColumn("sliver", sliver).withColumn("reached", (F.col("part") % 3 == 0) & ~sliver)
 
@@ -398,9 +397,10 @@ def left_join_back(spark, sf_dir):
     return c.join(s, c["c_custkey"] == s["o_custkey"], "left").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), "total", F.col("total").isNotNull().alias("scored"))
 
 
-@query("SELECT n_nationkey AS code FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_custkey < 20)")
+@query("SELECT n_nationkey AS code FROM nation WHERE n_nationkey NOT IN (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal > 9900)")
 def county_unknown_anti(spark, sf_dir):
-    used = table(spark, sf_dir, "customer").where("c_custkey < 20").select(F.col("c_nationkey").alias("n_nationkey"))
+    """Nations without a customer of the highest balances."""
+    used = table(spark, sf_dir, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey"))
     return table(spark, sf_dir, "nation").join(used, "n_nationkey", "left_anti").select(F.col("n_nationkey").alias("code"))
 
 
@@ -448,8 +448,11 @@ def fixture_scored(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from . import stage_queries  # noqa: F401  registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -19,17 +19,17 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(Q.SQL))
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_query(spark, duck, name):
-    got = Q.QUERIES[name](spark, SF)
+    got = Q.queries()[name](spark, SF)
     cols = sorted(got.columns)
-    want = duck.sql(f"SELECT {', '.join(cols)} FROM ({Q.SQL[name]})").fetchall()
+    want = duck.sql(f"SELECT {', '.join(cols)} FROM ({Q.oracle_sql()[name]})").fetchall()
     rows = [tuple(r) for r in got.select(*cols).collect()]
     key = lambda r: tuple((x is not None, str(x)) for x in r)
     assert sorted(rows, key=key) == sorted(want, key=key)
 
 
 def test_no_cartesian_products(spark):
-    for name in ("encumbrance_rows", "zoning_argmax", "row_distance_join", "owner_match_pairs"):
+    for name in ("encumbrance_rows", "zoning_argmax", "row_distance_join", "owner_match_pairs", "stage1_accounts", "stage2_encumbrances", "stage3_usable", "stage4_access"):
         plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan, name

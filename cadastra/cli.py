@@ -16,7 +16,7 @@ from .config import Config, ConfigError, load
 from .kernel import functions as K
 from .operators.slope import Grid
 from .plans import record
-from .sources import files, rest
+from .sources import files, rest, tiff
 
 
 def stage_list(text: str) -> tuple[int, ...]:
@@ -33,58 +33,97 @@ def stage_list(text: str) -> tuple[int, ...]:
     return tuple(sorted(found))
 
 
+def elevation(spark: SparkSession, path: str) -> tuple[DataFrame, Grid]:
+    """Cells and their grid: a GeoTIFF in the working plane, or a folder with ``cells.parquet`` and ``grid.json``."""
+    at = Path(path)
+    if at.suffix.lower() in (".tif", ".tiff"):
+        if not at.exists():
+            raise files.LayerNotAvailable(path)
+        raster = tiff.opened(path)
+        if raster.epsg != K.PLANE:
+            raise files.LayerError(f"{path}: elevation is read in EPSG:{K.PLANE}, this is EPSG:{raster.epsg}")
+        spark.dataSource.register(tiff.GeoTiff)
+        return spark.read.format("geotiff").option("path", path).load(), Grid(*raster.place)
+    if not (at / "grid.json").exists():
+        raise files.LayerNotAvailable(path)
+    return spark.read.parquet(str(at / "cells.parquet")), Grid(**json.loads((at / "grid.json").read_text()))
+
+
 def inputs(spark: SparkSession, cfg: Config) -> tuple[record.Inputs, list[str]]:
-    """All tables of a configuration, and the names of the layers that are not there."""
+    """All tables of a configuration, read only about the study area, and the names of the layers that are not there."""
     missing: list[str] = []
+    study = files.study_area(spark, cfg.study_area)
+    b = spark.range(1).select(K.shape(F.lit(bytearray(study))).alias("b")).first()["b"]
+    # roads and neighbours a little outside count too; the readers pad by more
+    clip = (b["minx"], b["miny"], b["maxx"], b["maxy"])
 
-    def layer(name: str, path: str | None, **more) -> DataFrame | None:
+    def layer(name: str, path: str | None, url: str | None = None, **more) -> DataFrame | None:
         try:
             if not path:
                 raise files.LayerNotAvailable(name)
-            return files.read_layer(spark, path, lonlat=path.endswith(("json", ".geojson")), **more)
+            kept = rest.cache_path(path)
+            if "://" not in path and not Path(path).exists() and Path(kept).exists():
+                path = kept
+            return files.read_layer(spark, path, clip=clip, **more)
         except files.LayerNotAvailable:
-            missing.append(name)
+            missing.append(f"{name} (run fetch first: it has a url)" if url else name)
             return None
 
     have = lambda d: {k: v for k, v in d.items() if v is not None}
     constraints = {}
     for c in cfg.constraints:
         if c.lines:
-            df = layer(c.name, c.lines.get("path"))
+            df = layer(c.name, c.lines.get("path"), c.lines.get("url"), layer=c.lines.get("layer"), where=c.lines.get("where"))
             constraints[c.name] = None if df is None else df.withColumn("geom", K.buffer("geom", c.lines.get("buffer_ft", 100) * 0.3048, flat=True))
         else:
-            constraints[c.name] = layer(c.name, c.path, layer=c.layer, where=c.where)
-    zoning = {z.county: layer(z.county, z.path, layer=z.layer) for z in cfg.zoning}
-    rows = {r.name: layer(r.name, r.path, layer=r.layer, where=r.where) for r in cfg.access.row_layers}
+            constraints[c.name] = layer(c.name, c.path, c.url, layer=c.layer, where=c.where)
+    zoning = {z.county: layer(z.county, z.path, z.url, layer=z.layer) for z in cfg.zoning}
+    rows = {r.name: layer(r.name, r.path, r.url, layer=r.layer, where=r.where) for r in cfg.access.row_layers}
     steep = layer("steep", cfg.slope.polygons_path) if cfg.slope.polygons_path else None
     dem = None
     if cfg.slope.dem_path and steep is None:
-        at = Path(cfg.slope.dem_path)
-        if (at / "grid.json").exists():
-            dem = spark.read.parquet(str(at / "cells.parquet")), Grid(**json.loads((at / "grid.json").read_text()))
-        else:
+        try:
+            dem = elevation(spark, cfg.slope.dem_path)
+        except files.LayerNotAvailable:
             missing.append("dem")
-    parcels = files.read_layer(spark, cfg.parcels["path"])
-    study = files.study_area(spark, cfg.study_area, lonlat=cfg.study_area.endswith(("json", ".geojson")))
+    parcels = files.read_layer(spark, cfg.parcels["path"], cfg.parcels.get("layer"), cfg.parcels.get("where"), clip=clip)
     return record.Inputs(parcels, study, have(zoning), have(constraints), have(rows), steep, dem), missing
 
 
+#: Tables of a run that people open, as GeoPackage: the table and its file.
+OPENED = {"usable": "usable_area", "frontage": "frontage", "entry_points": "entry_points"}
+LISTED = {"encumbrances": "encumbrances", "strips": "reserve_strips", "islands": "islands"}
+
+
 def run(spark: SparkSession, cfg: Config, stages: tuple[int, ...], out_dir: str) -> dict:
+    """Runs the stages and writes their tables: Parquet and CSV in parts, and, where the folder is a local one, GeoPackages, a FeatureCollection and the summary as single files."""
     began = time.time()
     given, missing = inputs(spark, cfg)
     out = record.run(given, cfg, stages)
-    files.write_parquet(out["stage1"].drop("box"), f"{out_dir}/parcels_stage1.parquet")
-    for name in ("encumbrances", "strips", "islands"):
+    local = "://" not in out_dir
+    if local:
+        Path(out_dir).mkdir(parents=True, exist_ok=True)
+
+    def opened(df: DataFrame, name: str) -> None:
+        files.write_parquet(df, f"{out_dir}/{name}.parquet")
+        if local:
+            Path(f"{out_dir}/{name}.gpkg").unlink(missing_ok=True)
+            files.write_gpkg(spark.read.parquet(f"{out_dir}/{name}.parquet").drop("_crs", "minx", "miny", "maxx", "maxy"), f"{out_dir}/{name}.gpkg", name)
+
+    opened(out["stage1"].drop("box"), "parcels_stage1")
+    for name, to in LISTED.items():
         if name in out:
-            files.write_csv(out[name], f"{out_dir}/{name}.csv")
-    for name in ("usable", "frontage", "entry_points"):
+            files.write_csv(out[name], f"{out_dir}/{to}.csv")
+    for name, to in OPENED.items():
         if name in out and not (name == "entry_points" and out[name].isEmpty()):
-            files.write_parquet(out[name], f"{out_dir}/{name}.parquet")
-    files.write_parquet(out["scored"], f"{out_dir}/parcels_scored.parquet")
-    files.write_geojson(out["scored"], f"{out_dir}/parcels_scored.geojsonl")
-    files.write_csv(out["scored"], f"{out_dir}/parcels_scored.csv")
-    s = record.summary(out, cfg) | {"stages_run": list(stages), "missing_layers": missing, "elapsed_s": round(time.time() - began, 1)}
-    if "://" not in out_dir:
+            opened(out[name], to)
+    opened(out["scored"], "parcels_scored")
+    scored = spark.read.parquet(f"{out_dir}/parcels_scored.parquet").drop("_crs", "minx", "miny", "maxx", "maxy")
+    files.write_geojson_lines(scored, f"{out_dir}/parcels_scored.geojsonl")
+    files.write_csv(scored, f"{out_dir}/parcels_scored.csv")
+    s = record.summary(out | {"scored": scored}, cfg) | {"stages_run": list(stages), "missing_layers": missing, "elapsed_s": round(time.time() - began, 1)}
+    if local:
+        files.write_geojson(scored, f"{out_dir}/parcels_scored.geojson")
         Path(out_dir, "summary.json").write_text(json.dumps(s, indent=2, default=str))
         Path(out_dir, "summary.md").write_text(record.markdown(s))
     return s
@@ -97,8 +136,8 @@ def domains(spark: SparkSession, cfg: Config, county: str) -> str:
         raise ConfigError(f"zoning {county}: code_field is not set")
     codes: dict[str, str | None] = dict(rest.layer_info(z.url).domains.get(z.code_field, {})) if z.url else {}
     if not codes:
-        df = rest.read_service(spark, z.url) if z.url else files.read_layer(spark, z.path, layer=z.layer)
-        codes = {str(r[0]): None for r in rest.distinct_values(df, z.code_field).limit(10_000).collect()}
+        df = rest.read_service(spark, z.url) if z.url else files.read_layer(spark, z.path, layer=z.layer, default_crs=K.PLANE)
+        codes = {str(r[0]): None for r in rest.distinct_values(df, z.code_field).collect()}
     return schema.zoning_template(county, z.code_field, codes, z.codes)
 
 
@@ -119,7 +158,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.command == "make-fixture":
             from .sources import fixture
 
-            files.write_parquet(fixture.inputs(spark).parcels, f"{a.out}/parcels.parquet")
+            print(f"run --config {fixture.write(spark, a.out)}")
             return 0
         cfg = load(a.config)
         if a.command == "run":
@@ -133,7 +172,7 @@ def main(argv: list[str] | None = None) -> int:
             Path(a.out).write_text(text) if a.out else print(text)
         else:
             return fetch_all(spark, cfg, a.force)
-    except (ConfigError, schema.SchemaError) as e:
+    except (ConfigError, schema.SchemaError, files.LayerError) as e:
         print(e, file=sys.stderr)
         return 2
     except files.LayerNotAvailable as e:
@@ -145,15 +184,19 @@ def main(argv: list[str] | None = None) -> int:
 def fetch_all(spark: SparkSession, cfg: Config, force: bool) -> int:
     """Every layer with a URL to its path; those there already stay; a failure is told and the others go on."""
     failed = 0
-    study = files.study_area(spark, cfg.study_area, lonlat=True)
+    study = files.study_area(spark, cfg.study_area)
     box = spark.range(1).select(K.shape(K.to_lonlat(F.lit(bytearray(study)))).alias("b")).first()["b"]
-    for x in (*cfg.zoning, *cfg.constraints, *cfg.access.row_layers):
-        if not x.url or not x.path or (Path(x.path).exists() and not force):
+    sources = [(z.county, z.url, z.path, None) for z in cfg.zoning]
+    for c in cfg.constraints:
+        sources += [(c.name, c.url, c.path, c.where), *([(c.name, c.lines.get("url"), c.lines.get("path"), c.lines.get("where"))] if c.lines else [])]
+    sources += [(r.name, r.url, r.path, r.where) for r in cfg.access.row_layers]
+    for name, url, path, where in sources:
+        if not url or not path or ((Path(path).exists() or Path(rest.cache_path(path)).exists()) and not force):
             continue
         try:
-            rest.fetch(spark, x.url, x.path, getattr(x, "where", None), (box["minx"], box["miny"], box["maxx"], box["maxy"]))
+            rest.fetch(spark, url, path, where, (box["minx"], box["miny"], box["maxx"], box["maxy"]))
         except Exception as e:  # noqa: BLE001  a service may fail in any way
-            print(f"{x.url}: {e}", file=sys.stderr)
+            print(f"{name}: {url}: {e}", file=sys.stderr)
             failed += 1
     return 1 if failed else 0
 

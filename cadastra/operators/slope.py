@@ -50,8 +50,55 @@ def steep_boxes(sloped: DataFrame, grid: Grid, most: float) -> DataFrame:
     return runs.select(box_column(x0, y1 - grid.dy, x1, y1).alias("geom"))
 
 
+TILE = 64
+
+
+def window_steep(parcels: DataFrame, cells: DataFrame, grid: Grid, most: float, vertical_factor: float = 1.0, resample_m: float | None = None, margin: float = 30.0) -> DataFrame:
+    """(account_id, geom): the ground inside each parcel that is steeper than ``most`` percent.
+
+    Each parcel has its own window of cells, its bounds and a margin, cut to the grid; cells without elevation take the
+    window's mean for their neighbours' sake, and differences are one-sided at the window's edges. Windows of two cells or
+    fewer across have no answer. With ``resample_m`` a window is averaged into cells of about that size first. Cells meet
+    windows by tiles of ``TILE`` by ``TILE`` cells.
+    """
+    extent = F.broadcast(cells.agg(F.max("row").alias("r_max"), F.max("col").alias("c_max")))  # one row
+    low = lambda at, origin, step: F.floor((at - origin) / step)
+    w = parcels.select("account_id", "geom", "box").crossJoin(extent)
+    span_c, span_r = (F.col("box.maxx") - F.col("box.minx") + 2 * margin) / grid.dx, (F.col("box.maxy") - F.col("box.miny") + 2 * margin) / grid.dy
+    w = w.withColumns({"c0": low(F.col("box.minx") - margin, grid.x0, grid.dx), "r0": F.floor((grid.y1 - F.col("box.maxy") - margin) / grid.dy)})
+    w = w.withColumns({"c1": F.least(F.col("c0") + F.ceil(span_c) - 1, "c_max"), "r1": F.least(F.col("r0") + F.ceil(span_r) - 1, "r_max"), "c0": F.greatest("c0", F.lit(0)), "r0": F.greatest("r0", F.lit(0))})
+    w = w.where((F.col("c1") - F.col("c0") >= 2) & (F.col("r1") - F.col("r0") >= 2)).select("account_id", "geom", *[F.col(c).cast("int").alias(c) for c in ("r0", "c0", "r1", "c1")])
+    tiles = lambda a, b: F.explode(F.sequence(F.expr(f"{a} div {TILE}"), F.expr(f"{b} div {TILE}")))
+    spread = w.select("account_id", "r0", "c0", "r1", "c1", tiles("r0", "r1").alias("tr")).select("*", tiles("c0", "c1").alias("tc"))
+    z = cells.select("row", "col", "z", F.expr(f"row div {TILE}").alias("tr"), F.expr(f"col div {TILE}").alias("tc"))
+    own = spread.join(z, ["tr", "tc"]).where(F.col("row").between(F.col("r0"), F.col("r1")) & F.col("col").between(F.col("c0"), F.col("c1")))
+    height, width = F.col("r1") - F.col("r0") + 1, F.col("c1") - F.col("c0") + 1
+    if resample_m:
+        down, across = F.greatest(F.lit(3), F.rint(height * grid.dy / resample_m)), F.greatest(F.lit(3), F.rint(width * grid.dx / resample_m))
+        place = lambda at, n, size: F.floor((F.col(at) + 0.5) * n / size).cast("int")
+        own = own.withColumns({"row": F.col("row") - F.col("r0"), "col": F.col("col") - F.col("c0"), "dy": height / down, "dx": width / across})
+        own = own.withColumns({"row": place("row", down, height), "col": place("col", across, width)})
+        own = own.groupBy("account_id", "r0", "c0", "dy", "dx", "row", "col").agg(F.avg("z").alias("z"))
+    else:
+        own = own.select("account_id", "r0", "c0", F.lit(1.0).alias("dy"), F.lit(1.0).alias("dx"), (F.col("row") - F.col("r0")).alias("row"), (F.col("col") - F.col("c0")).alias("col"), "z")
+    mean = own.groupBy("account_id").agg(F.avg("z").alias("mean_z")).where("mean_z IS NOT NULL")
+    own = own.join(mean, "account_id").withColumn("zf", F.coalesce("z", "mean_z") * vertical_factor)
+
+    def change(along: str, across: str, step: Column) -> Column:
+        run = Window.partitionBy("account_id", across).orderBy(along)
+        before, after = F.lag("zf").over(run), F.lead("zf").over(run)
+        return F.when(before.isNull(), (after - F.col("zf")) / step).when(after.isNull(), (F.col("zf") - before) / step).otherwise((after - before) / (2 * step))
+
+    sloped = own.withColumns({"gx": change("col", "row", F.col("dx") * grid.dx), "gy": change("row", "col", F.col("dy") * grid.dy)})
+    steep = sloped.where(F.col("z").isNotNull() & (100.0 * F.hypot("gx", "gy") > most))
+    run = F.col("col") - F.row_number().over(Window.partitionBy("account_id", "row").orderBy("col"))
+    runs = steep.withColumn("run", run).groupBy("account_id", "r0", "c0", "dy", "dx", "row", "run").agg(F.min("col").alias("a"), F.max("col").alias("b"))
+    x = lambda at: (F.col("c0") + at * F.col("dx")) * grid.dx + grid.x0
+    y = lambda at: grid.y1 - (F.col("r0") + at * F.col("dy")) * grid.dy
+    ground = runs.select("account_id", box_column(x(F.col("a")), y(F.col("row") + 1), x(F.col("b") + 1), y(F.col("row"))).alias("g")).groupBy("account_id").agg(K.union_all(F.collect_list("g")).alias("g"))
+    return ground.join(w.select("account_id", F.col("geom").alias("parcel")), "account_id").select("account_id", K.areal_intersection("parcel", "g").alias("geom")).where(K.area("geom") > 0)
+
+
 def box_column(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """A rectangle as WKB from four columns: the big-endian form of a five-point ring."""
-    hexed = lambda c: F.call_function("geo_doublehex", c.cast("double"))
-    ring = F.concat(*[hexed(c) for c in (x0, y0, x1, y0, x1, y1, x0, y1, x0, y0)])
-    return F.unhex(F.concat(F.lit("00000000030000000100000005"), ring))
+    """A rectangle as WKB from four columns."""
+    return K.box(x0, y0, x1, y1)

@@ -75,15 +75,13 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
         scored = encumbrance.rolled_up(scored, enc, cfg)
         out["encumbrances"] = enc
     if 3 in stages:
-        steep = inputs.steep
-        if steep is None and inputs.dem is not None:
-            cells, grid = inputs.dem
-            if factor := cfg.slope.dem_resample_m and max(1, round(cfg.slope.dem_resample_m / grid.dx)):
-                cells, grid = S.resampled(cells, factor), S.Grid(grid.x0, grid.y1, grid.dx * factor, grid.dy * factor)
-            steep = S.steep_boxes(S.slope_percent(cells, grid, cfg.slope.dem_vertical_unit_to_m), grid, cfg.slope_max_pct)
-        ground = None if steep is None else usable.steep_parts(scored, steep)
+        ground = None
+        if inputs.steep is not None:
+            ground = usable.steep_parts(scored, inputs.steep)
+        elif inputs.dem is not None:
+            ground = S.window_steep(scored, *inputs.dem, cfg.slope_max_pct, cfg.slope.dem_vertical_unit_to_m, cfg.slope.dem_resample_m)
         hostile = cut(encumbrance.hostile(enc, ground, cfg))
-        scored = cut(usable.stage3(scored, enc, hostile, cfg, steep is not None))
+        scored = cut(usable.stage3(scored, enc, hostile, cfg, ground is not None))
         out["usable"] = scored.select("account_id", "usable_acres", F.col("usable").alias("geom"))
     if 4 in stages:
         roads = cut(access.ways(inputs.rows, cfg, inputs.study, spark))

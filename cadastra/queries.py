@@ -439,16 +439,8 @@ def compass_sector(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n"), M.compass_sector(dx, dy).alias("sector"))
 
 
-@query()
-def fixture_scored(spark, sf_dir):
-    """All four stages on the synthetic county."""
-    from .sources import fixture
-
-    return record.run(fixture.inputs(spark), fixture.config())["scored"].drop("geom")
-
-
 def queries() -> dict[str, Query]:
-    from . import stage_queries  # noqa: F401  registers its own
+    from . import source_queries, stage_queries  # noqa: F401  they register their own
 
     return dict(QUERIES)
 

@@ -1,8 +1,9 @@
-"""Vector layers and elevation tiles from files: Parquet with WKB, GeoJSON, GeoPackage; filters and sinks."""
+"""Vector layers from files (Parquet with WKB, GeoJSON, GeoPackage, shapefiles) in the working plane, and sinks."""
 
 from __future__ import annotations
 
 import json
+import math
 import re
 import sqlite3
 import struct
@@ -13,20 +14,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..kernel import functions as K
+from .shapefile import Shapefile
+from .where import translated
 
-SUFFIXES = (".gpkg", ".geojson", ".json", ".parquet")
-UNREAD = (".shp", ".gdb", ".fgb", ".tif", ".tiff")
+SUFFIXES = (".gpkg", ".shp", ".geojson", ".json", ".geojsonl", ".parquet")
+UNREAD = (".gdb", ".fgb")
 PAD_M = 1000.0
+#: A row's place in its source: the number of its file times this, and its position there.
+FILE_ROWS = 1 << 40
 
 
 class LayerNotAvailable(FileNotFoundError):
     """The layer has no file here: the run goes on without it and says so."""
 
 
-def translated(where: str) -> str:
-    """A filter with == and lists in brackets as a SQL expression."""
-    out = re.sub(r"\[([^\]]*)\]", r"(\1)", where)
-    return re.sub(r"==", "=", out)
+class LayerError(ValueError):
+    """The layer is there but can't be read as it is: an unknown format or coordinate system."""
 
 
 def files_of(path: str) -> list[str]:
@@ -44,7 +47,7 @@ def files_of(path: str) -> list[str]:
         raise LayerNotAvailable(path)
     for p in found:
         if p.suffix.lower() in UNREAD:
-            raise ValueError(f"{p}: this format is not read here; convert it to GeoPackage, GeoJSON or Parquet with WKB")
+            raise LayerError(f"{p}: this format is not read here; convert it to GeoPackage, shapefile, GeoJSON or Parquet with WKB")
     return [str(p) for p in found]
 
 
@@ -105,7 +108,7 @@ def wkb_geojson(w: bytes | None) -> str | None:
 
 
 class GeoPackage(DataSource):
-    """``spark.read.format("geopackage").option("path", file).option("layer", name)``: attributes and ``geom`` as WKB, dealt by row-id ranges."""
+    """``spark.read.format("geopackage").option("path", file).option("layer", name)``: attributes, ``geom`` as WKB and ``_row``, dealt by row-id ranges; option ``clip`` (x0,y0,x1,y1) goes by the layer's spatial index if it has one."""
 
     @classmethod
     def name(cls):
@@ -121,7 +124,7 @@ class GeoPackage(DataSource):
         con, layer, geom = self._layer()
         kinds = {"INTEGER": "long", "INT": "long", "MEDIUMINT": "long", "SMALLINT": "long", "TINYINT": "long", "REAL": "double", "DOUBLE": "double", "FLOAT": "double", "BOOLEAN": "boolean", "BLOB": "binary"}
         cols = [(r[1], r[2].split("(")[0].upper()) for r in con.execute(f'PRAGMA table_info("{layer}")')]
-        return ", ".join(f"`{'geom' if c == geom else c}` {'binary' if c == geom else kinds.get(k, 'string')}" for c, k in cols)
+        return "_row long, " + ", ".join(f"`{'geom' if c == geom else c}` {'binary' if c == geom else kinds.get(k, 'string')}" for c, k in cols)
 
     def reader(self, schema):
         return GeoPackageReader(self, schema)
@@ -132,6 +135,8 @@ class GeoPackageReader(DataSourceReader):
 
     def __init__(self, source: GeoPackage, schema):
         self.source, self.names = source, schema.names
+        self.flags = [k for k, f in enumerate(schema.fields) if f.dataType.typeName() == "boolean"]
+        self.clip = tuple(map(float, source.options["clip"].split(","))) if source.options.get("clip") else None
 
     def partitions(self):
         con, layer, _ = self.source._layer()
@@ -141,39 +146,142 @@ class GeoPackageReader(DataSourceReader):
     def read(self, partition):
         con, layer, geom = self.source._layer()
         lo, hi = partition.value
-        cols = ", ".join(f'"{geom if c == "geom" else c}"' for c in self.names)
+        cols = ", ".join("rowid" if c == "_row" else f'"{geom if c == "geom" else c}"' for c in self.names)
         at = self.names.index("geom")
-        for row in con.execute(f'SELECT {cols} FROM "{layer}" WHERE rowid BETWEEN ? AND ?', (lo, hi)):
+        where, given = "rowid BETWEEN ? AND ?", [lo, hi]
+        index = f"rtree_{layer}_{geom}"
+        if self.clip and con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (index,)).fetchone()[0]:
+            where += f' AND rowid IN (SELECT id FROM "{index}" WHERE minx <= ? AND maxx >= ? AND miny <= ? AND maxy >= ?)'
+            given += [self.clip[2], self.clip[0], self.clip[3], self.clip[1]]
+        for row in con.execute(f'SELECT {cols} FROM "{layer}" WHERE {where} ORDER BY rowid', given):
             row = list(row)
+            for k in self.flags:
+                row[k] = None if row[k] is None else bool(row[k])
             if row[at] is not None:  # a header with flags and an envelope stands before the WKB
                 row[at] = bytes(row[at][8 + (0, 32, 48, 48, 64)[row[at][3] >> 1 & 7] :])
             yield tuple(row)
 
 
-def read_layer(spark: SparkSession, path: str, layer: str | None = None, where: str | None = None, columns: list[str] | None = None, clip: tuple[float, float, float, float] | None = None, lonlat: bool = False) -> DataFrame:
-    """All files of a layer as one table with ``geom`` and ``_source_file``; shapes in longitude and latitude go to the working plane.
-
-    ``clip`` is a box in the file's coordinates. Parquet with ``minx, miny, maxx, maxy`` columns prunes row groups by it.
+# ---- coordinate systems ------------------------------------------------------
+def epsg_of_text(text: str) -> int | None:
+    """The EPSG number that a name, a URN or a WKT description stands for."""
+    if re.search(r"CRS:?:?84|CRS84", text):
+        return 4326
+    if found := re.findall(r'(?:EPSG[:"/,\s]*(?:[0-9.]*:|,)?\s*"?|ID\["EPSG",)(\d{4,5})', text):
+        return int(found[-1])
+    if re.match(r"\s*GEOG", text):
+        return 4326
+    if "Web_Mercator" in text or "Pseudo-Mercator" in text:
+        return 3857
+    if "Maryland" in text and "Lambert_Conformal_Conic" in text:
+        return K.PLANE_FEET if re.search(r"Foot_US|US survey foot|0\.3048006", text) else K.PLANE
+    return None
+
+
+def epsg_of(name: str, layer: str | None = None) -> int | None:
+    """What a file says of its coordinate system; None if it says nothing. Files of stores that only Spark reads say nothing but by a ``_crs`` column."""
+    if name.endswith(".gpkg"):
+        con = sqlite3.connect(f"file:{name}?mode=ro", uri=True)
+        has = lambda t: con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (t,)).fetchone()[0]
+        row = con.execute("SELECT srs_id FROM gpkg_geometry_columns" + (" WHERE table_name = ?" if layer else " ORDER BY table_name"), (layer,) if layer else ()).fetchone()
+        if row and has("gpkg_spatial_ref_sys") and (own := con.execute("SELECT organization, organization_coordsys_id FROM gpkg_spatial_ref_sys WHERE srs_id = ?", row).fetchone()):
+            return int(own[1]) if str(own[0]).upper() == "EPSG" else None
+        return int(row[0]) if row and row[0] and row[0] > 0 else None
+    if name.endswith(".shp"):
+        at = Path(name).with_suffix(".prj")
+        return epsg_of_text(at.read_text()) if at.exists() else None
+    if name.endswith(".parquet"):
+        return _geoparquet_epsg(name)
+    with open(name, encoding="utf-8") as f:
+        # longitude and latitude unless the head of the file says otherwise
+        found = re.search(r'"crs"\s*:\s*\{.{0,200}?"name"\s*:\s*"([^"]*)"', f.read(4096), re.DOTALL)
+    return epsg_of_text(found[1]) if found else 4326
+
+
+def _geoparquet_epsg(name: str) -> int | None:
+    import pyarrow.parquet as pq
+
+    if "://" in name:
+        return None
+    first = next(iter(sorted(Path(name).glob("*.parquet"))), None) if Path(name).is_dir() else Path(name)
+    geo = (pq.read_schema(first).metadata or {}).get(b"geo") if first else None
+    if geo is None:
+        return None
+    doc = json.loads(geo)
+    crs = doc["columns"][doc.get("primary_column", "geom")].get("crs", {"id": {"authority": "OGC", "code": "CRS84"}})
+    own = (crs or {}).get("id") or {}
+    return 4326 if own.get("authority") == "OGC" else int(own["code"]) if own.get("authority") == "EPSG" else None
+
+
+def box_in(spark: SparkSession, clip: tuple[float, float, float, float], epsg: int) -> tuple[float, float, float, float]:
+    """A box of the working plane, padded, as a box in another system that contains it."""
+    x0, y0, x1, y1 = clip[0] - PAD_M, clip[1] - PAD_M, clip[2] + PAD_M, clip[3] + PAD_M
+    if epsg == K.PLANE:
+        return x0, y0, x1, y1
+    if epsg == K.PLANE_FEET:
+        return tuple(v * 3937 / 1200 for v in (x0, y0, x1, y1))
+    steps = [k / 16 for k in range(17)]
+    edge = [(x0 + t * (x1 - x0), y) for t in steps for y in (y0, y1)] + [(x, y0 + t * (y1 - y0)) for t in steps for x in (x0, x1)]
+    b = spark.range(1).select(K.shape(K.to_lonlat(F.lit(bytearray(K.line_wkb(*edge))))).alias("b")).first()["b"]
+    out = (b["minx"], b["miny"], b["maxx"], b["maxy"])
+    if epsg == 3857:
+        north = lambda v: 6378137.0 * math.log(math.tan(math.pi / 4 + math.radians(v) / 2))
+        return 6378137.0 * math.radians(out[0]), north(out[1]), 6378137.0 * math.radians(out[2]), north(out[3])
+    return out
+
+
+def read_layer(spark: SparkSession, path: str, layer: str | None = None, where: str | None = None, columns: list[str] | None = None, clip: tuple[float, float, float, float] | None = None, crs: int | None = None, default_crs: int | None = None) -> DataFrame:
+    """All files of a layer as one table in the working plane, with ``geom``, ``_row`` and ``_source_file``.
+
+    The coordinate system is the file's own, ``crs`` overrules it, ``default_crs`` stands in where it is unknown; a layer
+    without any is an error. ``clip`` is a box of the working plane: what surely lies outside need not be read.
     """
     K.register(spark)
     out = None
-    for name in files_of(path):
-        if name.endswith(".gpkg"):
+    for number, name in enumerate(files_of(path)):
+        kind = Path(name).suffix.lower()
+        epsg = crs or ("://" not in name and epsg_of(name, layer) or None)
+        df = spark.read.parquet(name) if kind == ".parquet" or "://" in name else None
+        own = df is not None and "_crs" in df.columns
+        if not own and epsg is None and default_crs is None:
+            raise LayerError(f"{name}: the layer doesn't say its coordinate system")
+        epsg = epsg or default_crs
+        box = box_in(spark, clip, epsg) if clip and epsg else None
+        options = {"path": name} | ({"clip": ",".join(map(str, box))} if box else {})
+        if kind == ".gpkg":
             spark.dataSource.register(GeoPackage)
-            df = spark.read.format("geopackage").option("path", name).options(**({"layer": layer} if layer else {})).load()
-        elif name.endswith(".parquet"):
-            df = spark.read.parquet(name)
+            df = spark.read.format("geopackage").options(**options, **({"layer": layer} if layer else {})).load()
+        elif kind == ".shp":
+            spark.dataSource.register(Shapefile)
+            df = spark.read.format("shapefile").options(**options).load()
+        elif df is not None:
+            if "_row" not in df.columns:
+                # the number in a part's name, else one made of the name, and the row's place in the part
+                part = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS long)"), F.abs(F.xxhash64("_metadata.file_name")) % (1 << 12))
+                df = df.select("*", (part * (1 << 28) + F.col("_metadata.row_index")).alias("_row"))
             if clip and {"minx", "miny", "maxx", "maxy"} <= set(df.columns):
-                df = df.where((F.col("minx") <= clip[2] + PAD_M) & (F.col("maxx") >= clip[0] - PAD_M) & (F.col("miny") <= clip[3] + PAD_M) & (F.col("maxy") >= clip[1] - PAD_M))
+                b = box or box_in(spark, clip, K.PLANE)
+                meets = (F.col("minx") <= b[2]) & (F.col("maxx") >= b[0]) & (F.col("miny") <= b[3]) & (F.col("maxy") >= b[1])
+                df = df.where(meets | (F.col("_crs") != K.PLANE)) if own else df.where(meets)
         else:
             df = _geojson(spark, name)
-        if columns:
-            df = df.select(*columns, "geom")
         if where:
             df = df.where(translated(where))
-        df = df.withColumn("_source_file", F.lit(Path(name).name))
+        if own:
+            shape = F.when(F.col("_crs") == K.PLANE, F.col("geom"))
+            for code in (K.PLANE_FEET, *K.GLOBAL):
+                shape = shape.when(F.col("_crs") == code, K.reprojected("geom", code))
+            df = df.withColumn("geom", shape.otherwise(F.raise_error(F.concat(F.lit(f"{name}: not read here is EPSG:"), F.coalesce(F.col("_crs").cast("string"), F.lit("?")))).cast("binary"))).drop("_crs", "minx", "miny", "maxx", "maxy")
+        else:
+            try:
+                df = df.withColumn("geom", K.reprojected("geom", epsg))
+            except ValueError as e:
+                raise LayerError(f"{name}: {e}") from e
+        if columns:
+            df = df.select(*columns, "geom", "_row")
+        df = df.withColumn("_row", F.col("_row") + F.lit(number * FILE_ROWS)).withColumn("_source_file", F.lit(Path(name).name))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    return out.withColumn("geom", K.to_plane("geom")) if lonlat else out
+    return out
 
 
 def _geojson(spark: SparkSession, name: str) -> DataFrame:
@@ -183,20 +291,23 @@ def _geojson(spark: SparkSession, name: str) -> DataFrame:
     to_wkb = F.pandas_udf(lambda s: pd.Series([geojson_wkb(json.loads(x)) if x else None for x in s]), "binary")
     text = spark.read.text(name, wholetext=not name.endswith("l"))
     parts = F.from_json("value", "struct<features:array<string>>")["features"]
-    feature = text.select(F.explode(F.coalesce(parts, F.array("value"))).alias("f"))
+    feature = text.select("value", F.posexplode(F.coalesce(parts, F.array("value"))).alias("at", "f"))
+    # a line's place is told by its content where each line is a feature
+    row = F.col("at").cast("long") if not name.endswith("l") else F.abs(F.xxhash64("value")) % (FILE_ROWS // 2)
+    feature = feature.select(row.alias("_row"), "f")
     properties = F.schema_of_json(F.lit(feature.select(F.get_json_object("f", "$.properties").alias("p")).where("p IS NOT NULL").first()["p"])) if not feature.isEmpty() else None
-    rows = feature.select(to_wkb(F.get_json_object("f", "$.geometry")).alias("geom"), F.get_json_object("f", "$.properties").alias("p"))
-    return rows.select(F.from_json("p", properties).alias("a"), "geom").select("a.*", "geom") if properties is not None else rows.select("geom")
+    rows = feature.select("_row", to_wkb(F.get_json_object("f", "$.geometry")).alias("geom"), F.get_json_object("f", "$.properties").alias("p"))
+    return rows.select("_row", F.from_json("p", properties).alias("a"), "geom").select("_row", "a.*", "geom") if properties is not None else rows.select("_row", "geom")
 
 
 def fields_of(spark: SparkSession, path: str, layer: str | None = None) -> list[str]:
     """Field names without reading rows."""
-    return [c for c in read_layer(spark, path, layer).columns if c not in ("geom", "_source_file")]
+    return [c for c in read_layer(spark, path, layer, default_crs=K.PLANE).columns if c not in ("geom", "_source_file", "_row")]
 
 
-def study_area(spark: SparkSession, path: str, lonlat: bool = True) -> bytes:
-    """The union of a file's polygons, repaired, in the working plane."""
-    df = read_layer(spark, path, lonlat=lonlat)
+def study_area(spark: SparkSession, path: str) -> bytes:
+    """The union of a file's polygons, repaired, in the working plane; longitude and latitude if the file doesn't say."""
+    df = read_layer(spark, path, default_crs=4326)
     got = df.agg(K.union_all(F.collect_list(K.make_valid("geom"))).alias("g"), F.count("*").alias("n")).first()
     if not got["n"]:
         raise ValueError(f"{path}: no polygons")
@@ -215,36 +326,53 @@ def writable(df: DataFrame) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """WKB with its bounds, so that later reads prune by place."""
+    """WKB with its bounds, so that later reads prune by place, and with its coordinate system."""
     box = K.shape("geom")
-    writable(df).withColumns({c: box[c] for c in ("minx", "miny", "maxx", "maxy")}).write.mode("overwrite").parquet(path)
+    writable(df).withColumns({c: box[c] for c in ("minx", "miny", "maxx", "maxy")} | {"_crs": F.lit(K.PLANE)}).write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     shapes = [f.name for f in df.schema.fields if f.dataType.typeName() == "binary"]
-    writable(df.drop(*shapes)).write.mode("overwrite").option("header", True).csv(path)
+    writable(df.drop(*shapes)).write.mode("overwrite").options(header=True, escape='"').csv(path)  # quotes doubled, as other programs read them
 
 
-def write_geojson(df: DataFrame, path: str, lonlat: bool = True) -> None:
-    """One feature to a line, so that writing stays parallel."""
+def _features(df: DataFrame, lonlat: bool) -> DataFrame:
+    """One GeoJSON feature to a row, as text."""
     import pandas as pd
 
     to_text = F.pandas_udf(lambda s: pd.Series([wkb_geojson(x) for x in s]), "string")
     rest = [c for c in writable(df).columns if c != "geom"]
     plain = writable(df).select(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}).alias("p"), to_text(K.to_lonlat("geom") if lonlat else F.col("geom")).alias("g"))
-    plain.select(F.concat(F.lit('{"type":"Feature","properties":'), "p", F.lit(',"geometry":'), F.coalesce("g", F.lit("null")), F.lit("}"))).write.mode("overwrite").text(path)
+    return plain.select(F.concat(F.lit('{"type":"Feature","properties":'), "p", F.lit(',"geometry":'), F.coalesce("g", F.lit("null")), F.lit("}")).alias("f"))
+
+
+def write_geojson_lines(df: DataFrame, path: str, lonlat: bool = True) -> None:
+    """One feature to a line in a folder of parts, so that writing stays parallel."""
+    _features(df, lonlat).write.mode("overwrite").text(path)
+
+
+def write_geojson(df: DataFrame, path: str, lonlat: bool = True) -> None:
+    """A FeatureCollection in one file, rows streamed through the driver: for results of a size that people open."""
+    crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{K.PLANE}"}}}},'
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('{"type":"FeatureCollection",' + crs + '"features":[')
+        for k, r in enumerate(_features(df, lonlat).toLocalIterator()):
+            f.write((",\n" if k else "\n") + r["f"])
+        f.write("\n]}\n")
 
 
 def write_gpkg(df: DataFrame, path: str, layer: str) -> None:
     """A GeoPackage table, rows streamed through the driver partition by partition: for results of a size that people open."""
     flat = writable(df)
     kinds = {"long": "INTEGER", "integer": "INTEGER", "double": "REAL", "boolean": "BOOLEAN", "binary": "BLOB"}
+    flat = flat.drop("fid")
     names = [f.name for f in flat.schema.fields]
     with sqlite3.connect(path) as con:
-        con.executescript("PRAGMA application_id = 1196444487; CREATE TABLE IF NOT EXISTS gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER); CREATE TABLE IF NOT EXISTS gpkg_geometry_columns (table_name TEXT, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z INTEGER, m INTEGER);")
+        con.executescript("PRAGMA application_id = 1196444487; CREATE TABLE IF NOT EXISTS gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER); CREATE TABLE IF NOT EXISTS gpkg_spatial_ref_sys (srs_name TEXT, srs_id INTEGER PRIMARY KEY, organization TEXT, organization_coordsys_id INTEGER, definition TEXT, description TEXT); CREATE TABLE IF NOT EXISTS gpkg_geometry_columns (table_name TEXT, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z INTEGER, m INTEGER);")
         con.execute(f'DROP TABLE IF EXISTS "{layer}"')
         con.execute("DELETE FROM gpkg_contents WHERE table_name = ?", (layer,))
         con.execute("DELETE FROM gpkg_geometry_columns WHERE table_name = ?", (layer,))
+        con.execute("INSERT OR REPLACE INTO gpkg_spatial_ref_sys VALUES ('NAD83 / Maryland', ?, 'EPSG', ?, 'undefined', NULL)", (K.PLANE, K.PLANE))
         con.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, ' + ", ".join(f'"{f.name}" {kinds.get(f.dataType.typeName(), "TEXT")}' for f in flat.schema.fields) + ")")
         con.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, 26985)", (layer, layer))
         con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', 26985, 0, 0)", (layer,))

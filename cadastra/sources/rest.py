@@ -71,24 +71,27 @@ def query_params(where: str = "1=1", bbox: tuple[float, float, float, float] | N
 
 
 def chunks(url: str, params: dict, info: LayerInfo, page: int | None = None, get=http_json) -> list[dict]:
-    """What each partition adds to the query: offset ranges from the count, or else sorted ids in chunks."""
+    """What each partition adds to the query: offset ranges from the count, in the order of the ids, or else sorted ids in chunks."""
     size = min(page or info.page, info.page)
     if info.paged:
         n = get(f"{url}/query", params | {"returnCountOnly": "true", "f": "json"})["count"]
-        return [{"resultOffset": k, "resultRecordCount": size} for k in range(0, n, size)]
+        return [{"resultOffset": k, "resultRecordCount": size, "orderByFields": info.id_field, "expect": min(size, n - k)} for k in range(0, n, size)]
     ids = sorted(get(f"{url}/query", params | {"returnIdsOnly": "true", "f": "json"}).get("objectIds") or [])
-    return [{"objectIds": ",".join(map(str, ids[k : k + CHUNK]))} for k in range(0, len(ids), CHUNK)]
+    step = min(CHUNK, size)
+    return [{"objectIds": ",".join(map(str, part)), "expect": len(part)} for k in range(0, len(ids), step) for part in (ids[k : k + step],)]
 
 
-def pages(url: str, params: dict, page: int, get=http_json):
-    """Features page by page where nothing tells their number; a short page is the last."""
-    at = 0
-    while True:
-        found = get(f"{url}/query", params | {"resultOffset": at, "resultRecordCount": page}).get("features") or []
-        yield from found
-        if len(found) < page:
-            return
-        at += len(found)
+def features(url: str, params: dict, more: dict, get=http_json):
+    """The features of one partition. A service may give fewer in an answer than were asked for: the rest is asked for again, and a partition that stays short is an error."""
+    want, at, left = more["expect"], more.get("resultOffset", 0), more["expect"]
+    ids = {k: v for k, v in more.items() if k not in ("expect", "resultOffset", "resultRecordCount")}
+    while left:
+        span = {"resultOffset": at, "resultRecordCount": left} if "resultOffset" in more else {}
+        found = get(f"{url}/query", params | ids | span).get("features") or []
+        if not found or not span and len(found) < want:
+            raise ServiceError(f"{url}: {want} features were announced, {want - left + len(found)} came")
+        yield from found[:left]
+        at, left = at + len(found), left - min(left, len(found))
 
 
 class FeatureService(DataSource):
@@ -119,7 +122,7 @@ class FeatureReader(DataSourceReader):
             return
         cast = {"string": str, "double": float, "long": int}
         kinds = [(f.name, cast.get(f.dataType.typeName(), lambda v: v)) for f in self.fields if f.name != "geom"]
-        for f in http_json(f"{self.url}/query", self.params | partition.value).get("features") or []:
+        for f in features(self.url, self.params, partition.value):
             own = f.get("properties") or {}
             yield (*[None if own.get(n) is None else c(own[n]) for n, c in kinds], geojson_wkb(f.get("geometry")))
 
@@ -136,5 +139,10 @@ def distinct_values(df: DataFrame, name: str) -> DataFrame:
 
 
 def fetch(spark: SparkSession, url: str, cache: str, where: str | None = None, bbox: tuple[float, float, float, float] | None = None) -> None:
-    """A layer to Parquet with WKB in longitude and latitude."""
-    read_service(spark, url, where, bbox).write.mode("overwrite").parquet(cache)
+    """A layer to Parquet with WKB in longitude and latitude, as its ``_crs`` column says; a cache path without an ending gets ``.parquet``."""
+    read_service(spark, url, where, bbox).withColumn("_crs", F.lit(4326)).write.mode("overwrite").parquet(cache_path(cache))
+
+
+def cache_path(path: str) -> str:
+    """Where a fetched layer is kept: beside the configured path, as Parquet."""
+    return path if path.endswith(".parquet") else path.rsplit(".", 1)[0] + ".parquet" if "." in path.rsplit("/", 1)[-1] else path + ".parquet"

@@ -117,7 +117,7 @@ def test_access(scored):
 def test_blocked_and_landlocked(scored, out):
     d = scored["FRED-D"]
     assert d["blocking_parcel_account_id"] == "FRED-S" and d["frontage_foreign_pct"] == near(100, 1) and d["reserve_strip_detected"]
-    assert d["blocking_parcel_owner"] == "DELTA DEVELOPMENT INC"
+    assert d["blocking_parcel_owner"] == "CORNERSTONE DEVELOPMENT INC"
     strip = out["strips"].where("account_id = 'FRED-D'").first()
     assert strip["est_width_ft"] == near(48, 2) and strip["aspect_ratio"] > 40 and not strip["same_owner"]
     e = scored["FRED-E"]

@@ -111,7 +111,7 @@ def test_slope_equals_numpy(geo):
 
 def test_files(geo, tmp_path):
     box = {"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]}
-    doc = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"name": n, "n": k}, "geometry": box} for k, n in enumerate("ab")]}
+    doc = {"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::26985"}}, "features": [{"type": "Feature", "properties": {"name": n, "n": k}, "geometry": box} for k, n in enumerate("ab")]}
     (tmp_path / "x.geojson").write_text(json.dumps(doc))
     df = files.read_layer(geo, str(tmp_path / "x.geojson"), where="name in ['a']")
     assert df.select("name", "n", K.area("geom").alias("m2"), "_source_file").collect()[0].asDict() == {"name": "a", "n": 0, "m2": 4.0, "_source_file": "x.geojson"}
@@ -121,13 +121,158 @@ def test_files(geo, tmp_path):
     assert sqlite3.connect(tmp_path / "y.gpkg").execute("SELECT count(*) FROM parcels").fetchone() == (1,)
     both = files.read_layer(geo, str(tmp_path))
     assert both.count() == 3 and files.fields_of(geo, str(tmp_path / "y.gpkg")) == ["fid", "n", "name"]
-    files.write_geojson(df, str(tmp_path / "out"), lonlat=False)
+    files.write_geojson_lines(df, str(tmp_path / "out"), lonlat=False)
     assert json.loads(geo.read.text(str(tmp_path / "out")).first()[0])["geometry"] == box
+    files.write_geojson(df, str(tmp_path / "whole.geojson"), lonlat=False)
+    whole = json.loads((tmp_path / "whole.geojson").read_text())
+    assert whole["type"] == "FeatureCollection" and [f["geometry"] for f in whole["features"]] == [box]
+    (tmp_path / "whole.geojson").unlink()
     files.write_parquet(df, str(tmp_path / "z.parquet"))
     assert files.read_layer(geo, str(tmp_path / "z.parquet"), clip=(5000, 5000, 6000, 6000)).count() == 0
     with pytest.raises(files.LayerNotAvailable):
         files.files_of(str(tmp_path / "none.gpkg"))
-    assert files.study_area(geo, str(tmp_path / "x.geojson"), lonlat=False)
+    assert files.study_area(geo, str(tmp_path / "x.geojson"))
+    with pytest.raises(files.LayerError, match="not read"):
+        (tmp_path / "q.gdb").mkdir()
+        files.read_layer(geo, str(tmp_path))
+    geo.createDataFrame([(1, K.box_wkb(0, 0, 1, 1))], "k int, geom binary").write.parquet(str(tmp_path / "bare.parquet"))
+    with pytest.raises(files.LayerError, match="coordinate system"):
+        files.read_layer(geo, str(tmp_path / "bare.parquet"))
+    assert files.read_layer(geo, str(tmp_path / "bare.parquet"), crs=26985).select(K.area("geom")).first()[0] == 1
+
+
+def test_coordinate_systems_of_files(tmp_path):
+    names = {"urn:ogc:def:crs:OGC:1.3:CRS84": 4326, "EPSG:26985": 26985, "urn:ogc:def:crs:EPSG::3857": 3857, 'PROJCS["x",AUTHORITY["EPSG","2248"]]': 2248, 'GEOGCS["GCS_WGS_1984",UNIT["Degree",0.0174]]': 4326, 'PROJCS["WGS_1984_Web_Mercator_Auxiliary_Sphere"]': 3857, 'PROJCS["NAD_1983_StatePlane_Maryland_FIPS_1900",PROJECTION["Lambert_Conformal_Conic"],UNIT["Meter",1.0]]': 26985, 'PROJCS["Somewhere"]': None}
+    assert {n: files.epsg_of_text(n) for n in names} == names
+    con = sqlite3.connect(tmp_path / "a.gpkg")
+    con.executescript("CREATE TABLE gpkg_geometry_columns (table_name, column_name, geometry_type_name, srs_id, z, m); CREATE TABLE gpkg_spatial_ref_sys (srs_name, srs_id, organization, organization_coordsys_id, definition, description); INSERT INTO gpkg_geometry_columns VALUES ('t', 'g', 'POLYGON', 99, 0, 0); INSERT INTO gpkg_spatial_ref_sys VALUES ('x', 99, 'EPSG', 3857, '', '')")
+    con.commit()
+    assert files.epsg_of(str(tmp_path / "a.gpkg"), "t") == 3857
+
+
+def test_where_dialect(geo):
+    df = geo.createDataFrame([(1, "a", None), (2, "b [x]", 5.0), (3, None, 7.0)], "k int, `n` string, `my col` double")
+    cases = {
+        "n == 'a'": [1], "n in ['a', 'b [x]']": [1, 2], "n not in ['a']": [2, 3], "n != 'a'": [2, 3], "not n == 'a' and k < 3": [2], "k == 1 | k == 3": [1, 3], "k > 1 & ~(k == 3)": [2],
+        "`my col` > 4 and `my col` <= 5": [2], "1 < k <= 3": [2, 3], 'n == "b [x]"': [2], "n.isnull()": [3], "k.isin([1, 3])": [1, 3], "k == [2]": [2], "k % 2 == 0": [2], "k == -1": [], "k != [1, 2]": [3],
+        "n = 'a' OR k IS NULL": [1], "n LIKE 'b%'": [2],
+    }
+    assert {w: [r["k"] for r in df.where(files.translated(w)).orderBy("k").collect()] for w in cases} == cases
+    assert files.translated("n == 'it\\'s'") == "(`n` = 'it\\'s')"
+
+
+def test_shapefile_holes_and_kinds(geo, tmp_path):
+    from cadastra.sources.shapefile import wkb_of, write_shapefile
+
+    ring = lambda x, y, s, turn: [(x, y), (x, y + s), (x + s, y + s), (x + s, y), (x, y)][:: -1 if turn else 1]
+    rows = [("é", 1.5, [ring(0, 0, 10, False), ring(2, 2, 3, True)]), (None, None, [ring(0, 0, 10, False), ring(20, 0, 10, False), ring(22, 2, 1, True)])]
+    write_shapefile(str(tmp_path / "a.shp"), rows, [("name", "C", 10, 0), ("v", "N", 10, 2)], 'AUTHORITY["EPSG","26985"]')
+    df = files.read_layer(geo, str(tmp_path / "a.shp"))
+    assert [tuple(r) for r in df.select("name", "v", K.area("geom"), F.size(K.parts("geom")), "_row").orderBy("_row").collect()] == [("é", 1.5, 91.0, 1, 0), (None, None, 199.0, 2, 1)]
+    assert files.read_layer(geo, str(tmp_path / "a.shp"), clip=(15000, -5000, 16000, 5000)).count() == 0
+    (tmp_path / "a.shx").unlink()
+    assert files.read_layer(geo, str(tmp_path / "a.shp")).count() == 2
+    import struct
+
+    assert wkb_of(struct.pack("<i", 0)) is None and wkb_of(struct.pack("<i2d", 11, 3, 4) + bytes(16)) == struct.pack("<BIdd", 1, 1, 3, 4)
+
+
+def lzw(data: bytes) -> bytes:
+    """A plain encoder of the same kind."""
+    table, width, bits, out, held = {bytes([k]): k for k in range(256)}, 9, 0, bytearray(), 0
+    size = 258
+
+    def put(code):
+        nonlocal held, bits
+        held, bits = held << width | code, bits + width
+        while bits >= 8:
+            out.append(held >> bits - 8 & 255)
+            bits -= 8
+
+    put(256)
+    word = b""
+    for k in data:
+        one = word + bytes([k])
+        if one in table:
+            word = one
+            continue
+        put(table[word])
+        table[one] = size
+        size += 1
+        width = 9 if size < 512 else 10 if size < 1024 else 11 if size < 2048 else 12
+        if size == 4094:
+            put(256)
+            table, size, width = {bytes([k]): k for k in range(256)}, 258, 9
+        word = bytes([k])
+    put(table[word])
+    put(257)
+    out.append(held << 8 - bits & 255 if bits else 0)
+    return bytes(out)
+
+
+def test_tiff_kinds():
+    import zlib
+
+    import numpy as np
+
+    from cadastra.sources import tiff
+
+    rnd = np.random.default_rng(1)
+    z = rnd.integers(0, 300, (40, 50))
+    for kind, form in (("u2", 1), ("i2", 2), ("i4", 2), ("f4", 3), ("f8", 3)):
+        for order in "<>":
+            x = z.astype(order + kind)
+            tags = lambda c, p, x=x, form=form: {tiff.BITS: (8 * x.dtype.itemsize,), tiff.SAMPLE_FORMAT: (form,), tiff.COMPRESSION: (c,), tiff.PREDICTOR: (p,), tiff.NODATA: (b"7\0",)}
+            want = np.where(z == 7, np.nan, z)
+            for c, pack in ((1, bytes), (8, zlib.compress), (5, lzw)):
+                assert np.array_equal(tiff.block_values(tiff.Raster("r", order, tags(c, 1)), pack(x.tobytes()), 40, 50), want, equal_nan=True), (kind, order, c)
+            if form < 3:
+                d = np.diff(x.astype(order + kind), axis=1, prepend=np.zeros((40, 1), x.dtype)).astype(order + kind)
+                assert np.array_equal(tiff.block_values(tiff.Raster("r", order, tags(8, 2)), zlib.compress(d.tobytes()), 40, 50), want, equal_nan=True)
+            else:
+                planes = x.astype(">" + kind).view(np.uint8).reshape(40, 50, -1).transpose(0, 2, 1).reshape(40, -1)
+                d = np.diff(planes, axis=1, prepend=np.zeros((40, 1), np.uint8))
+                assert np.array_equal(tiff.block_values(tiff.Raster("r", order, tags(8, 3)), zlib.compress(d.astype(np.uint8).tobytes()), 40, 50), want, equal_nan=True)
+    with pytest.raises(ValueError, match="compression"):
+        tiff.block_values(tiff.Raster("r", "<", {tiff.BITS: (16,), tiff.COMPRESSION: (7,)}), b"", 1, 1)
+
+
+def test_steep_windows_equal_numpy(geo):
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    z = rnd.random((30, 40)) * 6
+    z[rnd.random((30, 40)) < 0.05] = np.nan
+    cells = geo.createDataFrame([(r, c, None if np.isnan(z[r, c]) else float(z[r, c])) for r in range(30) for c in range(40)], "row int, col int, z double")
+    grid = S.Grid(100.0, 400.0, 10.0, 10.0)
+    boxes = {"a": (163.0, 171.0, 305.0, 333.0), "edge": (80.0, 90.0, 141.0, 160.0), "out": (900.0, 900.0, 950.0, 950.0)}
+    p = with_box(geo.createDataFrame([(k, K.box_wkb(*b)) for k, b in boxes.items()], "account_id string, geom binary"))
+    got = {r["account_id"]: r["m2"] for r in S.window_steep(p, cells, grid, 15.0).select("account_id", K.area("geom").alias("m2")).collect()}
+    want = {}
+    for k, (x0, y0, x1, y1) in boxes.items():
+        c0, r0 = int((x0 - 30 - 100) // 10), int((400 - y1 - 30) // 10)
+        c1, r1 = min(c0 + int(np.ceil((x1 - x0 + 60) / 10)) - 1, 39), min(r0 + int(np.ceil((y1 - y0 + 60) / 10)) - 1, 29)
+        c0, r0 = max(c0, 0), max(r0, 0)
+        if c1 - c0 < 2 or r1 - r0 < 2:
+            continue
+        w = z[r0 : r1 + 1, c0 : c1 + 1]
+        gy, gx = np.gradient(np.where(np.isnan(w), np.nanmean(w), w), 10.0, 10.0)
+        steep = (100 * np.hypot(gx, gy) > 15) & ~np.isnan(w)
+        want[k] = sum(max(0, min(x1, 110 + 10 * (c0 + c)) - max(x0, 100 + 10 * (c0 + c))) * max(0, min(y1, 400 - 10 * (r0 + r)) - max(y0, 390 - 10 * (r0 + r))) for r, c in zip(*np.nonzero(steep)))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert S.window_steep(p, cells, grid, 1.0, resample_m=20.0).count() >= 1
+
+
+def test_code_of_messages_for_unread_layers(geo, tmp_path, capsys):
+    """An unread format is told, with the exit code of a bad configuration."""
+    import yaml
+
+    (tmp_path / "raw.gdb").mkdir()
+    (tmp_path / "s.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"n": 1}, "geometry": {"type": "Polygon", "coordinates": [[[-77.5, 39.3], [-77.4, 39.3], [-77.4, 39.4], [-77.5, 39.3]]]}}]}))
+    (tmp_path / "schema.yaml").write_text(yaml.safe_dump(fixture.SCHEMA))
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump({"counties": {"F": "Frederick"}, "study_area": "s.geojson", "parcels": {"path": ".", "schema": "schema.yaml"}, "zoning": [], "constraints": []}))
+    assert cli.main(["run", "--config", str(tmp_path / "c.yaml"), "--stages", "1", "--out", str(tmp_path / "out")]) == 2
+    assert "not read" in capsys.readouterr().err
 
 
 def test_feature_service(geo):
@@ -164,7 +309,10 @@ def test_feature_service(geo):
         assert df.count() == 2500 and len({q["resultOffset"] for q in seen}) == 3 and "xmin" in seen[0]["geometry"]
         assert [r[0] for r in rest.distinct_values(df, "CODE").collect()] == ["C0", "C1", "C2"]
         assert rest.layer_info(url).domains == {"CODE": {"C0": "zero"}}
-        assert sum(1 for _ in rest.pages(url, rest.query_params(), 1000)) == 2500
+        short = lambda u, q: {"features": features[int(q["resultOffset"]) : int(q["resultOffset"]) + min(30, int(q["resultRecordCount"]))]}
+        assert len(list(rest.features(url, {}, {"resultOffset": 0, "resultRecordCount": 100, "expect": 100}, get=short))) == 100
+        with pytest.raises(rest.ServiceError, match="announced"):
+            list(rest.features(url, {}, {"resultOffset": 2490, "resultRecordCount": 100, "expect": 100}, get=short))
         with pytest.raises(rest.ServiceError):
             rest.http_json(f"{url}/query", {"where": "bad"})
     finally:

@@ -6,8 +6,8 @@ document that licence; a text at ``FILE`` or more as a whole to a notice or a li
 a licence file, and gives it to its directory. A document without a licence of its own takes that of the nearest
 ancestor directory with a file, by a join on paths.
 
-Defined results: null or wordless text has no licence and score 0; ties go to the first template; of several files in a
-directory the best score counts, then the least path; a null path inherits nothing; an empty table gives no rows.
+Defined results: null or wordless text has no licence and score 0; ties (scores that agree in nine digits) go to the first template; of several files in a
+directory the best score (to six digits) counts, then the least path; a null path inherits nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -235,7 +235,7 @@ def scan(docs: DataFrame, scanner: Scanner, counts: DataFrame, total: int, id_co
     weight = F.log((1.0 + total) / (1.0 + F.col("n"))) + 1
     rest = words.join(counts, "h").groupBy("row", "at").agg(F.sum((F.col("c") * weight) ** 2).alias("more"))
     score = F.col("u.dot") / F.sqrt(F.col("u.norm") + F.coalesce("more", F.lit(0.0)))
-    scored = units.join(rest, ["row", "at"], "left").select("row", "u.kind", "u.k", score.alias("score"))
+    scored = units.join(rest, ["row", "at"], "left").select("row", "u.kind", "u.k", F.round(score, 9).alias("score"))
     reached = scored.where(F.col("score") >= F.when(F.col("kind") == 0, HEADER).otherwise(FILE))
     best = lambda k: F.max(F.when(F.col("kind") == k, F.struct("score", (-F.col("k")).alias("k"))))
     per_row = reached.groupBy("row").agg(best(0).alias("h"), best(1).alias("f"))
@@ -248,7 +248,7 @@ def inherit(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Adds license, basis (header, file, inherited, none) and inherited_from: the nearest ancestor directory with a licence file."""
     folder = lambda c: F.regexp_replace(c, "/?[^/]*$", "")
     files = scanned.where(F.col("file").isNotNull() & F.col("path").isNotNull()).select(folder("path").alias("dir"), "file", "file_score", "path")
-    dirs = cut(files.groupBy("dir").agg(F.min_by("file", F.struct((-F.col("file_score")).alias("s"), "path")).alias("dir_license")))
+    dirs = cut(files.groupBy("dir").agg(F.min_by("file", F.struct((-F.round("file_score", 6)).alias("s"), "path")).alias("dir_license")))
     # directories first: each is resolved once, however many documents it holds
     parts = F.split("own_dir", "/")
     own = scanned.where(F.col("path").isNotNull()).select(folder("path").alias("own_dir")).distinct()

@@ -664,6 +664,78 @@ def test_license_wrapped_headers_and_whole_texts(spark):
     assert all(got[i]["basis"] == "none" for i in range(300))
 
 
+def plain_scan(rows):
+    """Every run of lines and every whole text against every template, with dense vectors; then the nearest directory above."""
+    from collections import Counter
+
+    count = [Counter(licenses.tokens(t or "")) for _, _, t in rows]
+    df = Counter(w for c in count for w in c)
+    idf = lambda w: np.log((1 + len(rows)) / (1 + df[w])) + 1
+    vector = lambda c: {w: n * idf(w) for w, n in c.items()}
+    norm = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    every = [(name, vector(Counter(licenses.tokens(t)))) for name, t in (*licenses.TEMPLATES, *licenses.TEXTS)]
+    longest = max(len(licenses.tokens(t)) for _, t in (*licenses.TEMPLATES, *licenses.TEXTS))
+
+    def best(c, many, least):
+        v = vector(c)
+        scores = [sum(x * t.get(w, 0) for w, x in v.items()) / (norm(v) * norm(t)) if v else 0 for _, t in many]
+        k = max(range(len(many)), key=lambda k: (round(scores[k], 12), -k))
+        return (scores[k], -k) if scores[k] >= least else (0.0, None)
+
+    out, files = {}, {}
+    for (i, path, text), c in zip(rows, count, strict=True):
+        lines = [x for line in (text or "").split("\n") if (x := Counter(licenses.tokens(line)))]
+        found = (0.0, None)
+        for a in range(len(lines)):
+            run, size = Counter(), 0
+            for b in range(a, len(lines)):
+                if b > a and size >= longest:
+                    break
+                run, size = run + lines[b], size + lines[b].total()
+                one = best(run, every[: len(licenses.TEMPLATES)], licenses.HEADER)
+                found = max(found, one, key=lambda x: (round(x[0], 12), x[1] if x[1] is not None else -(10**9)))
+        whole = best(c, every, licenses.FILE)
+        out[i] = [found, whole, path]
+        if whole[1] is not None and path is not None:
+            at = path.rpartition("/")[0]
+            files[at] = min(files.get(at, (1, "", 0)), (-round(whole[0], 6), path, whole[1]))
+    answer = {}
+    for i, (header, whole, path) in out.items():
+        name = lambda x: None if x[1] is None else every[-x[1]][0]
+        up, at = None, path
+        while up is None and at:
+            at = at.rpartition("/")[0]
+            up = at if at in files else None
+        own = name(header) or name(whole)
+        basis = "header" if name(header) else "file" if name(whole) else "inherited" if up is not None else "none"
+        answer[i] = (name(header), round(header[0], 6), name(whole), round(whole[0], 6), own or (every[-files[up][2]][0] if up is not None else None), basis, up if own is None else None)
+    return answer
+
+
+def test_license_scan_equals_brute_force(spark):
+    rnd = random.Random(8)
+    everyday = "the code of this project is and for value return list node under see file".split()
+    line = lambda: " ".join(rnd.choice(everyday) for _ in range(rnd.randrange(1, 7)))
+    rows = []
+    for i in range(160):
+        lines = [line() for _ in range(rnd.randrange(1, 6))]
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            words = rnd.choice(licenses.TEMPLATES)[1].split()
+            at = rnd.randrange(1, len(words) + 1)
+            lines.insert(rnd.randrange(len(lines) + 1), "# " + " ".join(words[:at]) + ("\n# " if rnd.random() < 0.5 else " ") + " ".join(words[at:]) + rnd.choice(["", " " + line()]))
+        if rnd.random() < 0.2:
+            lines = [rnd.choice(licenses.TEMPLATES)[1]]
+        depth = rnd.randrange(5)
+        rows.append((i, "/".join(["r", *(rnd.choice("ab") for _ in range(depth)), f"f{i}"]) if i % 40 else None, "\n".join(lines) if i % 37 else None))
+    rows.append((500, "r/a/f1", licenses.TEXTS[0][1]))
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string").repartition(3)
+    got = {r["doc_id"]: (r["header"], r["header_score"], r["file"], r["file_score"], r["license"], r["basis"], r["inherited_from"]) for r in licenses.license_scan(clashing(frame)).collect()}
+    want = plain_scan(rows)
+    assert {i: (*v[::2], v[5]) for i, v in got.items()} == {i: (*v[::2], v[5]) for i, v in want.items()}
+    assert all(got[i][k] == pytest.approx(want[i][k], abs=2e-6) for i in want for k in (1, 3))
+    assert {v[5] for v in got.values()} >= {"header", "inherited", "none"}
+
+
 # ---- 10 ---------------------------------------------------------------------
 def test_line_dedup(spark, empty):
     rows = [(i, f"body {i}\n Cookie notice \n\nshared {i % 3}\nshared {i % 3}", "en", "h1", 30) for i in range(30)]
@@ -699,6 +771,49 @@ def test_pipeline(spark, tmp_path, theirs):
         assert got[i] == hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path, theirs):
+    """Each stage by its definition on all that the one before left; the language model alone is taken as it is."""
+    import corpus_pipeline
+
+    rnd = random.Random(31)
+    words = lambda n: [rnd.choice(WORDS["en"]) + str(rnd.randrange(900)) for _ in range(n)]
+    bench = [(k, " ".join(words(14))) for k in range(6)]
+    rows = []
+    for i in range(150):
+        own, host = words(rnd.choice([3, 40, 90])), f"s{i % 3}" if i % 11 else None
+        if i and rnd.random() < 0.3:  # a copy of an earlier one, some words changed
+            own = rows[rnd.randrange(len(rows))][1].split("\n")[-1].split()
+            for _ in range(rnd.randrange(4)):
+                own[rnd.randrange(len(own))] = words(1)[0] if own else None
+        if rnd.random() < 0.15:
+            own[len(own) // 2 : len(own) // 2] = rnd.choice(bench)[1].split()
+        head = "Home | About | Contact\n" if host == "s1" and rnd.random() < 0.8 else ""
+        rows.append((i, head + " ".join(own), "en", host, 0))
+    rows += [(900, None, "en", "s0", 0), (901, "?? 12 ½", "en", "s0", 0), (902, "", None, "s1", 0), (903, rows[5][1], None, "s2", 0)]
+    spark.createDataFrame(rows, DOCS).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    known = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(frame, language_id.fit(frame)).collect()}
+    left = {i: (t, host) for i, t, _, host, _ in rows if known[i][0] != "und" and known[i][1] >= language_id.LEAST}
+    pages, on = {}, {}
+    for t, host in left.values():
+        pages[host] = pages.get(host, 0) + 1
+        for line in {x.strip(" ") for x in t.split("\n")} - {""}:
+            on[host, line] = on.get((host, line), 0) + 1
+    bad = {(host, line) for (host, line), n in on.items() if n >= line_dedup.LEAST and n / pages[host] > line_dedup.RATIO}
+    left = {i: "\n".join(x for x in t.split("\n") if not x.strip(" ") or (host, x.strip(" ")) not in bad) for i, (t, host) in left.items()}
+    sets = {i: frozenset(simhash.shingle_set(t, 5).tolist()) for i, t in left.items()}
+    alike = lambda a, b: not a and not b or bool(a & b) and len(a & b) >= 0.8 * len(a | b)
+    items = [(i, sets[i]) for i in left]
+    left = {i: left[i] for i, least in brute_components(items, alike) if i == least}
+    dirty = {r[0] for r in brute_hits(list(left.items()), bench) if r[5]}
+    left = {i: t for i, t in left.items() if i not in dirty}
+    assert dirty and len(left) < 120 and bad
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    ids = {i: theirs.encode(t, add_special_tokens=False).ids for i, t in left.items()}
+    assert got == {i: (len(ids[i]), hashlib.sha256(",".join(map(str, ids[i])).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in left.items()}
+
+
 def test_registered():
     from cadastra.llm import queries
 

@@ -65,7 +65,7 @@ def cut(df: DataFrame) -> DataFrame:
 #: A side of a join is broadcast up to this many counted rows.
 SMALL = 200_000
 SALTS = 32
-HOT_ROWS, HOT_KEYS = 1000, 100_000
+HOT_ROWS, HOT_KEYS = 200, 100_000
 
 
 def hot_join(large: DataFrame, small: DataFrame, on: str, total: int) -> DataFrame:

@@ -248,29 +248,32 @@ class Shards:
                 every = np.zeros((len(values), sample.shape[1]), np.uint64)
                 every[:, word] = values << np.uint64(low)
                 rows, leaves = tree.route(every)
-                home, rows, leaves = leaves[: len(values)].astype(np.int32), rows[len(values) :], leaves[len(values) :].astype(np.int32)
+                # there are no more leaves than values of a block
+                home, rows, leaves = leaves[: len(values)].astype(np.uint16), rows[len(values) :], leaves[len(values) :].astype(np.uint16)
                 # the bounds of several nodes can hold where no single value does: such leaves need no visit
                 reached = np.zeros(len(rows), bool)
                 for flip in flips(radius):
                     reached |= home[rows ^ flip] == leaves
                 rows, leaves = rows[reached], leaves[reached]
                 order = np.argsort(rows, kind="stable")
-                self.of.append((word, np.uint64(low), home, np.searchsorted(rows[order], np.arange(len(values) + 1)), leaves[order]))
-
-    def value(self, k: int, fps: np.ndarray) -> np.ndarray:
-        word, low = self.of[k][:2]
-        return (fps[:, word] >> low & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+                self.of.append((home, np.searchsorted(rows[order], np.arange(len(values) + 1)).astype(np.int32), leaves[order]))
 
     def route(self, k: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) pairs in the k-th tree, those at home first."""
-        home, first, visits = self.of[k][2:]
-        v = self.value(k, fps)
-        many = first[v + 1] - first[v]
+        home, first, visits = self.of[k]
+        v = block_value(k, fps)
+        many = (first[v + 1] - first[v]).astype(np.int64)
         rows = np.repeat(np.arange(len(v)), many)
         at = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[v], many)
         return np.concatenate([np.arange(len(v)), rows]), np.concatenate([home[v], visits[at]])
 
 
+def block_value(k: int, fps: np.ndarray) -> np.ndarray:
+    """The values of the k-th block."""
+    word, low = divmod(k * BLOCK_BITS, 64)
+    return (fps[:, word] >> np.uint64(low) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+
+
 def flips(radius: int) -> list[int]:
     """What can be added, without carry, to a value of a block to reach those within the radius (1 at most)."""
     return [0, *(1 << b for b in range(BLOCK_BITS))][: 1 + BLOCK_BITS * radius]
@@ -341,6 +344,7 @@ def candidates(distinct: DataFrame, distance: int) -> DataFrame:
     """Edges (u, v) between distinct fingerprints whose closure is that of all links within the distance that some block shows with a bit at most."""
     m = distinct.count()
     shards = Shards(sampled(distinct, m, max(256, min(SAMPLE, 16 * m // SHARD_TARGET))), m)
+    radius = shards.radius
 
     def sizes(batches):
         for b in batches:
@@ -379,7 +383,7 @@ def candidates(distinct: DataFrame, distance: int) -> DataFrame:
         x, home, second = matrix(column), group.column("home").to_numpy(), group.column("second").to_numpy()
         c = large.get(shard, 1)
         across = c > 1 and (place - 1) // c != (place - 1) % c
-        found = near_in_block(x, shards.value(shard >> 32, x), home, second if across else None, distance, shards.radius)
+        found = near_in_block(x, block_value(shard >> 32, x), home, second if across else None, distance, radius)
         return pa.table({"u": column.take(pa.array(found[:, 0])), "v": column.take(pa.array(found[:, 1]))})
 
     met = distinct.select("fp").mapInArrow(deal, "shard long, place long, home boolean, second boolean, fp binary").groupBy("shard", "place").applyInArrow(meet, "u binary, v binary")

@@ -255,7 +255,7 @@ def inherit(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     above = own.select("own_dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))).alias("dir"))
     # a root stands above all directories of its tree, a flat directory holds many documents: both joins spread such keys
     nearest = cut(spread_join(above, dirs, ["dir"], dirs.count(), ["own_dir"]).groupBy("own_dir").agg(F.max_by(F.struct("dir", "dir_license"), F.length("dir")).alias("up")))
-    rows = spread_join(scanned.withColumn("own_dir", folder("path")), nearest, ["own_dir"], nearest.count(), ["path"], "left")
+    rows = spread_join(scanned.withColumn("own_dir", folder("path")), nearest, ["own_dir"], nearest.count(), [id_col], "left")
     own_license = F.coalesce("header", "file")
     basis = F.when(F.col("header").isNotNull(), "header").when(F.col("file").isNotNull(), "file").when(F.col("up").isNotNull(), "inherited").otherwise("none")
     return rows.select(id_col, "path", "header", F.round("header_score", 6).alias("header_score"), "file", F.round("file_score", 6).alias("file_score"), F.coalesce(own_license, F.col("up.dir_license")).alias("license"), basis.alias("basis"), F.when(own_license.isNull(), F.col("up.dir")).alias("inherited_from"))

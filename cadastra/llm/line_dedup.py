@@ -42,7 +42,8 @@ def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST,
     size = bad.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
     # a null host becomes a key of its own, so that the join is on plain equality
     key = lambda c: F.struct(c.isNull().alias("none"), F.coalesce(c, F.lit("")).alias("host")).alias("host_key")
-    rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), key(F.col(host_col).cast("string")), F.xxhash64(text_col).alias("of"))
+    rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("page"), key(F.col(host_col).cast("string")))
+    rows = rows.withColumn("of", F.xxhash64("page"))
     both = spread_join(rows, bad.select(key(F.col("host").cast("string")), "keys"), ["host_key"], size, ["of"], "left")
     text = F.col("page")[text_col]
     kept = F.filter("lines", lambda x: (F.trim(x) == "") | ~F.array_contains("keys", line_key(x)))

@@ -1,9 +1,11 @@
 """Benchmark decontamination with a positional inverted index, in DataFrame functions only.
 
-1. The index is stored once: postings (term, document, position) of the benchmark's words, in the shared folder.
-2. Its counts tell each window's two rarest words, its anchors; a window with a word that the corpus lacks is dropped.
-3. Anchor postings are moved back by their offset in the item: equal (document, item, shift) means that lists meet. A
-   window is a candidate where both of its anchors meet at one shift.
+1. The benchmark's words are counted in the corpus, in tasks first. The counts tell each window's two rarest words, its
+   anchors; a window with a word that the corpus lacks is dropped.
+2. The index is stored once: postings (term, document, position) of the anchors, in the shared folder. The lists of the
+   common words, most of all postings, answer no question and are never written.
+3. Postings are moved back by their offset in the item: equal (document, item, shift) means that lists meet. A window is
+   a candidate where both of its anchors meet at one shift.
 4. Candidates meet their own document once, where the exact phrase is compared and the hit words are counted.
 
 Words are found on a wider fold of case in steps 1 to 3, which only ever adds candidates; step 4 folds A-Z alone.
@@ -17,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spread_join
+from .common import SMALL, cut, spread_join
 
 WINDOW = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,13 +52,16 @@ def windows(bench: DataFrame, size: int = WINDOW, item_col: str = "item_id", tex
 
 def index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The stored positional index of the vocabulary's terms (h, vid): rows (vid, doc, pos)."""
+    return cut(postings_of(docs, vocabulary, id_col, text_col))
+
+
+def postings_of(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spread = docs.select(F.col(id_col).alias("doc"), F.posexplode(terms(text_col)).alias("pos", "h"))
-    return cut(spread_join(spread, vocabulary, ["h"], vocabulary.count(), ["doc", "pos"]).select("vid", "doc", "pos"))
+    return spread_join(spread, vocabulary, ["h"], vocabulary.count(), ["doc", "pos"]).select("vid", "doc", "pos")
 
 
-def rarest(places: DataFrame, postings: DataFrame, anchors: int = 2) -> DataFrame:
-    """(row, item, at, len, phrase, marks): the offsets in the item of each window's rarest words; windows that cannot occur are left out."""
-    counts = cut(postings.groupBy("vid").agg(F.count("*").alias("n")))
+def rarest(places: DataFrame, counts: DataFrame, anchors: int = 2) -> DataFrame:
+    """(row, item, at, len, phrase, marks): the offsets in the item of each window's rarest words, by (vid, n); windows that cannot occur are left out."""
     by = spread_join(places, counts, ["vid"], counts.count(), ["row", "at", "off"]).groupBy("row", "item", "at", "len", "phrase").agg(F.sort_array(F.collect_list(F.struct("n", "off"))).alias("o")).where(F.size("o") == F.col("len"))
     return by.select("row", "item", "at", "len", "phrase", F.transform(F.slice("o", 1, anchors), lambda x: x["off"] + F.col("at")).alias("marks"))
 
@@ -71,10 +76,10 @@ def candidates(docs: DataFrame, bench: DataFrame, size: int = WINDOW, id_col: st
     places = windows(bench, size).select("row", "item", "at", "len", "phrase", F.posexplode("hs").alias("off", "h"))
     vocabulary = cut(places.select("h").distinct().withColumn("vid", F.monotonically_increasing_id()))
     places = cut(spread_join(places, vocabulary, ["h"], vocabulary.count(), ["row", "at", "off"]))
-    postings = index(docs, vocabulary, id_col, text_col)
-    rare = cut(rarest(places, postings))
+    rare = cut(rarest(places, cut(postings_of(docs, vocabulary, id_col, text_col).groupBy("vid").agg(F.count("*").alias("n")))))
     marked = rare.select("row", F.explode("marks").alias("mark")).distinct()
     anchors = cut(marked.join(places.select("row", (F.col("at") + F.col("off")).alias("mark"), "vid").distinct(), ["row", "mark"]))
+    postings = index(docs, cut(vocabulary.join(F.broadcast(anchors.select("vid").distinct()) if anchors.count() <= SMALL else anchors.select("vid").distinct(), "vid", "left_semi").select("h", "vid")), id_col, text_col)
     found = spread_join(postings, anchors, ["vid"], anchors.count(), ["doc", "pos"])
     met = found.groupBy("doc", "row", (F.col("pos") - F.col("mark")).alias("shift")).agg(F.bit_or(bit_of(F.col("mark"))).alias("bits"))
     single = rare.where("len = 1").limit(1).count() > 0

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cadastra.llm import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, sharding, simhash, token_counts
+from cadastra.llm import bpe, chat, common, decontaminate, flac, language_id, licenses, line_dedup, sharding, simhash, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -430,6 +430,7 @@ def test_similar_texts_equal_brute_force_at_any_depth(spark, monkeypatch, target
     if target == 256:
         monkeypatch.setattr(simhash, "SHARD_ROWS", 200)
         monkeypatch.setattr(simhash, "CLASS_ROWS", 4)
+        monkeypatch.setattr(common, "HOT_ROWS", 2)
     rows = similar_pairs(random.Random(target), 1500)
     # chains: each text is similar to the next, the first and the last are not; and one that many copy
     rnd = random.Random(1)
@@ -814,6 +815,19 @@ def test_pipeline_equals_brute_force(spark, tmp_path, theirs):
     assert got == {i: (len(ids[i]), hashlib.sha256(",".join(map(str, ids[i])).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()) for i, t in left.items()}
 
 
+def test_salted_joins_equal_broadcast_ones(spark, monkeypatch):
+    """Beyond the bound of a broadcast, hot hosts, directories, words and texts go by salted joins, with the same result."""
+    pages = spark.createDataFrame([(i, f"body {i}\nbanner\nx {i % 2}", None if i % 5 == 0 else f"h{i % 2}") for i in range(40)], "doc_id long, text string, source string")
+    paths = spark.createDataFrame([(i, f"r/{'a/' * (i % 3)}f{i}" if i % 7 else None, licenses.TEMPLATES[i % 18][1] if i % 6 == 0 else "code words") for i in range(30)], "doc_id long, path string, text string")
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(i, item + " x" * i) for i in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    run = lambda: [sorted(map(str, df.collect())) for df in (line_dedup.drop_boilerplate(pages), licenses.license_scan(paths), decontaminate.report(docs, bench))]
+    before = run()
+    monkeypatch.setattr(common, "SMALL", 0)
+    assert run() == before
+
+
 def test_registered():
     from cadastra.llm import queries
 

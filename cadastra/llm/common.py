@@ -65,13 +65,16 @@ def cut(df: DataFrame) -> DataFrame:
 #: A side of a join is broadcast up to this many counted rows.
 SMALL = 200_000
 SALTS = 32
-HOT_ROWS, HOT_KEYS = 200, 100_000
+HOT_ROWS, HOT_KEYS = 1000, 100_000
 
 
 def hot_join(large: DataFrame, small: DataFrame, on: str, total: int) -> DataFrame:
     """An inner join with a table that has one row for each key and, as ``n``, how many rows of ``large`` have it, ``total`` in all. Keys of many rows go by broadcast: no more than ``HOT_KEYS`` have so many. ``n`` is dropped."""
     least = max(HOT_ROWS, total // HOT_KEYS)
-    hot = F.broadcast(small.where(F.col("n") > least).drop("n"))
+    found = small.where(F.col("n") > least).drop("n")
+    if total <= least or found.isEmpty():
+        return large.join(small.drop("n"), on)
+    hot = F.broadcast(found)
     cool = large.join(hot.select(on), on, "left_anti").join(small.where(F.col("n") <= least).drop("n"), on)
     return large.join(hot, on).unionByName(cool)
 

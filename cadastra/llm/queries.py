@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, sharding, simhash, token_counts
+from . import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, packing, sharding, simhash, token_counts
 from .common import sha256_hex, table
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Looked up when a query runs, so that importing this module needs no file."""
+    return public_tokenizers.path(name)
+
+
 PROBE = r"\### Assistant: </turn> ok"
 
 
@@ -25,7 +30,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +47,7 @@ def op6_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.histogram(token_counts.lengths(table(spark, sf_dir, "documents"), VOCABULARY))
+    return token_counts.histogram(token_counts.lengths(table(spark, sf_dir, "documents"), vocabulary()))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +72,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("page.doc_id").alias("doc_id"), "n_lines", "n_dropped", sha256_hex(F.coalesce("text", F.lit(""))).alias("text_sha256"), "text")
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup, op12_packing)}
 
 
 _OP4 = r"""

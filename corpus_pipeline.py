@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.llm import bpe, decontaminate, language_id, line_dedup, simhash
 from cadastra.llm.common import Cut, scratch, table
-from cadastra.llm.queries import VOCABULARY
+from cadastra.llm.queries import vocabulary
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, VOCABULARY)
+    return bpe.round_trip(docs, vocabulary())
 
 
 STAGES = [("language_id", identified), ("line_dedup", lines_deduped), ("simhash_near_dedup", near_deduped), ("decontamination", decontaminated), ("bpe", encoded)]

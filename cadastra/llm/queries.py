@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, packing, sharding, simhash, token_counts
+from . import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, packing, search, sharding, simhash, token_counts
 from .common import sha256_hex, table
 
 
@@ -72,13 +72,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("page.doc_id").alias("doc_id"), "n_lines", "n_dropped", sha256_hex(F.coalesce("text", F.lit(""))).alias("text_sha256"), "text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup, op12_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup, op11_ranked_search, op12_packing)}
 
 
 _OP4 = r"""
@@ -115,6 +119,19 @@ k AS (SELECT d.*, list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains
 SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS text_sha256, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text FROM k
 """
 
+_OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+lens AS (SELECT r, doc_id, len(ws)::BIGINT AS n FROM d WHERE len(ws) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lens),
+tfs AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY 1, 2),
+dfs AS (SELECT term, count(*)::BIGINT AS df FROM tfs GROUP BY 1),
+b AS (SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+q AS (SELECT i, item_id, term, count(*)::BIGINT AS reps FROM (SELECT i, item_id, unnest(ws) AS term FROM b) GROUP BY 1, 2, 3),
+w AS (SELECT term, df, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM dfs, total),
+s AS (SELECT i, item_id, r, doc_id, sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score FROM q JOIN w USING (term) JOIN tfs USING (term) JOIN lens USING (r), total GROUP BY 1, 2, 3, 4)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": _OP4, "op8_chat": _OP8, "op10_line_dedup": _OP10}
+    return {"op4_decontaminate": _OP4, "op8_chat": _OP8, "op10_line_dedup": _OP10, "op11_ranked_search": _OP11}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, flac, language_id, licenses, line_dedup, packing, search, sharding, simhash, token_counts
+from . import bpe, buckets, chat, decontaminate, flac, language_id, licenses, line_dedup, packing, search, sharding, simhash, token_counts
 from .common import sha256_hex, table
 
 
@@ -81,8 +81,16 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op13_co_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = 600
+    bucket = F.pmod(F.crc32(F.concat(F.lit("s"), F.col("sale_id").cast("string"))), F.lit(n)).cast("int")
+    by_sale = F.coalesce(bucket - (bucket % 4 == 1).cast("int"), F.lit(n + 1))
+    by_item = F.coalesce(F.pmod(F.crc32(F.col("item_id").cast("string")), F.lit(n)).cast("int"), F.lit(0))
+    return buckets.co_bucketed(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"), "sale_id", (by_sale, by_item), bucket, n, ("sales", "sale_lines"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup, op11_ranked_search, op12_packing)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_bpe, op4_decontaminate, op5_simhash, op6_flac, op7_token_counts, op8_chat, op9_license_scan, op10_line_dedup, op11_ranked_search, op12_packing, op13_co_bucketed)}
 
 
 _OP4 = r"""

@@ -489,14 +489,19 @@ def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, d
     return out.df
 
 
-def named(prints: DataFrame, distinct: DataFrame, edges: DataFrame, total: int, id_col: str) -> DataFrame:
-    """One row per document: id, fp, component_id."""
+def named(prints: DataFrame, distinct: DataFrame, edges: DataFrame, total: int, id_col: str, choose: bool = False) -> DataFrame:
+    """One row per document: id, fp, component_id; with ``choose`` also t and ``chosen``, whether the row is its component's own: that of the least id (nulls last) and, among its texts, of the least fingerprint."""
     roots = components(edges).select(F.col("node").alias("fp"), "root")
     linked = Cut(roots.join(distinct, "fp").select("fp", "rep", "root", "n")).df
-    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("n"))
-    known = hot_join(linked.withColumnRenamed("n", "docs"), least, "root", linked.count()).select("fp", F.col("component_id").alias("c"))
-    of = Cut(distinct.join(known, "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"), "n")).df
-    return hot_join(prints.select(id_col, "fp"), of, "fp", total).select(id_col, "fp", "component_id")
+    first = [F.min_by("fp", F.struct(F.col("rep").isNull(), "rep", "fp")).alias("own")] if choose else []
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), *first, F.count("*").alias("n"))
+    own = ["own"] if choose else []
+    known = hot_join(linked.withColumnRenamed("n", "docs"), least, "root", linked.count()).select("fp", F.col("component_id").alias("c"), *own)
+    of = Cut(distinct.join(known, "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"), *own, "n")).df
+    if not choose:
+        return hot_join(prints.select(id_col, "fp"), of, "fp", total).select(id_col, "fp", "component_id")
+    chosen = F.col(id_col).eqNullSafe(F.col("component_id")) & (F.coalesce("own", "fp") == F.col("fp"))
+    return hot_join(prints.select(id_col, "fp", "t"), of, "fp", total).select(id_col, "fp", "component_id", "t", chosen.alias("chosen"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, blocks: int = 2, n_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -513,19 +518,19 @@ def far(least: float, n_words: int) -> int:
 
 
 def similar_texts(docs: DataFrame, width: int = 5, least: float = 0.8, n_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, fp, component_id (the least id that links lead to, its own included); a link is a Jaccard similarity of ``least`` or more."""
+    """One row per document: id, fp, component_id (the least id that links lead to, its own included), t (the text's hash) and ``chosen``; a link is a Jaccard similarity of ``least`` or more."""
     prints = Cut(fingerprints(docs, width, n_words, id_col, text_col, sets=True)).df
     distinct = Cut(prints.groupBy("fp").agg(F.min(id_col).alias("rep"), F.count("*").alias("n"))).df
     distance = far(least, n_words)
     edges = verified(candidates(distinct, distance), prints, docs, width, distance, least, id_col, text_col)
-    return named(prints, distinct, edges, prints.count(), id_col)
+    return named(prints, distinct, edges, prints.count(), id_col, choose=True)
 
 
 def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, n_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, without those whose component has a lesser id. Rows that repeat an id are kept or dropped together."""
+    """The documents, all columns, one text of each component: that of the least id, nulls last. Rows count, not ids: of rows that share an id only those go whose own text has a chosen one beside it; rows that repeat both id and text stay or go together."""
     found = similar_texts(docs, width, least, n_words, id_col, text_col)
-    dropped = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    dropped = found.where(~F.col("chosen")).select(F.col(id_col).alias("__id"), F.col("t").alias("__t")).distinct()
+    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["__id"]) & (F.xxhash64(docs[text_col]) == dropped["__t"]), "left_anti")
 
 
 def hex_of(fp="fp"):

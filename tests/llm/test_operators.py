@@ -394,6 +394,19 @@ def test_keep_one(spark):
     assert kept == set(range(60))
 
 
+def test_keep_one_goes_by_rows(spark):
+    """Repeated and missing ids: a text goes only where a chosen one is like it, and then all its rows do."""
+    rnd = random.Random(4)
+    a, b, c, d, e = (" ".join(f"{rnd.choice(WORDS['en'])}{rnd.randrange(3000)}" for _ in range(300)) for _ in range(5))
+    like = lambda t, k: f"{t} tail{k}"
+    rows = [(5, like(a, 1)), (5, b), (3, a), (None, a), (None, like(c, 1)), (None, c), (3, d), (7, d), (3, like(d, 2)), (8, e), (8, e), (9, ""), (10, None), (None, "   ")]
+    got = [tuple(r) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    one_of = lambda *texts: sum(t in texts for _, t in got)
+    assert (3, a) in got and one_of(a, like(a, 1)) == 1
+    assert (5, b) in got and one_of(c, like(c, 1)) == 1 and one_of(d, like(d, 2)) == 1 and (7, d) not in got
+    assert got.count((8, e)) == 2 and one_of("", None, "   ") == 1 and len(got) == 7
+
+
 def test_keep_one_checks_the_jaccard_similarity(spark):
     """Near texts just below 0.8 stay, those above go."""
     rnd = random.Random(4)

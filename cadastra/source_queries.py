@@ -17,7 +17,7 @@ from .functions import measures as M
 from .kernel import functions as K
 from .operators import slope as S
 from .queries import CTES, MEET, query, r2
-from .sources import files, fixture, rest, tiff
+from .sources import files, fixture, geojson, rest, tiff
 from .sources.shapefile import write_shapefile
 from .stage_queries import _conic
 
@@ -60,6 +60,46 @@ def source_files(spark, sf_dir):
     return got.select("k", "kind", M.rounded(K.area("geom"), 3).alias("m2"), F.col("_source_file").alias("source"))
 
 
+_MIXED = f"k, CASE WHEN k % 3 = 0 THEN k::DOUBLE WHEN k % 3 = 1 THEN k + 0.5 END AS val, CASE WHEN k % 2 = 0 THEN CAST(k AS VARCHAR) ELSE 'n' || k END AS mix, CASE WHEN k > n THEN 'late \\ \"{{[' || k END AS late, CASE WHEN k % 5 = 0 THEN '{{\"a\":[' || k || ']}}' END AS part"
+
+
+@query(f"WITH c AS (SELECT c_custkey AS k, (SELECT max(c_custkey) - 3 FROM customer) AS n FROM customer) SELECT how, {_MIXED}, 200.0 AS m2 FROM c, (VALUES ('whole'), ('ranges')) h(how)")
+def source_geojson(spark, sf_dir):
+    """Features of mixed kinds, a field that only the last have, the coordinate system behind them: read whole and in ranges of 16 KB."""
+    home = _home(spark)
+    K.register(spark)
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    k, n = F.col("k"), c.agg(F.max("k")).first()[0] - 3
+    member = lambda name, value: F.concat(F.lit(f', "{name}": '), value)
+    text = lambda v: F.to_json(F.struct(v.alias("x"))).substr(F.lit(6), F.lit(1 << 20))
+    string = lambda v: F.regexp_replace(text(v), "}$", "")
+    val = F.when(k % 3 == 0, member("val", k.cast("string"))).when(k % 3 == 1, member("val", F.concat(k.cast("string"), F.lit(".5")))).otherwise(member("val", F.lit("null")))
+    mix = member("mix", F.when(k % 2 == 0, k.cast("string")).otherwise(string(F.concat(F.lit("n"), k.cast("string")))))
+    late = F.when(k > n, member("late", string(F.concat(F.lit('late \\ "{['), k.cast("string"))))).otherwise("")
+    part = F.when(k % 5 == 0, member("part", F.concat(F.lit('{"a": ['), k.cast("string"), F.lit("]}")))).otherwise("")
+    x, y = ((k % 40) * 700).cast("string"), (F.expr("k div 40") * 700).cast("string")
+    corner = lambda dx, dy: F.concat(F.lit("["), (x.cast("long") + dx).cast("string"), F.lit(","), (y.cast("long") + dy).cast("string"), F.lit("]"))
+    ring = F.concat_ws(",", *[corner(*d) for d in ((0, 0), (20, 0), (20, 10), (0, 10), (0, 0))])
+    feature = F.concat(F.lit('{"type":"Feature", "properties": {"k": '), k.cast("string"), val, mix, late, part, F.lit('}, "geometry": {"type": "Polygon", "coordinates": [['), ring, F.lit("]]}}"))
+
+    def write(batches, path):
+        with open(path, "w", encoding="utf-8") as f:
+            f.write('{"type": "FeatureCollection", "name": "a \\"features\\": [", "features": [')
+            first = True
+            for b in batches:
+                f.write(("" if first else ", \n") + ", \n".join(b.column(0).to_pylist()))
+                first = False
+            f.write('], "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::26985"}}}')
+
+    path = str(home / "mixed.geojson")
+    files.streamed(c.select("k", feature.alias("f")).orderBy("k").select("f"), path, write)
+    out = None
+    for how, df in (("whole", files.read_layer(spark, path)), ("ranges", geojson.read(spark, geojson.layout(spark, path, 1 << 14)))):
+        one = df.select(F.lit(how).alias("how"), "k", "val", "mix", "late", "part", M.rounded(K.area("geom"), 3).alias("m2"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 CLIP = (3000.0, 2000.0, 9000.0, 30000.0)
 
 

@@ -5,15 +5,19 @@ from __future__ import annotations
 import json
 import math
 import re
+import shutil
 import sqlite3
 import struct
+import uuid
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..kernel import functions as K
+from . import geojson
 from .shapefile import Shapefile
 from .where import translated
 
@@ -21,7 +25,7 @@ SUFFIXES = (".gpkg", ".shp", ".geojson", ".json", ".geojsonl", ".parquet")
 UNREAD = (".gdb", ".fgb")
 PAD_M = 1000.0
 #: A row's place in its source: the number of its file times this, and its position there.
-FILE_ROWS = 1 << 40
+FILE_ROWS = 1 << 47
 
 
 class LayerNotAvailable(FileNotFoundError):
@@ -51,24 +55,6 @@ def files_of(path: str) -> list[str]:
     return [str(p) for p in found]
 
 
-# GeoJSON coordinates to WKB: the type code, then rings or points.
-def geojson_wkb(g: dict | None) -> bytes | None:
-    if not g:
-        return None
-    kind, c = g["type"], g.get("coordinates")
-    codes = {"Point": 1, "LineString": 2, "Polygon": 3, "MultiPoint": 4, "MultiLineString": 5, "MultiPolygon": 6, "GeometryCollection": 7}
-    head = struct.pack("<BI", 1, codes[kind])
-    points = lambda ps: struct.pack("<I", len(ps)) + b"".join(struct.pack("<dd", *p[:2]) for p in ps)
-    if kind == "Point":
-        return head + struct.pack("<dd", *c[:2])
-    if kind == "LineString":
-        return head + points(c)
-    if kind == "Polygon":
-        return head + struct.pack("<I", len(c)) + b"".join(map(points, c))
-    members = g["geometries"] if kind == "GeometryCollection" else [{"type": kind[5:], "coordinates": x} for x in c]
-    return head + struct.pack("<I", len(members)) + b"".join(map(geojson_wkb, members))
-
-
 def wkb_geojson(w: bytes | None) -> str | None:
     """The GeoJSON text of little- or big-endian WKB."""
     if w is None:
@@ -178,8 +164,13 @@ def epsg_of_text(text: str) -> int | None:
     return None
 
 
-def epsg_of(name: str, layer: str | None = None) -> int | None:
-    """What a file says of its coordinate system; None if it says nothing. Files of stores that only Spark reads say nothing but by a ``_crs`` column."""
+def epsg_of(name: str, layer: str | None = None, spark: SparkSession | None = None) -> int | None:
+    """What a file says of its coordinate system; None if it says nothing. GeoJSON that says nothing is longitude and latitude. Parquet of stores that only Spark reads says nothing but by a ``_crs`` column."""
+    if Path(name).suffix.lower() in geojson.SUFFIXES:
+        crs = geojson.layout_of(spark or SparkSession.active(), name).crs
+        return epsg_of_text(str((crs.get("properties") or {}).get("name", ""))) if crs else 4326
+    if "://" in name:
+        return None
     if name.endswith(".gpkg"):
         con = sqlite3.connect(f"file:{name}?mode=ro", uri=True)
         has = lambda t: con.execute("SELECT count(*) FROM sqlite_master WHERE name = ?", (t,)).fetchone()[0]
@@ -192,10 +183,7 @@ def epsg_of(name: str, layer: str | None = None) -> int | None:
         return epsg_of_text(at.read_text()) if at.exists() else None
     if name.endswith(".parquet"):
         return _geoparquet_epsg(name)
-    with open(name, encoding="utf-8") as f:
-        # longitude and latitude unless the head of the file says otherwise
-        found = re.search(r'"crs"\s*:\s*\{.{0,200}?"name"\s*:\s*"([^"]*)"', f.read(4096), re.DOTALL)
-    return epsg_of_text(found[1]) if found else 4326
+    return None
 
 
 def _geoparquet_epsg(name: str) -> int | None:
@@ -240,8 +228,12 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
     out = None
     for number, name in enumerate(files_of(path)):
         kind = Path(name).suffix.lower()
-        epsg = crs or ("://" not in name and epsg_of(name, layer) or None)
-        df = spark.read.parquet(name) if kind == ".parquet" or "://" in name else None
+        epsg = crs or epsg_of(name, layer, spark)
+        df = None
+        if kind in geojson.SUFFIXES:
+            df = geojson.read(spark, geojson.layout_of(spark, name))
+        elif kind == ".parquet" or "://" in name:
+            df = spark.read.parquet(name)
         own = df is not None and "_crs" in df.columns
         if not own and epsg is None and default_crs is None:
             raise LayerError(f"{name}: the layer doesn't say its coordinate system")
@@ -254,7 +246,7 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
         elif kind == ".shp":
             spark.dataSource.register(Shapefile)
             df = spark.read.format("shapefile").options(**options).load()
-        elif df is not None:
+        elif kind not in geojson.SUFFIXES:
             if "_row" not in df.columns:
                 # the number in a part's name, else one made of the name, and the row's place in the part
                 part = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS long)"), F.abs(F.xxhash64("_metadata.file_name")) % (1 << 12))
@@ -263,8 +255,6 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
                 b = box or box_in(spark, clip, K.PLANE)
                 meets = (F.col("minx") <= b[2]) & (F.col("maxx") >= b[0]) & (F.col("miny") <= b[3]) & (F.col("maxy") >= b[1])
                 df = df.where(meets | (F.col("_crs") != K.PLANE)) if own else df.where(meets)
-        else:
-            df = _geojson(spark, name)
         if where:
             df = df.where(translated(where))
         if own:
@@ -284,24 +274,8 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
     return out
 
 
-def _geojson(spark: SparkSession, name: str) -> DataFrame:
-    """Features of a FeatureCollection, or one feature to a line; geometry by an Arrow-batched function."""
-    import pandas as pd
-
-    to_wkb = F.pandas_udf(lambda s: pd.Series([geojson_wkb(json.loads(x)) if x else None for x in s]), "binary")
-    text = spark.read.text(name, wholetext=not name.endswith("l"))
-    parts = F.from_json("value", "struct<features:array<string>>")["features"]
-    feature = text.select("value", F.posexplode(F.coalesce(parts, F.array("value"))).alias("at", "f"))
-    # a line's place is told by its content where each line is a feature
-    row = F.col("at").cast("long") if not name.endswith("l") else F.abs(F.xxhash64("value")) % (FILE_ROWS // 2)
-    feature = feature.select(row.alias("_row"), "f")
-    properties = F.schema_of_json(F.lit(feature.select(F.get_json_object("f", "$.properties").alias("p")).where("p IS NOT NULL").first()["p"])) if not feature.isEmpty() else None
-    rows = feature.select("_row", to_wkb(F.get_json_object("f", "$.geometry")).alias("geom"), F.get_json_object("f", "$.properties").alias("p"))
-    return rows.select("_row", F.from_json("p", properties).alias("a"), "geom").select("_row", "a.*", "geom") if properties is not None else rows.select("_row", "geom")
-
-
 def fields_of(spark: SparkSession, path: str, layer: str | None = None) -> list[str]:
-    """Field names without reading rows."""
+    """Field names without reading rows, but for GeoJSON, whose fields only its rows tell."""
     return [c for c in read_layer(spark, path, layer, default_crs=K.PLANE).columns if c not in ("geom", "_source_file", "_row")]
 
 
@@ -351,31 +325,83 @@ def write_geojson_lines(df: DataFrame, path: str, lonlat: bool = True) -> None:
     _features(df, lonlat).write.mode("overwrite").text(path)
 
 
+def streamed(rows: DataFrame, path: str, write) -> None:
+    """Writes one file from rows in their order: made in parallel, brought to one task, which streams them to ``write(batches, path)``; a repeated task begins a file of its own, and the one that ended is put in place."""
+    names = rows.columns
+
+    def run(batches):
+        part = f"{path}.{uuid.uuid4().hex}.part"
+        write((b.select(names) for b in batches), part)
+        yield pa.RecordBatch.from_arrays([pa.array([part])], ["part"])
+
+    ordered = rows.withColumn("__place", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("__place")
+    parts = [r["part"] for r in ordered.mapInArrow(run, "part string").collect()]
+    if not parts:  # a task without rows has no batch
+        parts = [f"{path}.part"]
+        write(iter(()), parts[0])
+    Path(parts[0]).replace(path)
+    for left in Path(path).parent.glob(f"{Path(path).name}.*.part"):
+        left.unlink()
+
+
 def write_geojson(df: DataFrame, path: str, lonlat: bool = True) -> None:
-    """A FeatureCollection in one file, rows streamed through the driver: for results of a size that people open."""
+    """A FeatureCollection in one file, written by one task: for results of a size that people open."""
     crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{K.PLANE}"}}}},'
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('{"type":"FeatureCollection",' + crs + '"features":[')
-        for k, r in enumerate(_features(df, lonlat).toLocalIterator()):
-            f.write((",\n" if k else "\n") + r["f"])
-        f.write("\n]}\n")
+
+    def write(batches, part):
+        with open(part, "w", encoding="utf-8") as f:
+            f.write('{"type":"FeatureCollection",' + crs + '"features":[\n')
+            first = True
+            for b in batches:
+                for text in b.column("f").to_pylist():
+                    f.write(text if first else ",\n" + text)
+                    first = False
+            f.write("\n]}\n")
+
+    streamed(_features(df, lonlat), path, write)
+
+
+BOUNDS = ("minx", "maxx", "miny", "maxy")
 
 
 def write_gpkg(df: DataFrame, path: str, layer: str) -> None:
-    """A GeoPackage table, rows streamed through the driver partition by partition: for results of a size that people open."""
-    flat = writable(df)
+    """A GeoPackage table with its spatial index, written by one task beside the target and put in place; other layers of the file stay. For results of a size that people open."""
+    flat = writable(df).drop("fid")
     kinds = {"long": "INTEGER", "integer": "INTEGER", "double": "REAL", "boolean": "BOOLEAN", "binary": "BLOB"}
-    flat = flat.drop("fid")
-    names = [f.name for f in flat.schema.fields]
-    with sqlite3.connect(path) as con:
-        con.executescript("PRAGMA application_id = 1196444487; CREATE TABLE IF NOT EXISTS gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER); CREATE TABLE IF NOT EXISTS gpkg_spatial_ref_sys (srs_name TEXT, srs_id INTEGER PRIMARY KEY, organization TEXT, organization_coordsys_id INTEGER, definition TEXT, description TEXT); CREATE TABLE IF NOT EXISTS gpkg_geometry_columns (table_name TEXT, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z INTEGER, m INTEGER);")
-        con.execute(f'DROP TABLE IF EXISTS "{layer}"')
-        con.execute("DELETE FROM gpkg_contents WHERE table_name = ?", (layer,))
-        con.execute("DELETE FROM gpkg_geometry_columns WHERE table_name = ?", (layer,))
-        con.execute("INSERT OR REPLACE INTO gpkg_spatial_ref_sys VALUES ('NAD83 / Maryland', ?, 'EPSG', ?, 'undefined', NULL)", (K.PLANE, K.PLANE))
-        con.execute(f'CREATE TABLE "{layer}" (fid INTEGER PRIMARY KEY, ' + ", ".join(f'"{f.name}" {kinds.get(f.dataType.typeName(), "TEXT")}' for f in flat.schema.fields) + ")")
-        con.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, 26985)", (layer, layer))
-        con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', 26985, 0, 0)", (layer,))
-        head = b"GP\x00\x01" + struct.pack("<i", 26985)
-        rows = ([head + bytes(v) if n == "geom" and v is not None else bytes(v) if isinstance(v, bytearray) else v for n, v in zip(names, r, strict=True)] for r in flat.toLocalIterator())
-        con.executemany(f'INSERT INTO "{layer}" ({", ".join(chr(34) + n + chr(34) for n in names)}) VALUES ({", ".join("?" * len(names))})', rows)
+    fields = [(f.name, kinds.get(f.dataType.typeName(), "TEXT")) for f in flat.schema.fields]
+    names = [n for n, _ in fields]
+    quoted = lambda n: '"' + n.replace('"', '""') + '"'
+    has_shape, srs = "geom" in names, K.PLANE
+    box = K.shape("geom") if has_shape else None
+    rows = flat.select(*[F.col(f"`{n.replace('`', '``')}`").alias(f"c{k}") for k, n in enumerate(names)], *([box[b].alias(f"b_{b}") for b in BOUNDS] if has_shape else []))
+    head = b"GP\x00\x01" + struct.pack("<i", srs)
+
+    def write(batches, part):
+        if Path(path).exists():
+            shutil.copyfile(path, part)
+        with sqlite3.connect(part) as con:
+            con.executescript("PRAGMA application_id = 1196444487; CREATE TABLE IF NOT EXISTS gpkg_contents (table_name TEXT PRIMARY KEY, data_type TEXT, identifier TEXT, srs_id INTEGER); CREATE TABLE IF NOT EXISTS gpkg_spatial_ref_sys (srs_name TEXT, srs_id INTEGER PRIMARY KEY, organization TEXT, organization_coordsys_id INTEGER, definition TEXT, description TEXT); CREATE TABLE IF NOT EXISTS gpkg_geometry_columns (table_name TEXT, column_name TEXT, geometry_type_name TEXT, srs_id INTEGER, z INTEGER, m INTEGER); CREATE TABLE IF NOT EXISTS gpkg_extensions (table_name TEXT, column_name TEXT, extension_name TEXT, definition TEXT, scope TEXT);")
+            index = quoted(f"rtree_{layer}_geom")
+            con.execute(f"DROP TABLE IF EXISTS {quoted(layer)}")
+            con.execute(f"DROP TABLE IF EXISTS {index}")
+            for known in ("gpkg_contents", "gpkg_geometry_columns", "gpkg_extensions"):
+                con.execute(f"DELETE FROM {known} WHERE table_name = ?", (layer,))
+            con.execute("INSERT OR REPLACE INTO gpkg_spatial_ref_sys VALUES ('NAD83 / Maryland', ?, 'EPSG', ?, 'undefined', NULL)", (srs, srs))
+            con.execute(f"CREATE TABLE {quoted(layer)} (fid INTEGER PRIMARY KEY, " + ", ".join(f"{quoted(n)} {k}" for n, k in fields) + ")")
+            con.execute("INSERT INTO gpkg_contents VALUES (?, 'features', ?, ?)", (layer, layer, srs))
+            con.execute("INSERT INTO gpkg_geometry_columns VALUES (?, 'geom', 'GEOMETRY', ?, 0, 0)", (layer, srs))
+            if has_shape:
+                con.execute("INSERT INTO gpkg_extensions VALUES (?, 'geom', 'gpkg_rtree_index', 'http://www.geopackage.org/spec120/#extension_rtree', 'write-only')", (layer,))
+                con.execute(f"CREATE VIRTUAL TABLE {index} USING rtree(id, minx, maxx, miny, maxy)")
+            fid = 0
+            for b in batches:
+                cols = [[None if v is None else head + v for v in c.to_pylist()] if n == "geom" else [int(v) if isinstance(v, bool) else v if v is None or isinstance(v, int | float | str | bytes) else str(v) for v in c.to_pylist()] for n, c in zip(names, b.columns, strict=False)]
+                ids = range(fid + 1, fid + 1 + b.num_rows)
+                con.executemany(f"INSERT INTO {quoted(layer)} VALUES (?{', ?' * len(names)})", zip(ids, *cols, strict=True))
+                if has_shape:
+                    bounds = zip(ids, *[b.column(f"b_{x}").to_pylist() for x in BOUNDS], strict=True)
+                    con.executemany(f"INSERT INTO {index} VALUES (?, ?, ?, ?, ?)", (r for r in bounds if r[1] is not None))
+                fid += b.num_rows
+        con.close()
+
+    streamed(rows, path, write)

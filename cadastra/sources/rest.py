@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .files import geojson_wkb
+from .geojson import wkb as geojson_wkb
 
 CHUNK = 200
 

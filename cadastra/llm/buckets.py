@@ -37,6 +37,8 @@ from .common import shared_dir
 
 #: Rows that a task holds beside the sorted stream, and of a row group.
 CHUNK = 1 << 16
+#: Rows that a task sorts, about, while there are buckets enough.
+TASK_ROWS = 400_000
 INTS = {"byte": 1, "short": 2, "integer": 4, "long": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
 FLOATS = {"float": 4, "double": 8}
 RESULT = "table_name string, path string, columns string, ids_sha256 string, lineage_sha256 string, bucket long, n_rows long, n_joined long, rewritten boolean"
@@ -322,11 +324,11 @@ def co_bucketed(first: DataFrame, second: DataFrame, key: str, starts: tuple[Col
     """
     spark = first.sparkSession
     folder = folder or f"{shared_dir(spark)}/buckets-{uuid.uuid4().hex}"
-    tasks = max(1, min(buckets + 2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     number = F.when(F.col(key).isNull(), buckets + 1).otherwise(bucket)
     final, out = [], []
     for df, start, name in zip((first, second), starts, names, strict=True):
-        keys, at = RowKeys(df.schema, key), f"{folder}/{name}"
+        keys, at, count = RowKeys(df.schema, key), f"{folder}/{name}", df.count()
+        tasks = max(1, min(buckets + 2, max(int(spark.conf.get("spark.sql.shuffle.partitions")), count // TASK_ROWS)))
         begun = moved(write_numbered(df, keys, start, F.lit(0), at, tasks, chunk=chunk), at, "start")
         stay = same_files(tagged(spark, keys, begun), number) if not final else {}
         rows = tagged(spark, keys, {s: f for s, f in begun.items() if s not in stay})
@@ -341,6 +343,8 @@ def co_bucketed(first: DataFrame, second: DataFrame, key: str, starts: tuple[Col
         kept = {b: begun[s] | {"joined": 0, "lineage": hashlib.sha256(f"{s}:{begun[s]['rows']}".encode()).hexdigest(), "rewritten": False} for s, b in stay.items()}
         kept |= {f["number"]: f | {"path": begun[s]["path"], "rewritten": False} for s, f in same.items()}
         files = kept | {b: f | {"rewritten": True} for b, f in moved([f for f in new if f["source"] not in same], at, "bucket").items()}
+        if not count == sum(f["rows"] for f in begun.values()) == sum(f["rows"] for f in files.values()):
+            raise RuntimeError(f"{name} changed while it was written")
         store, _ = file_system(at)
         for s, f in begun.items():
             if f["path"] not in {x["path"] for x in kept.values()}:

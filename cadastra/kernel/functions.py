@@ -18,7 +18,7 @@ SHAPE = "struct<minx:double,miny:double,maxx:double,maxy:double,area:double,leng
 POSITION = "struct<dx:double,dy:double,contact:double,touches:boolean,pieces:int,largest:double>"
 FRONTAGE = "struct<contact:double,pieces:array<struct<seq:int,piece:binary,length:double,inside:binary,way:binary,distance:double,probe:binary>>>"
 OVERLAP = "struct<geom:binary,m2:double>"
-RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Position": POSITION, "Frontage": FRONTAGE}
+RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "Subdivide": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Position": POSITION, "Frontage": FRONTAGE}
 # EPSG:26985, both parallels, origin latitude and longitude, false easting and northing.
 EPSG_26985 = (39.45, 38.3, 37.0 + 2.0 / 3.0, -77.0, 400000.0, 0.0)
 
@@ -48,6 +48,7 @@ def register(spark: SparkSession) -> None:
     spark.sql(f"ADD JAR '{_jar()}'")
     for name, kind in RETURNS.items():
         spark.udf.registerJavaFunction(f"geo_{name.lower()}", f"cadastra.Kernel${name}", T._parse_datatype_string(kind))
+    spark._jvm.org.apache.spark.util.Utils.classForName("cadastra.Kernel$Aggregates", True, False).newInstance().accept(spark._jsparkSession)
     spark.conf.set("spark.cadastra.kernel", "ready")
 
 
@@ -139,6 +140,21 @@ def union_all(gs) -> Column:
     return _call("unionall", gs)
 
 
+def union_agg(g) -> Column:
+    """The union of a group's shapes as an aggregate with partial unions; of no shapes it is empty."""
+    return _call("union", g)
+
+
+def dissolve_agg(g) -> Column:
+    """As ``union_agg``, but a single shape stays as it is, and no shapes are null."""
+    return _call("dissolve", g)
+
+
+def subdivide(g, points: int, side: float) -> Column:
+    """Pieces of a shape with at most so many points and so long sides of their boxes."""
+    return _call("subdivide", g, F.lit(points), F.lit(float(side)))
+
+
 def parts(g) -> Column:
     return _call("parts", g)
 

@@ -95,7 +95,7 @@ def window_steep(parcels: DataFrame, cells: DataFrame, grid: Grid, most: float,
     runs = steep.withColumn("run", run).groupBy("account_id", "r0", "c0", "dy", "dx", "row", "run").agg(F.min("col").alias("a"), F.max("col").alias("b"))
     x = lambda at: (F.col("c0") + at * F.col("dx")) * grid.dx + grid.x0
     y = lambda at: grid.y1 - (F.col("r0") + at * F.col("dy")) * grid.dy
-    ground = runs.select("account_id", box_column(x(F.col("a")), y(F.col("row") + 1), x(F.col("b") + 1), y(F.col("row"))).alias("g")).groupBy("account_id").agg(K.union_all(F.collect_list("g")).alias("g"))
+    ground = runs.select("account_id", box_column(x(F.col("a")), y(F.col("row") + 1), x(F.col("b") + 1), y(F.col("row"))).alias("g")).groupBy("account_id").agg(K.union_agg("g").alias("g"))
     return ground.join(w.select("account_id", F.col("geom").alias("parcel")), "account_id").select("account_id", K.areal_intersection("parcel", "g").alias("geom")).where(K.area("geom") > 0)
 
 

@@ -1,8 +1,8 @@
 """Spatial joins as equi-joins on grid cells.
 
 Every shape is listed under the cells that its box touches; shapes meet in a cell, the pair is kept only in the cell of
-the lower left corner of their boxes' overlap, so it comes once, and an exact test follows. A giant shape is many rows,
-not one hot key; a dense cell is split by adaptive execution.
+the lower left corner of their boxes' overlap, so it comes once, and an exact test follows. Shapes are joined in pieces
+(``subdivided``), so that rows are small and a giant shape spreads; a dense cell is split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -18,6 +18,23 @@ def with_box(df: DataFrame, geom: str = "geom") -> DataFrame:
     return df.withColumn("box", K.shape(geom)).where(F.col("box").isNotNull())
 
 
+POINTS = 256
+
+
+def subdivided(df: DataFrame, size: float, points: int = POINTS) -> DataFrame:
+    """The rows with their shapes in pieces of at most ``points`` points and two cells' sides, each with its own ``box``.
+
+    A giant shape then is many small rows that spread over cells and tasks, and no shape beyond the limit crosses a
+    shuffle. Pieces share borders only: areas of overlaps add up, and unions put them together again. Shapes within the
+    limits, told by their bytes and box, aren't touched.
+    """
+    df = df if "box" in df.columns else with_box(df)
+    b = F.col("box")
+    small = (F.octet_length("geom") <= 16 * points + 9) & (b["maxx"] - b["minx"] <= 2 * size) & (b["maxy"] - b["miny"] <= 2 * size)
+    out = df.withColumn("__small", small).withColumn("geom", F.explode(F.when(F.col("__small"), F.array("geom")).otherwise(K.subdivide("geom", points, 2 * size))))
+    return out.withColumn("box", F.when(F.col("__small"), b).otherwise(K.shape("geom"))).drop("__small").where(F.col("box").isNotNull())
+
+
 def _cells(df: DataFrame, side: str, size: float, grow: float) -> DataFrame:
     span = lambda lo, hi: F.explode(F.sequence(F.floor((F.col(f"box.{lo}") - grow) / size), F.floor((F.col(f"box.{hi}") + grow) / size)))
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(side), span("minx", "maxx").alias("cell_x"), "box").select(side, "cell_x", span("miny", "maxy").alias("cell_y"))

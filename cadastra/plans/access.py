@@ -12,7 +12,7 @@ from ..functions import measures as M
 from ..functions import owners as O
 from ..kernel import functions as K
 from ..operators.lineage import cut
-from ..operators.spatial import grid_join, with_box
+from ..operators.spatial import grid_join, subdivided, with_box
 from .encumbrance import clipped, line_buffers
 
 SHARED_LEAST = 0.25
@@ -36,8 +36,9 @@ def frontage(targets: DataFrame, parcels: DataFrame, roads: DataFrame, hostile:
     """(subjects, pieces): contact length of each parcel near a road, and its road-facing pieces with their class."""
     a, ft = cfg.access, M.FOOT_M
     search, contact, gap = a.frontage_search_ft * ft, a.contact_tolerance_ft * ft, a.open_gap_ft * ft
-    near = cut(grid_join(targets.select("account_id", "geom", "box"), roads, 1000.0, within=search).select("l.account_id", F.col("l.geom").alias("geom"), F.col("r.way_id").alias("way_id"), F.col("r.authority").alias("authority"), F.col("r.geom").alias("way_geom")))
-    subjects = near.groupBy("account_id").agg(F.first("geom").alias("geom"), K.union_all(F.collect_list("way_geom")).alias("way")).withColumn("f", K.frontage("geom", "way", search, a.frontage_sample_ft * ft, contact))
+    # roads come in pieces: a parcel meets those within its search distance, and no whole road travels with it
+    near = cut(grid_join(targets.select("account_id", "geom", "box"), subdivided(roads, 1000.0), 1000.0, within=search).select("l.account_id", F.col("l.geom").alias("geom"), F.col("r.way_id").alias("way_id"), F.col("r.authority").alias("authority"), F.col("r.geom").alias("way_geom")))
+    subjects = near.groupBy("account_id").agg(F.first("geom").alias("geom"), K.union_agg("way_geom").alias("way")).withColumn("f", K.frontage("geom", "way", search, a.frontage_sample_ft * ft, contact))
     subjects = cut(subjects.select("account_id", "geom", "f"))
     pieces = cut(subjects.select("account_id", F.explode("f.pieces").alias("p")).select("account_id", "p.*"))
     inside = pieces.join(hostile, "account_id").where(K.intersects(F.col("geom"), F.col("inside"))).groupBy("account_id", "seq").agg(F.min_by("name", "ord").alias("inside_constraint"))
@@ -80,7 +81,7 @@ def strips(targets: DataFrame, parcels: DataFrame, roads: DataFrame, pieces: Dat
     a = cfg.access
     tol = a.contact_tolerance_ft * M.FOOT_M
     thin = parcels.withColumn("m", M.strip_metrics(F.col("box.area"), F.col("box.length"))).where(M.is_strip(F.col("m"), a.strip_max_width_ft, a.strip_min_aspect)).select("account_id", "owner_name", "owner_mailing_address", "m", "geom", "box")
-    at_road = grid_join(thin.select("account_id", "geom", "box"), roads, 1000.0, within=tol).select(F.col("l.account_id").alias("account_id")).distinct()
+    at_road = grid_join(thin.select("account_id", "geom", "box"), subdivided(roads, 1000.0), 1000.0, within=tol).select(F.col("l.account_id").alias("account_id")).distinct()
     beside = grid_join(targets.select("account_id", "geom", "box"), thin.join(at_road, "account_id", "left_semi"), 1000.0, within=tol).select(F.col("l.account_id").alias("account_id"), F.col("r.account_id").alias("strip"))
     blockers = pieces.where(F.col("blocking_account_id").isNotNull()).select("account_id", F.col("blocking_account_id").alias("strip"))
     pairs = beside.unionByName(blockers).where("account_id <> strip").distinct()

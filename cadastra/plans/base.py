@@ -10,7 +10,7 @@ from ..config import Config, ConfigError
 from ..functions import measures as M
 from ..functions import owners as O
 from ..kernel import functions as K
-from ..operators.spatial import grid_join, with_box
+from ..operators.spatial import grid_join, subdivided, with_box
 
 ADDRESS = ("owner_addr_line1", "owner_addr_line2", "owner_city", "owner_state", "owner_zip")
 
@@ -39,7 +39,7 @@ def dissolve(rows: DataFrame) -> DataFrame:
     first = lambda c: F.min_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), F.col("_row")))
     return rows.groupBy("account_id").agg(
         *[first(c).alias(c) for c in other], first("_acres").alias("_first"), F.sum("_acres").alias("_sum"), F.count_distinct("_acres").alias("_kinds"),
-        F.count("*").alias("_rows"), F.collect_list("geom").alias("_geoms"), F.min("_row").alias("_order"),
+        F.count("*").alias("_rows"), K.dissolve_agg("geom").alias("geom"), F.min("_row").alias("_order"),
     )
 
 
@@ -127,7 +127,7 @@ def zoning_pairs(df: DataFrame, layers: dict[str, DataFrame], cfg: Config, cell:
         return None
     known = [(z.county, c, v.get("is_agricultural")) for z in cfg.zoning for c, v in z.codes.items()]
     mapping = df.sparkSession.createDataFrame(known, "county string, code string, ag boolean")
-    pairs = grid_join(df.where("meets_acreage").select("account_id", "county", "geom", "box"), with_box(zones), cell, on=["county"], overlay=True)
+    pairs = grid_join(subdivided(df.where("meets_acreage").select("account_id", "county", "geom", "box"), cell), subdivided(zones, cell), cell, on=["county"], overlay=True)
     pairs = pairs.select("l.account_id", "l.county", "r.code", "r.zone_order", F.col("o.m2").alias("m2"))
     return pairs.join(F.broadcast(mapping), ["county", "code"], "left")  # rows of the configuration
 
@@ -170,7 +170,7 @@ def stage1(parcels: DataFrame, study: bytes, zoning_layers: dict[str, DataFrame]
     rows = rows.withColumn("account_id", F.trim(F.col("account_id").cast("string")))
     if "acreage_sdat" not in rows.columns:
         rows = rows.withColumn("acreage_sdat", F.lit(None).cast("string"))
-    one = dissolve(rows).withColumn("geom", F.when(F.size("_geoms") > 1, K.union_all("_geoms")).otherwise(F.element_at("_geoms", 1))).drop("_geoms")
+    one = dissolve(rows)
     one = with_box(one).withColumn("geom_m2", F.col("box.area"))
     out = acreage(reconcile(in_study_area(one, study, cfg.study_area_selection), cfg.acreage_disagreement_pct), cfg)
     return passed(zoning(owners(counties(out, cfg)), zoning_layers, cfg), cfg)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import measures as M
 from ..kernel import functions as K
-from ..operators.spatial import grid_join, with_box
+from ..operators.spatial import grid_join, subdivided, with_box
 from .base import areal_only
 
 LEAST_M2 = 10.0
@@ -35,9 +35,11 @@ def all_layers(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: S
         if c.name in layers:
             df = clipped(layers[c.name], study)
             name = F.col(c.name_field).cast("string") if c.name_field and c.name_field in df.columns else F.lit(None).cast("string")
-            tables.append(df.select(F.lit(c.name).alias("source_layer"), F.lit(k).alias("ord"), name.alias("name"), "geom"))
+            # a feature's own number: its place in the source, or one made up, which only has to hold within a run of the plan
+            feature = F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id()
+            tables.append(df.select(F.lit(c.name).alias("source_layer"), F.lit(k).alias("ord"), name.alias("name"), feature.alias("feature"), "geom"))
     if not tables:
-        return with_box(spark.createDataFrame([], "source_layer string, ord int, name string, geom binary"))
+        return with_box(spark.createDataFrame([], "source_layer string, ord int, name string, feature long, geom binary"))
     return with_box(reduce(DataFrame.unionByName, tables))
 
 
@@ -49,10 +51,11 @@ def specs(cfg: Config, spark: SparkSession) -> DataFrame:
 def encumbrances(parcels: DataFrame, features: DataFrame, cfg: Config, cell: float = 1000.0) -> DataFrame:
     """One row per (parcel, layer) with ten square metres or more: shares, position, names and the geometry taken."""
     spark = parcels.sparkSession
-    pairs = grid_join(parcels.select("account_id", "geom", "box"), features, cell, overlay=True)
+    features = features if "feature" in features.columns else features.withColumn("feature", F.monotonically_increasing_id())
+    pairs = grid_join(subdivided(parcels.select("account_id", "geom", "box"), cell), subdivided(features, cell), cell, overlay=True)
     # features are cut to their parcel first: unions stay small, whatever the size of a feature
-    cut = pairs.select("l.account_id", "r.source_layer", "r.ord", "r.name", F.col("o.geom").alias("g"))
-    taken = cut.groupBy("account_id", "source_layer", "ord").agg(K.union_all(F.collect_list("g")).alias("part"), F.count("*").alias("feature_count"), F.array_join(F.sort_array(F.collect_set("name")), "; ").alias("names"), F.count("name").alias("named"))
+    cut = pairs.select("l.account_id", "r.source_layer", "r.ord", "r.name", "r.feature", F.col("o.geom").alias("g"))
+    taken = cut.groupBy("account_id", "source_layer", "ord").agg(K.union_agg("g").alias("part"), F.size(F.collect_set("feature")).cast("long").alias("feature_count"), F.array_join(F.sort_array(F.collect_set("name")), "; ").alias("names"), F.count("name").alias("named"))
     rows = taken.join(parcels.select("account_id", F.col("geom").alias("parcel"), F.col("box.area").alias("parcel_m2")), "account_id").withColumn("part", K.areal("part")).withColumn("m2", K.area("part")).where(F.col("m2") >= LEAST_M2)
     rows = rows.withColumn("p", K.relative_position("parcel", "part", cfg.access.sliver_acres * M.ACRE_M2)).join(F.broadcast(specs(cfg, spark)), "source_layer")
     where = M.position(F.col("p.dx"), F.col("p.dy"), F.col("parcel_m2"))
@@ -70,7 +73,7 @@ def encumbrances(parcels: DataFrame, features: DataFrame, cfg: Config, cell: flo
 def rolled_up(parcels: DataFrame, enc: DataFrame, cfg: Config) -> DataFrame:
     """The parcels with their acres by type and by implication, what bisects them, JSON and flags."""
     types = sorted({c.type for c in cfg.constraints})
-    union = lambda cond: M.rounded(M.acres(K.area(K.union_all(F.collect_list(F.when(cond, F.col("part")))))), 2)
+    union = lambda cond: M.rounded(M.acres(K.area(K.union_agg(F.when(cond, F.col("part"))))), 2)
     legal = F.col("category") == "legal"
     record = F.struct("ord", *JSON_KEYS)
     bisecting = F.col("bisects") & F.col("subtract_from_usable")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import measures as M
 from ..kernel import functions as K
-from ..operators.spatial import grid_join, with_box
+from ..operators.spatial import grid_join, subdivided
 
 
 def steep_parts(parcels: DataFrame, steep: DataFrame, cell: float = 500.0) -> DataFrame:
     """(account_id, geom): the steep ground inside each parcel."""
-    pairs = grid_join(parcels.select("account_id", "geom", "box"), with_box(steep), cell, overlay=True)
+    pairs = grid_join(subdivided(parcels.select("account_id", "geom", "box"), cell), subdivided(steep.select("geom"), cell), cell, overlay=True)
     cut = pairs.select("l.account_id", F.col("o.geom").alias("g"))
-    return cut.groupBy("account_id").agg(K.union_all(F.collect_list("g")).alias("geom")).where(K.area("geom") > 0)
+    return cut.groupBy("account_id").agg(K.union_agg("g").alias("geom")).where(K.area("geom") > 0)
 
 
 def stage3(parcels: DataFrame, enc: DataFrame, hostile: DataFrame, cfg: Config, slope_evaluated: bool) -> DataFrame:
@@ -23,10 +23,10 @@ def stage3(parcels: DataFrame, enc: DataFrame, hostile: DataFrame, cfg: Config,
     subtracted = [c.name for c in cfg.constraints if c.subtract_from_usable]
     acres_of = lambda name: M.rounded(M.acres(F.sum(F.when(F.col("name") == name, K.area("geom")).otherwise(0.0))), 2)
     by = hostile.groupBy("account_id").agg(
-        K.union_all(F.collect_list("geom")).alias("_all"), K.union_all(F.collect_list(F.when(~F.col("crossable"), F.col("geom")))).alias("_never"),
+        K.union_agg("geom").alias("_all"), K.union_agg(F.when(~F.col("crossable"), F.col("geom"))).alias("_never"),
         *[acres_of(n).alias(f"subtracted_{n}_acres") for n in subtracted], acres_of("steep_slope").alias("steep_slope_acres"),
     )
-    favorable = enc.where("implication = 'favorable'").groupBy("account_id").agg(K.union_all(F.collect_list("part")).alias("_fav"))
+    favorable = enc.where("implication = 'favorable'").groupBy("account_id").agg(K.union_agg("part").alias("_fav"))
     out = parcels.join(by, "account_id", "left").join(favorable, "account_id", "left")
     less = lambda c: F.when(F.col(c).isNull(), F.col("geom")).otherwise(K.areal_difference("geom", c))
     out = out.withColumns({"usable": less("_all"), "traversable": less("_never")}).withColumn("_m2", K.area("usable"))

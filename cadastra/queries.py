@@ -220,13 +220,13 @@ u AS (SELECT k, sum(m2) FILTER (in_h) AS hm2, sum(m2) FILTER (in_any) AS am2 FRO
 @query(f"{CTES}, {SLABS} SELECT k, {r2(f'coalesce(hm2, 0) / {ACRE}')} AS hostile_acres, {r2(f'coalesce(am2, 0) / {ACRE}')} AS all_acres FROM u")
 def union_area_by_implication(spark, sf_dir):
     hostile = F.col("layer").isin("1", "2")
-    by = _pairs(spark, sf_dir).where("m2 > 0").groupBy("k").agg(K.union_all(F.collect_list(F.when(hostile, F.col("part")))).alias("h"), K.union_all(F.collect_list("part")).alias("a"))
+    by = _pairs(spark, sf_dir).where("m2 > 0").groupBy("k").agg(K.union_agg(F.when(hostile, F.col("part"))).alias("h"), K.union_agg("part").alias("a"))
     return by.select("k", M.rounded(M.acres(K.area("h")), 2).alias("hostile_acres"), M.rounded(M.acres(K.area("a")), 2).alias("all_acres"))
 
 
 @query(f"{CTES}, {SLABS} SELECT p.k, {r2(f'((x1 - x0) * (y1 - y0) - coalesce(hm2, 0)) / {ACRE}')} AS usable_acres, {r2('100 * ((x1 - x0) * (y1 - y0) - coalesce(hm2, 0)) / ((x1 - x0) * (y1 - y0))', 1)} AS usable_pct FROM p LEFT JOIN u USING (k)")
 def usable_area(spark, sf_dir):
-    hostile = _pairs(spark, sf_dir).where(F.col("layer").isin("1", "2") & (F.col("m2") > 0)).groupBy("k").agg(K.union_all(F.collect_list("part")).alias("h"))
+    hostile = _pairs(spark, sf_dir).where(F.col("layer").isin("1", "2") & (F.col("m2") > 0)).groupBy("k").agg(K.union_agg("part").alias("h"))
     p = parcels(spark, sf_dir).join(hostile, "k", "left").withColumn("m2", F.when(F.col("h").isNull(), F.col("box.area")).otherwise(K.area(K.areal_difference("geom", "h"))))
     return p.select("k", M.rounded(M.acres(F.col("m2")), 2).alias("usable_acres"), M.rounded(100 * F.col("m2") / F.col("box.area"), 1).alias("usable_pct"))
 

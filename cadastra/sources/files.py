@@ -282,7 +282,7 @@ def fields_of(spark: SparkSession, path: str, layer: str | None = None) -> list[
 def study_area(spark: SparkSession, path: str) -> bytes:
     """The union of a file's polygons, repaired, in the working plane; longitude and latitude if the file doesn't say."""
     df = read_layer(spark, path, default_crs=4326)
-    got = df.agg(K.union_all(F.collect_list(K.make_valid("geom"))).alias("g"), F.count("*").alias("n")).first()
+    got = df.agg(K.union_agg(K.make_valid("geom")).alias("g"), F.count("*").alias("n")).first()
     if not got["n"]:
         raise ValueError(f"{path}: no polygons")
     return bytes(got["g"])

@@ -33,7 +33,7 @@ END_ID = 2
 #: Marks that stand apart: the first behind an ASCII letter, the last before white space or the end.
 MARKS = re.compile(rb"[,.;:?!](?<=[A-Za-z].)[,.;:?!]*(?=[ \t\n\r\x0b\f]|\Z)")
 #: Bytes of ids in a batch, and remembered runs, about.
-BATCH, REMEMBERED, LONG = 4 << 20, 400_000, 64
+BATCH, REMEMBERED, LONG = 4 << 20, 1_000_000, 64
 
 
 class Runs(dict):

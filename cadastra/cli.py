@@ -74,7 +74,7 @@ def inputs(spark: SparkSession, cfg: Config) -> tuple[record.Inputs, list[str]]:
     for c in cfg.constraints:
         if c.lines:
             df = layer(c.name, c.lines.get("path"), c.lines.get("url"), layer=c.lines.get("layer"), where=c.lines.get("where"))
-            constraints[c.name] = None if df is None else df.withColumn("geom", K.buffer("geom", c.lines.get("buffer_ft", 100) * 0.3048, flat=True))
+            constraints[c.name] = df
         else:
             constraints[c.name] = layer(c.name, c.path, c.url, layer=c.layer, where=c.where)
     zoning = {z.county: layer(z.county, z.path, z.url, layer=z.layer) for z in cfg.zoning}

@@ -65,11 +65,11 @@ def strip_metrics(area: Column, perimeter: Column) -> Column:
     width = 2 * area / perimeter
     ok = (area > 0) & (perimeter > 0)
     some = lambda c: F.when(ok, c).otherwise(0.0)
-    return F.struct(some(rounded(feet(width), 1)).alias("est_width_ft"), some(rounded(feet(area / width), 1)).alias("est_length_ft"), some(rounded(area / width / width, 1)).alias("aspect_ratio"), some(rounded(feet(perimeter) / acres(area), 1)).alias("perimeter_ft_per_acre"))
+    return F.struct(some(rounded(feet(width), 1)).alias("est_width_ft"), some(rounded(feet(area / width), 1)).alias("est_length_ft"), some(rounded(area / width / width, 1)).alias("aspect"), some(rounded(feet(perimeter) / acres(area), 1)).alias("perimeter_area_ratio_ft"))
 
 
 def is_strip(metrics: Column, max_width_ft: float = 100.0, min_aspect: float = 6.0) -> Column:
-    return (metrics["est_width_ft"] > 0) & (metrics["est_width_ft"] <= max_width_ft) & (metrics["aspect_ratio"] >= min_aspect)
+    return (metrics["est_width_ft"] > 0) & (metrics["est_width_ft"] <= max_width_ft) & (metrics["aspect"] >= min_aspect)
 
 
 def frontage_class(outside: Column, constraint: Column) -> Column:

@@ -84,6 +84,11 @@ def areal(g) -> Column:
     return _call("unary", F.lit("areal"), g)
 
 
+def lineal(g) -> Column:
+    """The lines of a shape."""
+    return _call("unary", F.lit("lineal"), g)
+
+
 def centroid(g) -> Column:
     return _call("unary", F.lit("centroid"), g)
 

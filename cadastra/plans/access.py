@@ -16,7 +16,7 @@ from ..operators.spatial import grid_join, subdivided, with_box
 from .encumbrance import clipped, line_buffers
 
 SHARED_LEAST = 0.25
-JSON_STRIP = ("account_id", "strip_account_id", "strip_owner", "same_owner", "frontage_ft_blocked", "shared_boundary_ft", "est_width_ft", "est_length_ft", "aspect_ratio", "perimeter_ft_per_acre")
+JSON_STRIP = ("account_id", "strip_account_id", "strip_owner", "same_owner", "frontage_ft_blocked", "shared_boundary_ft", "est_width_ft", "est_length_ft", "aspect", "perimeter_area_ratio_ft")
 
 
 def ways(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: SparkSession) -> DataFrame:
@@ -25,8 +25,8 @@ def ways(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: SparkSe
     for r in cfg.access.row_layers:
         if r.name in layers:
             df = layers[r.name]
-            df = line_buffers(df, r.row_width_ft * M.FOOT_M / 2) if r.geometry == "line" else df
-            tables.append(clipped(df, study).select(F.lit(r.name).alias("row_layer"), F.lit(r.authority).alias("authority"), F.lit(r.public).alias("public"), "geom"))
+            df = line_buffers(df, r.row_width_ft * M.FOOT_M / 2, study) if r.geometry == "line" else clipped(df, study)
+            tables.append(df.select(F.lit(r.name).alias("row_layer"), F.lit(r.authority).alias("authority"), F.lit(r.public).alias("public"), "geom"))
     if not tables:
         tables = [spark.createDataFrame([], "row_layer string, authority string, public boolean, geom binary")]
     return with_box(reduce(DataFrame.unionByName, tables).withColumn("way_id", F.xxhash64("row_layer", "authority", "geom")))

@@ -23,9 +23,12 @@ def clipped(layer: DataFrame, study: bytes) -> DataFrame:
     return out.withColumn("geom", K.areal_intersection(F.col("geom"), F.lit(bytearray(study)))).where(~K.is_empty("geom"))
 
 
-def line_buffers(lines: DataFrame, metres: float) -> DataFrame:
-    """Flat-ended buffers of lines."""
-    return lines.where(F.col("geom").isNotNull()).withColumn("geom", K.buffer("geom", metres, flat=True))
+def line_buffers(lines: DataFrame, metres: float, study: bytes) -> DataFrame:
+    """Flat-ended buffers of the lines' parts inside the study area; the buffers themselves may reach beyond it."""
+    area = F.lit(bytearray(study))
+    inside = lines.where(F.col("geom").isNotNull()).withColumn("geom", K.make_valid("geom")).where(K.intersects(F.col("geom"), area))
+    cut = inside.withColumn("geom", K.lineal(K.intersection(F.col("geom"), area))).where(~K.is_empty("geom"))
+    return areal_only(cut.withColumn("geom", K.buffer("geom", metres, flat=True)))
 
 
 def all_layers(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: SparkSession) -> DataFrame:
@@ -33,7 +36,7 @@ def all_layers(layers: dict[str, DataFrame], cfg: Config, study: bytes, spark: S
     tables = []
     for k, c in enumerate(cfg.constraints):
         if c.name in layers:
-            df = clipped(layers[c.name], study)
+            df = line_buffers(layers[c.name], c.lines.get("buffer_ft", 100) * M.FOOT_M, study) if c.lines else clipped(layers[c.name], study)
             name = F.col(c.name_field).cast("string") if c.name_field and c.name_field in df.columns else F.lit(None).cast("string")
             # a feature's own number: its place in the source, or one made up, which only has to hold within a run of the plan
             feature = F.col("_row") if "_row" in df.columns else F.monotonically_increasing_id()

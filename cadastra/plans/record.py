@@ -44,7 +44,7 @@ def record(scored: DataFrame) -> DataFrame:
 
 @dataclass
 class Inputs:
-    """Source tables, each with ``geom`` as WKB in the working plane; a layer that is missing is simply not there."""
+    """Source tables, each with ``geom`` as WKB in the working plane; a layer that is missing is simply not there. Constraints made from lines, and rows of lines, are given as the lines."""
 
     parcels: DataFrame
     study: bytes

@@ -301,7 +301,7 @@ def _strips(spark, sf_dir):
 def strip_metrics(spark, sf_dir):
     both = parcels(spark, sf_dir).select("k", "box").unionByName(_strips(spark, sf_dir).select((-1 - F.col("k")).alias("k"), "box"))
     got = both.select("k", M.strip_metrics(F.col("box.area"), F.col("box.length")).alias("m"))
-    return got.select("k", "m.est_width_ft", "m.est_length_ft", "m.aspect_ratio", M.is_strip(F.col("m")).alias("is_strip"))
+    return got.select("k", "m.est_width_ft", "m.est_length_ft", F.col("m.aspect").alias("aspect_ratio"), M.is_strip(F.col("m")).alias("is_strip"))
 
 
 @query(f"{CTES}, {STRIPS} SELECT p.k, s.k AS strip, {r2('(p.x1 - p.x0) / 0.3048', 1)} AS shared_ft FROM p JOIN s ON p.k = s.k")

@@ -215,6 +215,58 @@ def _way_layers(spark, sf_dir):
     return layers, Config(counties=COUNTIES, schema=SPEC, access=Access(spec))
 
 
+TOOTH = 35
+
+
+def comb(width: float, top: float) -> bytes:
+    """A polygon of teeth as wide as their gaps, on a bar below."""
+    import struct
+
+    xy = [(width, -200.0), (0.0, -200.0)]
+    for i in range(int(width // (2 * TOOTH))):
+        a, b = 2.0 * TOOTH * i, 2.0 * TOOTH * i + TOOTH
+        xy += [(a, top), (b, top), (b, -100.0), (b + TOOTH, -100.0)]
+    xy += [xy[0]]
+    return struct.pack("<BIII", 1, 3, 1, len(xy)) + b"".join(struct.pack("<dd", *p) for p in xy)
+
+
+_UNDER = f"({TOOTH} * floor({{x}} / {2 * TOOTH}) + least({{x}} - {2 * TOOTH} * floor({{x}} / {2 * TOOTH}), {TOOTH}))"
+
+
+@query(f"""{CTES}, c AS (SELECT k, x0, y0, x1, y1, (y1 - y0) * ({_UNDER.format(x='x1')} - {_UNDER.format(x='x0')}) AS m2 FROM p)
+SELECT k, {r2(f'm2 / {ACRE}')} AS acres, {r2('100 * m2 / ((x1 - x0) * (y1 - y0))', 1)} AS pct, 1::BIGINT AS feature_count FROM c WHERE m2 >= 10""")
+def giant_feature(spark, sf_dir):
+    """One feature of 1,600 points over all parcels: joined in pieces, put together again for each parcel."""
+    p = parcels(spark, sf_dir)
+    top = p.agg(F.max("y1")).first()[0] + 100
+    layer = spark.createDataFrame([("all", bytearray(comb(28000, top)))], "name string, geom binary")
+    cfg = Config(counties=COUNTIES, schema=SPEC, constraints=(Constraint("comb", "other", "legal", "hostile", name_field="name"),))
+    features = encumbrance.all_layers({"comb": layer}, cfg, K.box_wkb(-1000, -1000, 40000, 10_000_000), spark)
+    enc = encumbrance.encumbrances(p, features, cfg).join(p.select("account_id", "k"), "account_id")
+    return enc.select("k", "acres", F.col("pct_of_parcel").alias("pct"), "feature_count")
+
+
+_EDGE = "(k % 12) - 2.5"
+
+
+@query(f"""WITH l AS (SELECT s_suppkey AS k, {_EDGE} AS y FROM supplier) SELECT how, k, 18.0 * (50 + k) AS m2, y - 9 AS miny, 0.0 AS minx FROM l, (VALUES ('way'), ('constraint')) h(how) WHERE y > 0
+UNION ALL SELECT 'polygon', k, (50 + k) * (y + 9), 0.0, 0.0 FROM l WHERE y + 9 > 0""")
+def study_edge(spark, sf_dir):
+    """Lines are cut at the study area's edge and then buffered, so buffers reach over an edge beside them; polygons are cut."""
+    k = F.col("s_suppkey")
+    at = table(spark, sf_dir, "supplier").select(k.alias("k"), (k % 12 - 2.5).cast("double").alias("y"))
+    K.register(spark)
+    one = lambda: (-10 - F.col("k") % 30).cast("double")
+    lines = at.select("k", K.line(F.array(one(), F.col("y"), (F.col("k") + 50).cast("double"), F.col("y"))).alias("geom"))
+    boxes = at.select("k", K.box(one(), F.col("y") - 9, F.col("k") + 50, F.col("y") + 9).alias("geom"))
+    study = K.box_wkb(0, 0, 1e6, 1000)
+    cfg = Config(counties=COUNTIES, schema=SPEC, access=Access((RowLayer("lines", "county", True, "line", 18 / FOOT), RowLayer("polygons", "state"))), constraints=(Constraint("made", "buffer", "physical", "hostile", True, True, name_field="k", lines={"buffer_ft": 9 / FOOT}),))
+    ways = access.ways({"lines": lines, "polygons": boxes}, cfg, study, spark).select(F.when(F.col("row_layer") == "lines", "way").otherwise("polygon").alias("how"), "box")
+    made = encumbrance.all_layers({"made": lines}, cfg, study, spark).select(F.lit("constraint").alias("how"), "box")
+    b = F.col("box")
+    return ways.unionByName(made).select("how", F.rint(b["maxx"] - 50).cast("long").alias("k"), M.rounded(b["area"], 3).alias("m2"), M.rounded(b["miny"], 3).alias("miny"), M.rounded(b["minx"], 3).alias("minx"))
+
+
 def _stage4(spark, sf_dir):
     p = parcels(spark, sf_dir).select("k", "x0", "y0", "x1", "y1", "account_id", F.concat(F.lit("NAME"), "k").alias("owner_name"), F.concat(F.lit("ADDR "), "account_id").alias("owner_mailing_address"), "geom", "box")
     road = F.expr("k div 40") * 700.0 + 18

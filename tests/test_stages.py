@@ -119,7 +119,7 @@ def test_blocked_and_landlocked(scored, out):
     assert d["blocking_parcel_account_id"] == "FRED-S" and d["frontage_foreign_pct"] == near(100, 1) and d["reserve_strip_detected"]
     assert d["blocking_parcel_owner"] == "CORNERSTONE DEVELOPMENT INC"
     strip = out["strips"].where("account_id = 'FRED-D'").first()
-    assert strip["est_width_ft"] == near(48, 2) and strip["aspect_ratio"] > 40 and not strip["same_owner"]
+    assert strip["est_width_ft"] == near(48, 2) and strip["aspect"] > 40 and not strip["same_owner"]
     e = scored["FRED-E"]
     assert e["landlocked_apparent"] and e["access_via_same_owner_parcel"] and e["frontage_same_owner_ft"] > 2000 and not e["reserve_strip_detected"]
     h = scored["FRED-H"]

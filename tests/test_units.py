@@ -49,7 +49,7 @@ def test_owner_matching(spark):
 
 def test_strips_and_rounding(spark):
     m = one(spark, m=M.strip_metrics(F.lit(15.24 * 396.24), F.lit(2 * (15.24 + 396.24))))["m"]
-    assert m["est_width_ft"] == pytest.approx(48.2, abs=0.5) and m["aspect_ratio"] > 25
+    assert m["est_width_ft"] == pytest.approx(48.2, abs=0.5) and m["aspect"] > 25
     assert one(spark, r=M.rounded(F.lit(2.675), 2))["r"] == 2.68
     assert one(spark, m=M.strip_metrics(F.lit(0.0), F.lit(0.0)))["m"]["est_width_ft"] == 0
 

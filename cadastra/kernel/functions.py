@@ -18,7 +18,7 @@ SHAPE = "struct<minx:double,miny:double,maxx:double,maxy:double,area:double,leng
 POSITION = "struct<dx:double,dy:double,contact:double,touches:boolean,pieces:int,largest:double>"
 FRONTAGE = "struct<contact:double,pieces:array<struct<seq:int,piece:binary,length:double,inside:binary,way:binary,distance:double,probe:binary>>>"
 OVERLAP = "struct<geom:binary,m2:double>"
-RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "Subdivide": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Position": POSITION, "Frontage": FRONTAGE}
+RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "Subdivide": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Reproject": "binary", "Position": POSITION, "Frontage": FRONTAGE}
 # EPSG:26985, both parallels, origin latitude and longitude, false easting and northing.
 EPSG_26985 = (39.45, 38.3, 37.0 + 2.0 / 3.0, -77.0, 400000.0, 0.0)
 
@@ -205,6 +205,12 @@ def reprojected(g, epsg: int) -> Column:
     raise ValueError(f"EPSG:{epsg} is not read here; known are {PLANE}, {PLANE_FEET}, {GLOBAL}")
 
 
+def between_systems(g, source: list[float], target: list[float]) -> Column:
+    """Shapes of one coordinate system in another, both by their numbers (``sources.crs``)."""
+    numbers = lambda p: F.array(*[F.lit(float(v)) for v in p])
+    return _call("reproject", g, numbers(source), numbers(target))
+
+
 def to_plane(g, params=EPSG_26985) -> Column:
     """Longitude and latitude to the plane of the given conic projection."""
     return _call("lambert", g, F.array(*[F.lit(float(p)) for p in params]), F.lit(False))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import http.server
 import json
+import math
 import tempfile
 import threading
 import urllib.parse
@@ -125,6 +126,56 @@ def source_clip(spark, sf_dir):
     return out
 
 
+# The projections themselves, as columns: transverse Mercator by its series, Albers in closed form.
+def _utm(lon, lat, zone: int):
+    a, f = 6378137.0, 1 / 298.257222101
+    n, e = f / (2 - f), math.sqrt(f * (2 - f))
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180 - 127 * n**5 / 288, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440 + 281 * n**5 / 630, 61 * n**3 / 240 - 103 * n**4 / 140 + 15061 * n**5 / 26880, 49561 * n**4 / 161280 - 179 * n**5 / 168, 34729 * n**5 / 80640)
+    scale = 0.9996 * a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    s, d = F.sin(F.radians(lat)), F.radians(lon - (6 * zone - 183))
+    t = F.sinh(F.atanh(s) - e * F.atanh(e * s))
+    xi, eta = F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
+    x, y = eta, xi
+    for j, c in enumerate(alpha, 1):
+        x, y = x + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta), y + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
+    return 500000 + scale * x, scale * y
+
+
+def _albers(lon, lat):
+    a, f = 6378137.0, 1 / 298.257222101
+    e = math.sqrt(f * (2 - f))
+    q = lambda s, log: (1 - e * e) * (s / (1 - e * e * s * s) - log((1 - e * s) / (1 + e * s)) / (2 * e))
+    p1, p2, p0 = map(math.radians, (29.5, 45.5, 23.0))
+    m2 = lambda p: math.cos(p) ** 2 / (1 - (e * math.sin(p)) ** 2)
+    q1, q2, q0 = (q(math.sin(p), math.log) for p in (p1, p2, p0))
+    n = (m2(p1) - m2(p2)) / (q2 - q1)
+    c = m2(p1) + n * q1
+    rho, theta = a * F.sqrt(c - n * q(F.sin(F.radians(lat)), F.log)) / n, n * F.radians(lon + 96)
+    return rho * F.sin(theta), a * math.sqrt(c - n * q0) / n - rho * F.cos(theta)
+
+
+_GRID = "c_custkey AS k, (-79.4 + (c_custkey % 331) / 76.0)::DOUBLE AS lon, (37.3 + (c_custkey % 97) / 37.0)::DOUBLE AS lat"
+
+
+@query(f"WITH g AS (SELECT {_GRID} FROM customer) SELECT how, k, {r2(_conic('lon', 'lat')[0])} AS x, {r2(_conic('lon', 'lat')[1])} AS y FROM g, (VALUES ('utm'), ('albers'), ('mercator')) h(how)")
+def source_projections(spark, sf_dir):
+    """Layers in UTM zone 18, in the Albers plane of the United States and in Mercator's, read into the working plane."""
+    home = _home(spark)
+    K.register(spark)
+    k = F.col("c_custkey")
+    at = table(spark, sf_dir, "customer").select(k.alias("k"), (F.lit(-79.4) + (k % 331) / 76.0).alias("lon"), (F.lit(37.3) + (k % 97) / 37.0).alias("lat"))
+    lon, lat = F.col("lon"), F.col("lat")
+    mercator = (6378137.0 * F.radians(lon), 6378137.0 * F.log(F.tan(math.pi / 4 + F.radians(lat) / 2)))
+    out = None
+    for how, epsg, (x, y) in (("utm", 26918, _utm(lon, lat, 18)), ("albers", 5070, _albers(lon, lat)), ("mercator", 3857, mercator)):
+        path = str(home / f"{how}.geojson")
+        files.write_geojson(at.select("k", K.line(F.array(x, y, x, y)).alias("geom")), path, lonlat=False, epsg=epsg)
+        b = K.shape("geom")
+        one = files.read_layer(spark, path).select(F.lit(how).alias("how"), "k", M.rounded(b["minx"], 2).alias("x"), M.rounded(b["miny"], 2).alias("y"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 class _Service:
     """A feature service of points: pages by offset, of which none gives more than ``cap`` rows, or ids."""
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..kernel import functions as K
+from . import crs as systems
 from . import geojson
 from .shapefile import Shapefile
 from .where import translated
@@ -186,7 +187,8 @@ def epsg_of(name: str, layer: str | None = None, spark: SparkSession | None = No
     return None
 
 
-def _geoparquet_epsg(name: str) -> int | None:
+def _geoparquet_crs(name: str) -> dict | None:
+    """PROJJSON of a GeoParquet file's primary column; empty where it says that it knows none."""
     import pyarrow.parquet as pq
 
     if "://" in name:
@@ -196,12 +198,55 @@ def _geoparquet_epsg(name: str) -> int | None:
     if geo is None:
         return None
     doc = json.loads(geo)
-    crs = doc["columns"][doc.get("primary_column", "geom")].get("crs", {"id": {"authority": "OGC", "code": "CRS84"}})
-    own = (crs or {}).get("id") or {}
+    return doc["columns"][doc.get("primary_column", "geom")].get("crs", {"id": {"authority": "OGC", "code": "CRS84"}}) or {}
+
+
+def _geoparquet_epsg(name: str) -> int | None:
+    own = (_geoparquet_crs(name) or {}).get("id") or {}
     return 4326 if own.get("authority") == "OGC" else int(own["code"]) if own.get("authority") == "EPSG" else None
 
 
-def box_in(spark: SparkSession, clip: tuple[float, float, float, float], epsg: int) -> tuple[float, float, float, float]:
+def description_of(name: str, layer: str | None = None, spark: SparkSession | None = None) -> str | None:
+    """What a file says of its coordinate system, in full: WKT, PROJJSON or a name."""
+    kind = Path(name).suffix.lower()
+    if kind in geojson.SUFFIXES:
+        crs = geojson.layout_of(spark or SparkSession.active(), name).crs
+        return str((crs.get("properties") or {}).get("name", "")) if crs else None
+    if "://" in name:
+        return None
+    if kind == ".shp":
+        at = Path(name).with_suffix(".prj")
+        return at.read_text() if at.exists() else None
+    if kind == ".gpkg":
+        con = sqlite3.connect(f"file:{name}?mode=ro", uri=True)
+        try:
+            row = con.execute("SELECT s.definition FROM gpkg_geometry_columns g JOIN gpkg_spatial_ref_sys s USING (srs_id)" + (" WHERE g.table_name = ?" if layer else " ORDER BY g.table_name"), (layer,) if layer else ()).fetchone()
+        except sqlite3.OperationalError:
+            return None
+        return row[0] if row and row[0] and row[0] != "undefined" else None
+    if kind == ".parquet":
+        crs = _geoparquet_crs(name)
+        return json.dumps(crs) if crs else None
+    return None
+
+
+def system_of(name: str, layer: str | None = None, spark: SparkSession | None = None) -> systems.System | None:
+    """The system that a file says it has, by its description or its EPSG number; None if it says nothing."""
+    text, why = description_of(name, layer, spark), None
+    if text:
+        try:
+            return systems.of_text(text)
+        except systems.UnknownSystem as e:
+            why = e
+    epsg = epsg_of(name, layer, spark)
+    if epsg is not None and (found := systems.of_epsg(epsg)):
+        return found
+    if why is not None or epsg is not None:
+        raise LayerError(f"{name}: {why or f'EPSG:{epsg} is not known here'}")
+    return None
+
+
+def box_in(spark: SparkSession, clip: tuple[float, float, float, float], epsg: int | systems.System) -> tuple[float, float, float, float]:
     """A box of the working plane, padded, as a box in another system that contains it."""
     x0, y0, x1, y1 = clip[0] - PAD_M, clip[1] - PAD_M, clip[2] + PAD_M, clip[3] + PAD_M
     if epsg == K.PLANE:
@@ -209,6 +254,11 @@ def box_in(spark: SparkSession, clip: tuple[float, float, float, float], epsg: i
     if epsg == K.PLANE_FEET:
         return tuple(v * 3937 / 1200 for v in (x0, y0, x1, y1))
     steps = [k / 16 for k in range(17)]
+    if isinstance(epsg, systems.System):
+        edge = [(x0 + t * (x1 - x0), y) for t in steps for y in (y0, y1)] + [(x, y0 + t * (y1 - y0)) for t in steps for x in (x0, x1)]
+        line = K.between_systems(F.lit(bytearray(K.line_wkb(*edge))), systems.of_epsg(K.PLANE).numbers(), epsg.numbers())
+        b = spark.range(1).select(K.shape(line).alias("b")).first()["b"]
+        return b["minx"], b["miny"], b["maxx"], b["maxy"]
     edge = [(x0 + t * (x1 - x0), y) for t in steps for y in (y0, y1)] + [(x, y0 + t * (y1 - y0)) for t in steps for x in (x0, x1)]
     b = spark.range(1).select(K.shape(K.to_lonlat(F.lit(bytearray(K.line_wkb(*edge))))).alias("b")).first()["b"]
     out = (b["minx"], b["miny"], b["maxx"], b["maxy"])
@@ -228,7 +278,15 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
     out = None
     for number, name in enumerate(files_of(path)):
         kind = Path(name).suffix.lower()
-        epsg = crs or epsg_of(name, layer, spark)
+        epsg: int | systems.System | None = crs
+        if crs and crs not in (K.PLANE, K.PLANE_FEET, *K.GLOBAL):
+            epsg = systems.of_epsg(crs)
+            if epsg is None:
+                raise LayerError(f"EPSG:{crs} is not known here")
+        elif not crs:
+            found = system_of(name, layer, spark)
+            # the working plane, its feet and degrees go their shorter ways
+            epsg = next((c for c in (K.PLANE, K.PLANE_FEET, *K.GLOBAL) if systems.of_epsg(c) == found), found)
         df = None
         if kind in geojson.SUFFIXES:
             df = geojson.read(spark, geojson.layout_of(spark, name))
@@ -264,7 +322,7 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
             df = df.withColumn("geom", shape.otherwise(F.raise_error(F.concat(F.lit(f"{name}: not read here is EPSG:"), F.coalesce(F.col("_crs").cast("string"), F.lit("?")))).cast("binary"))).drop("_crs", "minx", "miny", "maxx", "maxy")
         else:
             try:
-                df = df.withColumn("geom", K.reprojected("geom", epsg))
+                df = df.withColumn("geom", K.between_systems("geom", epsg.numbers(), systems.of_epsg(K.PLANE).numbers()) if isinstance(epsg, systems.System) else K.reprojected("geom", epsg))
             except ValueError as e:
                 raise LayerError(f"{name}: {e}") from e
         if columns:
@@ -344,9 +402,9 @@ def streamed(rows: DataFrame, path: str, write) -> None:
         left.unlink()
 
 
-def write_geojson(df: DataFrame, path: str, lonlat: bool = True) -> None:
-    """A FeatureCollection in one file, written by one task: for results of a size that people open."""
-    crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{K.PLANE}"}}}},'
+def write_geojson(df: DataFrame, path: str, lonlat: bool = True, epsg: int = K.PLANE) -> None:
+    """A FeatureCollection in one file, written by one task: for results of a size that people open. Shapes that aren't turned to longitude and latitude are said to be of ``epsg``."""
+    crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{epsg}"}}}},'
 
     def write(batches, part):
         with open(part, "w", encoding="utf-8") as f:

@@ -16,6 +16,7 @@ from .config import Config, ConfigError, load
 from .kernel import functions as K
 from .operators.slope import Grid
 from .plans import record
+from .sources import crs as systems
 from .sources import files, rest, tiff
 
 
@@ -40,10 +41,11 @@ def elevation(spark: SparkSession, path: str) -> tuple[DataFrame, Grid]:
         if not at.exists():
             raise files.LayerNotAvailable(path)
         raster = tiff.opened(path)
-        if raster.epsg != K.PLANE:
-            raise files.LayerError(f"{path}: elevation is read in EPSG:{K.PLANE}, this is EPSG:{raster.epsg}")
+        system = None if raster.epsg == K.PLANE else systems.of_epsg(raster.epsg) if raster.epsg else None
+        if raster.epsg != K.PLANE and (system is None or system.method == systems.LONLAT):
+            raise files.LayerError(f"{path}: elevation has to be in a projected system that is known here, this is EPSG:{raster.epsg}")
         spark.dataSource.register(tiff.GeoTiff)
-        return spark.read.format("geotiff").option("path", path).load(), Grid(*raster.place)
+        return spark.read.format("geotiff").option("path", path).load(), Grid(*raster.place, tuple(system.numbers()) if system else None)
     if not (at / "grid.json").exists():
         raise files.LayerNotAvailable(path)
     return spark.read.parquet(str(at / "cells.parquet")), Grid(**json.loads((at / "grid.json").read_text()))

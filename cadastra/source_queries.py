@@ -18,6 +18,7 @@ from .functions import measures as M
 from .kernel import functions as K
 from .operators import slope as S
 from .queries import CTES, MEET, query, r2
+from .sources import crs as systems
 from .sources import files, fixture, geojson, rest, tiff
 from .sources.shapefile import write_shapefile
 from .stage_queries import _conic
@@ -326,6 +327,31 @@ def steep_windows(spark, sf_dir):
     return S.window_steep(p, cells, S.Grid(0.0, 10000.0, 50.0, 50.0), 12.0).select(F.col("account_id").alias("k"), M.rounded(K.area("geom"), 3).alias("steep_m2"))
 
 
+_STEP = "coalesce((lead(f) OVER {w} - lag(f) OVER {w}) / (2 * {d}), (lead(f) OVER {w} - f) / {d}, (f - lag(f) OVER {w}) / {d})"
+
+
+@query(f"""{CTES}, {_EL}, ex AS (SELECT max(r) AS rm, max(c) AS cm FROM c),
+sv AS (SELECT k, x0, y0, x1, y1, greatest(floor((x0 - 33.3) / 50), 0) AS c0, least(floor((x0 - 33.3) / 50) + ceil((x1 - x0 + 66.6) / 50) - 1, cm) AS c1, greatest(floor((10000 - y1 - 33.3) / 50), 0) AS r0, least(floor((10000 - y1 - 33.3) / 50) + ceil((y1 - y0 + 66.6) / 50) - 1, rm) AS r1 FROM p, ex),
+sn AS (SELECT sv.*, (r1 - r0 + 1)::INTEGER AS h, (c1 - c0 + 1)::INTEGER AS w, greatest(3, round_even((r1 - r0 + 1) * 50.0 / 83, 0))::INTEGER AS dn, greatest(3, round_even((c1 - c0 + 1) * 50.0 / 83, 0))::INTEGER AS ac FROM sv WHERE c1 - c0 >= 2 AND r1 - r0 >= 2),
+su AS (SELECT sn.*, (r - r0)::INTEGER AS i, (c - c0)::INTEGER AS j, z FROM sn JOIN c ON r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1),
+se AS (SELECT *, unnest(range(i * dn // h, ((i + 1) * dn - 1) // h + 1)) AS o FROM su), sb AS (SELECT *, unnest(range(j * ac // w, ((j + 1) * ac - 1) // w + 1)) AS q FROM se),
+st AS (SELECT *, (least((i + 1) * dn / h, o + 1) - greatest(i * dn / h, o)) * (least((j + 1) * ac / w, q + 1) - greatest(j * ac / w, q)) AS t FROM sb),
+sm AS (SELECT k, any_value(x0) AS x0, any_value(y0) AS y0, any_value(x1) AS x1, any_value(y1) AS y1, any_value(c0) AS c0, any_value(r0) AS r0, any_value(50.0 * w / ac) AS dx, any_value(50.0 * h / dn) AS dy, o, q, sum(z * t) FILTER (z IS NOT NULL) / sum(t) FILTER (z IS NOT NULL) AS z FROM st GROUP BY k, o, q),
+sf AS (SELECT *, coalesce(z, avg(z) OVER (PARTITION BY k)) AS f FROM sm),
+sg AS (SELECT *, {_STEP.format(w='(PARTITION BY k, o ORDER BY q)', d='dx')} AS gx, {_STEP.format(w='(PARTITION BY k, q ORDER BY o)', d='dy')} AS gy FROM sf),
+sq AS (SELECT k, sum(greatest(0, least(50 * c0 + (q + 1) * dx, x1) - greatest(50 * c0 + q * dx, x0)) * greatest(0, least(10000 - 50 * r0 - o * dy, y1) - greatest(10000 - 50 * r0 - (o + 1) * dy, y0))) AS m2 FROM sg WHERE z IS NOT NULL AND 100 * sqrt(gx * gx + gy * gy) > 7.07 GROUP BY 1)
+SELECT k, {r2('m2', 1)} AS steep_m2 FROM sq WHERE m2 > 0.01""")
+def steep_in_feet(spark, sf_dir):
+    """Steep ground on a grid in feet, averaged to cells of some 83 m with parts of cells, against windows in metres."""
+    o = table(spark, sf_dir, "orders").select(F.expr("o_orderkey div 100").cast("int").alias("row"), (F.col("o_orderkey") % 100).cast("int").alias("col"), "o_orderkey")
+    z = F.when(F.col("o_orderkey") % 37 != 5, (3 * (F.col("col") % 7) * (F.col("col") % 7) + 5 * (F.col("row") % 5) * (F.col("row") % 5)) / 8.0)
+    p = parcels(spark, sf_dir).withColumn("account_id", F.col("k"))
+    feet = 3937 / 1200
+    grid = S.Grid(0.0, 10000.0 * feet, 50.0 * feet, 50.0 * feet, tuple(systems.of_epsg(2248).numbers()))
+    got = S.window_steep(p, o.select("row", "col", z.alias("z")), grid, 7.07, resample_m=83.0, margin=33.3)
+    return got.select(F.col("account_id").alias("k"), K.area("geom").alias("m2")).where("m2 > 0.01").select("k", M.rounded(F.col("m2"), 1).alias("steep_m2"))
+
+
 # ---- configuration and command line ------------------------------------------------------
 @query("SELECT * FROM (VALUES ('1-4', '1,2,3,4'), ('1,3', '1,3'), ('4,2-3', '2,3,4'), ('0', 'error'), ('1-5', 'error'), ('x', 'error'), ('', 'error')) t(spec, stages)")
 def stage_lists(spark, sf_dir):

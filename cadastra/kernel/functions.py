@@ -18,7 +18,7 @@ SHAPE = "struct<minx:double,miny:double,maxx:double,maxy:double,area:double,leng
 POSITION = "struct<dx:double,dy:double,contact:double,touches:boolean,pieces:int,largest:double>"
 FRONTAGE = "struct<contact:double,pieces:array<struct<seq:int,piece:binary,length:double,inside:binary,way:binary,distance:double,probe:binary>>>"
 OVERLAP = "struct<geom:binary,m2:double>"
-RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "Subdivide": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Reproject": "binary", "Position": POSITION, "Frontage": FRONTAGE}
+RETURNS = {"Overlap": OVERLAP, "Box": "binary", "Hilbert": "long", "Path": "binary", "LonLat": "binary", "Scaled": "binary", "Unary": "binary", "Measure": "double", "Shape": SHAPE, "Binary": "binary", "Between": "double", "Buffer": "binary", "UnionAll": "binary", "Parts": "array<binary>", "Subdivide": "array<binary>", "PartCount": "int", "LineRuns": "int", "Lambert": "binary", "Reproject": "binary", "Position": POSITION, "Frontage": FRONTAGE}
 # EPSG:26985, both parallels, origin latitude and longitude, false easting and northing.
 EPSG_26985 = (39.45, 38.3, 37.0 + 2.0 / 3.0, -77.0, 400000.0, 0.0)
 
@@ -181,6 +181,11 @@ def box(x0, y0, x1, y1) -> Column:
     return _call("box", *[(F.col(c) if isinstance(c, str) else c).cast("double") for c in (x0, y0, x1, y1)])
 
 
+def hilbert(x, y, x0: float, y0: float, side: float) -> Column:
+    """A number that is near for near points of a square."""
+    return _call("hilbert", x, y, F.lit(float(x0)), F.lit(float(y0)), F.lit(float(side)))
+
+
 def ring(xy) -> Column:
     """A polygon from its corners, x, y, x, y and so on, the first not repeated."""
     return _call("path", xy, F.lit(True))

@@ -209,6 +209,20 @@ def of_projjson(doc: dict) -> System:
     return _system(doc["conversion"]["method"]["name"], values, unit=unit, **told)
 
 
+def projjson(system: System, name: str, epsg: int | None = None) -> dict:
+    """A projected system's description, as GeoParquet files carry it."""
+    degrees, metres = "degree", "metre" if system.unit == 1 else {"type": "LinearUnit", "name": "unit", "conversion_factor": system.unit}
+    lambert, albers = system.method == LAMBERT, system.method == ALBERS
+    method = {LAMBERT: "Lambert Conic Conformal (2SP)", ALBERS: "Albers Equal Area", TRANSVERSE: "Transverse Mercator", MERCATOR: "Mercator (variant A)"}[system.method]
+    origin = "false" if lambert or albers else "natural"
+    values = [(f"Latitude of {origin} origin", system.lat0, degrees), (f"Longitude of {origin} origin", system.lon0, degrees)]
+    values += [("Latitude of 1st standard parallel", system.sp1, degrees), ("Latitude of 2nd standard parallel", system.sp2, degrees), ("Easting at false origin", system.fe, "metre"), ("Northing at false origin", system.fn, "metre")] if origin == "false" else [("Scale factor at natural origin", system.k0, "unity"), ("False easting", system.fe, "metre"), ("False northing", system.fn, "metre")]
+    axes = lambda names, unit: [{"name": n, "abbreviation": a, "direction": d, "unit": unit} for n, a, d in names]
+    base = {"name": "NAD83", "datum": {"type": "GeodeticReferenceFrame", "name": "North American Datum 1983", "ellipsoid": {"name": "GRS 1980", "semi_major_axis": system.a, "inverse_flattening": 1 / system.f}}, "coordinate_system": {"subtype": "ellipsoidal", "axis": axes((("Geodetic latitude", "Lat", "north"), ("Geodetic longitude", "Lon", "east")), degrees)}}
+    out = {"$schema": "https://proj.org/schemas/v0.7/projjson.schema.json", "type": "ProjectedCRS", "name": name, "base_crs": base, "conversion": {"name": name, "method": {"name": method}, "parameters": [{"name": n, "value": v, "unit": u} for n, v, u in values]}, "coordinate_system": {"subtype": "Cartesian", "axis": axes((("Easting", "X", "east"), ("Northing", "Y", "north")), metres)}}
+    return out | ({"id": {"authority": "EPSG", "code": epsg}} if epsg else {})
+
+
 def of_text(text: str) -> System:
     """A name, a URN, an EPSG number, WKT or PROJJSON."""
     text = text.strip()

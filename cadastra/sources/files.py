@@ -12,11 +12,14 @@ import uuid
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..kernel import functions as K
+from ..operators.lineage import cut
 from . import crs as systems
 from . import geojson
 from .shapefile import Shapefile
@@ -357,10 +360,69 @@ def writable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+#: Rows of a row group: what a clip reads at least.
+GROUP = 1 << 14
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
-    """WKB with its bounds, so that later reads prune by place, and with its coordinate system."""
-    box = K.shape("geom")
-    writable(df).withColumns({c: box[c] for c in ("minx", "miny", "maxx", "maxy")} | {"_crs": F.lit(K.PLANE)}).write.mode("overwrite").parquet(path)
+    """GeoParquet in parts, clustered by place: rows are dealt by ranges of their place on a Hilbert curve and sorted by it, so that a clip reads few parts and row groups. Bounds stand beside the shapes, the coordinate system in the footers and in ``_crs``."""
+    rows = cut(writable(df).withColumn("__b", K.shape("geom")).select("*", *[F.col("__b")[c].alias(c) for c in ("minx", "miny", "maxx", "maxy")], F.lit(K.PLANE).alias("_crs")).drop("__b"))
+    e = rows.agg(F.min("minx").alias("x0"), F.min("miny").alias("y0"), F.max("maxx").alias("x1"), F.max("maxy").alias("y1")).first()
+    box = [e[c] for c in ("x0", "y0", "x1", "y1")]
+    if e["x0"] is not None:
+        key = K.hilbert((F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2, e["x0"], e["y0"], max(e["x1"] - e["x0"], e["y1"] - e["y0"]))
+        rows = rows.withColumn("__key", key).repartitionByRange("__key").sortWithinPartitions("__key").drop("__key")
+    column = {"encoding": "WKB", "geometry_types": [], "crs": systems.projjson(systems.of_epsg(K.PLANE), "NAD83 / Maryland", K.PLANE)} | ({"bbox": box} if e["x0"] is not None else {})
+    geo = {"version": "1.1.0", "primary_column": "geom", "columns": {"geom": column}}
+    schema = to_arrow_schema(rows.schema).with_metadata({b"geo": json.dumps(geo).encode()})
+    uri = path if "://" in path else Path(path).resolve().as_uri()
+    new = f"{uri}-{uuid.uuid4().hex}"
+    store, at = fs.FileSystem.from_uri(new)
+    store.create_dir(at)
+
+    def write(batches):
+        import pyarrow.parquet as pq
+        from pyspark import TaskContext
+
+        part, writer, held, n = f"{new}/part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.parquet", None, [], 0
+
+        def out():
+            writer.write_table(pa.Table.from_batches(held).cast(schema), row_group_size=GROUP)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if writer is None:
+                store, at = fs.FileSystem.from_uri(part)
+                stream = store.open_output_stream(at)
+                writer = pq.ParquetWriter(stream, schema, compression="zstd", write_page_index=True)
+            held.append(b)
+            n += b.num_rows
+            if n >= GROUP:
+                out()
+                held, n = [], 0
+        if writer is not None:
+            if held:
+                out()
+            writer.close()
+            stream.close()
+            yield pa.RecordBatch.from_arrays([pa.array([part])], ["part"])
+
+    parts = [r["part"] for r in rows.mapInArrow(write, "part string").collect()]  # a line for each part
+    if not parts:
+        import pyarrow.parquet as pq
+
+        parts = [f"{new}/part-00000.parquet"]
+        with store.open_output_stream(fs.FileSystem.from_uri(parts[0])[1]) as stream:
+            pq.write_table(schema.empty_table(), stream)
+    # what broken-off tasks have left goes, then the folder takes its place
+    for info in store.get_file_info(fs.FileSelector(at)):
+        if info.base_name not in {p.rsplit("/", 1)[1] for p in parts}:
+            store.delete_file(info.path)
+    target = fs.FileSystem.from_uri(uri)[1]
+    if store.get_file_info(target).type == fs.FileType.Directory:
+        store.delete_dir(target)
+    store.move(at, target)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -130,8 +130,14 @@ class GeoPackageReader(DataSourceReader):
 
     def partitions(self):
         con, layer, _ = self.source._layer()
-        lo, hi = con.execute(f'SELECT coalesce(min(rowid), 0), coalesce(max(rowid), -1) FROM "{layer}"').fetchone()
-        return [InputPartition((k, min(k + self.STEP - 1, hi))) for k in range(lo, hi + 1, self.STEP)] or [InputPartition((0, -1))]
+        # borders by counted rows, found along the row-id index: ids may have any gaps
+        borders, at = [], con.execute(f'SELECT min(rowid) FROM "{layer}"').fetchone()[0]
+        while at is not None:
+            borders.append(at)
+            found = con.execute(f'SELECT rowid FROM "{layer}" WHERE rowid >= ? ORDER BY rowid LIMIT 1 OFFSET ?', (at, self.STEP)).fetchone()
+            at = found[0] if found else None
+        last = con.execute(f'SELECT max(rowid) FROM "{layer}"').fetchone()[0]
+        return [InputPartition((a, b)) for a, b in zip(borders, [*[b - 1 for b in borders[1:]], last])] or [InputPartition((0, -1))]
 
     def read(self, partition):
         con, layer, geom = self.source._layer()

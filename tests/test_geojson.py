@@ -121,3 +121,20 @@ def test_single_files_keep_order_and_layers(geo, tmp_path):
     assert files.read_layer(geo, str(tmp_path / "none.gpkg")).count() == 0
     files.write_geojson(df.limit(0), str(tmp_path / "none.geojson"))
     assert json.loads((tmp_path / "none.geojson").read_text())["features"] == []
+
+
+def test_geopackage_row_ids_with_gaps(geo, tmp_path):
+    import sqlite3
+
+    files.write_gpkg(geo.range(10).select(F.col("id").alias("k"), K.box(F.lit(0), F.lit(0), F.lit(1), F.lit(1)).alias("geom")), str(tmp_path / "x.gpkg"), "rows")
+    with sqlite3.connect(tmp_path / "x.gpkg") as con:
+        con.execute("UPDATE rows SET fid = 1000000000000 WHERE k = 9")
+        con.execute("UPDATE rows SET fid = -7 WHERE k = 3")
+    con.close()
+    df = files.read_layer(geo, str(tmp_path / "x.gpkg"))
+    assert df.rdd.getNumPartitions() == 1 and sorted(r["k"] for r in df.collect()) == list(range(10))
+    source = files.GeoPackage({"path": str(tmp_path / "x.gpkg")})
+    reader = files.GeoPackageReader(source, df.sparkSession.createDataFrame([], "k long, geom binary").schema)
+    reader.STEP = 4
+    parts = [p.value for p in reader.partitions()]
+    assert len(parts) == 3 and sorted(r[0] for p in reader.partitions() for r in reader.read(p)) == list(range(10))

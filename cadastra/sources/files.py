@@ -21,12 +21,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..kernel import functions as K
 from ..operators.lineage import cut
 from . import crs as systems
-from . import geojson
+from . import flatgeobuf, geojson
 from .shapefile import Shapefile
 from .where import translated
 
-SUFFIXES = (".gpkg", ".shp", ".geojson", ".json", ".geojsonl", ".parquet")
-UNREAD = (".gdb", ".fgb")
+SUFFIXES = (".gpkg", ".shp", ".geojson", ".json", ".geojsonl", ".parquet", ".fgb")
+UNREAD = (".gdb",)
 PAD_M = 1000.0
 #: A row's place in its source: the number of its file times this, and its position there.
 FILE_ROWS = 1 << 47
@@ -221,11 +221,13 @@ def description_of(name: str, layer: str | None = None, spark: SparkSession | No
     if kind in geojson.SUFFIXES:
         crs = geojson.layout_of(spark or SparkSession.active(), name).crs
         return str((crs.get("properties") or {}).get("name", "")) if crs else None
-    if "://" in name:
+    if "://" in name and kind != ".fgb":
         return None
     if kind == ".shp":
         at = Path(name).with_suffix(".prj")
         return at.read_text() if at.exists() else None
+    if kind == ".fgb":
+        return flatgeobuf.crs_text(name)
     if kind == ".gpkg":
         con = sqlite3.connect(f"file:{name}?mode=ro", uri=True)
         try:
@@ -299,7 +301,7 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
         df = None
         if kind in geojson.SUFFIXES:
             df = geojson.read(spark, geojson.layout_of(spark, name))
-        elif kind == ".parquet" or "://" in name:
+        elif kind == ".parquet" or "://" in name and kind != ".fgb":
             df = spark.read.parquet(name)
         own = df is not None and "_crs" in df.columns
         if not own and epsg is None and default_crs is None:
@@ -310,6 +312,9 @@ def read_layer(spark: SparkSession, path: str, layer: str | None = None, where:
         if kind == ".gpkg":
             spark.dataSource.register(GeoPackage)
             df = spark.read.format("geopackage").options(**options, **({"layer": layer} if layer else {})).load()
+        elif kind == ".fgb":
+            spark.dataSource.register(flatgeobuf.FlatGeobuf)
+            df = spark.read.format("flatgeobuf").options(**options).load()
         elif kind == ".shp":
             spark.dataSource.register(Shapefile)
             df = spark.read.format("shapefile").options(**options).load()

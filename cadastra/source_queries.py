@@ -45,6 +45,18 @@ def _gpkg(df, path: Path, layer: str) -> None:
     files.write_gpkg(df, str(path), layer)
 
 
+#: Runs on the synthetic county, with their SQL: for tests, not registered, as they don't grow with the tables.
+CHECKS: dict[str, tuple] = {}
+
+
+def check(sql: str):
+    def put(f):
+        CHECKS[f.__name__] = (f, sql)
+        return f
+
+    return put
+
+
 WHERE = "(kind in ['FRED', 'CARR'] & k >= 3 and not kind == 'none') | (`k` == 1 or k == [2, 5]) & 0 <= k < 9"
 
 
@@ -289,21 +301,30 @@ def sink_files(spark, sf_dir):
 
 
 # ---- elevation -----------------------------------------------------------------------
-ROWS, COLS = 150, 130
+COLS = 130
 Z = "CASE WHEN ({k}) % 37 <> 5 THEN (3 * (c % 7) * (c % 7) + 5 * (r % 5) * (r % 5)) / 8.0 END"
 
 
-@query(f"SELECT r::INTEGER AS row, c::INTEGER AS col, ({Z.format(k=f'{COLS} * r + c')})::DOUBLE AS z FROM range({ROWS}) a(r), range({COLS}) b(c)")
+@query(f"WITH o AS (SELECT o_orderkey // {COLS} AS r, o_orderkey % {COLS} AS c, ({Z.format(k='o_orderkey')})::DOUBLE AS z FROM (SELECT o_orderkey, o_orderkey // {COLS} AS r, o_orderkey % {COLS} AS c FROM orders)), g AS (SELECT r, c FROM range((SELECT max(r) + 1 FROM o)) a(r), range({COLS}) b(c)) SELECT r::INTEGER AS row, c::INTEGER AS col, z FROM g LEFT JOIN o USING (r, c)")
 def source_geotiff(spark, sf_dir):
-    """Cells of a GeoTIFF in strips, compressed, with a value for none."""
-    import numpy as np
-
-    r, c = np.mgrid[:ROWS, :COLS]
-    z = ((3 * (c % 7) ** 2 + 5 * (r % 5) ** 2) / 8.0).astype(np.float32)
-    z[(COLS * r + c) % 37 == 5] = -9999
-    path = _home(spark) / "dem.tif"
-    tiff.write_tiff(str(path), z, (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
-    cells, grid = cli.elevation(spark, str(path))
+    """Cells of a GeoTIFF in compressed strips, made from the orders, with a value for none."""
+    home, k = _home(spark), F.col("o_orderkey")
+    row, col = F.expr(f"o_orderkey div {COLS}"), k % COLS
+    z = F.when(k % 37 != 5, (3 * (col % 7) * (col % 7) + 5 * (row % 5) * (row % 5)) / 8.0)
+    o = table(spark, sf_dir, "orders").select(row.alias("row"), col.alias("col"), z.alias("z"))
+    rows = o.agg(F.max("row")).first()[0] + 1
+
+    def write(batches, path):
+        import numpy as np
+
+        whole = np.full((rows, COLS), -9999, np.float32)
+        for b in batches:
+            r, c, v = (b.column(n).to_numpy(zero_copy_only=False) for n in ("row", "col", "z"))
+            whole[r, c] = np.where(np.isnan(v), -9999, v)
+        tiff.write_tiff(path, whole, (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
+
+    files.streamed(o, str(home / "dem.tif"), write)
+    cells, grid = cli.elevation(spark, str(home / "dem.tif"))
     assert grid == S.Grid(0.0, 9000.0, 50.0, 50.0)
     return cells
 
@@ -353,15 +374,20 @@ def steep_in_feet(spark, sf_dir):
 
 
 # ---- configuration and command line ------------------------------------------------------
-@query("SELECT * FROM (VALUES ('1-4', '1,2,3,4'), ('1,3', '1,3'), ('4,2-3', '2,3,4'), ('0', 'error'), ('1-5', 'error'), ('x', 'error'), ('', 'error')) t(spec, stages)")
+@query("""WITH s AS (SELECT DISTINCT n_nationkey % 6 AS a, n_regionkey AS b FROM nation), t AS (SELECT a, b, [x FOR x IN range(a, b + 1)] AS l FROM s)
+SELECT a || '-' || b AS spec, CASE WHEN a BETWEEN 1 AND 4 AND b BETWEEN a AND 4 THEN array_to_string(l, ',') ELSE 'error' END AS stages FROM t
+UNION ALL SELECT b || ', ' || a, CASE WHEN a BETWEEN 1 AND 4 AND b BETWEEN 1 AND 4 THEN CASE WHEN a = b THEN a || '' ELSE least(a, b) || ',' || greatest(a, b) END ELSE 'error' END FROM t""")
 def stage_lists(spark, sf_dir):
+    """Stages as the command line takes them, ranges and lists made of the nations' numbers."""
+
     def of(spec):
         try:
             return ",".join(map(str, cli.stage_list(spec)))
         except config.ConfigError:
             return "error"
 
-    return spark.createDataFrame([(s, of(s)) for s in ("1-4", "1,3", "4,2-3", "0", "1-5", "x", "")], "spec string, stages string")
+    pairs = [tuple(r) for r in table(spark, sf_dir, "nation").select(F.col("n_nationkey") % 6, "n_regionkey").distinct().collect()]
+    return spark.createDataFrame([(x, of(x)) for a, b in pairs for x in (f"{a}-{b}", f"{b}, {a}")], "spec string, stages string")
 
 
 @query("SELECT n_name AS code, CASE WHEN n_nationkey % 2 = 0 THEN 'nation ' || n_nationkey END AS description, CASE n_nationkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS answer FROM nation")
@@ -376,13 +402,50 @@ def zoning_templates(spark, sf_dir):
     return spark.createDataFrame([(c, v["description"], v["is_agricultural"]) for c, v in body.items()], "code string, description string, answer boolean")
 
 
-@query("SELECT * FROM (VALUES ('account_id', 'Acctid', 'required'), ('owner_name', 'OWNER2', 'required'), ('acres', NULL, 'optional'), ('zone', NULL, 'missing'), ('use', 'LU', 'optional')) t(name, field, need)")
+@query("SELECT c_custkey AS account_id, c_name AS owner_name, c_acctbal AS acres, 'zone' AS missing, c_mktsegment AS use_code FROM customer")
 def schema_resolution(spark, sf_dir):
-    """Candidates in their order, as they are or in another case; what is missing."""
-    spec = {"required": {"account_id": ["ACCT", "ACCTID"], "owner_name": ["OWNER1", "OWNER2"], "zone": ["ZONE"]}, "optional": {"acres": ["ACRES"], "use": ["USE", "LU"]}}
-    got = schema.resolve(spec, ["Acctid", "OWNER2", "owner_2", "LU"])
-    need = lambda n: "missing" if n in got.missing_required else "required" if n in spec["required"] else "optional"
-    return spark.createDataFrame([(n, got.mapping.get(n), need(n)) for n in (*spec["required"], *spec["optional"])], "name string, field string, need string")
+    """Canonical names for a table's fields: candidates in their order, as they are or in another case; what is missing."""
+    df = table(spark, sf_dir, "customer")
+    spec = {"required": {"account_id": ["ACCT", "C_CUSTKEY"], "owner_name": ["C_NAME", "c_nationkey"], "zone": ["ZONE"]}, "optional": {"acres": ["ACRES", "C_AcctBal"], "use_code": ["c_comment", "C_MktSegment"], "year": ["YEAR"]}}
+    got = schema.resolve(spec, df.columns)
+    return df.select(*[F.col(f).alias(c) for c, f in got.mapping.items()], F.lit(",".join(got.missing_required)).alias("missing"))
+
+
+@query(f"""WITH p AS ({PARCELS_SQL}), m AS (SELECT k, {r2('(x1 - x0) * (y1 - y0) / 4046.8564224')} AS gross, CASE WHEN k % 4 = 0 THEN {r2('(x1 - x0) * 30 / 4046.8564224')} ELSE 0 END AS hostile FROM p)
+SELECT kind, k, gross, hostile FROM m, (VALUES ('parquet'), ('csv'), ('lines')) t(kind) UNION ALL SELECT 'encumbrances', k, hostile, NULL FROM m WHERE hostile > 0
+UNION ALL SELECT 'summary', count(*)::BIGINT, count(*) FILTER (gross >= 40)::DOUBLE, 1.0 FROM m UNION ALL SELECT 'missing', NULL, 1.0, NULL""")
+def cli_run(spark, sf_dir):
+    """The command line's run on files made from the tables, by a configuration of its own with one layer that isn't there: its outputs read back."""
+    home = _home(spark)
+    K.register(spark)
+    p = parcels(spark, sf_dir)
+    files.write_parquet(p.select(F.col("account_id").alias("ACCTID"), F.col("county_code").alias("JURSCODE"), F.col("owner_name").alias("OWNNAME1"), F.col("owner_mailing_address").alias("OWNADD1"), F.lit("Frederick").alias("OWNCITY"), "geom"), str(home / "parcels.parquet"))
+    band = p.where("k % 4 = 0").select(F.concat(F.lit("E"), F.col("k") % 3).alias("name"), K.box(F.col("x0"), F.col("y0") + 30, F.col("x1"), F.col("y0") + 60).alias("geom"))
+    files.write_gpkg(band, str(home / "band.gpkg"), "band")
+    files.write_geojson(spark.range(1).select(K.box(F.lit(-1000), F.lit(-1000), F.lit(40000), F.lit(10_000_000)).alias("geom")), str(home / "study.geojson"), lonlat=False)
+    (home / "schema.yaml").write_text(json.dumps({"required": {"account_id": ["ACCTID"], "county_code": ["JURSCODE"], "owner_name": ["OWNNAME1"], "owner_addr_line1": ["OWNADD1"], "owner_city": ["OWNCITY"]}, "optional": {}}))
+    easement = {"type": "easement", "category": "legal", "implication": "hostile", "subtract_from_usable": True, "name_field": "name"}
+    (home / "pipeline.yaml").write_text(json.dumps({
+        "acreage_min": 40, "study_area": "study.geojson", "counties": {"FRED": "Frederick", "CARR": "Carroll", "WASH": "Washington"}, "parcels": {"path": "parcels.parquet", "schema": "schema.yaml", "acreage_source": "geometry"},
+        "constraints": [easement | {"name": "band", "path": "band.gpkg"}, easement | {"name": "gone", "path": "gone.gpkg"}], "run": {"process_all": True, "output_dir": "out"},
+    }))
+    cfg = config.load(str(home / "pipeline.yaml"))
+    told = cli.run(spark, cfg, cli.stage_list("1-2"), cfg.output_dir)
+    out = Path(cfg.output_dir)
+    number = F.substring("account_id", 2, 20).cast("long").alias("k")
+    measures = [F.col("gross_acres").cast("double").alias("gross"), F.col("hostile_easement_acres").cast("double").alias("hostile")]
+    scored = spark.read.parquet(str(out / "parcels_scored.parquet"))
+    csv = spark.read.csv(str(out / "parcels_scored.csv"), header=True, escape='"')
+    lines = spark.read.json(str(out / "parcels_scored.geojsonl"), "properties struct<account_id:string,gross_acres:double,hostile_easement_acres:double>").select("properties.*")
+    rows = None
+    for kind, df in (("parquet", scored), ("csv", csv), ("lines", lines)):
+        one = df.select(F.lit(kind).alias("kind"), number, *measures)
+        rows = one if rows is None else rows.unionByName(one)
+    taken = spark.read.csv(str(out / "encumbrances.csv"), header=True, escape='"').select(F.lit("encumbrances").alias("kind"), number, F.col("acres").cast("double").alias("gross"), F.lit(None).cast("double").alias("hostile"))
+    read = json.loads((out / "summary.json").read_text())
+    one = read["stage1"]
+    summary = spark.createDataFrame([("summary", one["parcels_in_study_area"], float(one["meets_acreage"]), float(read["scored_parcels"] == one["parcels_in_study_area"] and (out / "parcels_scored.gpkg").exists())), ("missing", None, float(told["missing_layers"] == ["gone"]), None)], "kind string, k long, gross double, hostile double")
+    return rows.unionByName(taken).unionByName(summary)
 
 
 #: Of each scored parcel of the synthetic county: reason, zoning, gross and usable acres (from the boxes), landlocked, blocked, its first blocker, foreign strip, no road near, authorities.
@@ -399,7 +462,7 @@ _lit = lambda v: "NULL" if v is None else repr(v) if isinstance(v, str) else str
 _SCORED_SQL = ", ".join("(" + ", ".join(_lit(v) for v in r) + ")" for r in _SCORED)
 
 
-@query(f"SELECT id AS account_id, zoning, 'pass' AS reason, {r2('coalesce(gross, 80.0)', 1)} AS gross_acres, {r2(r2('usable'), 1)} AS usable_acres, landlocked, blocked, blocker, strip, no_road, authorities FROM (VALUES {_SCORED_SQL}) t(id, zoning, gross, usable, landlocked, blocked, blocker, strip, no_road, authorities)")
+@check(f"SELECT id AS account_id, zoning, 'pass' AS reason, {r2('coalesce(gross, 80.0)', 1)} AS gross_acres, {r2(r2('usable'), 1)} AS usable_acres, landlocked, blocked, blocker, strip, no_road, authorities FROM (VALUES {_SCORED_SQL}) t(id, zoning, gross, usable, landlocked, blocked, blocker, strip, no_road, authorities)")
 def fixture_scored(spark, sf_dir):
     """All four stages on the synthetic county, against what follows from its boxes. Usable acres of the parcel on the hill are left out."""
     from .plans import record
@@ -414,7 +477,7 @@ _WRITTEN = ("encumbrances.csv", "entry_points.gpkg", "entry_points.parquet", "fr
 _TOLD = {"scored_parcels": 11, "parcels_in_study_area": 16, "stage1_pass": 11, "unique_owner_keys_passing": 11, "missing": 1, "markdown": 1, "landlocked_apparent": 3, "reserve_strip_detected": 1, "features": 11, "layer rows": 11}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join([*(f"('file', '{n}', 1)" for n in _WRITTEN), *(f"('summary', '{k}', {v})" for k, v in _TOLD.items())]) + ") t(kind, name, n)")
+@check("SELECT * FROM (VALUES " + ", ".join([*(f"('file', '{n}', 1)" for n in _WRITTEN), *(f"('summary', '{k}', {v})" for k, v in _TOLD.items())]) + ") t(kind, name, n)")
 def fixture_run(spark, sf_dir):
     """The synthetic county as files, run by its configuration with one layer taken away: the files that are written, and the summary."""
     import sqlite3

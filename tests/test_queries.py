@@ -21,14 +21,27 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_query(spark, duck, name):
-    got = Q.queries()[name](spark, SF)
+    compare(duck, Q.queries()[name](spark, SF), Q.oracle_sql()[name])
+
+
+def compare(duck, got, sql):
     cols = sorted(got.columns)
-    want = duck.sql(f"SELECT {', '.join(cols)} FROM ({Q.oracle_sql()[name]})").fetchall()
+    want = duck.sql(f"SELECT {', '.join(cols)} FROM ({sql})").fetchall()
     rows = [tuple(r) for r in got.select(*cols).collect()]
     key = lambda r: tuple((x is not None, str(x)) for x in r)
     assert sorted(rows, key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("name", ["fixture_run", "fixture_scored"])
+def test_check(spark, duck, name):
+    """Runs on the synthetic county."""
+    from cadastra.source_queries import CHECKS
+
+    run, sql = CHECKS[name]
+    assert name not in Q.queries()
+    compare(duck, run(spark, SF), sql)
+
+
 def test_no_cartesian_products(spark):
     for name in ("encumbrance_rows", "zoning_argmax", "row_distance_join", "owner_match_pairs", "stage1_accounts", "stage2_encumbrances", "stage3_usable", "stage4_access"):
         plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

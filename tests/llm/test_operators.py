@@ -844,5 +844,5 @@ def test_salted_joins_equal_broadcast_ones(spark, monkeypatch):
 def test_registered():
     from cadastra.llm import queries
 
-    assert [q.split("_")[0] for q in queries.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.queries()] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.oracle_sql()) <= set(queries.queries()) and json is not None

@@ -67,6 +67,19 @@ def steep_boxes(sloped: DataFrame, grid: Grid, most: float) -> DataFrame:
 TILE = 64
 
 
+def windows(parcels: DataFrame, cells: DataFrame, grid: Grid, margin: float) -> DataFrame:
+    """(account_id, geom, r0, c0, r1, c1, r_max, c_max): each parcel's window of cells, its bounds and a margin in metres, cut to the grid; none of two cells or fewer across."""
+    margin = margin / grid.unit
+    extent = F.broadcast(cells.agg(F.max("row").alias("r_max"), F.max("col").alias("c_max")))  # one row
+    low = lambda at, origin, step: F.floor((at - origin) / step)
+    w = parcels.select("account_id", "geom", "box") if grid.numbers is None else parcels.select("account_id", "geom").withColumn("box", K.shape(grid.here("geom")))
+    w = w.crossJoin(extent)
+    span_c, span_r = (F.col("box.maxx") - F.col("box.minx") + 2 * margin) / grid.dx, (F.col("box.maxy") - F.col("box.miny") + 2 * margin) / grid.dy
+    w = w.withColumns({"c0": low(F.col("box.minx") - margin, grid.x0, grid.dx), "r0": F.floor((grid.y1 - F.col("box.maxy") - margin) / grid.dy)})
+    w = w.withColumns({"c1": F.least(F.col("c0") + F.ceil(span_c) - 1, "c_max"), "r1": F.least(F.col("r0") + F.ceil(span_r) - 1, "r_max"), "c0": F.greatest("c0", F.lit(0)), "r0": F.greatest("r0", F.lit(0))})
+    return w.where((F.col("c1") - F.col("c0") >= 2) & (F.col("r1") - F.col("r0") >= 2)).select("account_id", "geom", *[F.col(c).cast("int").alias(c) for c in ("r0", "c0", "r1", "c1")], "r_max", "c_max")
+
+
 def window_steep(parcels: DataFrame, cells: DataFrame, grid: Grid, most: float, vertical_factor: float = 1.0, resample_m: float | None = None, margin: float = 30.0) -> DataFrame:
     """(account_id, geom): the ground inside each parcel that is steeper than ``most`` percent.
 
@@ -76,15 +89,7 @@ def window_steep(parcels: DataFrame, cells: DataFrame, grid: Grid, most: float,
     border by the part that lies on each side. A grid of another system has its windows there, slopes in metres, and the
     steep ground comes back to the working plane. Cells meet windows by tiles of ``TILE`` by ``TILE`` cells.
     """
-    margin = margin / grid.unit
-    extent = F.broadcast(cells.agg(F.max("row").alias("r_max"), F.max("col").alias("c_max")))  # one row
-    low = lambda at, origin, step: F.floor((at - origin) / step)
-    w = parcels.select("account_id", "geom", "box") if grid.numbers is None else parcels.select("account_id", "geom").withColumn("box", K.shape(grid.here("geom")))
-    w = w.crossJoin(extent)
-    span_c, span_r = (F.col("box.maxx") - F.col("box.minx") + 2 * margin) / grid.dx, (F.col("box.maxy") - F.col("box.miny") + 2 * margin) / grid.dy
-    w = w.withColumns({"c0": low(F.col("box.minx") - margin, grid.x0, grid.dx), "r0": F.floor((grid.y1 - F.col("box.maxy") - margin) / grid.dy)})
-    w = w.withColumns({"c1": F.least(F.col("c0") + F.ceil(span_c) - 1, "c_max"), "r1": F.least(F.col("r0") + F.ceil(span_r) - 1, "r_max"), "c0": F.greatest("c0", F.lit(0)), "r0": F.greatest("r0", F.lit(0))})
-    w = w.where((F.col("c1") - F.col("c0") >= 2) & (F.col("r1") - F.col("r0") >= 2)).select("account_id", "geom", *[F.col(c).cast("int").alias(c) for c in ("r0", "c0", "r1", "c1")])
+    w = windows(parcels, cells, grid, margin)
     tiles = lambda a, b: F.explode(F.sequence(F.expr(f"{a} div {TILE}"), F.expr(f"{b} div {TILE}")))
     spread = w.select("account_id", "r0", "c0", "r1", "c1", tiles("r0", "r1").alias("tr")).select("*", tiles("c0", "c1").alias("tc"))
     z = cells.select("row", "col", "z", F.expr(f"row div {TILE}").alias("tr"), F.expr(f"col div {TILE}").alias("tc"))

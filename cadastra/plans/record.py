@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import slope as S
+from ..operators import raster
+from ..operators.slope import Grid
 from ..operators.lineage import cut
 from . import access, base, encumbrance, usable
 
@@ -52,7 +53,7 @@ class Inputs:
     constraints: dict[str, DataFrame] = field(default_factory=dict)
     rows: dict[str, DataFrame] = field(default_factory=dict)
     steep: DataFrame | None = None
-    dem: tuple[DataFrame, S.Grid] | None = None
+    dem: tuple[DataFrame, Grid] | None = None
 
 
 def targets(stage1: DataFrame, cfg: Config) -> DataFrame:
@@ -79,7 +80,7 @@ def run(inputs: Inputs, cfg: Config, stages: tuple[int, ...] = (1, 2, 3, 4)) ->
         if inputs.steep is not None:
             ground = usable.steep_parts(scored, inputs.steep)
         elif inputs.dem is not None:
-            ground = S.window_steep(scored, *inputs.dem, cfg.slope_max_pct, cfg.slope.dem_vertical_unit_to_m, cfg.slope.dem_resample_m)
+            ground = raster.steep_in_parcels(scored, *inputs.dem, cfg.slope_max_pct, cfg.slope.dem_vertical_unit_to_m, cfg.slope.dem_resample_m)
         hostile = cut(encumbrance.hostile(enc, ground, cfg))
         scored = cut(usable.stage3(scored, enc, hostile, cfg, ground is not None))
         out["usable"] = scored.select("account_id", "usable_acres", F.col("usable").alias("geom"))

@@ -239,26 +239,26 @@ def bisecting_types(spark, sf_dir):
 
 # ---- slope -------------------------------------------------------------------------
 def _cells(spark, sf_dir):
-    """Ten-metre cells from order keys: integer polynomials of row and column, so that differences are exact."""
-    k = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 400).alias("k")).distinct()
-    row, col = F.expr("k div 20").cast("int").alias("row"), (F.col("k") % 20).cast("int").alias("col")
-    return k.select(row, col).withColumn("z", ((F.col("col") * F.col("col") + 3 * F.col("row") * F.col("row")) / 8.0).cast("double"))
+    """Ten-metre cells from all order keys, a hundred to a column: integer polynomials of row and column, so that differences are exact."""
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 100).cast("int").alias("row"), F.expr("o_orderkey div 100").cast("int").alias("col"))
+    c, r = F.col("col") % 20, F.col("row") % 20
+    return o.withColumn("z", ((c * c + 3 * r * r) / 8.0).cast("double"))
 
 
-CELLS = "c AS (SELECT k // 20 AS r, k % 20 AS c, ((k % 20) * (k % 20) + 3 * (k // 20) * (k // 20)) / 8.0::DOUBLE AS z FROM (SELECT DISTINCT o_orderkey % 400 AS k FROM orders))"
+CELLS = "c AS (SELECT r, c, ((c % 20) * (c % 20) + 3 * (r % 20) * (r % 20)) / 8.0::DOUBLE AS z FROM (SELECT o_orderkey % 100 AS r, o_orderkey // 100 AS c FROM orders))"
 GRAD = "coalesce((lead(z) OVER {w} - lag(z) OVER {w}) / 20, (lead(z) OVER {w} - z) / 10, (z - lag(z) OVER {w}) / 10)"
 
 
 @query(f"WITH {CELLS}, g AS (SELECT r, c, {GRAD.format(w='(PARTITION BY r ORDER BY c)')} AS gx, {GRAD.format(w='(PARTITION BY c ORDER BY r)')} AS gy FROM c) SELECT r::INTEGER AS row, c::INTEGER AS col, {r2('100 * sqrt(gx * gx + gy * gy)', 6)} AS slope FROM g")
 def slope_percent(spark, sf_dir):
-    return S.slope_percent(_cells(spark, sf_dir), S.Grid(0.0, 200.0, 10.0, 10.0)).select("row", "col", M.rounded(F.col("slope"), 6).alias("slope"))
+    return S.slope_percent(_cells(spark, sf_dir), S.Grid(0.0, 1000.0, 10.0, 10.0)).select("row", "col", M.rounded(F.col("slope"), 6).alias("slope"))
 
 
-@query(f"{CTES}, {CELLS}, g AS (SELECT r, c, {GRAD.format(w='(PARTITION BY r ORDER BY c)')} AS gx, {GRAD.format(w='(PARTITION BY c ORDER BY r)')} AS gy FROM c), s AS (SELECT 10.0 * c AS x0, 200.0 - 10 * (r + 1) AS y0, 10.0 * (c + 1) AS x1, 200.0 - 10 * r AS y1 FROM g WHERE 100 * sqrt(gx * gx + gy * gy) > 60) SELECT k, sum({OVERLAP.format(a='p', b='s')}) AS steep_m2 FROM p JOIN s ON {MEET.format(a='p', b='s')} GROUP BY k HAVING sum({OVERLAP.format(a='p', b='s')}) > 0")
+@query(f"{CTES}, {CELLS}, g AS (SELECT r, c, {GRAD.format(w='(PARTITION BY r ORDER BY c)')} AS gx, {GRAD.format(w='(PARTITION BY c ORDER BY r)')} AS gy FROM c), s AS (SELECT 10.0 * c AS x0, 1000.0 - 10 * (r + 1) AS y0, 10.0 * (c + 1) AS x1, 1000.0 - 10 * r AS y1 FROM g WHERE 100 * sqrt(gx * gx + gy * gy) > 60) SELECT k, sum({OVERLAP.format(a='p', b='s')}) AS steep_m2 FROM p JOIN s ON {MEET.format(a='p', b='s')} GROUP BY k HAVING sum({OVERLAP.format(a='p', b='s')}) > 0")
 def steep_area_by_parcel(spark, sf_dir):
     from .plans.usable import steep_parts
 
-    grid = S.Grid(0.0, 200.0, 10.0, 10.0)
+    grid = S.Grid(0.0, 1000.0, 10.0, 10.0)
     p = parcels(spark, sf_dir).withColumn("account_id", F.col("k"))
     steep = S.steep_boxes(S.slope_percent(_cells(spark, sf_dir), grid), grid, 60.0)
     return steep_parts(p, steep).select(F.col("account_id").alias("k"), M.rounded(K.area("geom"), 6).alias("steep_m2"))
@@ -289,12 +289,13 @@ def row_contact(spark, sf_dir):
     return p.select("k").join(touch, "k", "left").select("k", F.coalesce(M.rounded(F.col("m"), 6), F.lit(0.0)).alias("contact_m"))
 
 
-STRIPS = "s AS (SELECT k, x0, CAST(700 * (k // 40) + 18 AS DOUBLE) AS y0, x1, y0 AS y1, 15.0 AS h FROM p WHERE k % 17 = 0), m AS (SELECT *, (x1 - x0) * 15.0 AS a, 2 * (x1 - x0 + 15.0) AS pe FROM s)"
+STRIPS = "s AS (SELECT k, x0, CAST(700 * (k // 40) + 18 AS DOUBLE) AS y0, x1, y0 AS y1, 15.0 AS h FROM p WHERE y0 > 700 * (k // 40) + 18), m AS (SELECT *, (x1 - x0) * 15.0 AS a, 2 * (x1 - x0 + 15.0) AS pe FROM s)"
 
 
 def _strips(spark, sf_dir):
-    p = parcels(spark, sf_dir).where("k % 17 = 0").select("k", "x0", (F.expr("k div 40") * 700.0 + 18).alias("y0"), "x1", F.col("y0").alias("y1"))
-    return shaped(p)
+    """The ground between a parcel and its road, wherever there is some."""
+    road = F.expr("k div 40") * 700.0 + 18
+    return shaped(parcels(spark, sf_dir).where(F.col("y0") > road).select("k", "x0", road.alias("y0"), "x1", F.col("y0").alias("y1")))
 
 
 @query(f"{CTES}, {STRIPS}, b AS (SELECT k, x1 - x0 AS w0, y1 - y0 AS h0 FROM p UNION ALL SELECT -1 - k, x1 - x0, 15.0 FROM s), c AS (SELECT k, w0 * h0 AS a, 2 * (w0 + h0) AS pe FROM b), q AS (SELECT k, {r2('2 * a / pe / 0.3048', 1)} AS est_width_ft, {r2('a / (2 * a / pe) / 0.3048', 1)} AS est_length_ft, {r2('a / (2 * a / pe) / (2 * a / pe)', 1)} AS aspect_ratio FROM c) SELECT *, est_width_ft > 0 AND est_width_ft <= 100 AND aspect_ratio >= 6 AS is_strip FROM q")
@@ -397,10 +398,10 @@ def left_join_back(spark, sf_dir):
     return c.join(s, c["c_custkey"] == s["o_custkey"], "left").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), "total", F.col("total").isNotNull().alias("scored"))
 
 
-@query("SELECT n_nationkey AS code FROM nation WHERE n_nationkey NOT IN (SELECT DISTINCT c_nationkey FROM customer WHERE c_acctbal > 9900)")
+@query("SELECT n_nationkey AS code FROM nation WHERE NOT EXISTS (SELECT 1 FROM vendors WHERE nation_id = n_nationkey)")
 def county_unknown_anti(spark, sf_dir):
-    """Nations without a customer of the highest balances."""
-    used = table(spark, sf_dir, "customer").where("c_acctbal > 9900").select(F.col("c_nationkey").alias("n_nationkey"))
+    """Nations without a vendor."""
+    used = table(spark, sf_dir, "vendors").select(F.col("nation_id").alias("n_nationkey"))
     return table(spark, sf_dir, "nation").join(used, "n_nationkey", "left_anti").select(F.col("n_nationkey").alias("code"))
 
 

@@ -16,6 +16,7 @@ from . import cli, config, schema
 from .cadastre import PARCELS_SQL, parcels, table
 from .functions import measures as M
 from .kernel import functions as K
+from .operators import raster
 from .operators import slope as S
 from .queries import CTES, MEET, query, r2
 from .sources import crs as systems
@@ -373,6 +374,50 @@ def steep_in_feet(spark, sf_dir):
     return got.select(F.col("account_id").alias("k"), K.area("geom").alias("m2")).where("m2 > 0.01").select("k", M.rounded(F.col("m2") + 0.0123, 1).alias("steep_m2"))  # areas of hundredths stay off the halves
 
 
+def _flat(spark, sf_dir, z):
+    """Cells from all orders, a hundred rows and a column for each hundred keys."""
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 100).cast("int").alias("row"), F.expr("o_orderkey div 100").cast("int").alias("col"), "o_orderkey", "o_custkey")
+    return o.select("row", "col", z.alias("z"))
+
+
+#: One-sided beside a cell without elevation, none between two of them.
+_ONE = "coalesce((lead(z) OVER {w} - lag(z) OVER {w}) / 50, (lead(z) OVER {w} - z) / 25, (z - lag(z) OVER {w}) / 25, 0)"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT o_orderkey % 100 AS r, o_orderkey // 100 AS c, CASE WHEN o_orderkey % 41 <> 7 THEN (o_custkey % 16)::DOUBLE END AS z FROM orders),
+g AS (SELECT r, c, z, {_ONE.format(w='(PARTITION BY r ORDER BY c)')} AS gx, {_ONE.format(w='(PARTITION BY c ORDER BY r)')} AS gy FROM c),
+m AS (SELECT r, c, r * 4294967296 + c AS id FROM g WHERE z IS NOT NULL AND 100 * sqrt(gx * gx + gy * gy) > 18.07),
+n AS (SELECT a.id, b.id AS other FROM m a JOIN m b ON a.r = b.r AND a.c = b.c + 1 UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON a.r = b.r AND a.c = b.c - 1 UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON a.r = b.r + 1 AND a.c = b.c UNION ALL SELECT a.id, b.id FROM m a JOIN m b ON a.r = b.r - 1 AND a.c = b.c),
+f AS (SELECT id, id AS part FROM m UNION SELECT n.other, f.part FROM f JOIN n ON f.id = n.id WHERE f.part < n.other),
+l AS (SELECT id, min(part) AS part FROM f GROUP BY id), d AS (SELECT id, count(*) AS beside FROM n GROUP BY id)
+SELECT part, count(*) AS cells, {r2('625.0 * count(*)', 3)} AS m2, {r2('25.0 * sum(4 - coalesce(beside, 0))', 3)} AS rim_m FROM l LEFT JOIN d USING (id) GROUP BY part""")
+def steep_ground_parts(spark, sf_dir):
+    """Steep ground of a whole grid as polygons, 4-connected across tiles of 16 cells: cells, area and rim of each, holes included."""
+    K.register(spark)
+    cells = _flat(spark, sf_dir, F.when(F.col("o_orderkey") % 41 != 7, (F.col("o_custkey") % 16).cast("double")))
+    got = raster.whole(raster.steep_pieces(cells, S.Grid(0.0, 2500.0, 25.0, 25.0), 18.07, side=16))
+    return got.select("part", "cells", M.rounded(K.area("geom"), 3).alias("m2"), M.rounded(K.length(K.boundary("geom")), 3).alias("rim_m"))
+
+
+_PLAIN_Z = "CASE WHEN o_orderkey % 997 <> 5 THEN (3 * (c % 7) * (c % 7) + 5 * (r % 5) * (r % 5)) / 8.0 END"
+_PLAIN_G = "coalesce((lead(f) OVER {w} - lag(f) OVER {w}) / 50, (lead(f) OVER {w} - f) / 25, (f - lag(f) OVER {w}) / 25)"
+
+
+@query(f"""{CTES}, c AS (SELECT r, c, ({_PLAIN_Z})::DOUBLE AS z FROM (SELECT o_orderkey, o_orderkey % 100 AS r, o_orderkey // 100 AS c FROM orders)), ex AS (SELECT max(r) AS rm, max(c) AS cm FROM c),
+v AS (SELECT k, x0, y0, x1, y1, greatest(floor((x0 - 30) / 25), 0) AS c0, least(floor((x0 - 30) / 25) + ceil((x1 - x0 + 60) / 25) - 1, cm) AS c1, greatest(floor((2500 - y1 - 30) / 25), 0) AS r0, least(floor((2500 - y1 - 30) / 25) + ceil((y1 - y0 + 60) / 25) - 1, rm) AS r1 FROM p, ex),
+u AS (SELECT v.*, r, c, z, coalesce(z, avg(z) OVER (PARTITION BY k)) AS f FROM v JOIN c ON r BETWEEN r0 AND r1 AND c BETWEEN c0 AND c1 WHERE c1 - c0 >= 2 AND r1 - r0 >= 2),
+g AS (SELECT *, {_PLAIN_G.format(w='(PARTITION BY k, r ORDER BY c)')} AS gx, {_PLAIN_G.format(w='(PARTITION BY k, c ORDER BY r)')} AS gy FROM u),
+s AS (SELECT k, greatest(0, least(25.0 * (c + 1), x1) - greatest(25.0 * c, x0)) * greatest(0, least(2500.0 - 25 * r, y1) - greatest(2500.0 - 25 * (r + 1), y0)) AS m2 FROM g WHERE z IS NOT NULL AND 100 * sqrt(gx * gx + gy * gy) > 12.07),
+t AS (SELECT k, sum(m2) AS m2 FROM s GROUP BY 1) SELECT k, {r2('m2', 3)} AS steep_m2 FROM t WHERE m2 > 0""")
+def steep_in_parcels(spark, sf_dir):
+    """Steep ground of parcels from shapes made once, and by their windows where these matter: their sum is that of windows alone."""
+    c, r = F.col("col") % 7, F.col("row") % 5
+    cells = _flat(spark, sf_dir, F.when(F.col("o_orderkey") % 997 != 5, (3 * c * c + 5 * r * r) / 8.0))
+    p = parcels(spark, sf_dir).withColumn("account_id", F.col("k"))
+    got = raster.steep_in_parcels(p, cells, S.Grid(0.0, 2500.0, 25.0, 25.0), 12.07)
+    return got.select(F.col("account_id").alias("k"), M.rounded(K.area("geom"), 3).alias("steep_m2"))
+
+
 # ---- configuration and command line ------------------------------------------------------
 @query("""WITH s AS (SELECT DISTINCT n_nationkey % 6 AS a, n_regionkey AS b FROM nation), t AS (SELECT a, b, [x FOR x IN range(a, b + 1)] AS l FROM s)
 SELECT a || '-' || b AS spec, CASE WHEN a BETWEEN 1 AND 4 AND b BETWEEN a AND 4 THEN array_to_string(l, ',') ELSE 'error' END AS stages FROM t

@@ -1,4 +1,4 @@
-"""Command line: run, verify-schema, zoning-domains, fetch, make-fixture. Exit codes: 0 done, 1 some fetches failed, 2 configuration or schema, 3 data missing."""
+"""Command line: run, verify-schema, zoning-domains, fetch, steep-polygons, make-fixture. Exit codes: 0 done, 1 some fetches failed, 2 configuration or schema, 3 data missing."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import argparse
 import json
 import sys
 import time
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from . import schema
 from .config import Config, ConfigError, load
 from .kernel import functions as K
-from .operators.slope import Grid
+from .operators import raster as steep_ground
+from .operators.slope import Grid, resampled
 from .plans import record
 from .sources import crs as systems
 from .sources import files, rest, tiff
@@ -131,6 +133,22 @@ def run(spark: SparkSession, cfg: Config, stages: tuple[int, ...], out_dir: str)
     return s
 
 
+def steep_layer(spark: SparkSession, cfg: Config, to: str) -> None:
+    """The steep ground of the whole elevation grid as a Parquet layer, made once; ``slope.polygons_path`` takes it in later runs.
+
+    Beside cells without elevation slopes are one-sided, where a parcel's window would take its mean. With
+    ``dem_resample_m`` whole blocks of cells are averaged, the nearest number of them.
+    """
+    if not cfg.slope.dem_path:
+        raise ConfigError("slope.dem_path is not set")
+    cells, grid = elevation(spark, cfg.slope.dem_path)
+    if cfg.slope.dem_resample_m:
+        n = max(1, round(cfg.slope.dem_resample_m / (grid.dx * grid.unit)))
+        cells, grid = resampled(cells, n), replace(grid, dx=grid.dx * n, dy=grid.dy * n)
+    parts = steep_ground.whole(steep_ground.steep_pieces(cells, grid, cfg.slope_max_pct, cfg.slope.dem_vertical_unit_to_m))
+    files.write_parquet(parts.withColumn("geom", grid.back("geom")), to)
+
+
 def domains(spark: SparkSession, cfg: Config, county: str) -> str:
     """The mapping template of a county: codes from the service's domain, else from the layer."""
     z = cfg.zoning_for(county)
@@ -146,7 +164,7 @@ def domains(spark: SparkSession, cfg: Config, county: str) -> str:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="cadastra")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("run", "verify-schema", "zoning-domains", "fetch", "make-fixture"):
+    for name in ("run", "verify-schema", "zoning-domains", "fetch", "steep-polygons", "make-fixture"):
         p = sub.add_parser(name)
         p.add_argument("--config")
         p.add_argument("--out")
@@ -169,6 +187,10 @@ def main(argv: list[str] | None = None) -> int:
             got = schema.resolve(cfg.schema, files.fields_of(spark, cfg.parcels["path"]))
             print(got.report())
             return 2 if got.missing_required else 0
+        elif a.command == "steep-polygons":
+            if not a.out:
+                raise ConfigError("steep-polygons needs --out")
+            steep_layer(spark, cfg, a.out)
         elif a.command == "zoning-domains":
             text = domains(spark, cfg, a.county)
             Path(a.out).write_text(text) if a.out else print(text)

@@ -1,6 +1,7 @@
 """Steep ground made once for a grid, against single cells and plain searches."""
 
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -132,3 +133,19 @@ def test_parcels_as_by_their_windows(geo, d):
     assert len(got) > 30
     for r in got:
         assert r[1] == pytest.approx(r[2]) and r[3] == pytest.approx(0, abs=1e-6) and r[4] == pytest.approx(0, abs=1e-6), r
+
+
+def test_layer_of_steep_ground_instead_of_the_grid(geo, tmp_path):
+    """The command's layer and the elevation give the synthetic county the same usable ground."""
+    from cadastra import cli
+    from cadastra.plans import record
+    from cadastra.sources import files, fixture
+
+    at = fixture.write(geo, str(tmp_path))
+    assert cli.main(["steep-polygons", "--config", at]) == 2
+    assert cli.main(["steep-polygons", "--config", at, "--out", str(tmp_path / "steep.parquet")]) == 0
+    layer = files.read_layer(geo, str(tmp_path / "steep.parquet"))
+    given, cfg = fixture.inputs(geo), fixture.config()
+    acres = lambda i: {r["account_id"]: (r["steep_slope_acres"], r["usable_acres"]) for r in record.run(i, cfg, (1, 2, 3))["scored"].collect()}
+    by_layer, by_grid = acres(replace(given, dem=None, steep=layer)), acres(given)
+    assert by_layer == by_grid and any(steep > 1 for steep, _ in by_grid.values())

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 FRAME = 576
 #: Frames that are handled side by side: bounds memory, whatever the length of a text.
 SIDE = 1024
+#: Bytes of a metadata block, hence of the one seek table that a stream may have: beyond it (texts of over 500 MB) points stand at some frames only.
+TABLE = 1 << 24
 # Sync code with fixed block size; block size 576 and 8 kHz; mono, 8 bits a sample.
 HEAD = b"\xff\xf8\x24\x02"
 FIXED_COEF = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
@@ -180,8 +182,8 @@ def _assemble(payload: bytes, frames: list[bytes]) -> bytes:
     points = np.zeros(len(frames), np.dtype([("sample", ">u8"), ("offset", ">u8"), ("count", ">u2")]))
     points["sample"], points["offset"], points["count"] = np.arange(len(frames)) * FRAME, offsets, FRAME
     table = points.tobytes()
-    if len(table) >= 1 << 24:  # a metadata block's limit: then fewer points
-        table = points[:: len(table) // (1 << 24) + 1].tobytes()
+    if len(table) >= TABLE:
+        table = points[:: len(table) // TABLE + 1].tobytes()
     return b"fLaC" + b"\x00" + len(info).to_bytes(3, "big") + info + b"\x83" + len(table).to_bytes(3, "big") + table + b"".join(frames)
 
 
@@ -262,16 +264,43 @@ def decode_frames(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple
     return number, x
 
 
+def frames_between(stream: bytes, points: np.ndarray, first: int, n: int) -> np.ndarray | None:
+    """Offsets of all frames from those of some: between two seek points the next frame's header is looked for, number and CRC-8 included.
+
+    Samples may hold such a header by chance; then a frame's CRC-16 is wrong, as in a damaged one, and there is no answer.
+    """
+    if not len(points) or (points["sample"] % FRAME).any() or int(points["sample"].max()) >= n * FRAME:
+        return None
+    known = dict(zip((points["sample"] // FRAME).tolist(), (points["offset"].astype(np.int64) + first).tolist(), strict=True))
+    offsets, at = np.zeros(n, np.int64), first - 1
+    for k in range(n):
+        head = frame_head(k)
+        begin = known.get(k)
+        at = stream.find(head, at + 1) if begin is None else begin if stream.startswith(head, begin) else -1
+        if at < 0:
+            return None
+        offsets[k] = at
+    sizes = np.diff(np.append(offsets, len(stream)))
+    if (sizes <= 0).any() or int(sizes.max()) > 2 * FRAME:
+        return None
+    for lo in range(0, n, SIDE):
+        own = slice(lo, lo + SIDE)
+        piece = np.frombuffer(stream, np.uint8)[offsets[lo] : offsets[own][-1] + sizes[own][-1]]
+        if checksums(piece, offsets[own] - offsets[lo], sizes[own]).any():
+            return None
+    return offsets
+
+
 def read_back(media: list[bytes]) -> list[bytes]:
-    """The payloads of streams by this writer, through their seek points."""
+    """The payloads of streams, through their seek points; those of another profile, or damaged, go front to back."""
     out, parts = [], []
     for s in media:
         info, points, first = metadata(s)
         n = info["samples"] // FRAME
-        if len(points) != n:
+        offsets = points["offset"].astype(np.int64) + first if len(points) == n else frames_between(s, points, first, n)
+        if offsets is None:
             parts.append((s, None, None, info))
             continue
-        offsets = points["offset"].astype(np.int64) + first
         parts.append((s, offsets, np.diff(np.append(offsets, len(s))), info))
     lots: dict[int, list[bytes]] = {i: [] for i in range(len(parts))}
     queue: list[tuple[int, int, int]] = []

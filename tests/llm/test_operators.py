@@ -530,6 +530,29 @@ def test_flac_frame_kinds_and_damage():
             flac.read_back([bytes(bad)])
 
 
+def test_flac_seek_table_of_some_frames(monkeypatch):
+    """Past the limit of a seek table the frames between its points are found by their headers, side by side as ever."""
+    rnd = np.random.default_rng(4)
+    smooth = (np.cumsum(rnd.integers(-2, 3, flac.FRAME * 3000)) & 63).astype(np.uint8).tobytes()
+    noise = rnd.integers(0, 256, flac.FRAME * 40, dtype=np.uint8).tobytes()
+    monkeypatch.setattr(flac, "TABLE", 18 * 7)
+    some = flac.streams([smooth, noise])
+    assert all(0 < len(flac.metadata(s)[1]) < 8 for s in some)
+    plain = flac.decode_stream
+    monkeypatch.setattr(flac, "decode_stream", lambda s: pytest.fail("read front to back"))
+    assert flac.read_back(some) == [smooth, noise]
+    monkeypatch.setattr(flac, "decode_stream", plain)
+    # the next frame's header stands among the samples
+    head = bytes(b ^ 0x80 for b in flac.frame_head(8))
+    tricky = noise[: 7 * flac.FRAME + 30] + head + noise[7 * flac.FRAME + 30 + len(head) :]
+    (s,) = flac.streams([tricky])
+    assert s.count(flac.frame_head(8)) == 2 and flac.read_back([s]) == [tricky]
+    bad = bytearray(some[1])
+    bad[-300] ^= 4
+    with pytest.raises(ValueError):
+        flac.read_back([bytes(bad)])
+
+
 def test_flac_reads_lpc_and_partitions():
     """A hand-made frame: LPC of order 1 (coefficient 1), two Rice partitions, one of them escaped."""
     x = [10, 11, 13, 12, 12, 14, 13, 15] * 24

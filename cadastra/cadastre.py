@@ -55,6 +55,11 @@ def parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped(_sql(spark, sf_dir, _PARCEL_EXPRS.format(s="STRING", div="div"), "customer"))
 
 
+def top(spark: SparkSession, sf_dir: str) -> float:
+    """The parcels' upper edge, a row above the highest: they reach as far north as there are customers."""
+    return 700.0 * (table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0) // 40 + 1400.0
+
+
 def encumbrances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shaped(_sql(spark, sf_dir, ENC_SQL, "orders"))
 

@@ -13,7 +13,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from . import cli, config, schema
-from .cadastre import PARCELS_SQL, parcels, table
+from .cadastre import PARCELS_SQL, parcels, table, top
 from .functions import measures as M
 from .kernel import functions as K
 from .operators import raster
@@ -467,7 +467,7 @@ def cli_run(spark, sf_dir):
     files.write_parquet(p.select(F.col("account_id").alias("ACCTID"), F.col("county_code").alias("JURSCODE"), F.col("owner_name").alias("OWNNAME1"), F.col("owner_mailing_address").alias("OWNADD1"), F.lit("Frederick").alias("OWNCITY"), "geom"), str(home / "parcels.parquet"))
     band = p.where("k % 4 = 0").select(F.concat(F.lit("E"), F.col("k") % 3).alias("name"), K.box(F.col("x0"), F.col("y0") + 30, F.col("x1"), F.col("y0") + 60).alias("geom"))
     files.write_gpkg(band, str(home / "band.gpkg"), "band")
-    files.write_geojson(spark.range(1).select(K.box(F.lit(-1000), F.lit(-1000), F.lit(40000), F.lit(10_000_000)).alias("geom")), str(home / "study.geojson"), lonlat=False)
+    files.write_geojson(spark.range(1).select(K.box(F.lit(-1000), F.lit(-1000), F.lit(40000), F.lit(top(spark, sf_dir))).alias("geom")), str(home / "study.geojson"), lonlat=False)
     (home / "schema.yaml").write_text(json.dumps({"required": {"account_id": ["ACCTID"], "county_code": ["JURSCODE"], "owner_name": ["OWNNAME1"], "owner_addr_line1": ["OWNADD1"], "owner_city": ["OWNCITY"]}, "optional": {}}))
     easement = {"type": "easement", "category": "legal", "implication": "hostile", "subtract_from_usable": True, "name_field": "name"}
     (home / "pipeline.yaml").write_text(json.dumps({

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .cadastre import ACRE, PARCELS_SQL, parcels, roads, shaped, table
+from .cadastre import ACRE, PARCELS_SQL, parcels, roads, shaped, table, top
 from .config import Access, Config, Constraint, RowLayer, Zoning
 from .functions import measures as M
 from .kernel import functions as K
@@ -142,7 +142,7 @@ def _stage2(spark, sf_dir):
     for i, (n, c, *box) in enumerate(_FEATURES):
         one = flat.where(c).select(F.concat(F.lit("F"), F.lit(i).cast("string"), F.lit("-"), (F.col("k") % 3).cast("string")).alias("name"), K.box(*[F.expr(b) for b in box]).alias("geom"))
         layers[n] = one if n not in layers else layers[n].unionByName(one)
-    study = K.box_wkb(-1000, -1000, 30000, 10_000_000)
+    study = K.box_wkb(-1000, -1000, 30000, top(spark, sf_dir))
     features = encumbrance.all_layers(layers, _stage_config(), study, spark)
     return p, encumbrance.encumbrances(p, features, _stage_config())
 
@@ -238,10 +238,10 @@ SELECT k, {r2(f'm2 / {ACRE}')} AS acres, {r2('100 * m2 / ((x1 - x0) * (y1 - y0))
 def giant_feature(spark, sf_dir):
     """One feature of 1,600 points over all parcels: joined in pieces, put together again for each parcel."""
     p = parcels(spark, sf_dir)
-    top = p.agg(F.max("y1")).first()[0] + 100
-    layer = spark.createDataFrame([("all", bytearray(comb(28000, top)))], "name string, geom binary")
+    edge = top(spark, sf_dir)
+    layer = spark.createDataFrame([("all", bytearray(comb(28000, edge)))], "name string, geom binary")
     cfg = Config(counties=COUNTIES, schema=SPEC, constraints=(Constraint("comb", "other", "legal", "hostile", name_field="name"),))
-    features = encumbrance.all_layers({"comb": layer}, cfg, K.box_wkb(-1000, -1000, 40000, 10_000_000), spark)
+    features = encumbrance.all_layers({"comb": layer}, cfg, K.box_wkb(-1000, -1000, 40000, edge + 1000), spark)
     enc = encumbrance.encumbrances(p, features, cfg).join(p.select("account_id", "k"), "account_id")
     return enc.select("k", "acres", F.col("pct_of_parcel").alias("pct"), "feature_count")
 
@@ -277,7 +277,7 @@ def _stage4(spark, sf_dir):
     targets = p.withColumns({"usable": F.when(F.col("k") % 4 == 0, K.areal_difference(F.col("geom"), band)).otherwise(F.col("geom")), "traversable": F.col("geom")})
     wet = lambda name, o, part: p.where(f"k % {5 * (o + 1)} = 0").select("account_id", F.lit(o).alias("ord"), F.lit(name).alias("name"), K.box(F.col("x0"), F.col("y0"), F.col("x0") + (F.col("x1") - F.col("x0")) * part, F.col("y0") + 10).alias("geom"), F.lit(False).alias("crossable"))
     layers, cfg = _way_layers(spark, sf_dir)
-    ways = access.ways(layers, cfg, K.box_wkb(-1000, -1000, 30000, 100_000_000), spark)
+    ways = access.ways(layers, cfg, K.box_wkb(-1000, -1000, 30000, top(spark, sf_dir)), spark)
     return access.stage4(every, targets.drop("x0", "y0", "x1", "y1"), ways, wet("wet", 0, 0.47).unionByName(wet("alt", 1, 0.73)), cfg)
 
 

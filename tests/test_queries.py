@@ -42,6 +42,17 @@ def test_check(spark, duck, name):
     compare(duck, run(spark, SF), sql)
 
 
+@pytest.mark.parametrize("name", ["cli_run", "usable_totals", "stage2_encumbrances"])
+def test_parcels_beyond_ten_thousand_kilometres(spark, duck, tmp_path, name):
+    """Study areas reach as far as the parcels: keys of a table sixty times as large."""
+    duck.sql(f"COPY (SELECT * REPLACE (c_custkey + 600000 AS c_custkey) FROM customer WHERE c_custkey < 30) TO '{tmp_path}/customer.parquet'")
+    with duckdb.connect() as far:
+        far.sql(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet'")
+        for t in ("orders", "nation"):
+            far.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+        compare(far, Q.queries()[name](spark, str(tmp_path)), Q.oracle_sql()[name])
+
+
 def test_no_cartesian_products(spark):
     for name in ("encumbrance_rows", "zoning_argmax", "row_distance_join", "owner_match_pairs", "stage1_accounts", "stage2_encumbrances", "stage3_usable", "stage4_access"):
         plan = Q.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

@@ -19,5 +19,5 @@ def cut(df: DataFrame) -> DataFrame:
         home = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", home)
     path = f"{home.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

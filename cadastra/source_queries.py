@@ -21,7 +21,6 @@ from .operators import slope as S
 from .queries import CTES, MEET, query, r2
 from .sources import crs as systems
 from .sources import files, fixture, geojson, rest, tiff
-from .sources.shapefile import write_shapefile
 from .stage_queries import _conic
 
 PRJ = 'PROJCS["NAD83 / Maryland",AUTHORITY["EPSG","26985"]]'
@@ -38,8 +37,8 @@ def _home(spark) -> Path:
 
 
 def _shapes(df, path: Path, scale: float = 1.0, wkt: str = PRJ) -> None:
-    ring = lambda r: [[(r[x] * scale, r[y] * scale) for x, y in (("x0", "y0"), ("x0", "y1"), ("x1", "y1"), ("x1", "y0"), ("x0", "y0"))]]
-    write_shapefile(str(path), [(r["k"], r["kind"], ring(r)) for r in df.select("k", "kind", "x0", "y0", "x1", "y1").toLocalIterator()], [("k", "N", 18, 0), ("kind", "C", 12, 0)], wkt)
+    box = K.box(*[F.col(c) * scale for c in ("x0", "y0", "x1", "y1")])
+    files.write_shapefile(df.select("k", "kind", box.alias("geom")), str(path), [("k", "N", 18, 0), ("kind", "C", 12, 0)], wkt)
 
 
 def _gpkg(df, path: Path, layer: str) -> None:

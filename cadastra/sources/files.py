@@ -9,6 +9,7 @@ import shutil
 import sqlite3
 import struct
 import uuid
+from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..kernel import functions as K
 from ..operators.lineage import cut
 from . import crs as systems
-from . import flatgeobuf, geojson
+from . import flatgeobuf, geojson, shapefile
 from .shapefile import Shapefile
 from .where import translated
 
@@ -456,25 +457,125 @@ def write_geojson_lines(df: DataFrame, path: str, lonlat: bool = True) -> None:
     _features(df, lonlat).write.mode("overwrite").text(path)
 
 
-def streamed(rows: DataFrame, path: str, write) -> None:
-    """Writes one file from rows in their order: made in parallel, brought to one task, which streams them to ``write(batches, path)``; a repeated task begins a file of its own, and the one that ended is put in place."""
-    names = rows.columns
+#: Rows that a task takes where one file is written side by side.
+SPREAD = 50_000
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows in their order, dealt to as many tasks as their number asks for, however few files they come from."""
+    n = 1 + rows.count() // SPREAD
+    return rows.withColumn("__place", F.monotonically_increasing_id()).repartitionByRange(n, "__place").sortWithinPartitions("__place").drop("__place")
+
+
+def parted(rows: DataFrame, path: str, put, told: str) -> list[tuple]:
+    """Every task writes its rows, ``put(batches, part)``, to a file of its own beside ``path``: the parts, and what ``put`` tells of each, in the rows' order. A repeated task begins another file."""
+    names, kind = rows.columns, f"k long, part string, {told}"
+    cols = [c.split()[0] for c in kind.split(", ")]
 
     def run(batches):
-        part = f"{path}.{uuid.uuid4().hex}.part"
-        write((b.select(names) for b in batches), part)
-        yield pa.RecordBatch.from_arrays([pa.array([part])], ["part"])
-
-    ordered = rows.withColumn("__place", F.monotonically_increasing_id()).repartition(1).sortWithinPartitions("__place")
-    parts = [r["part"] for r in ordered.mapInArrow(run, "part string").collect()]
-    if not parts:  # a task without rows has no batch
-        parts = [f"{path}.part"]
-        write(iter(()), parts[0])
-    Path(parts[0]).replace(path)
+        from pyspark import TaskContext
+
+        full = (b.select(names) for b in batches if b.num_rows)
+        if (first := next(full, None)) is not None:
+            part = f"{path}.{uuid.uuid4().hex}.part"
+            got = put(chain([first], full), part)
+            yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (TaskContext.get().partitionId(), part, *got)], cols)
+
+    return [tuple(r)[1:] for r in sorted(rows.mapInArrow(run, kind).collect())]  # a line for each part
+
+
+def stored(batches, part: str) -> tuple[int]:
+    """Rows as an Arrow stream, and their number."""
+    n, writer = 0, None
+    for b in batches:
+        writer = writer or pa.ipc.new_stream(part, b.schema)
+        writer.write_batch(b)
+        n += b.num_rows
+    writer.close()
+    return (n,)
+
+
+def placed(new: str, path: str) -> None:
+    """A file that is whole takes its place; what tasks have left goes."""
+    Path(new).replace(path)
     for left in Path(path).parent.glob(f"{Path(path).name}.*.part"):
         left.unlink()
 
 
+def streamed(rows: DataFrame, path: str, write) -> None:
+    """Writes one file from rows in their order: tasks make and store them, one task streams what is stored to ``write(batches, path)``, in pieces, with no sort; a repeated task begins a file of its own, and the one that ended is put in place."""
+    parts = [p for p, _ in parted(rows, path, stored, "n long")]
+
+    def one(_):
+        def batches():
+            for p in parts:
+                with pa.memory_map(p) as source:
+                    yield from pa.ipc.open_stream(source)
+
+        part = f"{path}.{uuid.uuid4().hex}.part"
+        write(batches(), part)
+        return [(part,)]
+
+    placed(geojson.ranged(rows.sparkSession, 1, one, "part string")[0][1], path)
+
+
+def write_shapefile(df: DataFrame, path: str, fields: list[tuple[str, str, int, int]], wkt: str) -> None:
+    """Polygons, ``geom``, and fields (name, type, size, decimals) as a shapefile: tasks make the records, then each writes its own at their places in the three files. Needs a folder that the executors share."""
+    spark, fields, mark = df.sparkSession, list(fields), uuid.uuid4().hex
+    new = {end: f"{path}.{mark}.{end}.part" for end in ("dbf", "shx", "shp")}
+
+    def put(batches, part):
+        n, size, box = 0, 0, [1e300, 1e300, -1e300, -1e300]
+
+        def made():
+            nonlocal n, size, box
+            for b in batches:
+                bodies = [shapefile.body_of(w) for w in b.column("geom").to_pylist()]
+                values = zip(*[b.column(f[0]).to_pylist() for f in fields], strict=True)
+                for w in bodies:
+                    size += 8 + len(w)
+                    box = shapefile.bounds(box, w)
+                n += len(bodies)
+                yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.binary()), pa.array([shapefile.attributes(v, fields) for v in values], pa.binary())], ["body", "row"])
+
+        stored(made(), part)
+        return n, size, *box
+
+    parts = parted(spread(df.select(*[f[0] for f in fields], "geom")), path, put, "n long, size long, x0 double, y0 double, x1 double, y1 double")
+    rows, at = [0], [0]
+    for _, n, size, *_ in parts:
+        rows.append(rows[-1] + n)
+        at.append(at[-1] + size)
+    box = [f(p[3 + k] for p in parts) for k, f in enumerate((min, min, max, max))] if parts else [0.0] * 4
+    heads = shapefile.heads(rows[-1], at[-1], box, fields)
+    for end, head in zip(("shp", "shx", "dbf"), heads, strict=True):
+        with open(new[end], "wb") as f:
+            f.write(head)
+            if end == "dbf":
+                f.seek(len(head) + rows[-1] * shapefile.row_size(fields))
+                f.write(b"\x1a")
+    sizes = [len(h) for h in heads]
+
+    def fill(k):
+        with open(new["shp"], "r+b") as shp, open(new["shx"], "r+b") as shx, open(new["dbf"], "r+b") as dbf, pa.memory_map(parts[k][0]) as source:
+            for f, size, place in ((shp, sizes[0], at[k]), (shx, sizes[1], 8 * rows[k]), (dbf, sizes[2], rows[k] * shapefile.row_size(fields))):
+                f.seek(size + place)
+            n, place = rows[k], sizes[0] + at[k]
+            for b in pa.ipc.open_stream(source):
+                for body, row in zip(b.column("body").to_pylist(), b.column("row").to_pylist(), strict=True):
+                    n += 1
+                    shp.write(shapefile.numbered(n, body))
+                    shx.write(shapefile.indexed(place, body))
+                    dbf.write(row)
+                    place += 8 + len(body)
+        return []
+
+    geojson.ranged(spark, len(parts), fill, "none long")
+    shapefile.describe(path, wkt)
+    for end, made in new.items():  # the shapes last, with which the parts go
+        placed(made, str(Path(path).with_suffix(f".{end}")))
+
+
 def write_geojson(df: DataFrame, path: str, lonlat: bool = True, epsg: int = K.PLANE) -> None:
     """A FeatureCollection in one file, written by one task: for results of a size that people open. Shapes that aren't turned to longitude and latitude are said to be of ``epsg``."""
     crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{epsg}"}}}},'

@@ -338,3 +338,43 @@ def test_load_yaml(tmp_path):
     (tmp_path / "c.yaml").write_text(yaml.safe_dump(doc))
     cfg = config.load(str(tmp_path / "c.yaml"))
     assert cfg.study_area == str(tmp_path / "s.geojson") and cfg.zoning[0].code_field == "ZONING" and cfg.raw["future"] == {"x": 1}
+
+
+def test_shapefile_is_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Tasks write their records at their places in the file: as one writer does, however many parts there are."""
+    from pyspark.sql import functions as F
+
+    from cadastra.kernel import functions as K
+    from cadastra.sources import files, shapefile
+
+    K.register(spark)
+    monkeypatch.setattr(files, "SPREAD", 100)
+    fields, wkt = [("k", "N", 9, 0), ("name", "C", 8, 0)], 'AUTHORITY["EPSG","26985"]'
+    k = F.col("id")
+    df = spark.range(0, 1000, 1, 1).select(k.alias("k"), F.concat(F.lit("ü"), k % 7).alias("name"), F.when(k % 10 != 3, K.box(k, k, k + 2, k + 1)).alias("geom"))
+    files.write_shapefile(df, str(tmp_path / "a.shp"), fields, wkt)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a.cpg", "a.dbf", "a.prj", "a.shp", "a.shx"]
+    rows = [(k, f"ü{k % 7}", [[(k, k), (k, k + 1), (k + 2, k + 1), (k + 2, k), (k, k)]]) for k in range(1000) if k % 10 != 3]
+    shapefile.write_shapefile(str(tmp_path / "b.shp"), rows, fields, wkt)
+    read = lambda name: [(r["k"], r["name"], r["m2"]) for r in files.read_layer(spark, str(tmp_path / name)).orderBy("_row").select("k", "name", K.area("geom").alias("m2")).collect()]
+    got = read("a.shp")
+    assert [r[0] for r in got] == list(range(1000))
+    assert [r for r in got if r[2] is not None] == read("b.shp")
+    files.write_shapefile(df.limit(0), str(tmp_path / "none.shp"), fields, wkt)
+    assert read("none.shp") == []
+
+
+def test_small_shapefile_writer_is_linear(tmp_path):
+    """Four times the rows take about four times as long: growing one string of bytes took sixteen times."""
+    import time
+
+    from cadastra.sources import shapefile
+
+    def seconds(n):
+        rows = [(k, [[(k, k), (k, k + 1), (k + 1, k + 1), (k, k)]]) for k in range(n)]
+        t = time.process_time()
+        shapefile.write_shapefile(str(tmp_path / "a.shp"), rows, [("k", "N", 9, 0)], "")
+        return time.process_time() - t
+
+    seconds(100)
+    assert seconds(40_000) < 9 * seconds(10_000)

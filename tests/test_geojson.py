@@ -138,3 +138,23 @@ def test_geopackage_row_ids_with_gaps(geo, tmp_path):
     reader.STEP = 4
     parts = [p.value for p in reader.partitions()]
     assert len(parts) == 3 and sorted(r[0] for p in reader.partitions() for r in reader.read(p)) == list(range(10))
+
+
+def test_feature_collection_is_written_side_by_side(spark, tmp_path, monkeypatch):
+    """Tasks write their features at their places: the same bytes as by one task, and no task has all rows."""
+    from pyspark.sql import functions as F
+
+    from cadastra.kernel import functions as K
+    from cadastra.sources import files
+
+    K.register(spark)
+    df = spark.range(0, 1000, 1, 1).select(F.col("id").alias("k"), F.concat(F.lit("ü\""), "id").alias("name"), F.when(F.col("id") % 9 != 0, K.box(F.col("id"), F.lit(0), F.col("id") + 1, F.lit(1))).alias("geom"))
+    files.write_geojson(df, str(tmp_path / "one.geojson"), lonlat=False)
+    parts, parted = [], files.parted
+    monkeypatch.setattr(files, "parted", lambda *a: parts.append(parted(*a)) or parts[-1])
+    monkeypatch.setattr(files, "SPREAD", 100)
+    files.write_geojson(df, str(tmp_path / "many.geojson"), lonlat=False)
+    assert len(parts[0]) == 11
+    assert (tmp_path / "one.geojson").read_bytes() == (tmp_path / "many.geojson").read_bytes()
+    assert [f["properties"]["k"] for f in json.loads((tmp_path / "many.geojson").read_text())["features"]] == list(range(1000))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["many.geojson", "one.geojson"]

@@ -96,17 +96,10 @@ def source_geojson(spark, sf_dir):
     ring = F.concat_ws(",", *[corner(*d) for d in ((0, 0), (20, 0), (20, 10), (0, 10), (0, 0))])
     feature = F.concat(F.lit('{"type":"Feature", "properties": {"k": '), k.cast("string"), val, mix, late, part, F.lit('}, "geometry": {"type": "Polygon", "coordinates": [['), ring, F.lit("]]}}"))
 
-    def write(batches, path):
-        with open(path, "w", encoding="utf-8") as f:
-            f.write('{"type": "FeatureCollection", "name": "a \\"features\\": [", "features": [')
-            first = True
-            for b in batches:
-                f.write(("" if first else ", \n") + ", \n".join(b.column(0).to_pylist()))
-                first = False
-            f.write('], "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::26985"}}}')
-
+    begin = b'{"type": "FeatureCollection", "name": "a \\"features\\": [", "features": ['
+    end = b'], "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::26985"}}}'
     path = str(home / "mixed.geojson")
-    files.streamed(c.select("k", feature.alias("f")).orderBy("k").select("f"), path, write)
+    files.joined(c.select("k", feature.alias("f")).orderBy("k").select("f"), path, begin, b", \n", end)
     out = None
     for how, df in (("whole", files.read_layer(spark, path)), ("ranges", geojson.read(spark, geojson.layout(spark, path, 1 << 14)))):
         one = df.select(F.lit(how).alias("how"), "k", "val", "mix", "late", "part", M.rounded(K.area("geom"), 3).alias("m2"))

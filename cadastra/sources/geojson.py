@@ -5,7 +5,8 @@ a string, and how deep. So a first pass tells, for either case, whether a range'
 low it changes the depth; running sums over the ranges (a line for each, like a list of file splits) then give every
 range its beginning. A second pass looks only at ranges that reach the top level and finds where the features stand and
 what the ``crs`` member says, wherever it is. After that each range yields the features that begin in it, the last one
-read on into the next range. A file of one range needs none of these passes' jobs.
+read on into the next range. A file of one range needs none of these passes' jobs;
+small ranges share tasks, so that these grow with the bytes.
 
 Fields and their kinds are merged over the properties of all features, in tasks first. Whole numbers are ``long``, with
 others among them ``double``; a field of several kinds, of lists or of objects is text, as JSON where it isn't a string. Columns stand in the order of their names.
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 SUFFIXES = (".geojson", ".json", ".geojsonl")
 CHUNK = 32 << 20
-#: Bytes read before a place for the name of a member, and read on at a time to find a feature's end.
+#: Bytes read before a place for the name of a member, at first to find a feature's end, and an eighth of what a batch holds.
 BEFORE, MORE = 4096, 1 << 20
 STEP = np.zeros(256, np.int8)
 STEP[[123, 91]], STEP[[125, 93]] = 1, -1
@@ -154,6 +155,10 @@ class Layout:
     def __len__(self) -> int:
         return len(self.starts) - 1
 
+    @property
+    def groups(self) -> list[range]:
+        return shared(len(self), self.starts[-1])
+
     def data(self, file: Bytes, k: int) -> bytes:
         return file.range(self.starts[k], self.starts[k + 1])
 
@@ -173,7 +178,7 @@ class Layout:
 
     def _rest(self, file: Bytes, text: bytes, place: int) -> bytes:
         """A feature that runs over the range's end: read on, twice as far each time."""
-        more = MORE
+        more = BEFORE
         while True:
             text = file.range(place, place + len(text) + more)
             at, _, now = outside(text, False, 0)
@@ -185,7 +190,7 @@ class Layout:
 
 
 def ranged(spark: SparkSession, n: int, of, kind: str) -> list:
-    """``of(k)``, a list of rows, for every range, in a task each."""
+    """``of(k)``, a list of rows, for every number below ``n``, in a task each."""
 
     def run(batches):
         names = kind_names
@@ -196,7 +201,13 @@ def ranged(spark: SparkSession, n: int, of, kind: str) -> list:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
 
     kind_names = ["k", *[c.split()[0] for c in kind.split(", ")]]
-    return [tuple(r) for r in spark.range(0, n, 1, n).mapInArrow(run, f"k long, {kind}").collect()]
+    return [tuple(r) for r in spark.range(0, n, 1, max(n, 1)).mapInArrow(run, f"k long, {kind}").collect()]
+
+
+def shared(n: int, size: int) -> list[range]:
+    """The ranges of a file of so many bytes by tasks: neighbouring ones smaller than ``CHUNK`` share one."""
+    tasks = max(1, min(n, -(-size // CHUNK)))
+    return [range(j * n // tasks, (j + 1) * n // tasks) for j in range(tasks)]
 
 
 def layout(spark: SparkSession, path: str, chunk: int = 0) -> Layout:
@@ -206,12 +217,14 @@ def layout(spark: SparkSession, path: str, chunk: int = 0) -> Layout:
         n = max(1, -(-size // chunk))
         starts = [0, *[file.border(k * chunk) for k in range(1, n)], size] if n > 1 else [0, size]
 
-    def summed(k):
+    groups = shared(n, size)
+
+    def summed(j):
         with Bytes(path) as file:
-            return [summary(file.range(starts[k], starts[k + 1]))]
+            return [(k, *summary(file.range(starts[k], starts[k + 1]))) for k in groups[j]]
 
-    kind = "odd long, change long, low long, change_in long, low_in long"
-    told = [(0, *summed(0)[0])] if n == 1 else sorted(ranged(spark, n, summed, kind))
+    kind = "range long, odd long, change long, low long, change_in long, low_in long"
+    told = summed(0) if n == 1 else sorted(r[1:] for r in ranged(spark, len(groups), summed, kind))
     inside, depth, reach, within, deep = [], [], [], False, 0
     for _, odd, change, low, change_in, low_in in told:
         inside.append(within)
@@ -220,9 +233,10 @@ def layout(spark: SparkSession, path: str, chunk: int = 0) -> Layout:
         deep += change_in if within else change
         within ^= bool(odd)
 
-    def tops(k):
-        if not reach[k]:
-            return []
+    def tops(j):
+        return [(k, one) for k in groups[j] if reach[k] for one in (shown(k),)]
+
+    def shown(k):
         with Bytes(path) as file:
             data = file.range(starts[k], starts[k + 1])
             found = top(data, file.range(starts[k] - BEFORE, starts[k]), inside[k], depth[k])
@@ -230,9 +244,9 @@ def layout(spark: SparkSession, path: str, chunk: int = 0) -> Layout:
                 place = starts[k] + found["crs"]
                 text = file.range(place, place + (1 << 16)).decode("utf-8", "ignore")
                 found["crs"] = json.JSONDecoder().raw_decode(text)[0]
-        return [(json.dumps(found | {"features": [p + starts[k] for p in found["features"]], "closes": [p + starts[k] for p in found["closes"]]}),)]
+        return json.dumps(found | {"features": [p + starts[k] for p in found["features"]], "closes": [p + starts[k] for p in found["closes"]]})
 
-    seen = [(0, *r) for r in tops(0)] if n == 1 else sorted(ranged(spark, n, tops, "found string"))
+    seen = tops(0) if n == 1 else sorted(r[1:] for r in ranged(spark, len(groups), tops, "range long, found string"))
     found = [json.loads(r[1]) for r in seen]
     crs = next((f["crs"] for f in found if f["crs"]), None)
     opens = [p for f in found for p in f["features"]]
@@ -263,16 +277,19 @@ def merged(kinds: set[str]) -> str:
 def fields(spark: SparkSession, at: Layout) -> list[tuple[str, str]]:
     """Names and types of the properties of all features, in the order in which they first come."""
 
-    def seen(k):
+    groups = at.groups
+
+    def seen(j):
         out: dict[tuple[str, str], tuple[int, int]] = {}
-        for place, text in at.features(k):
-            for n, (name, v) in enumerate(parsed(text)[1].items()):
-                out.setdefault((name, kind_of(v)), (place, n))
+        for k in groups[j]:
+            for place, text in at.features(k):
+                for n, (name, v) in enumerate(parsed(text)[1].items()):
+                    out.setdefault((name, kind_of(v)), (place, n))
         return [(name, kind, place, n) for (name, kind), (place, n) in out.items()]
 
-    told = [(0, *r) for r in seen(0)] if len(at) == 1 else ranged(spark, len(at), seen, "name string, kind string, place long, n long")
+    told = seen(0) if len(at) == 1 else [r[1:] for r in ranged(spark, len(groups), seen, "name string, kind string, place long, n long")]
     kinds: dict[str, set] = {}
-    for _, name, kind, _, _ in sorted(told, key=lambda r: r[3:]):
+    for name, kind, _, _ in sorted(told, key=lambda r: r[2:]):
         kinds.setdefault(name, set()).add(kind)
     return [(name, merged(k)) for name, k in kinds.items()]
 
@@ -311,7 +328,7 @@ def read(spark: SparkSession, at: Layout) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.string()), strict=True)], ["_row", "geom", "p"])
 
     n = len(at)
-    rows = spark.range(0, n, 1, n).mapInArrow(run, "_row long, geom binary, p string")
+    rows = spark.range(0, n, 1, len(at.groups)).mapInArrow(run, "_row long, geom binary, p string")
     if not found:
         return rows.select("_row", "geom")
     kind = lambda names: T.StructType([T.StructField(name, {"long": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}.get(k, T.StringType())) for name, (_, k) in zip(names, found, strict=True)])

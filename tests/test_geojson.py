@@ -158,3 +158,24 @@ def test_feature_collection_is_written_side_by_side(spark, tmp_path, monkeypatch
     assert (tmp_path / "one.geojson").read_bytes() == (tmp_path / "many.geojson").read_bytes()
     assert [f["properties"]["k"] for f in json.loads((tmp_path / "many.geojson").read_text())["features"]] == list(range(1000))
     assert sorted(p.name for p in tmp_path.iterdir()) == ["many.geojson", "one.geojson"]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Tasks grow with the bytes, not with the ranges; features across ranges are whole, and no range reads far beyond its end."""
+    path = tmp_path / "a.geojson"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"k": k, "long" if k % 50 == 7 else "name": "x" * (k % 50 * 40)}, "geometry": None} for k in range(500)]}))
+    at = geojson.layout(spark, str(path), 1 << 10)
+    assert len(at) > 400 and len(at.groups) == 1
+    df = geojson.read(spark, at)
+    assert df.rdd.getNumPartitions() == 1
+    assert [(r["k"], len(r["long"] or r["name"] or "")) for r in df.orderBy("_row").collect()] == [(k, k % 50 * 40) for k in range(500)]
+    read = []
+
+    class Seen(geojson.Bytes):
+        def range(self, a, b):
+            read.append(b - a)
+            return super().range(a, b)
+
+    with Seen(str(path)) as file:
+        place, text = next(f for k in range(len(at)) for f in at.features(k) if len(f[1]) > 1500)
+        assert at._rest(file, text[:700], place) == text and max(read) < 1 << 14

@@ -307,16 +307,7 @@ def source_geotiff(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(row.alias("row"), col.alias("col"), z.alias("z"))
     rows = o.agg(F.max("row")).first()[0] + 1
 
-    def write(batches, path):
-        import numpy as np
-
-        whole = np.full((rows, COLS), -9999, np.float32)
-        for b in batches:
-            r, c, v = (b.column(n).to_numpy(zero_copy_only=False) for n in ("row", "col", "z"))
-            whole[r, c] = np.where(np.isnan(v), -9999, v)
-        tiff.write_tiff(path, whole, (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
-
-    files.streamed(o, str(home / "dem.tif"), write)
+    files.write_geotiff(o, str(home / "dem.tif"), (rows, COLS), (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
     cells, grid = cli.elevation(spark, str(home / "dem.tif"))
     assert grid == S.Grid(0.0, 9000.0, 50.0, 50.0)
     return cells

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..kernel import functions as K
 from ..operators.lineage import cut
 from . import crs as systems
-from . import flatgeobuf, geojson, shapefile
+from . import flatgeobuf, geojson, shapefile, tiff
 from .shapefile import Shapefile
 from .where import translated
 
@@ -576,17 +576,50 @@ def write_shapefile(df: DataFrame, path: str, fields: list[tuple[str, str, int,
         placed(made, str(Path(path).with_suffix(f".{end}")))
 
 
-def joined(rows: DataFrame, path: str, begin: bytes, between: bytes, end: bytes) -> None:
-    """Writes one file from texts in their order, one column: each task writes a part, then each copies its part to its place in the file. Needs a folder that the executors share."""
+def write_geotiff(cells: DataFrame, path: str, shape: tuple[int, int], place: tuple[float, float, float, float], epsg: int, nodata: float) -> None:
+    """Cells (row, col, z) as a GeoTIFF of 32-bit numbers: a strip of 64 rows is made of its cells, dealt by strips, and lies with its task's others in a part, which is copied to its place. Cells that are missing, or have no value, get ``nodata``. Needs a folder that the executors share."""
+    import numpy as np
+
+    (height, width), rows_of = shape, tiff.STRIP_ROWS
+    n, spark = -(-height // rows_of), cells.sparkSession
+    # about a million cells to a task; a row for each strip, so that none is missing
+    tasks = max(1, -(-height * width // (1 << 20)))
+    every = spark.range(0, n, 1, 1).select(F.col("id").alias("strip"), F.lit(None).cast("int").alias("row"), F.lit(None).cast("int").alias("col"), F.lit(None).cast("double").alias("z"))
+    dealt = cells.select(F.expr(f"cast(row AS long) div {rows_of}").alias("strip"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), F.col("z").cast("double").alias("z")).unionByName(every).repartitionByRange(tasks, "strip").sortWithinPartitions("strip")
 
     def put(batches, part):
+        sizes, first, now, grid = [], None, None, None
         with open(part, "wb") as f:
-            for b in batches:
-                f.write((between if f.tell() else b"") + between.join(x.encode() for x in b.column(0).to_pylist()))
-            return (f.tell(),)
 
-    parts, new, at = parted(rows, path, put, "size long"), f"{path}.{uuid.uuid4().hex}.part", [len(begin)]
-    for _, size in parts:
+            def out():
+                raw = tiff.strip(grid)
+                sizes.append(len(raw))
+                f.write(raw)
+
+            for b in batches:
+                strips = b.column("strip").to_numpy()
+                for s in np.unique(strips).tolist():
+                    if s != now:
+                        if grid is not None:
+                            out()
+                        now, grid = s, np.full((min(rows_of, height - s * rows_of), width), nodata, np.float32)
+                        first = s if first is None else first
+                    own = b.filter(pa.array((strips == s) & b.column("row").is_valid().to_numpy(zero_copy_only=False)))
+                    z = own.column("z").to_numpy(zero_copy_only=False)
+                    grid[own.column("row").to_numpy() - s * rows_of, own.column("col").to_numpy()] = np.where(np.isnan(z), nodata, z)
+            out()
+        return first, json.dumps(sizes)
+
+    parts = parted(dealt, path, put, "first long, sizes string")
+    sizes = [json.loads(s) for _, _, s in parts]
+    begin = tiff.head(shape, [v for s in sizes for v in s], place, epsg, nodata)
+    pieces(spark, path, [p for p, *_ in parts], [sum(s) for s in sizes], begin, b"", b"")
+
+
+def pieces(spark: SparkSession, path: str, parts: list[str], sizes: list[int], begin: bytes, between: bytes, end: bytes) -> None:
+    """One file of what parts have: a task copies each to its place."""
+    new, at = f"{path}.{uuid.uuid4().hex}.part", [len(begin)]
+    for size in sizes:
         at.append(at[-1] + size + len(between))
     with open(new, "wb") as f:
         f.write(begin)
@@ -594,17 +627,30 @@ def joined(rows: DataFrame, path: str, begin: bytes, between: bytes, end: bytes)
         f.write(end)
 
     def copy(k):
-        with open(parts[k][0], "rb") as source, open(new, "r+b") as f:
+        with open(parts[k], "rb") as source, open(new, "r+b") as f:
             f.seek(at[k])
             shutil.copyfileobj(source, f, 1 << 20)
             if k + 1 < len(parts):
                 f.write(between)
         return []
 
-    geojson.ranged(rows.sparkSession, len(parts), copy, "none long")
+    geojson.ranged(spark, len(parts), copy, "none long")
     placed(new, path)
 
 
+def joined(rows: DataFrame, path: str, begin: bytes, between: bytes, end: bytes) -> None:
+    """Writes one file from texts in their order, one column: each task writes a part, then each copies its part to its place in the file. Needs a folder that the executors share."""
+
+    def put(batches, part):
+        with open(part, "wb") as f:
+            for b in batches:
+                f.write((between if f.tell() else b"") + between.join(x.encode() for x in b.column(0).to_pylist()))
+            return (f.tell(),)
+
+    parts = parted(rows, path, put, "size long")
+    pieces(rows.sparkSession, path, [p for p, _ in parts], [n for _, n in parts], begin, between, end)
+
+
 def write_geojson(df: DataFrame, path: str, lonlat: bool = True, epsg: int = K.PLANE) -> None:
     """A FeatureCollection in one file, written side by side. Shapes that aren't turned to longitude and latitude are said to be of ``epsg``."""
     crs = "" if lonlat else f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{epsg}"}}}},'

@@ -149,3 +149,23 @@ def test_layer_of_steep_ground_instead_of_the_grid(geo, tmp_path):
     acres = lambda i: {r["account_id"]: (r["steep_slope_acres"], r["usable_acres"]) for r in record.run(i, cfg, (1, 2, 3))["scored"].collect()}
     by_layer, by_grid = acres(replace(given, dem=None, steep=layer)), acres(given)
     assert by_layer == by_grid and any(steep > 1 for steep, _ in by_grid.values())
+
+
+def test_geotiff_is_written_by_strips(spark, tmp_path, monkeypatch):
+    """No task has the whole grid: parts of strips, as one writer makes them, with cells that are missing."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from cadastra.sources import files, tiff
+
+    h, w = 20_000, 130
+    cells = spark.range(0, h * w, 1, 3).select(F.expr(f"id div {w}").alias("row"), (F.col("id") % w).alias("col"), F.when(F.col("id") % 37 != 5, F.col("id") % 1000 / 8).alias("z")).where("row NOT BETWEEN 100 AND 300 AND id % 11 != 3")
+    parts, parted = [], files.parted
+    monkeypatch.setattr(files, "parted", lambda *a: parts.append(parted(*a)) or parts[-1])
+    files.write_geotiff(cells, str(tmp_path / "a.tif"), (h, w), (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
+    k = np.arange(h * w).reshape(h, w)
+    z = np.where((k % 37 == 5) | (k % 11 == 3) | (k // w >= 100) & (k // w <= 300), -9999, k % 1000 / 8)
+    tiff.write_tiff(str(tmp_path / "b.tif"), z, (0.0, 9000.0, 50.0, 50.0), 26985, -9999.0)
+    assert len(parts[0]) == 3
+    assert (tmp_path / "a.tif").read_bytes() == (tmp_path / "b.tif").read_bytes()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a.tif", "b.tif"]

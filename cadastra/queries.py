@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .cadastre import ACRE, ENC_SQL, PARCELS_SQL, ROADS_SQL, ZONES_SQL, encumbrances, parcels, roads, shaped, table, zones
@@ -353,10 +353,14 @@ def landlocked_flags(spark, sf_dir):
 @query(f"WITH {PIECES}, r AS (SELECT k, seq, class IN ('open', 'same_owner_parcel') AS en, seq - row_number() OVER (PARTITION BY k, class IN ('open', 'same_owner_parcel') ORDER BY seq) AS run FROM f), c AS (SELECT k, count(DISTINCT run) FILTER (en) AS runs, bool_or(en AND seq = 1) AND bool_or(en AND seq = m) AND NOT bool_and(en) AS closes FROM (SELECT *, max(seq) OVER (PARTITION BY k) AS m FROM r) GROUP BY k) SELECT k AS account_id, (runs - CASE WHEN closes AND runs > 1 THEN 1 ELSE 0 END)::BIGINT AS entry_runs FROM c")
 def entry_runs(spark, sf_dir):
     """Runs of entry pieces around a closed boundary: neighbours by number, the last beside the first."""
-    t = _pieces(spark, sf_dir)
-    w = Window.partitionBy("account_id", "is_entry").orderBy("seq")
-    t = t.withColumn("run", F.col("seq") - F.row_number().over(w)).withColumn("m", F.max("seq").over(Window.partitionBy("account_id")))
-    c = t.groupBy("account_id").agg(F.count_distinct(F.when(F.col("is_entry"), F.col("run"))).alias("runs"), (F.bool_or(F.col("is_entry") & (F.col("seq") == 1)) & F.bool_or(F.col("is_entry") & (F.col("seq") == F.col("m"))) & ~F.bool_and("is_entry")).alias("closes"))
+    t = _pieces(spark, sf_dir).select("account_id", "seq", "is_entry")
+    # a million pieces to a task, so that its memory doesn't grow with the table
+    t = t.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-t.count() // 1_000_000)), "account_id")
+    at = F.sort_array(F.collect_list(F.when(F.col("is_entry"), F.col("seq"))))
+    c = t.groupBy("account_id").agg(at.alias("at"), F.max("seq").alias("m"), F.bool_and("is_entry").alias("whole"))
+    # neighbours by number have the same difference of number and place
+    runs = F.size(F.array_distinct(F.transform("at", lambda x, i: x - i)))
+    c = c.select("account_id", runs.cast("long").alias("runs"), (F.array_contains("at", 1) & F.array_contains("at", F.col("m")) & ~F.col("whole")).alias("closes"))
     return c.select("account_id", (F.col("runs") - F.when(F.col("closes") & (F.col("runs") > 1), 1).otherwise(0)).alias("entry_runs"))
 
 

@@ -69,3 +69,13 @@ def test_pieces_of_the_boundary_are_stored_once(spark, tmp_path, monkeypatch):
     n = Q.queries()["frontage_pieces"](spark, SF).select("k").distinct().count()
     paths = [Path(f.removeprefix("file://")) for df in stored for f in df.inputFiles()]
     assert 0 < sum(p.stat().st_size for p in paths) < 5000 * n
+
+
+def test_entry_runs_need_no_windows(spark, duck, tmp_path):
+    """An aggregate of pieces dealt by their number, not windows over all; with numbers that come twice, have gaps or are missing."""
+    duck.sql(f"COPY (SELECT * REPLACE (l_orderkey // 5 AS l_orderkey, CASE WHEN l_partkey % 7 <> 0 THEN l_linenumber + l_partkey % 3 END AS l_linenumber) FROM lineitem) TO '{tmp_path}/lineitem.parquet'")
+    with duckdb.connect() as odd:
+        odd.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+        got = Q.queries()["entry_runs"](spark, str(tmp_path))
+        compare(odd, got, Q.oracle_sql()["entry_runs"])
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()

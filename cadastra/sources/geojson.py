@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SUFFIXES = (".geojson", ".json", ".geojsonl")
-CHUNK = 32 << 20
+#: A task's range; the places of brackets and quotes in it take some ten times its bytes at worst.
+CHUNK = 8 << 20
 #: Bytes read before a place for the name of a member, at first to find a feature's end, and an eighth of what a batch holds.
 BEFORE, MORE = 4096, 1 << 20
 STEP = np.zeros(256, np.int8)

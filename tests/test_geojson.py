@@ -179,3 +179,15 @@ def test_small_ranges_share_tasks(spark, tmp_path):
     with Seen(str(path)) as file:
         place, text = next(f for k in range(len(at)) for f in at.features(k) if len(f[1]) > 1500)
         assert at._rest(file, text[:700], place) == text and max(read) < 1 << 14
+
+
+def test_memory_of_a_range():
+    """A whole range of nothing but short lists is looked at in less than 160 MB, so that workers side by side stay small."""
+    import tracemalloc
+
+    data = b"[1,2]," * (geojson.CHUNK // 6)
+    tracemalloc.start()
+    geojson.outside(data, False, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20

@@ -44,15 +44,16 @@ def boxes_meet(a: Column, b: Column, grow: float = 0.0) -> Column:
     return (a["minx"] - grow <= b["maxx"]) & (a["maxx"] + grow >= b["minx"]) & (a["miny"] - grow <= b["maxy"]) & (a["maxy"] + grow >= b["miny"])
 
 
-def grid_join(left: DataFrame, right: DataFrame, size: float = 1000.0, within: float = 0.0, on: list[str] | None = None, overlay: bool = False) -> DataFrame:
+def grid_join(left: DataFrame, right: DataFrame, size: float = 1000.0, within: float = 0.0, on: list[str] | None = None, overlay: bool = False, spread: bool = False) -> DataFrame:
     """(l, r) pairs of rows, as structs, whose shapes intersect, or lie within a distance; ``on`` names columns that must be equal.
 
     With ``overlay`` a pair also has ``o``, the areal part that the shapes share and its area, made once for each pair. The exact
-    test stands behind the cheap ones: Catalyst merges filters, and would run it on every copy of a pair.
+    test stands behind the cheap ones: Catalyst merges filters, and would run it on every copy of a pair. ``spread`` deals cells to
+    tasks even where a side is small enough for a broadcast: a table of few row groups is few tasks otherwise, which each meet all cells.
     """
     a, b = _cells(left, "l", size, within), _cells(right, "r", size, 0.0)
     keys = [F.col("a.cell_x") == F.col("b.cell_x"), F.col("a.cell_y") == F.col("b.cell_y"), *[F.col(f"a.l.{c}") == F.col(f"b.r.{c}") for c in on or []]]
-    pairs = a.alias("a").join(b.alias("b"), keys)
+    pairs = (a.hint("merge") if spread else a).alias("a").join(b.alias("b"), keys)
     la, rb = F.col("a.l.box"), F.col("b.r.box")
     home = lambda lo: F.floor(F.greatest(la[lo] - within, rb[lo]) / size)
     cheap = (F.col("a.cell_x") == home("minx")) & (F.col("a.cell_y") == home("miny")) & boxes_meet(la, rb, within)

@@ -176,7 +176,7 @@ def owner_type_counts(spark, sf_dir):
 
 # ---- encumbrances ----------------------------------------------------------------
 def _pairs(spark, sf_dir):
-    got = grid_join(parcels(spark, sf_dir).select("k", "geom", "box"), encumbrances(spark, sf_dir).select("e", "layer", "geom", "box"), 700.0, overlay=True)
+    got = grid_join(parcels(spark, sf_dir).select("k", "geom", "box"), encumbrances(spark, sf_dir).select("e", "layer", "geom", "box"), 700.0, overlay=True, spread=True)
     return got.select(F.col("l.k").alias("k"), F.col("r.e").alias("e"), F.col("r.layer").alias("layer"), F.col("l.geom").alias("parcel"), F.col("l.box").alias("pbox"), F.col("o.geom").alias("part"), F.col("o.m2").alias("m2"))
 
 
@@ -219,8 +219,9 @@ u AS (SELECT k, sum(m2) FILTER (in_h) AS hm2, sum(m2) FILTER (in_any) AS am2 FRO
 
 @query(f"{CTES}, {SLABS} SELECT k, {r2(f'coalesce(hm2, 0) / {ACRE}')} AS hostile_acres, {r2(f'coalesce(am2, 0) / {ACRE}')} AS all_acres FROM u")
 def union_area_by_implication(spark, sf_dir):
-    hostile = F.col("layer").isin("1", "2")
-    by = _pairs(spark, sf_dir).where("m2 > 0").groupBy("k").agg(K.union_agg(F.when(hostile, F.col("part"))).alias("h"), K.union_agg("part").alias("a"))
+    """Every part is united once, with those of its kind; the whole is made of the two unions."""
+    kinds = _pairs(spark, sf_dir).where("m2 > 0").groupBy("k", F.col("layer").isin("1", "2").alias("hostile")).agg(K.union_agg("part").alias("u"))
+    by = kinds.groupBy("k").agg(K.union_agg(F.when(F.col("hostile"), F.col("u"))).alias("h"), K.union_agg("u").alias("a"))
     return by.select("k", M.rounded(M.acres(K.area("h")), 2).alias("hostile_acres"), M.rounded(M.acres(K.area("a")), 2).alias("all_acres"))
 
 

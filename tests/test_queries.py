@@ -59,6 +59,13 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan, name
 
 
+def test_parts_are_united_once_in_tasks_of_cells(spark):
+    """Not for each of two results, and not in the few tasks of the orders' row groups."""
+    plan = Q.QUERIES["union_area_by_implication"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    first = [line for line in plan.splitlines() if "partial_geo_union(" in line][-1]
+    assert first.count("partial_geo_union(") == 1 and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_pieces_of_the_boundary_are_stored_once(spark, tmp_path, monkeypatch):
     """Stage 4 keeps a parcel's pieces in its row: some 1.5 KB a parcel on disk, where three tables of pieces took 11."""
     from cadastra.plans import access

@@ -38,6 +38,33 @@ def test_union_of_none_one_and_lines(geo):
     assert one.where("g = 9").agg(K.union_agg("geom").alias("u"), K.dissolve_agg("geom").alias("d")).select(K.is_empty("u"), "d").first() == (True, None)
 
 
+def test_union_of_shapes_that_cover_each_other(geo):
+    """Shapes inside the union so far are left out of it: areas stay, touching borders and lines among them too, and covered ones leave no points."""
+    df = boxes(geo, 3000, 4, 200)
+    got = df.groupBy("g").agg(K.union_agg("geom").alias("u"), K.dissolve_agg("geom").alias("d"), K.union_all(F.collect_list("geom")).alias("all"))
+    for r in got.select(K.area("u"), K.area("d"), K.area("all"), K.area(K.difference("all", "u"))).collect():
+        assert r[0] == pytest.approx(r[2]) and r[1] == pytest.approx(r[2]) and r[3] == pytest.approx(0, abs=1e-6)
+    wide = [(K.box_wkb(0, 0, 1000, 1000),)] * 70
+    inner = [(K.box_wkb(10 * k, 0, 10 * k + 5, 20),) for k in range(100)]
+    one = lambda rows: geo.createDataFrame(rows, "geom binary").coalesce(1).agg(K.union_agg("geom").alias("u")).select(K.area("u").alias("m2"), K.length("u").alias("m"), F.octet_length("u").alias("bytes")).first()
+    assert one(wide + inner) == (1e6, 4000.0, 93)
+    assert one(wide + inner + [(K.line_wkb((500, 500), (1500, 500)),)])[:2] == (1e6, 4500.0)
+
+
+def test_rectangles_share_their_boxes(geo):
+    """As shapes of one more point on their border do, which go the general way."""
+    at = [(x, y, x + w, y + h) for x, y in ((0, 0), (10, 0), (10, 10), (3, 4), (30, 30), (0, -5)) for w, h in ((10, 10), (4, 3))]
+    df = geo.createDataFrame([(i, *map(float, b)) for i, b in enumerate(at)], "k int, x0 double, y0 double, x1 double, y1 double")
+    more = K.ring(F.array("x0", "y0", (F.col("x0") + F.col("x1")) / 2, "y0", "x1", "y0", "x1", "y1", "x0", "y1"))
+    df = df.select("k", K.box("x0", "y0", "x1", "y1").alias("a"), more.alias("b"))
+    o = lambda c: K.overlap(F.col(f"l.{c}"), F.col(f"r.{c}"))
+    rows = df.alias("l").crossJoin(df.alias("r")).select(o("a").alias("a"), o("b").alias("b"))
+    got = rows.select(F.col("a").isNull(), F.col("b").isNull(), "a.m2", "b.m2", K.is_empty("a.geom"), K.is_empty("b.geom"), K.area(K.difference("b.geom", "a.geom"))).collect()
+    assert len(got) == 144 and len({r[0] for r in got}) == 2 and 0.0 in {r[2] for r in got}
+    for r in got:
+        assert r[0] == r[1] and r[2] == r[3] and r[4] == r[5] and r[6] in (None, 0.0)
+
+
 def test_pieces_add_up(geo):
     giant = geo.createDataFrame([(7, bytearray(comb(2800, 900)))], "f int, geom binary")
     whole, cut = with_box(giant), subdivided(giant, 100.0, 40)

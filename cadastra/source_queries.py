@@ -8,6 +8,7 @@ import math
 import tempfile
 import threading
 import urllib.parse
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -182,39 +183,52 @@ def source_projections(spark, sf_dir):
     return out
 
 
-class _Service:
-    """A feature service of points: pages by offset, of which none gives more than ``cap`` rows, or ids."""
+class _Answers:
+    """What a feature service of points says: pages by offset, of which none gives more than ``cap`` rows, or ids.
+
+    Rows are sorted once and filtered once for each filter and box; a page is a slice of them, an id is looked up.
+    """
 
     def __init__(self, rows: list[tuple[int, str, float, float]], paged: bool, cap: int = 7):
+        self.rows, self.paged, self.cap, self.asked = sorted(rows), paged, cap, 0
+        self.found = lru_cache(maxsize=8)(self._found)
+
+    def _found(self, where: str, geometry: str | None) -> tuple[list[tuple], dict[int, tuple]]:
+        found = self.rows
+        if where != "1=1":
+            least = int(where.split(">=")[1])
+            found = [r for r in found if r[0] >= least]
+        if geometry:
+            b = json.loads(geometry)
+            found = [r for r in found if b["xmin"] <= r[2] <= b["xmax"] and b["ymin"] <= r[3] <= b["ymax"]]
+        return found, {r[0]: r for r in found}
+
+    def answer(self, path: str, q: dict) -> dict:
+        self.asked += 1
+        if not path.endswith("/query"):
+            return {"name": "points", "maxRecordCount": 10, "advancedQueryCapabilities": {"supportsPagination": self.paged}, "objectIdField": "K", "extent": {"spatialReference": {"wkid": 102100, "latestWkid": 3857}}, "fields": [{"name": "K", "type": "esriFieldTypeOID"}, {"name": "CODE", "type": "esriFieldTypeString", "domain": {"codedValues": [{"code": c, "name": f"code {c}"} for c in "ABC"]}}]}
+        found, by_id = self.found(q.get("where", "1=1"), q.get("geometry"))
+        if "returnCountOnly" in q:
+            return {"count": len(found)}
+        if "returnIdsOnly" in q:
+            return {"objectIdFieldName": "K", "objectIds": [r[0] for r in reversed(found)]}
+        if q.get("where") == "K>=-1":
+            return {"error": {"code": 400, "message": "no such field"}}
+        if "objectIds" in q:
+            page = [by_id[k] for k in map(int, q["objectIds"].split(",")) if k in by_id]
+        else:
+            at = int(q["resultOffset"])
+            page = found[at : at + min(self.cap, int(q["resultRecordCount"]))]
+        return {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"K": k, "CODE": c}, "geometry": {"type": "Point", "coordinates": [x, y]}} for k, c, x, y in page]}
+
+    def handler(self) -> type:
+        """The class that answers HTTP requests."""
         this = self
-        self.seen: list[dict] = []
 
         class Handler(http.server.BaseHTTPRequestHandler):
             def do_POST(self):
                 q = dict(urllib.parse.parse_qsl(self.rfile.read(int(self.headers["Content-Length"])).decode()))
-                this.seen.append(q)
-                found = rows
-                if (w := q.get("where", "1=1")) != "1=1":
-                    least = int(w.split(">=")[1])
-                    found = [r for r in found if r[0] >= least]
-                if "geometry" in q:
-                    b = json.loads(q["geometry"])
-                    found = [r for r in found if b["xmin"] <= r[2] <= b["xmax"] and b["ymin"] <= r[3] <= b["ymax"]]
-                if not self.path.endswith("/query"):
-                    out = {"name": "points", "maxRecordCount": 10, "advancedQueryCapabilities": {"supportsPagination": paged}, "objectIdField": "K", "extent": {"spatialReference": {"wkid": 102100, "latestWkid": 3857}}, "fields": [{"name": "K", "type": "esriFieldTypeOID"}, {"name": "CODE", "type": "esriFieldTypeString", "domain": {"codedValues": [{"code": c, "name": f"code {c}"} for c in "ABC"]}}]}
-                elif "returnCountOnly" in q:
-                    out = {"count": len(found)}
-                elif "returnIdsOnly" in q:
-                    out = {"objectIdFieldName": "K", "objectIds": [r[0] for r in reversed(found)]}
-                elif w == "K>=-1":
-                    out = {"error": {"code": 400, "message": "no such field"}}
-                else:
-                    if "objectIds" in q:
-                        found = [r for r in found if r[0] in set(map(int, q["objectIds"].split(",")))]
-                    else:
-                        at = int(q["resultOffset"])
-                        found = sorted(found)[at : at + min(cap, int(q["resultRecordCount"]))]
-                    out = {"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"K": k, "CODE": c}, "geometry": {"type": "Point", "coordinates": [x, y]}} for k, c, x, y in found]}
+                out = this.answer(self.path, q)
                 self.send_response(200)
                 self.end_headers()
                 self.wfile.write(json.dumps(out).encode())
@@ -222,7 +236,15 @@ class _Service:
             def log_message(self, *a):
                 pass
 
-        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        return Handler
+
+
+class _Service:
+    """The answers over HTTP on this machine."""
+
+    def __init__(self, rows: list[tuple[int, str, float, float]], paged: bool):
+        self.answers = _Answers(rows, paged)
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), self.answers.handler())
         threading.Thread(target=self.server.serve_forever, daemon=True).start()
         self.url = f"http://127.0.0.1:{self.server.server_port}/{'paged' if paged else 'ids'}"
 
@@ -248,9 +270,9 @@ def source_service(spark, sf_dir):
         with _Service(rows, mode == "paged") as service:
             rest.fetch(spark, service.url, str(home / mode), "K>=3", (-78.0, 38.0, -77.4999, 40.0))
             if mode == "paged":
-                asked = len(service.seen)
+                asked = service.answers.asked
                 info, _ = rest.layer_info(service.url), rest.layer_info(service.url)
-                more.append(("memo", len(service.seen) - asked, None))
+                more.append(("memo", service.answers.asked - asked, None))
                 more += [("page", info.page, info.name), ("srid", info.srid, info.id_field), ("domain", len(info.domains["CODE"]), info.domains["CODE"]["B"])]
                 try:
                     rest.http_json(f"{service.url}/query", {"where": "K>=-1", "resultOffset": 0, "resultRecordCount": 1})

@@ -1,4 +1,4 @@
-"""Feature services over HTTP: layer information, coded domains, and a Spark source whose partitions are offset ranges or id chunks."""
+"""Feature services over HTTP: layer information, coded domains, and a Spark source whose partitions are runs of offset ranges or of id chunks."""
 
 from __future__ import annotations
 
@@ -16,6 +16,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from .geojson import wkb as geojson_wkb
 
 CHUNK = 200
+#: A task asks for up to so many pages, one after another, once there are pages for so many tasks.
+PAGES, TASKS = 50, 64
 
 
 class ServiceError(RuntimeError):
@@ -71,7 +73,7 @@ def query_params(where: str = "1=1", bbox: tuple[float, float, float, float] | N
 
 
 def chunks(url: str, params: dict, info: LayerInfo, page: int | None = None, get=http_json) -> list[dict]:
-    """What each partition adds to the query: offset ranges from the count, in the order of the ids, or else sorted ids in chunks."""
+    """What each page adds to the query: offset ranges from the count, in the order of the ids, or else sorted ids in chunks."""
     size = min(page or info.page, info.page)
     if info.paged:
         n = get(f"{url}/query", params | {"returnCountOnly": "true", "f": "json"})["count"]
@@ -81,8 +83,14 @@ def chunks(url: str, params: dict, info: LayerInfo, page: int | None = None, get
     return [{"objectIds": ",".join(map(str, part)), "expect": len(part)} for k in range(0, len(ids), step) for part in (ids[k : k + step],)]
 
 
+def runs(pages: list[dict]) -> list[list[dict]]:
+    """The pages of each task: small pages don't each make a task and a file."""
+    step = max(1, min(PAGES, len(pages) // TASKS))
+    return [pages[k : k + step] for k in range(0, len(pages), step)]
+
+
 def features(url: str, params: dict, more: dict, get=http_json):
-    """The features of one partition. A service may give fewer in an answer than were asked for: the rest is asked for again, and a partition that stays short is an error."""
+    """The features of one page. A service may give fewer in an answer than were asked for: the rest is asked for again, and a page that stays short is an error."""
     want, at, left = more["expect"], more.get("resultOffset", 0), more["expect"]
     ids = {k: v for k, v in more.items() if k not in ("expect", "resultOffset", "resultRecordCount")}
     while left:
@@ -115,16 +123,15 @@ class FeatureReader(DataSourceReader):
         self.url, self.params, self.fields = options["url"], query_params(options.get("where", "1=1"), bbox), schema
 
     def partitions(self):
-        return [InputPartition(c) for c in chunks(self.url, self.params, layer_info(self.url))] or [InputPartition(None)]
+        return [InputPartition(r) for r in runs(chunks(self.url, self.params, layer_info(self.url)))] or [InputPartition([])]
 
     def read(self, partition):
-        if partition.value is None:
-            return
         cast = {"string": str, "double": float, "long": int}
         kinds = [(f.name, cast.get(f.dataType.typeName(), lambda v: v)) for f in self.fields if f.name != "geom"]
-        for f in features(self.url, self.params, partition.value):
-            own = f.get("properties") or {}
-            yield (*[None if own.get(n) is None else c(own[n]) for n, c in kinds], geojson_wkb(f.get("geometry")))
+        for page in partition.value:
+            for f in features(self.url, self.params, page):
+                own = f.get("properties") or {}
+                yield (*[None if own.get(n) is None else c(own[n]) for n, c in kinds], geojson_wkb(f.get("geometry")))
 
 
 def read_service(spark: SparkSession, url: str, where: str | None = None, bbox: tuple[float, float, float, float] | None = None) -> DataFrame:

@@ -322,6 +322,66 @@ def test_feature_service(geo):
     assert len(ids) == 3 and ids[0]["objectIds"].startswith("1,2,")
 
 
+def _in_memory(answers):
+    """The service's own handler on bytes, without a port."""
+    import io
+
+    class Socket:
+        def __init__(self, data):
+            self.data, self.out = data, b""
+
+        def makefile(self, *a, **k):
+            return io.BytesIO(self.data)
+
+        def sendall(self, data):
+            self.out += bytes(data)
+
+    def get(url, params):
+        body = urllib.parse.urlencode(params).encode()
+        s = Socket(f"POST /{url} HTTP/1.1\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body)
+        answers.handler()(s, ("here", 0), None)
+        return json.loads(s.out.split(b"\r\n\r\n", 1)[1])
+
+    return get
+
+
+@pytest.mark.parametrize("paged", [True, False])
+def test_service_looks_at_its_rows_once(paged, monkeypatch):
+    """However many pages are asked for; pages share tasks."""
+    from pyspark.sql.types import LongType, StringType, StructType
+
+    from cadastra.source_queries import _Answers
+
+    class Lon(float):
+        seen = 0
+
+        def __ge__(self, other):
+            Lon.seen += 1
+            return float(self) >= other
+
+    rows = [(k, "ABC"[k % 3], Lon(-77.9 + k % 140 / 100), 38.9 + k % 83 / 100) for k in range(9000, 0, -1)]
+    answers = _Answers(rows, paged)
+    get, params = _in_memory(answers), rest.query_params("K>=3", (-78.0, 38.0, -77.4999, 40.0))
+    info = rest.info_of(get("layer", {"f": "json"}))
+    want = sorted(r[:2] for r in rows if r[0] >= 3 and float(r[2]) <= -77.4999)
+    Lon.seen = 0
+    tasks = rest.runs(rest.chunks("layer", params, info, get=get))
+    assert info.paged == paged and 64 <= len(tasks) < 140 and max(map(len, tasks)) > 1
+    monkeypatch.setattr(rest.features, "__defaults__", (get,))
+    reader = rest.FeatureReader({"url": "layer", "where": "K>=3", "bbox": "-78.0,38.0,-77.4999,40.0"}, StructType().add("K", LongType()).add("CODE", StringType()))
+    got = [tuple(r[:2]) for t in tasks for r in reader.read(rest.InputPartition(t))]
+    assert got == want and 0 < Lon.seen <= len(rows) and answers.asked > len(want) // 10
+    assert list(reader.read(rest.InputPartition([]))) == []
+    assert get("layer/query", {"where": "K>=-1", "resultOffset": 0, "resultRecordCount": 1})["error"]["message"] == "no such field"
+
+
+def test_pages_share_tasks():
+    assert [len(r) for r in rest.runs([{"k": k} for k in range(3)])] == [1, 1, 1] and rest.runs([]) == []
+    pages = [{"k": k} for k in range(10545)]
+    got = rest.runs(pages)
+    assert [p for r in got for p in r] == pages and max(map(len, got)) == rest.PAGES and len(got) == 211
+
+
 def test_template_keeps_answers():
     import yaml
 

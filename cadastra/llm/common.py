@@ -69,13 +69,13 @@ HOT_ROWS, HOT_KEYS = 1000, 100_000
 
 
 def hot_join(large: DataFrame, small: DataFrame, on: str, total: int) -> DataFrame:
-    """An inner join with a table that has one row for each key and, as ``n``, how many rows of ``large`` have it, ``total`` in all. Keys of many rows go by broadcast: no more than ``HOT_KEYS`` have so many. ``n`` is dropped."""
+    """An inner join with a table that has one row for each key and, as ``n``, how many rows of ``large`` have it, ``total`` in all. Keys of many rows go by broadcast: no more than ``HOT_KEYS`` have so many. The others are merged, whatever their size seems: it grows with the input, and a broadcast stands in the driver. ``n`` is dropped."""
     least = max(HOT_ROWS, total // HOT_KEYS)
     found = small.where(F.col("n") > least).drop("n")
     if total <= least or found.isEmpty():
-        return large.join(small.drop("n"), on)
+        return large.join(small.drop("n").hint("merge"), on)
     hot = F.broadcast(found)
-    cool = large.join(hot.select(on), on, "left_anti").join(small.where(F.col("n") <= least).drop("n"), on)
+    cool = large.join(hot.select(on), on, "left_anti").join(small.where(F.col("n") <= least).drop("n").hint("merge"), on)
     return large.join(hot, on).unionByName(cool)
 
 
@@ -84,7 +84,7 @@ def spread_join(large: DataFrame, small: DataFrame, on: list[str], rows: int, by
     if rows <= SMALL:
         return large.join(F.broadcast(small), on, how)
     salted = large.withColumn("__salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)))
-    return salted.join(small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))), [*on, "__salt"], how).drop("__salt")
+    return salted.join(small.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).hint("merge"), [*on, "__salt"], how).drop("__salt")
 
 
 def sha256_hex(col) -> "F.Column":

@@ -25,6 +25,7 @@ share a component; a component is named after its least non-null id; an empty ta
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,9 @@ from .common import Cut, hot_join, spread_join
 
 SAMPLE, LEAF_TARGET, LEAF_ROWS = 32_768, 1024, 4096
 STEP, ROWS = 1 << 13, 64
-# similar_texts: bits of a block; rows of a shard (a leaf of its trees) as aimed at and at most; pairs looked at together;
+# similar_texts: bits of a block and radius in it; rows of a shard (a leaf of its trees) as aimed at and at most; pairs looked at together;
 # members and bytes of shingle sets that a class brings to one task, and bytes of small classes that share one
-BLOCK_BITS, SHARD_TARGET, SHARD_ROWS, PAIRS = 16, 16_384, 65_536, 1 << 19
+BLOCK_BITS, RADIUS, SHARD_TARGET, SHARD_ROWS, PAIRS = 16, 1, 16_384, 65_536, 1 << 19
 CLASS_ROWS, CLASS_BYTES, BUCKET_BYTES = 1024, 1 << 26, 1 << 23
 # The increment and multipliers of a public 64-bit mixing function, from which further words come.
 GOLDEN, MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -238,8 +239,7 @@ def links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
 class Shards:
     """The trees of all 16-bit blocks, as tables by the block's value: its home leaf and the later leaves that the radius reaches into."""
 
-    def __init__(self, sample: np.ndarray, m: int, radius: int = 1):
-        fewest = max(1, SHARD_TARGET * len(sample) // max(m, 1))
+    def __init__(self, sample: np.ndarray, fewest: int, radius: int = RADIUS):
         self.radius, self.of = radius, []
         values = np.arange(1 << BLOCK_BITS, dtype=np.uint64)
         for word in range(sample.shape[1]):
@@ -268,6 +268,12 @@ class Shards:
         return np.concatenate([np.arange(len(v)), rows]), np.concatenate([home[v], visits[at]])
 
 
+@lru_cache(maxsize=1)
+def shards_of(sample: bytes, n_words: int, fewest: int) -> Shards:
+    """The tables for a sample's bytes, made once in each worker: they are some twenty megabytes, which neither the driver nor a job's closure holds."""
+    return Shards(np.frombuffer(sample, np.uint64).reshape(-1, n_words), fewest)
+
+
 def block_value(k: int, fps: np.ndarray) -> np.ndarray:
     """The values of the k-th block."""
     word, low = divmod(k * BLOCK_BITS, 64)
@@ -343,12 +349,13 @@ def near_in_block(x: np.ndarray, v: np.ndarray, home: np.ndarray, side: np.ndarr
 def candidates(distinct: DataFrame, distance: int) -> DataFrame:
     """Edges (u, v) between distinct fingerprints whose closure is that of all links within the distance that some block shows with a bit at most."""
     m = distinct.count()
-    shards = Shards(sampled(distinct, m, max(256, min(SAMPLE, 16 * m // SHARD_TARGET))), m)
-    radius = shards.radius
+    sample = sampled(distinct, m, max(256, min(SAMPLE, 16 * m // SHARD_TARGET)))
+    fewest = max(1, SHARD_TARGET * len(sample) // max(m, 1))
+    sample, n_words, radius = sample.tobytes(), sample.shape[1], RADIUS
 
     def sizes(batches):
         for b in batches:
-            fps = matrix(b.column("fp"))
+            fps, shards = matrix(b.column("fp")), shards_of(sample, n_words, fewest)
             for k in range(len(shards.of) if len(fps) else 0):
                 leaf, n = np.unique(shards.route(k, fps)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int64) + (k << 32)), pa.array(n)], ["shard", "n"])
@@ -358,7 +365,7 @@ def candidates(distinct: DataFrame, distance: int) -> DataFrame:
 
     def deal(batches):
         for b in batches:
-            column = b.column("fp")
+            column, shards = b.column("fp"), shards_of(sample, n_words, fewest)
             fps = matrix(column)
             chunk = np.array([xxhash.xxh32_intdigest(v) for v in column.to_pylist()], np.int64) if large else None
             for k in range(len(shards.of) if len(fps) else 0):
@@ -447,7 +454,7 @@ def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, d
     classes = Cut(components(edges)).df
     n = classes.count()
     # a text that many documents share is one row here
-    chosen = Cut(prints.groupBy("fp").agg(F.min("t").alias("t")).join(classes.select(F.col("node").alias("fp"), "root"), "fp")).df
+    chosen = Cut(prints.groupBy("fp").agg(F.min("t").alias("t")).join(classes.select(F.col("node").alias("fp"), "root").hint("merge"), "fp")).df
     texts = docs.select(F.col(id_col).alias("i"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     linked = spread_join(texts, chosen.select("t"), ["t"], n, ["i"], "left_semi").groupBy("t").agg(F.first("text").alias("text"))
 
@@ -455,7 +462,7 @@ def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, d
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("root"), b.column("fp"), pa.array([shingle_set(t.as_py(), width).tobytes() for t in b.column("text")], pa.large_binary()).cast(pa.binary())], ["root", "fp", "set"])
 
-    known = Cut(linked.join(chosen, "t").select("root", "fp", "text").mapInArrow(sets, "root binary, fp binary, set binary"))
+    known = Cut(linked.join(chosen.hint("merge"), "t").select("root", "fp", "text").mapInArrow(sets, "root binary, fp binary, set binary"))
     size = known.df.groupBy("root").agg(F.count("*").alias("n"), F.sum(F.octet_length("set")).alias("bytes"))
     size = Cut(size.select("root", "n", "bytes", F.greatest(F.ceil(F.col("n") / CLASS_ROWS), F.ceil(F.col("bytes") / CLASS_BYTES), F.lit(1)).cast("long").alias("c")))
     buckets = max(12, (size.df.agg(F.sum("bytes").alias("b")).first()["b"] or 0) // BUCKET_BYTES)
@@ -492,12 +499,12 @@ def verified(edges: DataFrame, prints: DataFrame, docs: DataFrame, width: int, d
 def named(prints: DataFrame, distinct: DataFrame, edges: DataFrame, total: int, id_col: str, choose: bool = False) -> DataFrame:
     """One row per document: id, fp, component_id; with ``choose`` also t and ``chosen``, whether the row is its component's own: that of the least id (nulls last) and, among its texts, of the least fingerprint."""
     roots = components(edges).select(F.col("node").alias("fp"), "root")
-    linked = Cut(roots.join(distinct, "fp").select("fp", "rep", "root", "n")).df
+    linked = Cut(roots.join(distinct.hint("merge"), "fp").select("fp", "rep", "root", "n")).df
     first = [F.min_by("fp", F.struct(F.col("rep").isNull(), "rep", "fp")).alias("own")] if choose else []
     least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), *first, F.count("*").alias("n"))
     own = ["own"] if choose else []
     known = hot_join(linked.withColumnRenamed("n", "docs"), least, "root", linked.count()).select("fp", F.col("component_id").alias("c"), *own)
-    of = Cut(distinct.join(known, "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"), *own, "n")).df
+    of = Cut(distinct.join(known.hint("merge"), "fp", "left").select("fp", F.coalesce("c", "rep").alias("component_id"), *own, "n")).df
     if not choose:
         return hot_join(prints.select(id_col, "fp"), of, "fp", total).select(id_col, "fp", "component_id")
     chosen = F.col(id_col).eqNullSafe(F.col("component_id")) & (F.coalesce("own", "fp") == F.col("fp"))
@@ -529,7 +536,7 @@ def similar_texts(docs: DataFrame, width: int = 5, least: float = 0.8, n_words:
 def keep_one(docs: DataFrame, width: int = 5, least: float = 0.8, n_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, one text of each component: that of the least id, nulls last. Rows count, not ids: of rows that share an id only those go whose own text has a chosen one beside it; rows that repeat both id and text stay or go together."""
     found = similar_texts(docs, width, least, n_words, id_col, text_col)
-    dropped = found.where(~F.col("chosen")).select(F.col(id_col).alias("__id"), F.col("t").alias("__t")).distinct()
+    dropped = found.where(~F.col("chosen")).select(F.col(id_col).alias("__id"), F.col("t").alias("__t")).distinct().hint("merge")
     return docs.join(dropped, docs[id_col].eqNullSafe(dropped["__id"]) & (F.xxhash64(docs[text_col]) == dropped["__t"]), "left_anti")
 
 

@@ -436,6 +436,19 @@ def similar_pairs(rnd, n, words=120):
     return rows
 
 
+def test_near_dedup_keeps_the_driver_small(spark, monkeypatch):
+    """The shards' tables are made in the workers, no closure carries them, and what grows with the texts is merged, not broadcast."""
+    sent, plans = [], []
+    broadcast, cut = spark.sparkContext.broadcast, simhash.Cut.__init__
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda v: sent.append(v) or broadcast(v))
+    monkeypatch.setattr(simhash.Cut, "__init__", lambda self, df, kept=False: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(self, df, kept))
+    got = simhash.keep_one(spark.createDataFrame(similar_pairs(random.Random(5), 40), "doc_id long, text string"))
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert 40 <= got.count() < 80 and not sent
+    joins = [line for p in plans for line in p.splitlines() if "Join " in line]
+    assert joins and all("strategy=merge" in line or "SortMergeJoin" in line or "strategy=broadcast" in line for line in joins) and "SortMergeJoin" in plans[-1]
+
+
 @pytest.mark.parametrize("target", [16384, 256, 16])
 def test_similar_texts_equal_brute_force_at_any_depth(spark, monkeypatch, target):
     """All links of a similarity of 0.8 or more, and no others, whether the trees have one leaf or thousands; small chunks and classes too."""

@@ -18,6 +18,11 @@ def with_box(df: DataFrame, geom: str = "geom") -> DataFrame:
     return df.withColumn("box", K.shape(geom)).where(F.col("box").isNotNull())
 
 
+def dealt(df: DataFrame, *by: str) -> DataFrame:
+    """The rows in as many tasks as shuffles have, however few their bytes: for work that adaptive execution would put into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 POINTS = 256
 
 

@@ -86,3 +86,16 @@ def test_entry_runs_need_no_windows(spark, duck, tmp_path):
         got = Q.queries()["entry_runs"](spark, str(tmp_path))
         compare(odd, got, Q.oracle_sql()["entry_runs"])
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage4_broadcasts_nothing_and_deals_its_work(spark, monkeypatch):
+    """No side of a join stands in the driver, and the roads, few bytes but much work, are cut into pieces by many tasks."""
+    from cadastra.plans import access
+
+    plans, parts = [], []
+    cut = access.cut
+    monkeypatch.setattr(access, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or parts.append(cut(df)) or parts[-1])
+    for name in ("stage4_access", "reserve_strips", "frontage_pieces", "access_totals"):
+        plans.append(Q.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in "".join(plans) and "Broadcast" not in "".join(plans)
+    assert "REPARTITION_BY_NUM" in plans[0] and "REPARTITION_BY_NUM" in plans[2]

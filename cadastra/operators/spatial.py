@@ -24,20 +24,30 @@ def dealt(df: DataFrame, *by: str) -> DataFrame:
 
 
 POINTS = 256
+#: Points and sides of the pieces that ``subdivided`` deals to tasks, as multiples of those of its last ones.
+COARSE = 64
 
 
-def subdivided(df: DataFrame, size: float, points: int = POINTS) -> DataFrame:
+def _pieces(df: DataFrame, side: float, points: int) -> DataFrame:
+    b = F.col("box")
+    small = (F.octet_length("geom") <= 16 * points + 9) & (b["maxx"] - b["minx"] <= side) & (b["maxy"] - b["miny"] <= side)
+    out = df.withColumn("__small", small).withColumn("geom", F.explode(F.when(F.col("__small"), F.array("geom")).otherwise(K.subdivide("geom", points, side))))
+    return out.withColumn("box", F.when(F.col("__small"), b).otherwise(K.shape("geom"))).drop("__small").where(F.col("box").isNotNull())
+
+
+def subdivided(df: DataFrame, size: float, points: int = POINTS, deal: bool = False) -> DataFrame:
     """The rows with their shapes in pieces of at most ``points`` points and two cells' sides, each with its own ``box``.
 
     A giant shape then is many small rows that spread over cells and tasks, and no shape beyond the limit crosses a
     shuffle. Pieces share borders only: areas of overlaps add up, and unions put them together again. Shapes within the
-    limits, told by their bytes and box, aren't touched.
+    limits, told by their bytes and box, aren't touched. With ``deal`` they are made in two steps, and the pieces of
+    the first go to other tasks: one shape of millions of pieces is more work than a task should have.
     """
     df = df if "box" in df.columns else with_box(df)
-    b = F.col("box")
-    small = (F.octet_length("geom") <= 16 * points + 9) & (b["maxx"] - b["minx"] <= 2 * size) & (b["maxy"] - b["miny"] <= 2 * size)
-    out = df.withColumn("__small", small).withColumn("geom", F.explode(F.when(F.col("__small"), F.array("geom")).otherwise(K.subdivide("geom", points, 2 * size))))
-    return out.withColumn("box", F.when(F.col("__small"), b).otherwise(K.shape("geom"))).drop("__small").where(F.col("box").isNotNull())
+    if deal:
+        df = _pieces(df, 2 * size * COARSE, points * COARSE)
+        df = dealt(df, *df.columns)
+    return _pieces(df, 2 * size, points)
 
 
 def _cells(df: DataFrame, side: str, size: float, grow: float) -> DataFrame:

@@ -55,8 +55,8 @@ def encumbrances(parcels: DataFrame, features: DataFrame, cfg: Config, cell: flo
     """One row per (parcel, layer) with ten square metres or more: shares, position, names and the geometry taken."""
     spark = parcels.sparkSession
     features = features if "feature" in features.columns else features.withColumn("feature", F.monotonically_increasing_id())
-    pairs = grid_join(subdivided(parcels.select("account_id", "geom", "box"), cell), subdivided(features, cell), cell, overlay=True)
-    # features are cut to their parcel first: unions stay small, whatever the size of a feature
+    pairs = grid_join(subdivided(parcels.select("account_id", "geom", "box"), cell), subdivided(features, cell, deal=True), cell, overlay=True, spread=True)
+    # a giant feature's pieces, and their parcels, are the work of many tasks; features are cut to their parcel first: unions stay small, whatever the size of a feature
     cut = pairs.select("l.account_id", "r.source_layer", "r.ord", "r.name", "r.feature", F.col("o.geom").alias("g"))
     taken = cut.groupBy("account_id", "source_layer", "ord").agg(K.union_agg("g").alias("part"), F.size(F.collect_set("feature")).cast("long").alias("feature_count"), F.array_join(F.sort_array(F.collect_set("name")), "; ").alias("names"), F.count("name").alias("named"))
     rows = taken.join(parcels.select("account_id", F.col("geom").alias("parcel"), F.col("box.area").alias("parcel_m2")), "account_id").withColumn("part", K.areal("part")).withColumn("m2", K.area("part")).where(F.col("m2") >= LEAST_M2)

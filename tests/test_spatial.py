@@ -86,3 +86,12 @@ def test_small_shapes_stay(geo):
     assert [r["k"] for r in subdivided(points, 10.0).collect()] == [2]
     road = subdivided(geo.createDataFrame([(1, bytearray(K.line_wkb((0, 5), (1000, 5), (1000, 400))))], "k int, geom binary"), 50.0)
     assert road.agg(F.sum(K.length("geom"))).first()[0] == pytest.approx(1395) and road.count() >= 14
+
+
+def test_giant_shapes_are_cut_by_many_tasks(geo):
+    """In two steps, the first's pieces dealt to tasks: no ground is lost or counted twice, and pieces have few points and short sides."""
+    giant = with_box(geo.createDataFrame([(7, bytearray(comb(2800, 60000)))], "f int, geom binary"))
+    cut = subdivided(giant, 100.0, 40, deal=True).select("f", "box", F.octet_length("geom").alias("bytes"), F.spark_partition_id().alias("task")).collect()
+    assert len(cut) > 4000 and len({r["task"] for r in cut}) > 1 and {r["f"] for r in cut} == {7}
+    assert all(r["bytes"] <= 9 + 4 + 16 * 40 + 300 and r["box"]["maxx"] - r["box"]["minx"] <= 200 and r["box"]["maxy"] - r["box"]["miny"] <= 200 for r in cut)
+    assert sum(r["box"]["area"] for r in cut) == pytest.approx(giant.first()["box"]["area"])

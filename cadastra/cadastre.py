@@ -70,7 +70,9 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One road below each row of parcels."""
-    rows = table(spark, sf_dir, "customer").select(F.expr("c_custkey div 40").alias("r")).distinct()
+    # as an aggregate's result: tests of shapes made from a distinct column would be pushed below it and run for each customer
+    row = F.expr("c_custkey div 40")
+    rows = table(spark, sf_dir, "customer").groupBy(row.alias("of")).agg(F.max(row).alias("r")).drop("of")
     y = F.col("r") * 700.0
     return shaped(rows.select("r", F.lit(0.0).alias("x0"), y.alias("y0"), F.lit(28000.0).alias("x1"), (y + 18).alias("y1"), F.when(F.col("r") % 4 == 0, "state").otherwise("county").alias("authority"), (F.col("r") % 7 != 6).alias("public")))
 

@@ -99,3 +99,12 @@ def test_stage4_broadcasts_nothing_and_deals_its_work(spark, monkeypatch):
         plans.append(Q.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
     assert "SortMergeJoin" in "".join(plans) and "Broadcast" not in "".join(plans)
     assert "REPARTITION_BY_NUM" in plans[0] and "REPARTITION_BY_NUM" in plans[2]
+
+
+def test_shapes_of_roads_are_made_once_for_each_road(spark):
+    """Their tests aren't pushed below the aggregate that finds the roads, where they would run for each customer."""
+    from cadastra.cadastre import roads
+    from cadastra.kernel import functions as K
+
+    plan = roads(spark, SF).where(K.intersects("geom", "geom"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("geo_between") < plan.index("Aggregate [")
